@@ -50,6 +50,6 @@ def test_order_is_by_rejection_per_cost():
 
 def test_good_documents_of_the_labels_are_kept(spark):
     d = "/root/testdata/sf0.01"
-    got = quality.op1_quality_rules(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").groupBy("quality", "kept").count().collect()
+    got = quality.op1_quality_rules(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").filter("NOT base_failed").groupBy("quality", "kept").count().collect()
     n = {(r.quality, r.kept): r["count"] for r in got}
-    assert n.get((1, False), 0) == 0 and n.get((0, True), 0) <= 0.1 * n[0, False]
+    assert n.get((1, False), 0) == 0 and n.get((0, True), 0) == 0
