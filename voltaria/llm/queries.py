@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, packing, quality, sharding, substrings, suffixes
+from . import bpe, neardup, packing, quality, sharding, substrings, suffixes
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
     "op2_substring_dedup": substrings.op2_substring_dedup,
     "op3_byte_bpe": bpe.op3_byte_bpe,
+    "op4_near_dedup": neardup.op4_near_dedup,
     "op6_packing": packing.op6_packing,
     "op7_suffix_dedup": suffixes.op7_suffix_dedup,
     "op9_shard_lookup": sharding.op9_shard_lookup,
