@@ -1,0 +1,75 @@
+"""Surrogates: nothing left, format kept, the same entity the same everywhere, different ones different."""
+
+import re
+
+from voltaria.llm import pii
+
+A = "write to anna.b99@mail1.example.com or +1 (212) 555-0143, card 4539148803436467, host 10.20.130.4."
+B = 'Frau Müller und Mr. Ivan Petrov, г-н; "token = "0123456789abcdef0123456789abcdef01234567" ssn 078-05-1120 Dr Иванов'
+CLEAN = "License, Version 2.0 and CC BY-NC 4.0, pages 10-20, 3.14, 1,000,000 and a@b and 2024-01-31."
+ROWS = [(1, A, "m"), (2, B, "n"), (3, CLEAN, "o"), (4, None, "p"), (5, "", "q"), (6, A + A, "r"), (1, A, "m"), (7, "x" * 200_000 + " 10.20.130.4 " + "1" * 5000, "s")]
+
+
+def run(spark, rows, **kw):
+    docs = spark.createDataFrame([(d, t, s, len(t or "")) for d, t, s in rows], "doc_id long, text string, kind string, n_chars long")
+    out = pii.replace_entities(docs, **kw)
+    assert out.columns == [*docs.columns, "n_entities"]
+    return out.collect()
+
+
+def luhn(d):
+    return sum(int(c) if k % 2 else sum(divmod(2 * int(c), 10)) for k, c in enumerate(d)) % 10
+
+
+def test_entities_are_replaced_in_their_format(spark):
+    got = {r.doc_id: r for r in run(spark, ROWS)}
+    a, b = got[1].text, got[2].text
+    m = re.fullmatch(r"write to ([a-z]{4}\.[a-z]\d\d@[a-z]{4}\d\.[a-z]{7}\.com) or (\+1 \(\d{3}\) \d{3}-\d{4}), card (\d{16}), host (\d\d\.\d\d\.\d{3}\.\d)\.", a)
+    assert m and luhn(m[3]) == 0
+    assert not any(x in a for x in ("anna.b99@mail1.example.com", "(212) 555-0143", "4539148803436467", "10.20.130.4"))
+    assert got[1].n_entities == 4 and got[6].n_entities == 8 and got[6].text == a + a
+    m = re.fullmatch(r'Frau (\w+) und Mr\. (\w+) (\w+), г-н; "token = "([0-9a-f]{40})" ssn (\d{3}-\d\d-\d{4}) Dr (\w+)', b)
+    assert m and m[2] in pii.NAMES["latin"][1] and re.fullmatch("[А-Яа-яё]+", m[6]) and "Müller" not in b and "0123456789abcdef" not in b
+    assert got[3].text == CLEAN and got[3].n_entities == 0
+    assert got[4].text is None and got[4].n_entities == 0 and got[5].text == ""
+    assert got[7].text.startswith("x" * 200_000) and f" {re.search('host (.*)[.]', a)[1]} " in got[7].text and got[7].n_chars == len(got[7].text)
+    other = {r.doc_id: r for r in run(spark, ROWS, key="another")}
+    assert other[1].text != a and other[3].text == CLEAN
+
+
+def test_collisions_are_resolved_inline_and_by_join(spark, monkeypatch):
+    # all addresses of one-digit octets on a small grid: many first surrogates collide with each other or with real ones
+    rows = [(k, f"at {1 + k % 9}.{1 + k // 9 % 9}.{1 + k // 81 % 9}.1 and {1 + k % 9}.1.1.1", "x") for k in range(729)]
+    expected = {x for _, t, _ in rows for x in re.findall(r"\d\.\d\.\d\.\d", t)}
+    results = []
+    for limit in (1000, 3):
+        monkeypatch.setattr(pii, "INLINE", limit)
+        got = {r.doc_id: r.text for r in run(spark, rows)}
+        table = {}
+        for d, t, _ in rows:
+            for x, y in zip(re.findall(r"[\d.]+\d", t), re.findall(r"[\d.]+\d", got[d]), strict=True):
+                assert table.setdefault(x, y) == y
+        assert len(table) == len(expected) and len(set(table.values())) == len(table) and not set(table.values()) & expected
+        results.append(got)
+    assert results[0] == results[1]
+
+
+def test_no_python_in_the_plan_and_empty_tables(spark):
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string, kind string")
+    plan = pii.replace_entities(docs)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+    assert pii.replace_entities(docs.limit(0)).count() == 0
+
+
+def test_registered_query_leaves_nothing_behind(spark):
+    d = "/root/testdata/sf0.001"
+    planted = re.compile(r"[\w.]+@mail\d|\+\d \(\d{3}\)|(?<!\d)\d{16}(?!\d)|\b(?:\d{1,3}\.){3}\d{1,3}\b|\b[0-9a-f]{40}\b")
+    before = {r.doc_id: r.text for r in spark.read.parquet(f"{d}/documents.parquet").collect()}
+    seen = 0
+    for r in pii.op5_surrogates(spark, d).collect():
+        old, new = planted.findall(before[r.doc_id]), r.text
+        seen += len(old)
+        assert r.n_entities == len(old)
+        assert planted.sub("", new) == planted.sub("", before[r.doc_id]) or old
+        assert not set(planted.findall(before[r.doc_id])) & set(planted.findall(new)) - {x for x in old if x.startswith("+")}
+    assert seen > 5

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from . import bpe, neardup, packing, quality, sharding, substrings, suffixes
+from . import bpe, neardup, packing, pii, quality, sharding, substrings, suffixes, topk, warc
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
     "op2_substring_dedup": substrings.op2_substring_dedup,
     "op3_byte_bpe": bpe.op3_byte_bpe,
     "op4_near_dedup": neardup.op4_near_dedup,
+    "op5_surrogates": pii.op5_surrogates,
     "op6_packing": packing.op6_packing,
     "op7_suffix_dedup": suffixes.op7_suffix_dedup,
+    "op8_exact_top_k": topk.op8_exact_top_k,
     "op9_shard_lookup": sharding.op9_shard_lookup,
+    "op10_warc_captures": warc.op10_warc_captures,
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": quality.op1_sql(), "op9_shard_lookup": sharding.op9_sql()}
+    return {"op1_quality_rules": quality.op1_sql(), "op8_exact_top_k": topk.OP8_SQL, "op9_shard_lookup": sharding.op9_sql(), "op10_warc_captures": warc.OP10_SQL}
