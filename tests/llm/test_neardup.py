@@ -58,7 +58,7 @@ def test_components_are_those_of_all_pairs(spark, seed, size, percent):
 
 def test_parts_of_regions_change_nothing(spark, monkeypatch):
     rows = corpus(3)
-    monkeypatch.setattr(neardup, "PART", 3)
+    monkeypatch.setattr(neardup, "PART", 150)
     monkeypatch.setattr(neardup, "LARGE", 4)
     cloudpickle.register_pickle_by_value(neardup)
     try:

@@ -12,8 +12,9 @@ No region is ever held whole and no group is expanded into all its pairs:
 2.  In every region each member is paired with the region's first (smallest) document and with its neighbours in
     the deeper order. These pairs are confirmed on full sets, and components of confirmed links are formed.
 3.  Regions that still hold several components are what may hide a link: their members' pairs across components
-    (and no others) are confirmed too, once per pair however many regions share it, unless sizes or signatures already
-    rule the link out (a signature that agrees so little has a chance below ``MISS``). Components are formed anew.
+    (and no others) are confirmed too, in the region's own tasks and once per pair however many regions share it,
+    unless sizes or signatures already rule the link out (a signature that agrees so little has a chance below
+    ``MISS``). Components are formed anew.
 
 Pairs are confirmed by the exact sizes of intersection and union of 64-bit shingle hashes.
 
@@ -38,8 +39,8 @@ from .components import components
 from .repeats import U, WordHashes, mixed
 
 TREES, MAX_DEPTH, MISS = 24, 8, 1e-5
-#: Members from which a region's order goes on to its deepest level; members of a region that a task holds twice at most.
-LARGE, PART = 64, 4096
+#: Members from which a region's order goes on to its deepest level; shingles of a region's part (a task holds two parts).
+LARGE, PART = 64, 1_000_000
 
 _rng = np.random.default_rng(20240301)
 _ODD = (_rng.integers(1, 2**31, TREES * MAX_DEPTH, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -115,7 +116,7 @@ def sketches(docs: DataFrame, size: int, depth: int, carry: tuple[str, ...] = ()
     kinds = dict(docs.dtypes)
     schema = "doc_id long, n long, high long, low long, keys array<long>, deep array<long>, agree binary, packed binary"
     made = docs.select("doc_id", "text", *carry).mapInArrow(run, schema + "".join(f", `_{c}` {kinds[c]}" for c in carry))
-    return cut_lineage(made.repartition(partitions(docs.sparkSession), "doc_id"))
+    return cut_lineage(made.repartition(partitions(docs.sparkSession), "doc_id"), dealt=True)
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -159,41 +160,55 @@ def _labelled(nodes: DataFrame, found: DataFrame) -> DataFrame:
     return nodes.join(found.select(F.col("node").alias("doc"), "component"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
 
 
-def _across(members: DataFrame, percent: int, share: float) -> DataFrame:
-    """Pairs of members of one region in different components that may link, each pair in the first region that it shares.
+def _across(members: DataFrame, size: int, percent: int, share: float) -> DataFrame:
+    """Links between members of one region that are in different components, enough of them to unite what they unite.
 
-    A region of more than PART members is dealt into parts, and every two parts meet in a task of their own, so that a
-    task holds two parts at most.
+    members: (tree, key, weight, n, doc, component, keys, agree, packed), weight: the sum of the region's set sizes. A
+    region of more than PART shingles is dealt into parts, and every two parts meet in a task of their own, so that a
+    task holds the sets of two parts. There every pair that sizes and signatures allow is compared on the full sets, in
+    the first region that the pair shares; no pairs are shipped.
     """
-    parts = F.ceil(F.col("members") / PART).cast("int")
+    parts = F.ceil(F.col("weight") / PART).cast("int")
     own = F.pmod(F.xxhash64("doc"), parts).cast("int")
     dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    dealt = dealt.select("tree", "key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "n", "doc", "component", "keys", "agree")
-    none = pa.RecordBatch.from_pydict({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    dealt = dealt.select("tree", "key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "n", "doc", "component", "keys", "agree", "packed")
 
-    def pairs(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    def united(rows: list[tuple], memo: WordHashes) -> list[tuple[int, int]]:
+        unpack = zstandard.ZstdDecompressor()
         tree, _, x, y = rows[0][:4]
         part, n, doc, component = (np.array([r[k] for r in rows]) for k in (4, 5, 6, 7))
         keys, agree = np.array([r[8] for r in rows]), np.array([np.frombuffer(r[9], np.uint8) for r in rows])
+        sets = [shingles(unpack.decompress(r[10]), size, memo) for r in rows]
+        names, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        ids = np.split(ids.reshape(-1), np.cumsum([len(s) for s in sets])[:-1])
+        mine, out = np.zeros(len(names), bool), []
         for k in range(1, len(rows)):  # sorted by size: smaller sets come first
             at = np.arange(np.searchsorted(100 * n[:k], percent * n[k]), k)
             at = at[(component[at] != component[k]) & (doc[at] != doc[k]) & ((part[at] != part[k]) | (x == y))]
             at = at[(agree[at] == agree[k]).mean(axis=1) >= share] if len(at) else at
             at = at[(keys[at] == keys[k]).argmax(axis=1) == tree] if len(at) else at
-            if len(at):
-                yield pa.RecordBatch.from_pydict({"a": np.maximum(doc[at], doc[k]), "b": np.minimum(doc[at], doc[k])})
+            if not len(at):
+                continue
+            mine[ids[k]] = True
+            both = np.add.reduceat(mine[np.concatenate([ids[c] for c in at])].astype(np.int64), np.cumsum(n[at]) - n[at])
+            mine[ids[k]] = False
+            for c in at[100 * both >= percent * (n[at] + n[k] - both)].tolist():
+                if component[c] != component[k]:
+                    out.append((max(doc[c], doc[k]).item(), min(doc[c], doc[k]).item()))
+                    component[component == component[c]] = component[k]
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
+        memo, rows, out = WordHashes(), [], []
         for batch in batches:
             for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if rows and rows[0][:4] != r[:4]:
-                    yield from pairs(rows)
+                    out += united(rows, memo)
                     rows = []
                 rows.append(r)
         if rows:
-            yield from pairs(rows)
-        yield none
+            out += united(rows, memo)
+        yield pa.RecordBatch.from_pydict({"a": pa.array([r[0] for r in out], pa.int64()), "b": pa.array([r[1] for r in out], pa.int64())})
 
     at = ["tree", "key", "x", "y"]
     return dealt.repartition(partitions(members.sparkSession), *at).sortWithinPartitions(*at, "n", "doc").mapInArrow(run, "a long, b long")
@@ -212,8 +227,8 @@ def _grouped(docs: DataFrame, size: int, percent: int, carry: tuple[str, ...] =
     doubles = cut_lineage(copies.select("a", F.col("doc").alias("b")).distinct())
     chosen = filled.join(copies.select(F.col("a").alias("doc_id"), "high", "low"), ["doc_id", "high", "low"], "left_anti").withColumnRenamed("doc_id", "doc")
 
-    orders = chosen.select("doc", F.posexplode(F.arrays_zip("keys", "deep")).alias("tree", "at"))
-    orders = orders.select("doc", "tree", F.col("at.keys").alias("key"), F.col("at.deep").alias("deep"))
+    orders = chosen.select("doc", "n", F.posexplode(F.arrays_zip("keys", "deep")).alias("tree", "at"))
+    orders = orders.select("doc", "n", "tree", F.col("at.keys").alias("key"), F.col("at.deep").alias("deep"))
     regions = orders.groupBy("tree", "key").agg(F.count("*").alias("members"), F.min("doc").alias("first")).filter("members > 1")
     members = cut_lineage(orders.join(regions, ["tree", "key"]))
     pairs = members.filter("doc > first").select(F.col("doc").alias("a"), F.col("first").alias("b"))
@@ -222,11 +237,11 @@ def _grouped(docs: DataFrame, size: int, percent: int, carry: tuple[str, ...] =
     near = cut_lineage(confirmed(pairs.union(chain).distinct(), texts, size, percent).union(doubles))
     found = components(near)
 
-    label = _labelled(members.select("tree", "key", "doc", "members"), found)
-    several = label.groupBy("tree", "key").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("tree", "key")
-    data = chosen.select("doc", "n", "keys", "agree")
-    across = _across(label.join(several, ["tree", "key"]).join(data, "doc"), percent, share)
-    more = cut_lineage(confirmed(across.distinct(), texts, size, percent))
+    data = chosen.select("doc", "n", "keys", "agree", "packed")
+    label = _labelled(members.select("tree", "key", "doc", "n"), found)
+    several = label.groupBy("tree", "key").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.sum("n").alias("weight"))
+    several = several.filter("least < most").select("tree", "key", "weight")
+    more = cut_lineage(_across(label.drop("n").join(several, ["tree", "key"]).join(data, "doc"), size, percent, share).distinct())
     if not more.isEmpty():
         found = components(near.union(more))
     out = stored.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
