@@ -54,10 +54,23 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: what follows survives lost executors without recomputing what came before."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def cut_lineage(df: DataFrame, dealt: bool = False) -> DataFrame:
+    """Reliable checkpoint: what follows survives lost executors without recomputing what came before.
+
+    ``dealt``: the frame was repartitioned by a key and joins on it shall not shuffle it again. An adaptive plan does
+    not tell its partitioning before it has run, so this one plan is made without adaptive execution.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    if not dealt:
+        return df.checkpoint()
+    name = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        return df.checkpoint()
+    finally:
+        spark.conf.set(name, before)
 
 
 def partitions(spark: SparkSession) -> int:

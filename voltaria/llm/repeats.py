@@ -41,7 +41,7 @@ from .common import bounded_batches, cut_lineage, partitions
 U = np.uint64
 LAST = np.iinfo(np.int64).max
 #: Bytes of text in a block; anchors in a bucket; runs in a group before it is split; bytes of runs ranked at a time.
-BLOCK, BUCKET, GROUP, RANKED = 2 << 20, 4_000_000, 4096, 2 << 20
+BLOCK, BUCKET, GROUP, RANKED = 2 << 20, 4_000_000, 1024, 2 << 20
 #: Elements hashed at a time, so that long texts need no more memory than others.
 SLICE = 1 << 18
 
@@ -259,7 +259,7 @@ def blocks(docs: DataFrame, unit: Unit, carry: list[str]) -> tuple[DataFrame, in
     spark = docs.sparkSession
     bounded_batches(spark)
     made = docs.select("text", *columns).mapInArrow(run, "block long, ids array<long>, sizes array<long>, texts binary, rows binary")
-    return cut_lineage(made.repartition(partitions(spark), "block")), total.value
+    return cut_lineage(made.repartition(partitions(spark), "block"), dealt=True), total.value
 
 
 def texts_of(unit: Unit, sizes: list[int], packed: bytes) -> list:
