@@ -119,6 +119,8 @@ def test_empty_tables_and_documents_as_they_came(spark):
     assert substrings.dedup_substrings(none).count() == 0 and suffixes.dedup_bytes(none).count() == 0
     rows = [(1, "é" * 200), (2, "x" + "é" * 150 + "y"), (None, "é" * 90)]
     out = {r.doc_id: r for r in suffixes.dedup_documents(spark.createDataFrame([(d, t, len(t), "s") for d, t in rows], "doc_id long, text string, n_chars long, source string"), 100).collect()}
+    cut = {r.doc_id: r.text for r in suffixes.dedup_documents(spark.createDataFrame([(1, "é" * 60), (2, "ĩ" + "é" * 50), (3, "ĩ" + "é" * 50 + "ñ")], "doc_id long, text string")).collect()}
+    assert cut == {1: "é", 2: "", 3: ""}  # a removed span cuts ĩ and ñ in two
     assert out[2].text == "xy" and out[2].n_chars == 2 and out[None].text == "" and out[1].source == "s"
 
 

@@ -34,6 +34,16 @@ def _finish(text: bytes, gone: list[tuple[int, int]]) -> tuple:
     return len(text), len(text) - len(out), out, [{"first": a, "end": b} for a, b in gone]
 
 
+def _finish_text(text: bytes, gone: list[tuple[int, int]]) -> tuple:
+    """What is kept as text: each kept stretch by itself, so that halves of two characters never make a third."""
+    kept, at = [], 0
+    for a, b in [*gone, (len(text), len(text))]:
+        kept.append(text[at:a].decode("utf-8", "ignore"))
+        at = b
+    out = "".join(kept)
+    return out, len(out)
+
+
 def dedup_bytes(docs: DataFrame, window: int = 100, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, carried columns, n_bytes, n_removed, kept (the remaining bytes) and the removed spans."""
     return remove_repeats(docs, Bytes(window, max(1, window * 6 // 25)), _finish, SCHEMA, list(carry))
@@ -41,9 +51,9 @@ def dedup_bytes(docs: DataFrame, window: int = 100, carry: tuple[str, ...] = ())
 
 def dedup_documents(docs: DataFrame, window: int = 100) -> DataFrame:
     """The documents with repeats taken out of their texts; a character that a removed span cuts in two goes as a whole."""
-    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    got = dedup_bytes(docs, window, rest).withColumn("text", F.decode("kept", "UTF-8"))
-    return got.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    rest = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    got = remove_repeats(docs, Bytes(window, max(1, window * 6 // 25)), _finish_text, "text string, n_chars long", rest)
+    return got.select(*docs.columns)
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
