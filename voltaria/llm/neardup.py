@@ -81,8 +81,8 @@ def links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def sketches(docs: DataFrame, size: int, depth: int, carry: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, n, high, low, keys, deep, agree, packed): set size and 128-bit hash; the hash of each order's first
-    ``depth`` values and of all its values; a byte of every value; the text compressed; carried columns as _name."""
+    """(doc_id, n, high, low, keys, agree, packed): set size and 128-bit hash; the hash of each order's number and first
+    ``depth`` values; a byte of every value, order by order; the text compressed; carried columns as _name."""
     import xxhash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,24 +97,21 @@ def sketches(docs: DataFrame, size: int, depth: int, carry: tuple[str, ...] = ()
                 high.append(int.from_bytes(whole[:8], "little", signed=True))
                 low.append(int.from_bytes(whole[8:], "little", signed=True))
                 if not len(s):
-                    for x in (keys, deep, agree):
+                    for x in (keys, agree):
                         x.append(None)
                     continue
                 sig = signature(s).reshape(TREES, MAX_DEPTH)
                 h = np.arange(TREES, dtype=np.uint64)
-                for k in range(MAX_DEPTH):
+                for k in range(depth):
                     h = mixed(h * U(0x9E3779B97F4A7C15) + sig[:, k].astype(np.uint64))
-                    if k == depth - 1:
-                        keys.append(h.view(np.int64).copy())
-                deep.append(h.view(np.int64))
+                keys.append(h.view(np.int64))
                 agree.append((sig >> np.uint32(24)).astype(np.uint8).tobytes())
-            longs = pa.list_(pa.int64())
-            cols = [batch.column(0), *(pa.array(x, pa.int64()) for x in (n, high, low)), pa.array(keys, longs), pa.array(deep, longs), pa.array(agree, pa.binary()), pa.array(packed, pa.binary())]
-            yield pa.RecordBatch.from_arrays(cols + batch.columns[2:], names=["doc_id", "n", "high", "low", "keys", "deep", "agree", "packed", *(f"_{c}" for c in carry)])
+            cols = [batch.column(0), *(pa.array(x, pa.int64()) for x in (n, high, low)), pa.array(keys, pa.list_(pa.int64())), pa.array(agree, pa.binary()), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols + batch.columns[2:], names=["doc_id", "n", "high", "low", "keys", "agree", "packed", *(f"_{c}" for c in carry)])
 
     bounded_batches(docs.sparkSession)
     kinds = dict(docs.dtypes)
-    schema = "doc_id long, n long, high long, low long, keys array<long>, deep array<long>, agree binary, packed binary"
+    schema = "doc_id long, n long, high long, low long, keys array<long>, agree binary, packed binary"
     made = docs.select("doc_id", "text", *carry).mapInArrow(run, schema + "".join(f", `_{c}` {kinds[c]}" for c in carry))
     return cut_lineage(made.repartition(partitions(docs.sparkSession), "doc_id"), dealt=True)
 
@@ -220,17 +217,21 @@ def _grouped(docs: DataFrame, size: int, percent: int, carry: tuple[str, ...] =
     spread = math.sqrt(percent / 100 * (1 - percent / 100) / (TREES * MAX_DEPTH))
     share = max(0.0, percent / 100 - 4.5 * spread)  # 4.5 deviations below the threshold: a chance of about 3e-6
     stored = sketches(docs, size, depth, carry)
-    filled = stored.filter("n > 0 AND doc_id IS NOT NULL").select("doc_id", "n", "high", "low", "keys", "deep", "agree", "packed")
+    filled = stored.filter("n > 0 AND doc_id IS NOT NULL").select("doc_id", "n", "high", "low", "keys", "agree", "packed")
     filled = filled.dropDuplicates(["doc_id", "high", "low"])
     same = filled.groupBy("high", "low").agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies"))
     copies = filled.select(F.col("doc_id").alias("a"), "high", "low").join(same.filter("copies > 1"), ["high", "low"]).filter("a > doc")
-    doubles = cut_lineage(copies.select("a", F.col("doc").alias("b")).distinct())
-    chosen = filled.join(copies.select(F.col("a").alias("doc_id"), "high", "low"), ["doc_id", "high", "low"], "left_anti").withColumnRenamed("doc_id", "doc")
-
-    orders = chosen.select("doc", "n", F.posexplode(F.arrays_zip("keys", "deep")).alias("tree", "at"))
-    orders = orders.select("doc", "n", "tree", F.col("at.keys").alias("key"), F.col("at.deep").alias("deep"))
-    regions = orders.groupBy("tree", "key").agg(F.count("*").alias("members"), F.min("doc").alias("first")).filter("members > 1")
-    members = cut_lineage(orders.join(regions, ["tree", "key"]))
+    doubles = cut_lineage(copies.select("a", F.col("doc").alias("b"), "high", "low").distinct())
+    # one key, the one that the rows are dealt by; that the sets are the same is left to a condition
+    gone = doubles.select(F.col("a").alias("__a"), F.col("high").alias("__h"), F.col("low").alias("__l"))
+    one = (F.col("doc_id") == F.col("__a")) & (F.col("high").bitwiseXOR(F.col("__h")) == 0) & (F.col("low").bitwiseXOR(F.col("__l")) == 0)
+    chosen = filled.join(gone, one, "left_anti").withColumnRenamed("doc_id", "doc")
+    doubles = doubles.select("a", "b").distinct()
+
+    orders = chosen.select("doc", "n", "agree", F.posexplode("keys").alias("tree", "key"))
+    orders = orders.select("doc", "n", "tree", "key", F.substr("agree", F.col("tree") * MAX_DEPTH + 1, F.lit(MAX_DEPTH)).alias("deep"))
+    regions = orders.groupBy("key").agg(F.count("*").alias("members"), F.min("doc").alias("first")).filter("members > 1")
+    members = cut_lineage(orders.join(regions, "key"))
     pairs = members.filter("doc > first").select(F.col("doc").alias("a"), F.col("first").alias("b"))
     chain = _neighbours(members).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     texts = filled.select("doc_id", "packed")
@@ -239,9 +240,9 @@ def _grouped(docs: DataFrame, size: int, percent: int, carry: tuple[str, ...] =
 
     data = chosen.select("doc", "n", "keys", "agree", "packed")
     label = _labelled(members.select("tree", "key", "doc", "n"), found)
-    several = label.groupBy("tree", "key").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.sum("n").alias("weight"))
-    several = several.filter("least < most").select("tree", "key", "weight")
-    more = cut_lineage(_across(label.drop("n").join(several, ["tree", "key"]).join(data, "doc"), size, percent, share).distinct())
+    several = label.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.sum("n").alias("weight"))
+    several = several.filter("least < most").select("key", "weight")
+    more = cut_lineage(_across(label.drop("n").join(several, "key").join(data, "doc"), size, percent, share).distinct())
     if not more.isEmpty():
         found = components(near.union(more))
     out = stored.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
