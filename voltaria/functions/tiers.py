@@ -39,8 +39,19 @@ def risk_color(level: Column, default: str = "#999999") -> Column:
     return out
 
 
-def altitude_band(metres: Column, bounds: tuple[float, ...] = (400.0, 800.0, 1200.0), names: tuple[str, ...] = ("valley", "low", "mid", "high")) -> Column:
-    return F.when(metres.isNotNull(), ladder_below(metres, list(zip(bounds, names, strict=False)), names[len(bounds)]))
+#: Metres at which altitude bands end, and the 90th percentile of daily maxima (degrees C) by band and month (fixed values).
+BANDS = [(500.0, "low"), (1000.0, "mid")]
+HEAT_P90 = {"low": {5: 22.0, 6: 26.0, 7: 27.0, 8: 27.0, 9: 23.0}, "mid": {5: 18.0, 6: 22.0, 7: 23.0, 8: 23.0, 9: 19.0}, "high": {5: 14.0, 6: 18.0, 7: 19.0, 8: 19.0, 9: 15.0}}
+
+
+def altitude_band(metres: Column) -> Column:
+    """low, mid or high; null for a null height."""
+    return F.when(metres.isNotNull(), ladder_below(metres, BANDS, "high"))
+
+
+def heat_threshold(band: Column, day: Column) -> Column:
+    """The heat threshold of a band on a day; null off season."""
+    return month_threshold(band, F.month(day), HEAT_P90)
 
 
 def month_threshold(band: Column, month: Column, table: dict[str, dict[int, float]]) -> Column:

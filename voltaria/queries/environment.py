@@ -54,7 +54,7 @@ def q_altitude_band(spark: SparkSession, d: str) -> DataFrame:
     return c.select("c_custkey", tiers.altitude_band(F.abs("c_acctbal") / 5).alias("band"))
 
 
-SQL_altitude_band = "SELECT c_custkey, CASE WHEN abs(c_acctbal) / 5 < 400 THEN 'valley' WHEN abs(c_acctbal) / 5 < 800 THEN 'low' WHEN abs(c_acctbal) / 5 < 1200 THEN 'mid' ELSE 'high' END AS band FROM customer"
+SQL_altitude_band = "SELECT c_custkey, CASE WHEN abs(c_acctbal) / 5 < 500 THEN 'low' WHEN abs(c_acctbal) / 5 < 1000 THEN 'mid' ELSE 'high' END AS band FROM customer"
 
 
 def q_threshold_lookup(spark: SparkSession, d: str) -> DataFrame:
