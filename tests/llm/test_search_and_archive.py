@@ -38,10 +38,11 @@ def test_reading_stops_early_and_large_numbers_stay_exact():
     x = np.floor(r.normal(0, 10, (4000, 4)))
     x[7] = [900, 900, 900, 900]
     lists = topk.Lists(np.arange(4000), x)
-    got, depth = lists.best(1, np.array([3.0, 2, 1, 1]), 1)
-    assert got == [(6300, 7)] and depth < 4000
+    got, depth = lists.best(np.array([1, 7]), np.array([[3.0, 2, 1, 1], [-1, 0, 0, 0]]), 1)
+    assert got[0] == [(6300, 7)] and depth[0] < 4000
+    assert got[1][0][0] == -x[:, 0].min()
     big = topk.Lists(np.array([1, 2, 3]), np.array([[2.0**40, 1], [2.0**40, 0], [1, 1]]))
-    assert big.best(3, np.array([2.0**20, 1.0]), 2)[0] == [(2**60 + 1, 1), (2**60, 2)]
+    assert big.best(np.array([3]), np.array([[2.0**20, 1.0]]), 2)[0][0] == [(2**60 + 1, 1), (2**60, 2)]
 
 
 PAGES = [

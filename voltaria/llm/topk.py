@@ -4,7 +4,7 @@ Vectors are dealt into blocks. A block keeps one list per dimension, sorted by v
 the end that adds most. Reading all lists to the same depth, every vector has a lower bound (what was seen, and for the
 rest the least that its lists hold) and an upper bound (what was seen, and for the rest the value at the depth read).
 When the k-th best lower bound is above every outsider's upper bound no outsider can qualify; reading stops, and the
-scores of the few candidates left are resolved. Bounds of later blocks of a task start from the k-th best score so far.
+scores of the few candidates left are resolved.
 Blocks of queries meet blocks of vectors; a block's k best per query go on to the last ranking.
 
 Edge cases: a vector that is null, empty or holds null or non-finite components takes no part, nor does one with a null
@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-SCALE, VECTORS, QUERIES = 1024, 8192, 512
+#: The scale of components; vectors and queries in a block; queries that a task bounds at once.
+SCALE, VECTORS, QUERIES, AT_ONCE = 1024, 8192, 512, 64
 
 
 def scaled(vectors: DataFrame) -> DataFrame:
@@ -43,41 +44,50 @@ class Lists:
         self.ids, self.x = ids[order], x[order]
         self.up = np.sort(self.x, axis=0)
         place = np.argsort(self.x, axis=0, kind="stable")
-        self.place = np.empty_like(place)
-        np.put_along_axis(self.place, place, np.arange(len(ids))[:, None], axis=0)  # how far up the list a vector is
+        self.place = np.empty(place.shape, np.int32)
+        np.put_along_axis(self.place, place, np.arange(len(ids), dtype=np.int32)[:, None], axis=0)  # how far up the list a vector is
 
-    def best(self, query: int, q: np.ndarray, k: int, floor: int | None = None) -> tuple[list[tuple[int, int]], int]:
-        """(score, id) of the k best, ties to the smaller id, none below ``floor``; and the depth read."""
+    def best(self, ids: np.ndarray, q: np.ndarray, k: int) -> tuple[list[list[tuple[int, int]]], list[int]]:
+        """For each query (a row of ``q`` with its id): (score, id) of the k best, ties to the smaller id; and the depth read.
+
+        All queries read to the same depth at once, so bounds are products of matrices: lists read from the top serve
+        the positive weights, lists read from the bottom the negative ones.
+        """
+        if np.abs(q).sum(axis=1).max() * max(-self.up.min(), self.up.max(), 1) >= 2**53:  # too large for exact floating sums
+            return [self._resolve(i, [int(v) for v in w], k) for i, w in zip(ids, q, strict=True)], [len(self.ids)] * len(ids)
         n = len(self.ids)
-        used = np.flatnonzero(q)
-        if np.abs(q).sum() * max(-self.up.min(), self.up.max(), 1) >= 2**53:  # too large for exact floating sums
-            return self._resolve(query, [int(v) for v in q], k), n
-        w = q[used].astype(np.float64)
-        down = w > 0
-        place, up, x = self.place[:, used], self.up[:, used], self.x[:, used]
-        reach = np.where(down, n - 1 - place, place)  # how deep a list is read before it shows the vector
-        least = np.where(down, up[0], up[-1]) * w
-        alive = np.flatnonzero(self.ids != query)
-        depth = max(1, n // 16)
-        while True:
-            seen = reach[alive] < depth
-            part = (x[alive] * seen) @ w
+        out: list[list[tuple[int, int]]] = [[] for _ in ids]
+        read = [n] * len(ids)
+        left, depth = np.arange(len(ids)), max(1, n // 8)
+        while len(left):
+            w = q[left].T
+            plus, minus = np.maximum(w, 0), np.minimum(w, 0)
+            top, bottom = (self.place >= n - depth).astype(np.float64), (self.place < depth).astype(np.float64)
+            seen = (top * self.x) @ plus + (bottom * self.x) @ minus
+
+            def rest(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+                """What dimensions not yet seen add if each adds ``high`` (positive weights) or ``low`` (negative ones)."""
+                a, b = high[:, None] * plus, low[:, None] * minus
+                return (a + b).sum(axis=0) - top @ a - bottom @ b  # noqa: B023
+
             if depth >= n:
-                low = high = part
+                low = high = seen
             else:
-                edge = np.where(down, up[n - 1 - depth], up[depth]) * w
-                low = part + least.sum() - seen @ least
-                high = part + edge.sum() - seen @ edge
-            bar = float("-inf") if floor is None else float(floor)
-            if len(alive) >= k:
-                bar = max(bar, float(np.partition(low, len(low) - k)[len(low) - k]))
-            alive = alive[high >= bar]
-            if depth >= n or len(alive) <= max(4 * k, n // 64):
-                break
-            depth = min(n, 2 * depth)
-        score = x[alive] @ w
-        top = np.lexsort((self.ids[alive], -score))[:k]
-        return [(int(score[t]), int(self.ids[alive[t]])) for t in top], depth
+                low = seen + rest(self.up[0], self.up[-1])
+                high = seen + rest(self.up[n - 1 - depth], self.up[depth])
+            own = self.ids[:, None] == ids[left]
+            low, high = np.where(own, -np.inf, low), np.where(own, -np.inf, high)
+            bar = np.partition(low, n - k, axis=0)[n - k] if n >= k else np.full(len(left), -np.inf)
+            may = (high >= bar) & ~own
+            done = (may.sum(axis=0) <= max(4 * k, n // 64)) | (depth >= n)
+            for j in np.flatnonzero(done):
+                at = np.flatnonzero(may[:, j])
+                score = self.x[at] @ q[left[j]]
+                first = np.lexsort((self.ids[at], -score))[:k]
+                out[left[j]] = [(int(score[t]), int(self.ids[at[t]])) for t in first]
+                read[left[j]] = min(depth, n)
+            left, depth = left[~done], min(n, 2 * depth)
+        return out, read
 
     def _resolve(self, query: int, q: list[int], k: int) -> list[tuple[int, int]]:
         scores = [(sum(int(a) * b for a, b in zip(x, q, strict=True)), int(i)) for i, x in zip(self.ids, self.x, strict=True) if i != query]
@@ -106,16 +116,18 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, per_block: int =
                 for r in row.as_py():
                     by_size.setdefault(len(r["x"]), []).append(r)
                 blocks = [Lists(np.array([r["vec_id"] for r in part], np.int64), np.array([r["x"] for r in part], np.float64)) for part in by_size.values()]
-                out: list[tuple] = []
-                for a in queried.as_py():
-                    best: list[tuple[int, int]] = []
+                asked = queried.as_py()
+                best: list[list[tuple[int, int]]] = [[] for _ in asked]
+                for at in range(0, len(asked), AT_ONCE):
+                    some = asked[at : at + AT_ONCE]
+                    ids = np.array([a["vec_id"] for a in some], np.int64)
                     for b in blocks:
-                        size = min(b.x.shape[1], len(a["x"]))
-                        full = np.zeros(b.x.shape[1])
-                        full[:size] = a["x"][:size]
-                        got, _ = b.best(a["vec_id"], full, k, best[k - 1][0] if len(best) >= k else None)
-                        best = sorted(best + got, key=lambda s: (-s[0], s[1]))[:k]
-                    out += [(a["vec_id"], i, s) for s, i in best]
+                        q = np.zeros((len(some), b.x.shape[1]))
+                        for row_of, a in zip(q, some, strict=True):
+                            row_of[: len(a["x"])] = a["x"][: len(row_of)]
+                        for j, found in enumerate(b.best(ids, q, k)[0]):
+                            best[at + j] = sorted(best[at + j] + found, key=lambda s: (-s[0], s[1]))[:k]
+                out = [(a["vec_id"], i, s) for a, found in zip(asked, best, strict=True) for s, i in found]
                 cols = list(zip(*out, strict=True)) or [[], [], []]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score"])
 
