@@ -272,3 +272,13 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), 3, 85)
+
+
+OP4_SQL = r"""
+    WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+    g AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 2], ' ') AS s FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM d WHERE len(ws) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+    l AS (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM g x JOIN g y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL) JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * shared >= 85 * (p.n + q.n - shared)),
+    r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+    SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c.component_id, c.component_id = d.doc_id AS kept
+    FROM d JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) c USING (doc_id) LEFT JOIN n USING (doc_id)"""

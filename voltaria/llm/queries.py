@@ -19,4 +19,12 @@ QUERIES = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": quality.op1_sql(), "op8_exact_top_k": topk.OP8_SQL, "op9_shard_lookup": sharding.op9_sql(), "op10_warc_captures": warc.OP10_SQL}
+    return {
+        "op1_quality_rules": quality.op1_sql(),
+        "op2_substring_dedup": substrings.OP2_SQL,
+        "op4_near_dedup": neardup.OP4_SQL,
+        "op7_suffix_dedup": suffixes.OP7_SQL,
+        "op8_exact_top_k": topk.OP8_SQL,
+        "op9_shard_lookup": sharding.op9_sql(),
+        "op10_warc_captures": warc.OP10_SQL,
+    }

@@ -40,3 +40,15 @@ def dedup_substrings(docs: DataFrame, window: int = 50, carry: tuple[str, ...] =
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = dedup_substrings(table(spark, sf_dir, "documents"))
     return got.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP2_SQL = r"""
+    WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+    g AS (SELECT doc_id, i, md5_number(array_to_string(ws[i:i + 49], ' ')) AS h FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM d WHERE len(ws) >= 50)),
+    f AS (SELECT h, min(doc_id) AS first FROM g GROUP BY h),
+    s AS (SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 50, true) AS fresh FROM g JOIN f USING (h) WHERE doc_id > first),
+    r AS (SELECT doc_id, min(i) AS a, max(i) + 49 AS b FROM (SELECT *, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM s) GROUP BY doc_id, run),
+    p AS (SELECT doc_id, list({'a': a, 'b': b} ORDER BY a) AS gone, sum(b - a + 1) AS n FROM r GROUP BY doc_id)
+    SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+           sha256(array_to_string(CASE WHEN gone IS NULL THEN ws ELSE list_concat(flatten(list_transform(gone, lambda x, k: ws[CASE WHEN k = 1 THEN 1 ELSE gone[k - 1].b + 1 END:x.a - 1])), ws[gone[-1].b + 1:]) END, ' ')) AS kept_sha256
+    FROM d LEFT JOIN p USING (doc_id)"""

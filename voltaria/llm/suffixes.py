@@ -59,3 +59,15 @@ def dedup_documents(docs: DataFrame, window: int = 100) -> DataFrame:
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = dedup_bytes(table(spark, sf_dir, "documents"))
     return got.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP7_SQL = r"""
+    WITH d AS (SELECT doc_id, hex(coalesce(text, '')) AS x FROM documents),
+    g AS (SELECT doc_id, i, md5_number(substr(x, 2 * i + 1, 200)) AS h FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 99)) AS i FROM d WHERE len(x) >= 200)),
+    s AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS k FROM g) WHERE k > 1),
+    t AS (SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 100, true) AS fresh FROM s),
+    r AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM (SELECT *, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM t) GROUP BY doc_id, run),
+    p AS (SELECT doc_id, list({'a': a, 'b': b} ORDER BY a) AS gone, sum(b - a) AS n FROM r GROUP BY doc_id)
+    SELECT d.doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(len(gone), 0)::BIGINT AS n_spans,
+           sha256(unhex(CASE WHEN gone IS NULL THEN x ELSE array_to_string(list_transform(gone, lambda y, k: substr(x, CASE WHEN k = 1 THEN 1 ELSE 2 * gone[k - 1].b + 1 END, 2 * (y.a - CASE WHEN k = 1 THEN 0 ELSE gone[k - 1].b END))), '') || substr(x, 2 * gone[-1].b + 1) END)) AS kept_sha256
+    FROM d LEFT JOIN p USING (doc_id)"""
