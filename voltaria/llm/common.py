@@ -7,7 +7,9 @@ with the same schema; repeated rows are treated row by row.
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +20,19 @@ BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 
 def bounded_batches(spark: SparkSession) -> None:
     """Bounds the batches that Python workers get, so that long texts don't pile up in one worker."""
+    importable(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it; on a cluster it is installed or added there."""
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    known = [x for x in env.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

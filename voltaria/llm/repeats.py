@@ -327,7 +327,7 @@ def answers(sent: DataFrame) -> DataFrame:
 
 # --- runs, their groups and spans ---------------------------------------------------------------------------------
 
-RUNS = "key long, part int, parts int, doc long, block long, row int, first int, end int, run binary"
+RUNS = "key long, part int, parts int, doc long, block long, row int, first int, end int, run binary, more binary"
 SPANS = "block long, row int, first int, end int, doc long, window binary"
 
 
@@ -346,7 +346,8 @@ class _Rows:
 
 
 def shared_runs(stored: DataFrame, told: DataFrame, unit: Unit, buckets: int) -> DataFrame:
-    """The runs of shared anchors; those that an earlier document of the block has too come as spans to remove (run is null)."""
+    """The runs of shared anchors, one row for all places of a document that hold the same (first and more); those that an
+    earlier document of the block has too come as spans to remove (run is null)."""
     w = unit.window
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -364,23 +365,25 @@ def shared_runs(stored: DataFrame, told: DataFrame, unit: Unit, buckets: int) ->
                     h, firsts, lasts = found[k]
                     p = parts[np.searchsorted(keys, own[k])]
                     some = np.flatnonzero(p)
-                    doc, text, start, end = ids[k], texts[k], -1, -1
+                    doc, text, split = ids[k], texts[k], {}
+                    mine: dict[tuple[int, bytes], tuple[int, list[int]]] = {}  # size and starts of each run of the document
                     for key, n, f, e in zip(h[some].view(np.int64).tolist(), p[some].tolist(), firsts[some].tolist(), (lasts[some] + w).tolist(), strict=True):
-                        piece = unit.cut(text, f, e)
-                        who = seen.get((key, piece))
-                        if who is None:
-                            seen[key, piece] = k
-                        elif unit.same_document or ids[who] < doc:
-                            if f > end:
-                                if end > 0:
-                                    out.rows.append((0, 0, 0, doc, b["block"], k, start, end, None))
-                                start = f
-                            end = e
+                        mine.setdefault((key, unit.cut(text, f, e)), (e - f, []))[1].append(f)
+                        split[key] = n
+                    gone: list[tuple[int, int]] = []
+                    for (key, piece), (long, at) in mine.items():
+                        who = seen.setdefault((key, piece), k)
+                        if who != k and (unit.same_document or ids[who] < doc):
+                            gone += [(f, f + long) for f in at]
                             continue
+                        if unit.same_document:
+                            gone += [(f, f + long) for f in at[1:]]
+                            at = at[:1]
+                        n = split[key]
                         part = xxhash.xxh3_64_intdigest(f"{doc} {b['block']} {k}".encode()) % n if n > 1 else 0
-                        out.rows.append((key, part, n if n > 1 else 0, doc, b["block"], k, f, e, piece))
-                    if end > 0:
-                        out.rows.append((0, 0, 0, doc, b["block"], k, start, end, None))
+                        more = np.array(at[1:], "<i4").tobytes() or None
+                        out.rows.append((key, part, n if n > 1 else 0, doc, b["block"], k, at[0], at[0] + long, piece, more))
+                    out.rows += [(0, 0, 0, doc, b["block"], k, f, e, None, None) for f, e in merged(gone)]
                 yield out.batch()
 
     both = stored.select("block", "ids", "sizes", "texts").join(told.groupBy("block").agg(F.collect_list(F.struct("bucket", "parts")).alias("told")), "block", "left")
@@ -391,8 +394,14 @@ def repeated_spans(runs: DataFrame, unit: Unit) -> DataFrame:
     """Spans to remove, by group; and the windows that are first in their part of a split group."""
     w = unit.window
 
+    def starts(r: tuple) -> list[int]:
+        return [r[6], *np.frombuffer(r[9] or b"", "<i4").tolist()]
+
     def settle(rows: list[tuple], out: list[tuple], memo: WordHashes) -> None:
         """rows: whole groups in order, of one part if split."""
+        def put(r: tuple, found: list[tuple[int, int]]) -> None:
+            out.extend((r[4], r[5], a, b, None, None) for a, b in merged([(f + a, f + b) for f in starts(r) for a, b in found]))
+
         lexicon: list[tuple] = []  # first occurrence of each distinct run of groups with several
         group, first = None, {}
 
@@ -408,8 +417,8 @@ def repeated_spans(runs: DataFrame, unit: Unit) -> DataFrame:
             f = first.setdefault(r[8], r)
             if f is not r:
                 if unit.same_document or f[3] < r[3]:
-                    out.append((r[4], r[5], r[6], r[7], None, None))
-                else:  # the same document again: it shares its fate with every other run
+                    put(r, [(0, r[7] - r[6])])
+                else:  # another row of that document: it shares its fate with every other run
                     first[r[8], r[4:7]] = r
         close()
         for at in _portions(lexicon):
@@ -421,10 +430,12 @@ def repeated_spans(runs: DataFrame, unit: Unit) -> DataFrame:
             cut = np.searchsorted(run, np.arange(len(at) + 1))
             for k, r in enumerate(at):
                 flags = gone[cut[k] : cut[k + 1]]
-                out.extend((r[4], r[5], r[6] + a, r[6] + b, None, None) for a, b in spans(flags, w))
+                put(r, spans(flags, w))
                 if r[2]:
                     text = unit.split(r[8])
-                    out.extend((r[4], r[5], r[6] + s, r[6] + s + w, r[3], xxhash.xxh3_128_digest(unit.cut(text, s, s + w))) for s in np.flatnonzero(~flags).tolist())
+                    for s in np.flatnonzero(~flags).tolist():
+                        whole = xxhash.xxh3_128_digest(unit.cut(text, s, s + w))
+                        out.extend((r[4], r[5], f + s, f + s + w, r[3], whole) for f in starts(r))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, out, rows, held = WordHashes(), _Rows(SPANS), [], 0

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import importable, table
 
 #: The scale of components; vectors and queries in a block; queries that a task bounds at once.
 SCALE, VECTORS, QUERIES, AT_ONCE = 1024, 8192, 512, 64
@@ -101,6 +101,7 @@ def _packed(rows: DataFrame, block: str) -> DataFrame:
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, per_block: int = VECTORS, per_queries: int = QUERIES) -> DataFrame:
     """(query_id, rank, vec_id, score). Both tables: (vec_id, embedding). Blocks are of bounded size whatever the ids are."""
+    importable(vectors.sparkSession)
     pool, asked = scaled(vectors), scaled(queries)
     n, m = pool.count(), asked.count()
     n_blocks, q_blocks = max(1, -(-n // per_block)), max(1, -(-m // per_queries))
