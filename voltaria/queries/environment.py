@@ -69,7 +69,7 @@ ELSE CASE month(o_orderdate) WHEN 7 THEN 25.0 WHEN 8 THEN 24.5 END END::DOUBLE A
 
 
 def _points(spark: SparkSession, d: str) -> DataFrame:
-    """Vectors' first two components as coordinates; every tenth is a station."""
+    """Vectors' first two components as coordinates; those of one label are stations."""
     v = t(spark, d, "embeddings")
     return v.select("vec_id", "label", F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y"))
 
@@ -78,7 +78,7 @@ _P = "p AS (SELECT vec_id, label, embedding[1]::DOUBLE AS x, embedding[2]::DOUBL
 
 
 def _stations(spark: SparkSession, d: str) -> DataFrame:
-    return _points(spark, d).filter("vec_id % 10 = 0").select(F.col("vec_id").alias("station"), F.col("x").alias("sx"), F.col("y").alias("sy"))
+    return _points(spark, d).filter("label = 0").select(F.col("vec_id").alias("station"), F.col("x").alias("sx"), F.col("y").alias("sy"))
 
 
 def q_box_nearest(spark: SparkSession, d: str) -> DataFrame:
@@ -89,7 +89,7 @@ def q_box_nearest(spark: SparkSession, d: str) -> DataFrame:
     return best.select("vec_id", "station", F.round("distance", 6).alias("distance"))
 
 
-SQL_box_nearest = f"""WITH {_P}, s AS (SELECT vec_id AS station, x AS sx, y AS sy FROM p WHERE vec_id % 10 = 0), j AS (SELECT p.vec_id, station, abs(x - sx) + abs(y - sy) AS dd FROM p JOIN s ON abs(x - sx) < 0.05 AND abs(y - sy) < 0.05)
+SQL_box_nearest = f"""WITH {_P}, s AS (SELECT vec_id AS station, x AS sx, y AS sy FROM p WHERE label = 0), j AS (SELECT p.vec_id, station, abs(x - sx) + abs(y - sy) AS dd FROM p JOIN s ON abs(x - sx) < 0.05 AND abs(y - sy) < 0.05)
 SELECT vec_id, station, round(dd, 6) AS distance FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dd, station) AS rn FROM j) WHERE rn = 1"""
 
 
@@ -101,7 +101,7 @@ def q_radius_nearest_left(spark: SparkSession, d: str) -> DataFrame:
     return best.select("vec_id", F.coalesce("station", F.lit(-1)).alias("station"), F.round("distance", 6).alias("distance"))
 
 
-SQL_radius_nearest_left = f"""WITH {_P}, s AS (SELECT vec_id AS station, x AS sx, y AS sy FROM p WHERE vec_id % 10 = 0), j AS (SELECT p.vec_id, station, sqrt((x - sx) ** 2 + (y - sy) ** 2) AS dd FROM p LEFT JOIN s ON sqrt((x - sx) ** 2 + (y - sy) ** 2) <= 0.035)
+SQL_radius_nearest_left = f"""WITH {_P}, s AS (SELECT vec_id AS station, x AS sx, y AS sy FROM p WHERE label = 0), j AS (SELECT p.vec_id, station, sqrt((x - sx) ** 2 + (y - sy) ** 2) AS dd FROM p LEFT JOIN s ON sqrt((x - sx) ** 2 + (y - sy) ** 2) <= 0.035)
 SELECT vec_id, coalesce(station, -1) AS station, round(dd, 6) AS distance FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dd NULLS LAST, station NULLS LAST) AS rn FROM j) WHERE rn = 1"""
 
 
@@ -185,11 +185,11 @@ SQL_json_fields = """SELECT event_id, CAST(props ->> '$.k' AS BIGINT) AS k, prop
 
 
 def q_array_explode(spark: SparkSession, d: str) -> DataFrame:
-    v = t(spark, d, "embeddings").filter("label < 3")
+    v = t(spark, d, "embeddings")
     return v.select("vec_id", F.posexplode("embedding").alias("dim", "x")).groupBy("dim").agg(r4(F.sum(F.col("x").cast("double"))).alias("total"), F.count("*").alias("n")).select(F.col("dim").cast("long").alias("dim"), "total", "n")
 
 
-SQL_array_explode = "SELECT dim, round(sum(x::DOUBLE), 4) AS total, count(*) AS n FROM (SELECT unnest(embedding) AS x, unnest(range(len(embedding))) AS dim FROM embeddings WHERE label < 3) GROUP BY 1"
+SQL_array_explode = "SELECT dim, round(sum(x::DOUBLE), 4) AS total, count(*) AS n FROM (SELECT unnest(embedding) AS x, unnest(range(len(embedding))) AS dim FROM embeddings) GROUP BY 1"
 
 
 def q_ilike_filter(spark: SparkSession, d: str) -> DataFrame:

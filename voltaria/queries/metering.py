@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import keys, time as T
 from ..operators import dedup, quality, reshape, timeseries
-from .base import E, M, members, r4, readings, t
+from .base import E, r4, readings, t
 
 
 def q_slot_rollup(spark: SparkSession, d: str) -> DataFrame:
@@ -38,11 +38,11 @@ SELECT (SELECT count(*) FROM x) AS hours, (SELECT count(*) FROM x FULL JOIN u US
 def q_missing_slots(spark: SparkSession, d: str) -> DataFrame:
     e = readings(spark, d).select("user_id", F.col("hr").alias("ts"))
     at = lambda s: F.lit(s).cast("timestamp_ntz")
-    m = timeseries.missing_slots(e, ["user_id"], "ts", at("2024-01-28 00:00:00"), at("2024-01-29 23:00:00"), "1 HOUR")
+    m = timeseries.missing_slots(e, ["user_id"], "ts", at("2024-01-01 00:00:00"), at("2024-01-30 23:00:00"), "1 HOUR")
     return m.select("user_id", "ts", F.hour("ts").cast("long").alias("hour"))
 
 
-SQL_missing_slots = f"""WITH {E}, g AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-28 00:00:00', TIMESTAMP '2024-01-29 23:00:00', INTERVAL 1 HOUR)) AS ts),
+SQL_missing_slots = f"""WITH {E}, g AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-30 23:00:00', INTERVAL 1 HOUR)) AS ts),
 s AS (SELECT user_id, ts FROM (SELECT DISTINCT user_id FROM e), g)
 SELECT user_id, ts, CAST(hour(ts) AS BIGINT) AS hour FROM s ANTI JOIN (SELECT DISTINCT user_id, hr AS ts FROM e) USING (user_id, ts)"""
 
@@ -179,9 +179,9 @@ SQL_tz_convert = "SELECT event_id, ts - INTERVAL 1 HOUR AS instant, ts + INTERVA
 
 
 def q_semi_scope(spark: SparkSession, d: str) -> DataFrame:
-    e, fleet = readings(spark, d), members(spark, d).filter("nation < 10")
+    e, fleet = readings(spark, d), t(spark, d, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("user_id"))
     scoped = e.join(fleet, "user_id", "left_semi")
     return scoped.groupBy("user_id").agg(r4(F.sum(F.greatest(F.col("value") - 25, F.lit(0.0)))).alias("clipped"), F.count("*").alias("n"))
 
 
-SQL_semi_scope = f"WITH {E}, {M} SELECT user_id, round(sum(greatest(value - 25, 0.0)), 4) AS clipped, count(*) AS n FROM e WHERE user_id IN (SELECT user_id FROM m WHERE nation < 10) GROUP BY 1"
+SQL_semi_scope = f"WITH {E} SELECT user_id, round(sum(greatest(value - 25, 0.0)), 4) AS clipped, count(*) AS n FROM e WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY 1"

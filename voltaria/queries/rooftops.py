@@ -122,8 +122,10 @@ SQL_parse_detection = """SELECT event_id, event_id % 3 <> 2 AS has_pv, CASE even
 
 
 def _batches(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    o = t(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.round("o_totalprice", 2).alias("o_totalprice"))
-    return o.filter("o_orderkey % 3 <> 0"), o.filter("o_orderkey % 2 = 0").select("o_orderkey", F.lit("X").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    """What was known by the end of 1996, and the batch of 1996 and after."""
+    o = t(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.round("o_totalprice", 2).alias("o_totalprice"), "o_orderdate")
+    old, new = o.filter("o_orderdate < DATE '1997-01-01'").drop("o_orderdate"), o.filter("o_orderdate >= DATE '1996-01-01'")
+    return old, new.select("o_orderkey", F.lit("X").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice"))
 
 
 def q_merge_partial(spark: SparkSession, d: str) -> DataFrame:
@@ -131,7 +133,7 @@ def q_merge_partial(spark: SparkSession, d: str) -> DataFrame:
     return merged(old, new, ["o_orderkey"], ["o_totalprice"])
 
 
-SQL_merge_partial = """WITH a AS (SELECT o_orderkey, o_orderstatus, round(o_totalprice, 2) AS p FROM orders WHERE o_orderkey % 3 <> 0), b AS (SELECT o_orderkey, 'X' AS o_orderstatus, round(o_totalprice, 2) + 1 AS p FROM orders WHERE o_orderkey % 2 = 0)
+SQL_merge_partial = """WITH a AS (SELECT o_orderkey, o_orderstatus, round(o_totalprice, 2) AS p FROM orders WHERE o_orderdate < DATE '1997-01-01'), b AS (SELECT o_orderkey, 'X' AS o_orderstatus, round(o_totalprice, 2) + 1 AS p FROM orders WHERE o_orderdate >= DATE '1996-01-01')
 SELECT o_orderkey, coalesce(a.o_orderstatus, b.o_orderstatus) AS o_orderstatus, coalesce(b.p, a.p) AS o_totalprice FROM a FULL JOIN b USING (o_orderkey)"""
 
 
@@ -140,7 +142,7 @@ def q_merge_full(spark: SparkSession, d: str) -> DataFrame:
     return merged(old, new, ["o_orderkey"])
 
 
-SQL_merge_full = """WITH a AS (SELECT o_orderkey, o_orderstatus, round(o_totalprice, 2) AS p FROM orders WHERE o_orderkey % 3 <> 0), b AS (SELECT o_orderkey, 'X' AS o_orderstatus, round(o_totalprice, 2) + 1 AS p FROM orders WHERE o_orderkey % 2 = 0)
+SQL_merge_full = """WITH a AS (SELECT o_orderkey, o_orderstatus, round(o_totalprice, 2) AS p FROM orders WHERE o_orderdate < DATE '1997-01-01'), b AS (SELECT o_orderkey, 'X' AS o_orderstatus, round(o_totalprice, 2) + 1 AS p FROM orders WHERE o_orderdate >= DATE '1996-01-01')
 SELECT o_orderkey, coalesce(b.o_orderstatus, a.o_orderstatus) AS o_orderstatus, coalesce(b.p, a.p) AS o_totalprice FROM a FULL JOIN b USING (o_orderkey)"""
 
 
@@ -162,8 +164,8 @@ def q_latest_estimate(spark: SparkSession, d: str) -> DataFrame:
     """The newest estimate of each building joined to its detection."""
     li = t(spark, d, "lineitem")
     newest = dedup.distinct_on(li, ["l_partkey"], F.col("l_shipdate").desc(), F.col("l_orderkey"), F.col("l_linenumber"))
-    p = t(spark, d, "part").filter("p_size > 10")
+    p = t(spark, d, "part")
     return newest.join(p, F.col("l_partkey") == F.col("p_partkey")).select("p_partkey", "l_orderkey", "p_brand")
 
 
-SQL_latest_estimate = """SELECT p_partkey, l_orderkey, p_brand FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_orderkey, l_linenumber) AS rn FROM lineitem) JOIN part ON l_partkey = p_partkey WHERE rn = 1 AND p_size > 10"""
+SQL_latest_estimate = """SELECT p_partkey, l_orderkey, p_brand FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_orderkey, l_linenumber) AS rn FROM lineitem) JOIN part ON l_partkey = p_partkey WHERE rn = 1"""
