@@ -19,6 +19,8 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     else:
         both = links.toDF("node", "other")
     least = both.groupBy("node").agg(F.min("other").alias("least")).withColumn("least", F.least("node", "least"))
+    if large:  # a hub has very many neighbours: with both sides read and shuffled as they are, its rows can be split
+        least = cut_lineage(least)
     seen = both.join(least, "node")
     if large:
         moved = seen.filter("other > node").select(F.col("other").alias("a"), F.col("least").alias("b"))

@@ -220,7 +220,7 @@ def _grouped(docs: DataFrame, size: int, percent: int, carry: tuple[str, ...] =
     filled = stored.filter("n > 0 AND doc_id IS NOT NULL").select("doc_id", "n", "high", "low", "keys", "agree", "packed")
     filled = filled.dropDuplicates(["doc_id", "high", "low"])
     same = filled.groupBy("high", "low").agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies"))
-    copies = filled.select(F.col("doc_id").alias("a"), "high", "low").join(same.filter("copies > 1"), ["high", "low"]).filter("a > doc")
+    copies = filled.select(F.col("doc_id").alias("a"), "high", "low").join(cut_lineage(same.filter("copies > 1")), ["high", "low"]).filter("a > doc")
     doubles = cut_lineage(copies.select("a", F.col("doc").alias("b"), "high", "low").distinct())
     # one key, the one that the rows are dealt by; that the sets are the same is left to a condition
     gone = doubles.select(F.col("a").alias("__a"), F.col("high").alias("__h"), F.col("low").alias("__l"))
@@ -231,7 +231,8 @@ def _grouped(docs: DataFrame, size: int, percent: int, carry: tuple[str, ...] =
     orders = chosen.select("doc", "n", "agree", F.posexplode("keys").alias("tree", "key"))
     orders = orders.select("doc", "n", "tree", "key", F.substr("agree", F.col("tree") * MAX_DEPTH + 1, F.lit(MAX_DEPTH)).alias("deep"))
     regions = orders.groupBy("key").agg(F.count("*").alias("members"), F.min("doc").alias("first")).filter("members > 1")
-    members = cut_lineage(orders.join(regions, "key"))
+    # what is joined to large groups is checkpointed first: a join of two plain shuffles is one whose hot keys are split
+    members = cut_lineage(orders.join(cut_lineage(regions), "key"))
     pairs = members.filter("doc > first").select(F.col("doc").alias("a"), F.col("first").alias("b"))
     chain = _neighbours(members).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     texts = filled.select("doc_id", "packed")
@@ -241,7 +242,7 @@ def _grouped(docs: DataFrame, size: int, percent: int, carry: tuple[str, ...] =
     data = chosen.select("doc", "n", "keys", "agree", "packed")
     label = _labelled(members.select("tree", "key", "doc", "n"), found)
     several = label.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.sum("n").alias("weight"))
-    several = several.filter("least < most").select("key", "weight")
+    several = cut_lineage(several.filter("least < most").select("key", "weight"))
     more = cut_lineage(_across(label.drop("n").join(several, "key").join(data, "doc"), size, percent, share).distinct())
     if not more.isEmpty():
         found = components(near.union(more))
