@@ -60,6 +60,7 @@ def test_parts_of_regions_change_nothing(spark, monkeypatch):
     rows = corpus(3)
     monkeypatch.setattr(neardup, "PART", 150)
     monkeypatch.setattr(neardup, "LARGE", 4)
+    monkeypatch.setattr(neardup, "HUB", 2)
     cloudpickle.register_pickle_by_value(neardup)
     try:
         docs = spark.createDataFrame(rows, "doc_id long, text string")

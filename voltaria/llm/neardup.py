@@ -39,8 +39,9 @@ from .components import components
 from .repeats import U, WordHashes, mixed
 
 TREES, MAX_DEPTH, MISS = 24, 8, 1e-5
-#: Members from which a region's order goes on to its deepest level; shingles of a region's part (a task holds two parts).
-LARGE, PART = 64, 1_000_000
+#: Members from which a region's order goes on to its deepest level; shingles of a region's part (a task holds two parts);
+#: pairs that share one copy of a document's text.
+LARGE, PART, HUB = 64, 1_000_000, 256
 
 _rng = np.random.default_rng(20240301)
 _ODD = (_rng.integers(1, 2**31, TREES * MAX_DEPTH, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -117,9 +118,17 @@ def sketches(docs: DataFrame, size: int, depth: int, carry: tuple[str, ...] = ()
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Of distinct pairs (a, b) those that link, by their full sets. texts: (doc_id, packed), one row per document."""
-    first = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("packed").alias("of_a")), "a")
-    both = first.join(texts.select(F.col("doc_id").alias("b"), F.col("packed").alias("of_b")), "b").select("a", "b", "of_a", "of_b")
+    """Of distinct pairs (a, b) those that link, by their full sets. texts: (doc_id, packed), one row per document.
+
+    Many pairs may share b, the first document of a large region. Such a document's text is copied to as many parts as
+    its pairs need, so pairs are dealt evenly; the work itself is dealt by a.
+    """
+    pairs = cut_lineage(pairs.distinct())
+    hubs = cut_lineage(pairs.groupBy("b").agg(F.ceil(F.count("*") / HUB).cast("int").alias("parts")))
+    part = F.pmod(F.xxhash64("a"), F.col("parts")).cast("int")
+    of_b = texts.join(hubs.withColumnRenamed("b", "doc_id"), "doc_id").select(F.col("doc_id").alias("b"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("packed").alias("of_b"))
+    first = pairs.join(hubs, "b").withColumn("part", part).join(of_b, ["b", "part"])
+    both = first.join(texts.select(F.col("doc_id").alias("a"), F.col("packed").alias("of_a")), "a").select("a", "b", "of_a", "of_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, unpack, last, of_last = WordHashes(), zstandard.ZstdDecompressor(), None, None
@@ -236,7 +245,7 @@ def _grouped(docs: DataFrame, size: int, percent: int, carry: tuple[str, ...] =
     pairs = members.filter("doc > first").select(F.col("doc").alias("a"), F.col("first").alias("b"))
     chain = _neighbours(members).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     texts = filled.select("doc_id", "packed")
-    near = cut_lineage(confirmed(pairs.union(chain).distinct(), texts, size, percent).union(doubles))
+    near = cut_lineage(confirmed(pairs.union(chain), texts, size, percent).union(doubles))
     found = components(near)
 
     data = chosen.select("doc", "n", "keys", "agree", "packed")
