@@ -33,7 +33,7 @@ INLINE, WIDE = 1000, 6
 _TITLES_F = "Mrs|Ms|Miss|Madame|Mme|Frau|Señora|Sra"
 _TITLES_M = "Mr|Sir|Monsieur|Herr|Señor|Sr"
 _TITLES_N = "Dr|Prof"
-#: Type -> pattern. A mention's type is the first that matches it whole.
+#: Type -> pattern. A mention's type is the first that matches it whole, else it is a secret known by its key.
 PATTERNS = {
     "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
     "secret": r"(?<![0-9A-Za-z])(?:(?:AKIA|ghp_|sk_live_|xox[bp]-)[0-9A-Za-z-]{12,}|[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z])",
@@ -43,7 +43,10 @@ PATTERNS = {
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "person": rf"(?<![\p{{L}}])(?:{_TITLES_F}|{_TITLES_M}|{_TITLES_N})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?(?![\p{{L}}])",
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: A value with a digit after a key name that tells a secret; alone, without its key, it may match no pattern.
+_KEYS = "password|passwd|passphrase|pwd|secret|token|api_?key|access_?key"
+KEYED = rf"(?<=[=:\"'\s])(?<=(?i:{_KEYS})[\"']?\s?[=:]\s?[\"']?)(?=[^\s\"'&;,<>]{{0,200}}[0-9])[^\s\"'&;,<>=:]{{6,200}}"
+ANY = "|".join(f"(?:{p})" for p in [KEYED, *PATTERNS.values()])
 #: What every mention has something of; texts without are left alone at little cost.
 HINT = rf"[0-9@]|(?:{_TITLES_F}|{_TITLES_M}|{_TITLES_N})\.? \p{{Lu}}"
 
@@ -59,7 +62,7 @@ _GRE = "αβγδεζηθικλμνξοπρστυφχψω"
 
 
 def kind_of(mention: Column) -> Column:
-    out = F.lit(None).cast("string")
+    out = F.lit("secret")
     for name, pattern in reversed(PATTERNS.items()):
         # the mention was found with its surroundings in view; alone it is matched from its start to its end
         out = F.when(mention.rlike(f"^(?:{pattern})$"), name).otherwise(out)
@@ -116,6 +119,13 @@ def _ip(text: Column, digest: Column, attempt: Column) -> Column:
     return F.array_join(F.transform(F.split(text, r"\."), octet), ".")
 
 
+def _secret(text: Column, digest: Column) -> Column:
+    """Hexadecimal stays so, and a vendor's prefix stays."""
+    start = F.regexp_extract(text, "^(AKIA|ghp_|sk_live_|xox[bp]-)", 1)
+    rest = F.substr(text, F.length(start) + 1, F.length(text))
+    return F.when(text.rlike("^[0-9a-fA-F]+$"), _like(text, digest, hexa=True)).otherwise(F.concat(start, _like(rest, digest)))
+
+
 def _email(text: Column, digest: Column, attempt: Column) -> Column:
     local, domain = F.substring_index(text, "@", 1), F.substring_index(text, "@", -1)
     last = F.concat(F.lit("."), F.substring_index(domain, ".", -1))
@@ -155,7 +165,7 @@ def _person(text: Column, digest: Column) -> Column:
 def surrogate(kind: Column, text: Column, attempt: Column, key: str = KEY) -> Column:
     """The surrogate of an entity: a function of key, type, text and attempt."""
     digest = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, text, attempt.cast("string")), 256)
-    out = F.when(kind == "email", _email(text, digest, attempt)).when(kind == "secret", F.when(text.rlike("^[0-9a-fA-F]+$"), _like(text, digest, hexa=True)).otherwise(_like(text, digest)))
+    out = F.when(kind == "email", _email(text, digest, attempt)).when(kind == "secret", _secret(text, digest))
     out = out.when(kind == "card", _card(text, digest)).when(kind == "ip", _ip(text, digest, attempt)).when(kind == "phone", _phone(text, digest))
     return out.when(kind == "person", _person(text, digest)).otherwise(_like(text, digest))
 
