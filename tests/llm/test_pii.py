@@ -83,3 +83,24 @@ def test_registered_query_leaves_nothing_behind(spark):
         assert planted.sub("", new) == planted.sub("", before[r.doc_id]) or old
         assert not set(planted.findall(before[r.doc_id])) & set(planted.findall(new)) - {x for x in old if x.startswith("+")}
     assert seen > 5
+
+
+def test_whole_names_and_their_shorter_and_untitled_mentions(spark):
+    rows = [
+        (1, "Mr McDonald, Dr O'Brien, Mrs Smith-Jones, Prof. Dr. van der Berg and Mr John McDonald's dog", "x"),
+        (2, "Lopez said that Dr. Maria A. Lopez met Ms Lopez; Maria Lopez and M. Lopez left. Lopez's car, Lopezville.", "x"),
+        (3, "Mr John Smith, Mr Smith, Dr. John Smith, Dr John Smith", "x"),
+        (4, "Dr John Smith", "x"),
+        (5, "Mr Smith came. John came, Smith-Wesson and smith did not.", "x"),
+    ]
+    got = {r.doc_id: r.text for r in run(spark, rows)}
+    w = r"(\p{L}+)".replace(r"\p{L}", "[A-Z][a-z]")
+    assert not re.search("Donald|Brien|Smith|Jones|Berg(?![a-z])", got[1])
+    m = re.fullmatch(rf"Mr {w}, Dr {w}, Mrs {w}, Prof\. Dr\. van der {w} and Mr {w} {w}'s dog", got[1])
+    assert m and m[1] == m[6]
+    m = re.fullmatch(rf"{w} said that Dr\. {w} ([A-Z])\. {w} met Ms {w}; {w} {w} and M\. {w} left\. {w}'s car, Lopezville\.", got[2])
+    assert m and len({m[1], m[4], m[5], m[7], m[8], m[9]}) == 1 and m[1] != "Lopez" and m[2] == m[6] in pii.NAMES["latin"][0]
+    m = re.fullmatch(rf"Mr {w} {w}, Mr {w}, Dr\. {w} {w}, Dr {w} {w}", got[3])
+    assert m and m[1] == m[4] == m[6] and m[2] == m[3] == m[5] == m[7] and m[1] in pii.NAMES["latin"][1]
+    assert got[4] == f"Dr {m[1]} {m[2]}"
+    assert re.fullmatch(r"Mr (?!Smith)\w+ came\. John came, Smith-Wesson and smith did not\.", got[5])

@@ -1,7 +1,10 @@
 """Personal data and secrets replaced by surrogates, with DataFrame functions alone.
 
 Detected: e-mail addresses, phone numbers, payment card numbers, IPv4 addresses, secret tokens (long hexadecimal or
-mixed strings, also after a key name and an equals sign) and persons named after a title. A surrogate is derived from a keyed hash of the entity, so one entity has one surrogate
+mixed strings, also after a key name and an equals sign) and persons named after a title. A person is known by the name
+without title; a shorter name is that of the fullest name in the document that holds all its words, if no title speaks
+against it, and names found by a title, whole or their first or last word, are also found without one in that document.
+A surrogate is derived from a keyed hash of the entity, so one entity has one surrogate
 in all documents, without a table of them. It keeps the type and the format: digits stay digits and letters stay
 letters of their case and script (Latin, Greek, Cyrillic), separators and lengths stay, the last label of a mail domain
 and a phone's country code stay, octets stay octets of as many digits, card numbers keep a valid check digit if they
@@ -33,6 +36,11 @@ INLINE, WIDE = 1000, 6
 _TITLES_F = "Mrs|Ms|Miss|Madame|Mme|Frau|Señora|Sra"
 _TITLES_M = "Mr|Sir|Monsieur|Herr|Señor|Sr"
 _TITLES_N = "Dr|Prof"
+#: One or more titles, and a name: words with inner capitals, apostrophes and hyphens, initials, particles before a word.
+_TITLE = rf"(?<![\p{{L}}])(?:(?:{_TITLES_F}|{_TITLES_M}|{_TITLES_N})(?:\.\s{{0,2}}|\s{{1,2}}))++"
+_PARTICLE = r"(?:[Vv]an|[Vv]on|[Dd]er|[Dd]en|[Dd]e|[Dd]el|[Dd]ella|[Dd]i|[Dd]a|[Dd]as|[Dd]os|[Dd]u|[Ll]a|[Ll]e|[Ee]l|[Aa]l|[Bb]in|[Ii]bn|[Bb]en|[Zz]u|[Zz]ur|[Tt]er|[Tt]en|af|av|y)"
+_WORD = r"(?:\p{Lu}\.|(?:[dl]['’])?\p{Lu}[\p{L}\p{M}]*+(?:-\p{L}[\p{L}\p{M}]*+|['’](?:\p{Lu}|\p{L}{3})[\p{L}\p{M}]*+)*)"
+_NAME = rf"(?:{_PARTICLE}[ \u00a0]){{0,3}}{_WORD}(?:[ \u00a0](?:{_PARTICLE}[ \u00a0]){{0,3}}{_WORD}){{0,5}}"
 #: Type -> pattern. A mention's type is the first that matches it whole, else it is a secret known by its key.
 PATTERNS = {
     "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
@@ -41,14 +49,15 @@ PATTERNS = {
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![0-9]|\.[0-9])",
     "phone": r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])|(?<![0-9(])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "person": rf"(?<![\p{{L}}])(?:{_TITLES_F}|{_TITLES_M}|{_TITLES_N})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?(?![\p{{L}}])",
+    "person": rf"{_TITLE}{_NAME}(?![\p{{L}}])",
 }
 #: A value with a digit after a key name that tells a secret; alone, without its key, it may match no pattern.
 _KEYS = "password|passwd|passphrase|pwd|secret|token|api_?key|access_?key"
 KEYED = rf"(?<=[=:\"'\s])(?<=(?i:{_KEYS})[\"']?\s?[=:]\s?[\"']?)(?=[^\s\"'&;,<>]{{0,200}}[0-9])[^\s\"'&;,<>=:]{{6,200}}"
 ANY = "|".join(f"(?:{p})" for p in [KEYED, *PATTERNS.values()])
 #: What every mention has something of; texts without are left alone at little cost.
-HINT = rf"[0-9@]|(?:{_TITLES_F}|{_TITLES_M}|{_TITLES_N})\.? \p{{Lu}}"
+TITLED = rf"(?:{_TITLES_F}|{_TITLES_M}|{_TITLES_N})[.\s]"
+HINT = rf"[0-9@]|{TITLED}"
 
 #: Given names by gender and family names, by script (fixed values).
 NAMES = {
@@ -61,8 +70,14 @@ _CYR = "абвгдежзиклмнопрстуфхцчшэюя"
 _GRE = "αβγδεζηθικλμνξοπρστυφχψω"
 
 
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def kind_of(mention: Column) -> Column:
-    out = F.lit("secret")
+    # a mention of no pattern is a value known by its key, which has a digit, or a name without its title
+    out = F.when(mention.rlike("[0-9]"), "secret").otherwise("person")
     for name, pattern in reversed(PATTERNS.items()):
         # the mention was found with its surroundings in view; alone it is matched from its start to its end
         out = F.when(mention.rlike(f"^(?:{pattern})$"), name).otherwise(out)
@@ -142,53 +157,149 @@ def _choose(names: list[str], k: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, names)), k + 1)
 
 
-def _person(text: Column, digest: Column) -> Column:
-    title = F.regexp_extract(text, r"^(\S+ )", 1)
-    several = F.size(F.split(text, " ")) > 2
+def _words(name: Column) -> Column:
+    return F.split(name, "[ \u00a0]")
+
+
+def _person(name: Column, digest: Column, gender: Column) -> Column:
+    """Word by word, so that a part of a name has the same part of its surrogate; particles stay, initials stay initials."""
 
     def named(script: str) -> Column:
         women, men, family = NAMES[script]
         n = min(len(women), len(men))
-        she, he = _choose(women[:n], _draw(digest, F.lit(0), n)), _choose(men[:n], _draw(digest, F.lit(0), n))
-        either = _choose(women[:n] + men[:n], _draw(digest, F.lit(0), 2 * n))
-        given = F.when(text.rlike(f"^(?:{_TITLES_F})\\b"), she).when(text.rlike(f"^(?:{_TITLES_M})\\b"), he).otherwise(either)
         # a family name is completed by drawn syllables, so that there are as many names as entities need
         letters = {"latin": ("bdfglmnrst", "aeiou"), "cyrillic": ("бвдзклмнрс", "аеиоу"), "greek": ("βγδκλμνρστ", "αειου")}[script]
         rest = F.concat(*(_pick(letters[k % 2], _draw(digest, F.lit(3 + k), len(letters[k % 2]))) for k in range(6)))
         last = F.concat(_choose(family, _draw(digest, F.lit(2), len(family))), rest)
-        return F.when(several, F.concat(given, F.lit(" "), last)).otherwise(last)
+        count = F.size(_words(name))
+
+        def one(w: Column, i: Column) -> Column:
+            k = _draw(digest, i * 13, n)
+            given = F.when(gender == "f", _choose(women[:n], k)).when(gender == "m", _choose(men[:n], k)).otherwise(_choose(women[:n] + men[:n], _draw(digest, i * 13, 2 * n)))
+            initial = F.concat(_case({"latin": _LOWER, "cyrillic": _CYR, "greek": _GRE}[script], w, _draw(digest, i * 17 + 1, 20)), F.lit("."))
+            return F.when(w.rlike(f"^{_PARTICLE}$") & (i < count - 1), w).when(w.rlike(r"^\p{Lu}\.$"), initial).when(i == count - 1, last).otherwise(given)
+
+        return F.array_join(F.transform(_words(name), one), " ")
+
+    return F.when(name.rlike(r"\p{IsCyrillic}"), named("cyrillic")).when(name.rlike(r"\p{IsGreek}"), named("greek")).otherwise(named("latin"))
+
+
+def surrogate(kind: Column, text: Column, attempt: Column, key: str = KEY, gender: Column | None = None) -> Column:
+    """The surrogate of an entity: a function of key, type, text and attempt, and of a person's gender for given names."""
+    def by(digest: Column) -> Column:
+        out = F.when(kind == "email", _email(text, digest, attempt)).when(kind == "secret", _secret(text, digest))
+        out = out.when(kind == "card", _card(text, digest)).when(kind == "ip", _ip(text, digest, attempt)).when(kind == "phone", _phone(text, digest))
+        return out.when(kind == "person", _person(text, digest, F.lit("") if gender is None else gender)).otherwise(_like(text, digest))
+
+    return _let(F.sha2(F.concat_ws("\x1f", F.lit(key), kind, text, attempt.cast("string")), 256), by)
+
+
+def _gender(titles: Column) -> Column:
+    return F.when(titles.rlike(rf"(?<!\p{{L}})(?:{_TITLES_F})(?!\p{{L}})"), "f").when(titles.rlike(rf"(?<!\p{{L}})(?:{_TITLES_M})(?!\p{{L}})"), "m").otherwise("")
+
+
+def persons(text: Column) -> Column:
+    """The names after titles in a text, once per name and gender of the title, as (name, gender); null without any."""
+    found = F.regexp_extract_all(text, F.lit(PATTERNS["person"]), 0)
+    pair = lambda m: F.struct(F.regexp_replace(m, f"^{_TITLE}", "").alias("name"), _gender(F.regexp_extract(m, f"^{_TITLE}", 0)).alias("gender"))
+    return F.when(text.rlike(TITLED), _let(F.array_distinct(F.transform(found, pair)), lambda names: F.when(F.size(names) > 0, names)))
+
+
+def _in_words(word: Column, words: Column) -> Column:
+    """The place (from 1) of a word in others: the same word, or for an initial the first that begins so; 0 if none."""
+    begins = F.array_position(F.transform(words, lambda w: F.substr(w, F.lit(1), F.lit(1))), F.substr(word, F.lit(1), F.lit(1)))
+    same = F.array_position(words, word)
+    return F.when((same == 0) & word.rlike(r"^\p{Lu}\.$"), begins).otherwise(same).cast("int")
+
 
-    name = F.when(text.rlike(r"\p{IsCyrillic}"), named("cyrillic")).when(text.rlike(r"\p{IsGreek}"), named("greek")).otherwise(named("latin"))
-    return F.concat(title, name)
+def _places(words: Column, of: Column) -> Column:
+    return F.transform(words, lambda w: _in_words(w, of))
 
 
-def surrogate(kind: Column, text: Column, attempt: Column, key: str = KEY) -> Column:
-    """The surrogate of an entity: a function of key, type, text and attempt."""
-    digest = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, text, attempt.cast("string")), 256)
-    out = F.when(kind == "email", _email(text, digest, attempt)).when(kind == "secret", _secret(text, digest))
-    out = out.when(kind == "card", _card(text, digest)).when(kind == "ip", _ip(text, digest, attempt)).when(kind == "phone", _phone(text, digest))
-    return out.when(kind == "person", _person(text, digest)).otherwise(_like(text, digest))
+def _holds(of: Column, words: Column) -> Column:
+    return F.forall(words, lambda w: _in_words(w, of) > 0)
 
 
-def mentions(text: Column) -> Column:
-    """The entities of a text in order, as (kind, text)."""
-    found = F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANY), 0)).otherwise(F.array().cast("array<string>"))
-    return F.transform(found, lambda m: F.struct(kind_of(m).alias("kind"), m.alias("text")))
+def _fullest(p: Column, people: Column) -> Column:
+    """The longest name of the document that holds all words of a name and no other gender; the name itself if none does."""
+    agree = lambda q: (q["gender"] == "") | (p["gender"] == "") | (q["gender"] == p["gender"])
+    more = F.filter(people, lambda q: (F.size(q["words"]) > F.size(p["words"])) & agree(q) & _holds(q["words"], p["words"]))
+    ranked = F.transform(more, lambda q: F.struct((-F.size(q["words"])).alias("n"), q["place"].alias("place"), q["name"].alias("name")))
+    return F.coalesce(F.array_min(ranked)["name"], p["name"])
+
+
+def linked(names: Column) -> Column:
+    """The persons of a document: (name, gender, full: the fullest form of the name, words: its words, place, known: the gender of any of its forms)."""
+    split = F.transform(names, lambda p, i: F.struct(p["name"].alias("name"), p["gender"].alias("gender"), _words(p["name"]).alias("words"), i.alias("place")))
+    each = lambda people: F.transform(people, lambda p: F.struct(p["name"].alias("name"), p["gender"].alias("gender"), p["place"].alias("place"), _fullest(p, people).alias("full")))
+    known = lambda p, people: F.array_max(F.transform(F.filter(people, lambda q: q["full"] == p["full"]), lambda q: q["gender"]))
+    told = lambda people: F.transform(people, lambda p: F.struct(p["name"].alias("name"), p["gender"].alias("gender"), p["full"].alias("full"), _words(p["full"]).alias("words"), p["place"].alias("place"), known(p, people).alias("known")))
+    return _let(_let(split, each), told)
+
+
+def any_of(names: Column) -> Column:
+    """The pattern of all entities of a document: ``ANY``, and its persons' names and their first and last words without a title."""
+    ends = lambda p: F.array(p["name"], F.element_at(_words(p["name"]), 1), F.element_at(_words(p["name"]), -1))
+    forms = F.filter(F.array_distinct(F.flatten(F.transform(names, ends))), lambda w: (F.length(w) > 1) & ~w.rlike(rf"^(?:\p{{Lu}}\.|{_PARTICLE})$"))
+    # the longest first
+    order = F.transform(F.array_sort(F.transform(forms, lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w")))), lambda x: F.concat(F.lit(r"\Q"), x["w"], F.lit(r"\E")))
+    before, after = r"|(?<![\p{L}\p{M}\p{N}_])(?<!\p{L}['’-])(?:", r")(?![\p{L}\p{M}\p{N}_]|-\p{L}|['’]\p{Lu})"
+    return _let(order, lambda o: F.when(F.size(o) > 0, F.concat(F.lit(ANY + before), F.array_join(o, "|"), F.lit(after))).otherwise(F.lit(ANY)))
+
+
+def mentions(text: Column, people: Column, pattern: Column) -> Column:
+    """The entities of a text in order, as (kind, text, gender, lead, at): a person's text is the fullest name, ``lead`` the titles, ``at`` the words meant."""
+    found = F.when(text.rlike(HINT), F.regexp_extract_all(text, pattern, 0)).otherwise(F.array().cast("array<string>"))
+
+    def mention(kind: Column, text: Column, gender: Column, lead: Column, at: Column) -> Column:
+        return F.struct(kind.alias("kind"), text.alias("text"), gender.alias("gender"), lead.alias("lead"), at.cast("array<int>").alias("at"))
+
+    def person(m: Column) -> Column:
+        lead = F.regexp_extract(m, f"^{_TITLE}", 0)
+        parts = F.struct(lead.alias("lead"), F.regexp_replace(m, f"^{_TITLE}", "").alias("name"), _gender(lead).alias("gender"))
+        return _let(_let(parts, lambda x: F.struct(x["lead"].alias("lead"), x["name"].alias("name"), _words(x["name"]).alias("words"), who(x).alias("who"))), meant)
+
+    def who(x: Column) -> Column:
+        titled = F.filter(people, lambda p: (x["lead"] != "") & (p["name"] == x["name"]) & (p["gender"] == x["gender"]))
+        # without a title: the person with the fullest name that has all the words
+        bare = F.filter(people, lambda p: _holds(p["words"], _words(x["name"])))
+        best = F.array_min(F.transform(bare, lambda p: F.struct((-F.size(p["words"])).alias("n"), p["place"].alias("place"), p.alias("p"))))["p"]
+        return F.coalesce(F.get(titled, F.lit(0)), best)
+
+    def meant(x: Column) -> Column:
+        at = F.when(x["who"]["full"] != x["name"], _places(x["words"], x["who"]["words"]))
+        return mention(F.lit("person"), F.coalesce(x["who"]["full"], x["name"]), F.coalesce(x["who"]["known"], F.lit("")), x["lead"], at)
+
+    def one(x: Column) -> Column:
+        return F.when(x["kind"] == "person", person(x["m"])).otherwise(mention(x["kind"], x["m"], F.lit(""), F.lit(""), F.lit(None)))
+
+    return F.transform(F.transform(found, lambda m: F.struct(kind_of(m).alias("kind"), m.alias("m"))), one)
+
+
+def _found(docs: DataFrame) -> DataFrame:
+    """The documents with their pattern (``__any``) and mentions (``__m``)."""
+    text = F.col("text")
+    people = docs.withColumn("__names", persons(text)).withColumn("__any", F.when(F.col("__names").isNotNull(), any_of(F.col("__names"))).otherwise(F.lit(ANY)))
+    return people.withColumn("__who", linked(F.col("__names"))).withColumn("__m", mentions(text, F.col("__who"), F.col("__any")))
 
 
 def resolved(entities: DataFrame, key: str = KEY, rounds: int = 50) -> DataFrame:
-    """Entities (kind, text, distinct) that need a further attempt, with their surrogates, so that all of a kind differ and none occurs."""
-    made = lambda df: df.withColumn("surrogate", surrogate(F.col("kind"), F.col("text"), F.col("attempt"), key))
+    """Entities (kind, text, distinct; gender, mixed) that need a further attempt, with their surrogates, so that all of a kind differ and none occurs.
+
+    ``mixed`` ones, whose gender is not known in every document, are given too.
+    """
+    rule = surrogate(F.col("kind"), F.col("text"), F.col("attempt"), key, F.col("gender"))
+    made = lambda df: df.withColumn("surrogate", rule)
     now = cut_lineage(made(entities.withColumn("attempt", F.lit(0))))
     real = now.select("kind", F.col("text").alias("surrogate"), F.lit(True).alias("real"))
     again: DataFrame | None = None
     for _ in range(rounds):
         w = Window.partitionBy("kind", "surrogate").orderBy("attempt", "text")
         judged = now.withColumn("place", F.row_number().over(w)).join(real, ["kind", "surrogate"], "left")
-        bad = judged.filter("place > 1 OR real").select("kind", "text", "attempt")
+        bad = judged.filter("place > 1 OR real").select("kind", "text", "gender", "mixed", "attempt")
         again = cut_lineage(bad)
         if again.isEmpty():
-            return now.filter("attempt > 0").select("kind", "text", "surrogate")
+            return now.filter("attempt > 0 OR mixed").select("kind", "text", "surrogate")
         moved = made(again.withColumn("attempt", F.col("attempt") + 1))
         now = cut_lineage(now.join(again, ["kind", "text"], "left_anti").unionByName(moved.select(now.columns)))
     raise RuntimeError("surrogates still collide: the format of a type has too few values for its entities")
@@ -197,13 +308,17 @@ def resolved(entities: DataFrame, key: str = KEY, rounds: int = 50) -> DataFrame
 def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     """The documents with every entity replaced, their columns as they came (n_chars anew), and ``n_entities``."""
     text = F.col("text")
-    found = docs.select(F.explode(mentions(text)).alias("m")).select("m.kind", "m.text").distinct()
+    with_m = _found(docs)
+    found = with_m.select(F.explode("__m").alias("m")).groupBy("m.kind", "m.text").agg(F.max("m.gender").alias("gender"), (F.min("m.gender") < F.max("m.gender")).alias("mixed"))
     moved = resolved(found, key)
 
-    first = lambda m: surrogate(m["kind"], m["text"], F.lit(0), key)
+    first = lambda m: surrogate(m["kind"], m["text"], F.lit(0), key, m["gender"])
+    # a shorter mention has the words of the surrogate that stand where its words stand in the full name
+    part = lambda m, words: F.array_join(F.transform(m["at"], lambda k: F.try_element_at(words, k)), " ")
+    meant = lambda m, made: _let(made, lambda s: F.concat(m["lead"], F.when(m["at"].isNull(), s).otherwise(part(m, _words(s)))))
     named = lambda kind, text: F.concat_ws("\x1f", kind, text)
     some = F.size("__m") > 0
-    with_m = docs.withColumn("__m", mentions(text)).withColumn("__parts", F.when(some, F.split(text, ANY, -1)))
+    with_m = with_m.withColumn("__parts", F.when(some, F.split(text, F.col("__any"), -1)))
     inline = moved.limit(INLINE + 1).collect()
     if not inline:
         other = None
@@ -217,9 +332,9 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
         with_m = with_m.withColumn("__row", row).join(maps, "__row", "left")
         other = F.col("__other")
     if other is None:
-        made = F.transform("__m", first)
+        made = F.transform("__m", lambda m: meant(m, first(m)))
     else:
-        made = F.transform("__m", lambda m: F.coalesce(F.try_element_at(other, named(m["kind"], m["text"])), first(m)))
+        made = F.transform("__m", lambda m: meant(m, F.coalesce(F.try_element_at(other, named(m["kind"], m["text"])), first(m))))
     woven = F.concat(F.array_join(F.zip_with(F.slice("__parts", 1, F.size("__m")), made, lambda p, s: F.concat(p, s)), ""), F.element_at("__parts", -1))
     with_m = with_m.withColumn("__new", F.when(some, woven).otherwise(text))
     out = {"text": F.col("__new"), "n_chars": F.length("__new").cast("long")}
