@@ -104,3 +104,12 @@ def test_whole_names_and_their_shorter_and_untitled_mentions(spark):
     assert m and m[1] == m[4] == m[6] and m[2] == m[3] == m[5] == m[7] and m[1] in pii.NAMES["latin"][1]
     assert got[4] == f"Dr {m[1]} {m[2]}"
     assert re.fullmatch(r"Mr (?!Smith)\w+ came\. John came, Smith-Wesson and smith did not\.", got[5])
+
+
+def test_long_values_after_a_key_are_replaced_to_their_end(spark):
+    value = "eyJhbGciOi-" + "Zx9_" * 1000 + ".Qw=7:end5"
+    rows = [(1, f"token={value} and password: {'abcdefgh' * 40}1 stay", "x")]
+    got = run(spark, rows)[0]
+    m = re.fullmatch(r"token=(\S+) and password: (\S+) stay", got.text)
+    assert m and got.n_entities == 2 and len(m[1]) == len(value) and len(m[2]) == 321
+    assert "Zx9_" not in m[1] and not m[1].endswith(".Qw=7:end5") and "abcdefgh" not in m[2]

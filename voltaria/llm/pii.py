@@ -53,7 +53,7 @@ PATTERNS = {
 }
 #: A value with a digit after a key name that tells a secret; alone, without its key, it may match no pattern.
 _KEYS = "password|passwd|passphrase|pwd|secret|token|api_?key|access_?key"
-KEYED = rf"(?<=[=:\"'\s])(?<=(?i:{_KEYS})[\"']?\s?[=:]\s?[\"']?)(?=[^\s\"'&;,<>]{{0,200}}[0-9])[^\s\"'&;,<>=:]{{6,200}}"
+KEYED = rf"(?<=[=:\"'\s])(?<=(?i:{_KEYS})[\"']?\s?[=:]\s?[\"']?)(?=[^\s\"'&;,<>0-9]*+[0-9])[^\s\"'&;,<>=:][^\s\"'&;,<>]{{5,}}+"
 ANY = "|".join(f"(?:{p})" for p in [KEYED, *PATTERNS.values()])
 #: What every mention has something of; texts without are left alone at little cost.
 TITLED = rf"(?:{_TITLES_F}|{_TITLES_M}|{_TITLES_N})[.\s]"
