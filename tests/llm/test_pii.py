@@ -113,3 +113,20 @@ def test_long_values_after_a_key_are_replaced_to_their_end(spark):
     m = re.fullmatch(r"token=(\S+) and password: (\S+) stay", got.text)
     assert m and got.n_entities == 2 and len(m[1]) == len(value) and len(m[2]) == 321
     assert "Zx9_" not in m[1] and not m[1].endswith(".Qw=7:end5") and "abcdefgh" not in m[2]
+
+
+def test_further_cards_phones_ipv6_and_ibans(spark):
+    found = ["378282246310005", "3782 822463 10005", "30569309025904", "4222222222222", "6304000000000000018"[:-1] + "0", "555.010.1234", "555 010 1234", "020 7946 0958", "0171/1234567", "01 23 45 67 89", "07911123456", "(020) 7946 0958", "2001:db8::8a2e:370:7334", "fe80::1ff", "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "DE89 3704 0044 0532 0130 00", "GB29NWBK60161331926819"]
+    found[4] = next(x for x in (f"630400000000000001{d}" for d in range(10)) if luhn(x.zfill(20)) == 0)
+    clean = ["378282246310006", "4222222222223", "12:30:45", "a::b", "std::vector", "x[1::2]", "01.02.2024 12:30", "3.14159265358979", "1,000,000", "DE12 3456", "2024-01-31", "1700000000000"]
+    rows = [(k, f"see {x} here", "x") for k, x in enumerate(found + clean)]
+    got = {r.doc_id: r for r in run(spark, rows)}
+    shape = lambda t: re.sub("[0-9]", "0", t)
+    for k, x in enumerate(found):
+        assert got[k].n_entities == 1 and x not in got[k].text and len(got[k].text) == len(x) + 9, (x, got[k].text)
+        assert ":" in x or re.search("[A-Z]", x) or shape(got[k].text) == shape(f"see {x} here"), (x, got[k].text)
+    assert all(luhn(re.sub("[^0-9]", "", got[k].text).zfill(20)) == 0 for k in range(5))
+    iban = got[15].text[4:-5].replace(" ", "")
+    assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1 and iban.startswith("DE")
+    for k, x in enumerate(clean, len(found)):
+        assert got[k].n_entities == 0 and got[k].text == f"see {x} here", (x, got[k].text)

@@ -1,6 +1,7 @@
 """Personal data and secrets replaced by surrogates, with DataFrame functions alone.
 
-Detected: e-mail addresses, phone numbers, payment card numbers, IPv4 addresses, secret tokens (long hexadecimal or
+Detected: e-mail addresses, phone numbers, payment card numbers, IPv4 and IPv6 addresses, bank account
+numbers (IBAN), secret tokens (long hexadecimal or
 mixed strings, also after a key name and an equals sign) and persons named after a title. A person is known by the name
 without title; a shorter name is that of the fullest name in the document that holds all its words, if no title speaks
 against it, and names found by a title, whole or their first or last word, are also found without one in that document.
@@ -41,23 +42,42 @@ _TITLE = rf"(?<![\p{{L}}])(?:(?:{_TITLES_F}|{_TITLES_M}|{_TITLES_N})(?:\.\s{{0,2
 _PARTICLE = r"(?:[Vv]an|[Vv]on|[Dd]er|[Dd]en|[Dd]e|[Dd]el|[Dd]ella|[Dd]i|[Dd]a|[Dd]as|[Dd]os|[Dd]u|[Ll]a|[Ll]e|[Ee]l|[Aa]l|[Bb]in|[Ii]bn|[Bb]en|[Zz]u|[Zz]ur|[Tt]er|[Tt]en|af|av|y)"
 _WORD = r"(?:\p{Lu}\.|(?:[dl]['’])?\p{Lu}[\p{L}\p{M}]*+(?:-\p{L}[\p{L}\p{M}]*+|['’](?:\p{Lu}|\p{L}{3})[\p{L}\p{M}]*+)*)"
 _NAME = rf"(?:{_PARTICLE}[ \u00a0]){{0,3}}{_WORD}(?:[ \u00a0](?:{_PARTICLE}[ \u00a0]){{0,3}}{_WORD}){{0,5}}"
+#: Length of a bank account number (IBAN) -> its countries (fixed values).
+_IBAN = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV", 22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG",
+    25: "LY|PT|ST", 26: "IS|TR", 27: "BI|DJ|FR|GR|IT|MC|MR|SM", 28: "AL|AZ|BY|CY|DO|GT|HU|LB|NI|PL|SV", 29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE", 31: "MT|SC", 32: "LC", 33: "RU",
+}
+_H = "[0-9A-Fa-f]"
+#: Card numbers by their check digit alone: 13 to 15 and 17 to 19 digits together, or in the groups of 13, 14, 15 and 19 digits.
+_CARD = r"(?<![0-9A-Za-z])(?<![0-9][.,])(?:[2-6][0-9]{12,13}|[1-6][0-9]{14}|[2-6][0-9]{16,18}|[2-6][0-9]{3}[ -](?:[0-9]{6}[ -][0-9]{4,5}|[0-9]{4}[ -][0-9]{5}|[0-9]{3}[ -][0-9]{3}[ -][0-9]{3})|[2-6][0-9]{5}[ -][0-9]{13})(?![0-9A-Za-z]|[.,][0-9])"
+#: National phone numbers: North American ones, then those with the trunk prefix 0 (or 00 before a country code).
+_PHONE = "|".join(
+    [
+        r"(?<![0-9A-Za-z.,+-])(?:1[ .-])?[2-9][0-9]{2}(?:\.[0-9]{3}\.| [0-9]{3} |-[0-9]{3}-)[0-9]{4}(?![0-9A-Za-z]|[.,-][0-9])",
+        r"(?<![0-9A-Za-z.,+-])(?:00[1-9][0-9]{0,2}(?:[ .-]?[0-9]{2,4}){2,4}|0[1-9](?:(?: [0-9]{2}){4}|(?:\.[0-9]{2}){4}|(?:-[0-9]{2}){4})|0[1-9][0-9]{0,3}[ .-][0-9]{3,4}[ .-][0-9]{3,4}|0[1-9][0-9]{1,3}[ /-][0-9]{2,4}(?: [0-9]{2,4}){1,3}|0[1-9][0-9]{1,4}[ /-][0-9]{5,8}|0[1-9][0-9]{8,9})(?![0-9A-Za-z]|[.,-][0-9])",
+        r"(?<![0-9A-Za-z(])\(0[0-9]{1,4}\)[ -]?[0-9]{2,8}(?:[ -][0-9]{2,4}){0,3}(?![0-9A-Za-z])",
+    ]
+)
 #: Type -> pattern. A mention's type is the first that matches it whole, else it is a secret known by its key.
 PATTERNS = {
     "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
     "secret": r"(?<![0-9A-Za-z])(?:(?:AKIA|ghp_|sk_live_|xox[bp]-)[0-9A-Za-z-]{12,}|[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z])",
-    "card": r"(?<![0-9])[0-9]{4}(?:[ -]?[0-9]{4}){3}(?![0-9])",
+    "iban": r"(?<![0-9A-Za-z])(?:" + "|".join(f"(?:{c})[0-9]{{2}}(?: ?[0-9A-Z]){{{n - 4}}}" for n, c in _IBAN.items()) + ")(?![0-9A-Za-z])",
+    "ipv6": rf"(?<![0-9A-Za-z:.])(?={_H}{{0,4}}:)(?:(?=[0-9A-Fa-f:]*?{_H}:{{1,2}}{_H}++:{{1,2}}{_H})|(?=[A-Fa-f:]*+[0-9])(?=[0-9A-Fa-f:]*?{_H}{{3}}))(?:(?:{_H}{{1,4}}:){{7}}{_H}{{1,4}}|(?=(?:{_H}{{0,4}}:){{2,7}}(?:{_H}{{1,4}})?(?![0-9A-Za-z:]))(?:{_H}{{1,4}}(?::{_H}{{1,4}})*+)?::(?:{_H}{{1,4}}(?::{_H}{{1,4}})*+)?)(?![0-9A-Za-z:]|\.[0-9])",
+    "card": r"(?<![0-9])[0-9]{4}(?:(?:[ -][0-9]{4}){3}[ -][0-9]{3}|(?:[ -]?[0-9]{4}){3})(?![0-9])",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![0-9]|\.[0-9])",
-    "phone": r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])|(?<![0-9(])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])",
+    "phone": r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])|(?<![0-9(])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])|" + _PHONE,
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "person": rf"{_TITLE}{_NAME}(?![\p{{L}}])",
 }
 #: A value with a digit after a key name that tells a secret; alone, without its key, it may match no pattern.
 _KEYS = "password|passwd|passphrase|pwd|secret|token|api_?key|access_?key"
 KEYED = rf"(?<=[=:\"'\s])(?<=(?i:{_KEYS})[\"']?\s?[=:]\s?[\"']?)(?=[^\s\"'&;,<>0-9]*+[0-9])[^\s\"'&;,<>=:][^\s\"'&;,<>]{{5,}}+"
-ANY = "|".join(f"(?:{p})" for p in [KEYED, *PATTERNS.values()])
+#: The one numbered group holds what is a card number only if its check digit is right.
+ANY = "|".join([*(f"(?:{p})" for p in [KEYED, *PATTERNS.values()]), f"({_CARD})"])
 #: What every mention has something of; texts without are left alone at little cost.
 TITLED = rf"(?:{_TITLES_F}|{_TITLES_M}|{_TITLES_N})[.\s]"
-HINT = rf"[0-9@]|{TITLED}"
+HINT = rf"[0-9@]|::|{TITLED}"
 
 #: Given names by gender and family names, by script (fixed values).
 NAMES = {
@@ -112,18 +132,35 @@ def _case(letters: str, like: Column, k: Column) -> Column:
 
 
 def _luhn(digits: Column) -> Column:
-    """Sum of the check rule over 16 digits, the last included."""
-    d = F.transform(F.split(digits, ""), lambda c, i: F.when(i % 2 == 0, F.when(c.cast("int") > 4, c.cast("int") * 2 - 9).otherwise(c.cast("int") * 2)).otherwise(c.cast("int")))
+    """Sum of the check rule over all digits, the last included."""
+    d = F.transform(F.split(F.reverse(digits), ""), lambda c, i: F.when(i % 2 == 1, F.when(c.cast("int") > 4, c.cast("int") * 2 - 9).otherwise(c.cast("int") * 2)).otherwise(c.cast("int")))
     return F.aggregate(d, F.lit(0), lambda a, b: a + b)
 
 
+def _plain(text: Column) -> Column:
+    return F.regexp_replace(text, "[^0-9]", "")
+
+
 def _card(text: Column, digest: Column) -> Column:
-    plain = F.regexp_replace(text, "[^0-9]", "")
     made = _like(text, digest)
-    body = F.substr(F.regexp_replace(made, "[^0-9]", ""), F.lit(1), F.lit(15))
+    body = F.substr(_plain(made), F.lit(1), F.length(_plain(made)) - 1)
     check = F.pmod(10 - F.pmod(_luhn(F.concat(body, F.lit("0"))), F.lit(10)), F.lit(10)).cast("string")
     valid = F.concat(F.substr(made, F.lit(1), F.length(made) - 1), check)
-    return F.when(F.pmod(_luhn(plain), F.lit(10)) == 0, valid).otherwise(made)
+    return F.when(F.pmod(_luhn(_plain(text)), F.lit(10)) == 0, valid).otherwise(made)
+
+
+def _mod97(iban: Column) -> Column:
+    """The check rule of bank account numbers; 1 if the check digits are right."""
+    plain = F.regexp_replace(iban, " ", "")
+    chars = F.split(F.concat(F.substr(plain, F.lit(5), F.length(plain)), F.substr(plain, F.lit(1), F.lit(4))), "")
+    return F.aggregate(chars, F.lit(0), lambda a, c: F.when(c.rlike("[0-9]"), (a * 10 + c.cast("int")) % 97).otherwise((a * 100 + F.ascii(c) - 55) % 97))
+
+
+def _iban(text: Column, digest: Column) -> Column:
+    """The country stays; check digits that were right are right again."""
+    country, rest = F.substr(text, F.lit(1), F.lit(2)), _like(F.substr(text, F.lit(5), F.length(text)), digest)
+    check = F.lpad((98 - _mod97(F.concat(country, F.lit("00"), rest))).cast("string"), 2, "0")
+    return F.concat(country, F.when(_mod97(text) == 1, check).otherwise(_like(F.substr(text, F.lit(3), F.lit(2)), digest, 37)), rest)
 
 
 def _ip(text: Column, digest: Column, attempt: Column) -> Column:
@@ -189,6 +226,7 @@ def surrogate(kind: Column, text: Column, attempt: Column, key: str = KEY, gende
     def by(digest: Column) -> Column:
         out = F.when(kind == "email", _email(text, digest, attempt)).when(kind == "secret", _secret(text, digest))
         out = out.when(kind == "card", _card(text, digest)).when(kind == "ip", _ip(text, digest, attempt)).when(kind == "phone", _phone(text, digest))
+        out = out.when(kind == "iban", _iban(text, digest)).when(kind == "ipv6", _like(text, digest, hexa=True))
         return out.when(kind == "person", _person(text, digest, F.lit("") if gender is None else gender)).otherwise(_like(text, digest))
 
     return _let(F.sha2(F.concat_ws("\x1f", F.lit(key), kind, text, attempt.cast("string")), 256), by)
@@ -273,7 +311,12 @@ def mentions(text: Column, people: Column, pattern: Column) -> Column:
     def one(x: Column) -> Column:
         return F.when(x["kind"] == "person", person(x["m"])).otherwise(mention(x["kind"], x["m"], F.lit(""), F.lit(""), F.lit(None)))
 
-    return F.transform(F.transform(found, lambda m: F.struct(kind_of(m).alias("kind"), m.alias("m"))), one)
+    # numbers that only their check digit makes card numbers; those without it have no type and stay
+    asked = F.when(F.exists(found, lambda m: m.rlike(f"^(?:{_CARD})$")), F.regexp_extract_all(text, pattern, 1))
+    checked = lambda m: F.when(F.pmod(_luhn(_plain(m)), F.lit(10)) == 0, "card")
+    kind = lambda m, guarded: F.when(F.length(guarded) > 0, checked(m)).otherwise(kind_of(m))
+    typed = F.zip_with(found, F.coalesce(asked, F.array().cast("array<string>")), lambda m, g: F.struct(kind(m, g).alias("kind"), m.alias("m")))
+    return F.transform(typed, one)
 
 
 def _found(docs: DataFrame) -> DataFrame:
@@ -309,13 +352,14 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     """The documents with every entity replaced, their columns as they came (n_chars anew), and ``n_entities``."""
     text = F.col("text")
     with_m = _found(docs)
-    found = with_m.select(F.explode("__m").alias("m")).groupBy("m.kind", "m.text").agg(F.max("m.gender").alias("gender"), (F.min("m.gender") < F.max("m.gender")).alias("mixed"))
+    found = with_m.select(F.explode("__m").alias("m")).filter("m.kind IS NOT NULL").groupBy("m.kind", "m.text").agg(F.max("m.gender").alias("gender"), (F.min("m.gender") < F.max("m.gender")).alias("mixed"))
     moved = resolved(found, key)
 
     first = lambda m: surrogate(m["kind"], m["text"], F.lit(0), key, m["gender"])
     # a shorter mention has the words of the surrogate that stand where its words stand in the full name
     part = lambda m, words: F.array_join(F.transform(m["at"], lambda k: F.try_element_at(words, k)), " ")
-    meant = lambda m, made: _let(made, lambda s: F.concat(m["lead"], F.when(m["at"].isNull(), s).otherwise(part(m, _words(s)))))
+    meant = lambda m, made: F.when(m["kind"].isNull(), m["text"]).otherwise(woven_name(m, made))
+    woven_name = lambda m, made: _let(made, lambda s: F.concat(m["lead"], F.when(m["at"].isNull(), s).otherwise(part(m, _words(s)))))
     named = lambda kind, text: F.concat_ws("\x1f", kind, text)
     some = F.size("__m") > 0
     with_m = with_m.withColumn("__parts", F.when(some, F.split(text, F.col("__any"), -1)))
@@ -338,7 +382,7 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     woven = F.concat(F.array_join(F.zip_with(F.slice("__parts", 1, F.size("__m")), made, lambda p, s: F.concat(p, s)), ""), F.element_at("__parts", -1))
     with_m = with_m.withColumn("__new", F.when(some, woven).otherwise(text))
     out = {"text": F.col("__new"), "n_chars": F.length("__new").cast("long")}
-    return with_m.select(*(out.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns), F.size("__m").cast("long").alias("n_entities"))
+    return with_m.select(*(out.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns), F.size(F.filter("__m", lambda m: m["kind"].isNotNull())).cast("long").alias("n_entities"))
 
 
 def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
