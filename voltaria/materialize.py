@@ -1,7 +1,10 @@
 """Writing models: tables, merges (whole or by column), appends, replaced ranges, retention and watermarks.
 
-Plain Parquet has no update in place. A table is a folder of versions and a small pointer row that names the current
-one; a write makes a new version and then moves the pointer, so readers and failed jobs never see half a table.
+Plain Parquet has no update in place. A table is a set of folders of Parquet files and a log of commits, one small file
+each, that list the folders which make up the table. Data are written first; a commit file is written aside and moved to
+its number, which fails if another writer took that number. So readers see the table before or after a write, a job that
+dies leaves unused folders and nothing else, and two writers who start from the same commit can't both succeed.
+Appending adds a folder; replacing a range rewrites the folders that hold rows of it and no others.
 """
 
 from __future__ import annotations
@@ -9,7 +12,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,33 +22,114 @@ class DuplicateKeys(ValueError):
     """A batch has several rows for a key that must be unique."""
 
 
+class Conflict(RuntimeError):
+    """Another writer committed first; the write must be started again from the table as it is now."""
+
+
 class Table:
-    """A versioned Parquet table under ``path``."""
+    """A table of committed Parquet folders under ``path``; ``partition_by`` holds for every folder written."""
+
+    def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str] = ()) -> None:
+        self.spark, self.path, self.partition_by = spark, path.rstrip("/"), tuple(partition_by)
+
+    # --- commits ---
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path
+    def _at(self, name: str):
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        at = hadoop.Path(f"{self.path}/{name}")
+        return at, at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def version(self) -> str | None:
+    def commits(self) -> list[int]:
+        at, fs = self._at("_commits")
+        if not fs.exists(at):
+            return []
+        names = [f.getPath().getName() for f in fs.listStatus(at)]
+        return sorted(int(n) for n in names if n.isdigit())
+
+    def _folders(self, number: int) -> list[str]:
+        at, fs = self._at(f"_commits/{number:012d}")
+        stream = fs.open(at)
+        try:
+            return bytes(stream.readAllBytes()).decode().split("\n")
+        finally:
+            stream.close()
+
+    def _commit(self, after: int, folders: Sequence[str]) -> None:
+        """Commit number ``after`` + 1, unless it exists."""
+        spare, fs = self._at(f"_commits/.{uuid.uuid4().hex}")
+        stream = fs.create(spare, False)
+        stream.write("\n".join(folders).encode())
+        stream.close()
+        own, _ = self._at(f"_commits/{after + 1:012d}")
+        jvm = self.spark._jvm
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        none = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
         try:
-            rows = self.spark.read.text(f"{self.path}/_pointer").collect()  # one line
-        except AnalysisException:
-            return None
-        return rows[0][0] if rows else None
+            context.rename(spare, own, none)
+        except Exception as e:
+            fs.delete(spare, False)
+            if fs.exists(own):
+                raise Conflict(f"{self.path}: commit {after + 1} was taken by another writer") from e
+            raise
+
+    def _write(self, df: DataFrame) -> str:
+        folder = f"d-{uuid.uuid4().hex}"
+        at, fs = self._at(folder)
+        if self.partition_by:
+            df.write.partitionBy(*self.partition_by).parquet(f"{self.path}/{folder}")
+            if any(f.isDirectory() for f in fs.listStatus(at)):
+                return folder
+        df.write.mode("overwrite").parquet(f"{self.path}/{folder}")  # without rows there are no partitions, but a schema
+        return folder
+
+    def _state(self) -> tuple[int, list[str]]:
+        numbers = self.commits()
+        return (numbers[-1], self._folders(numbers[-1])) if numbers else (0, [])
+
+    def clean(self, keep: int = 2) -> int:
+        """Removes commits before the last ``keep`` and folders that none of these lists; how many folders went. Not to be
+        run beside a writer: its folder isn't listed yet."""
+        numbers = self.commits()
+        listed = {f for n in numbers[-keep:] for f in self._folders(n)}
+        for n in numbers[:-keep]:
+            at, fs = self._at(f"_commits/{n:012d}")
+            fs.delete(at, False)
+        root, fs = self._at("")
+        gone = [f.getPath() for f in fs.listStatus(root) if f.getPath().getName().startswith("d-") and f.getPath().getName() not in listed]
+        for at in gone:
+            fs.delete(at, True)
+        return len(gone)
+
+    # --- reading ---
 
     def exists(self) -> bool:
-        return self.version() is not None
+        return bool(self.commits())
 
     def read(self) -> DataFrame:
-        v = self.version()
-        if v is None:
+        folders = self._state()[1]
+        if not folders:
             raise FileNotFoundError(self.path)
-        return self.spark.read.parquet(f"{self.path}/{v}")
+        return self._read(folders)
+
+    def _read(self, folders: Sequence[str]) -> DataFrame:
+        """The union of the folders' rows. Each folder is read with its own columns, as later ones may have more."""
+        parts = [self.spark.read.option("basePath", f"{self.path}/{f}").parquet(f"{self.path}/{f}") for f in folders]
+        if all(p.schema == parts[0].schema for p in parts) and not self.partition_by:
+            return self.spark.read.schema(parts[0].schema).parquet(*(f"{self.path}/{f}" for f in folders))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p, allowMissingColumns=True)
+        return out
+
+    def newest(self, column: str):
+        """The high-water mark; None without rows."""
+        return self.read().agg(F.max(column)).first()[0] if self.exists() else None
 
-    def overwrite(self, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
-        v = f"v-{uuid.uuid4().hex}"
-        w = df.write
-        (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{self.path}/{v}")
-        self.spark.createDataFrame([(v,)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/_pointer")
+    # --- writing ---
+
+    def overwrite(self, df: DataFrame) -> None:
+        number = self._state()[0]
+        self._commit(number, [self._write(df)])
 
     def overwrite_unless_empty(self, df: DataFrame) -> bool:
         """Full replacement that leaves the old rows when the new ones are none (a source that failed)."""
@@ -56,36 +139,49 @@ class Table:
         return True
 
     def append(self, df: DataFrame) -> None:
-        self.overwrite(self.read().unionByName(df, allowMissingColumns=True) if self.exists() else df)
+        """Adds a folder; what is there isn't read."""
+        number, folders = self._state()
+        self._commit(number, [*folders, self._write(df)])
 
     def merge(self, batch: DataFrame, keys: Sequence[str], update: Sequence[str] | None = None, schema_change: str = "append", check: bool = True) -> None:
         """Upsert. ``update``: columns that a match takes over, all by default; the others keep the old value.
         schema_change: append keeps columns that the batch lacks, sync drops them, ignore keeps the table's columns."""
         if check and not duplicate_keys(batch, keys).isEmpty():
             raise DuplicateKeys(f"{self.path}: several rows for a key of {', '.join(keys)}")
-        self.overwrite(merged(self.read(), batch, keys, update, schema_change) if self.exists() else batch)
+        number, folders = self._state()
+        self._commit(number, [self._write(merged(self._read(folders), batch, keys, update, schema_change) if folders else batch)])
+
+    def _rewritten(self, folders: Sequence[str], condition: Column) -> tuple[list[str], int]:
+        """The folders without the rows that ``condition`` holds for, and how many rows those were. A folder without such
+        rows stays as it is; where statistics rule it out, its files aren't read."""
+        gone, out, total = F.coalesce(condition, F.lit(False)), [], 0
+        for f in folders:
+            rows = self._read([f])
+            n = rows.filter(condition).count()
+            total += n
+            out.append(self._write(rows.filter(~gone)) if n else f)
+        return out, total
 
     def replace_range(self, batch: DataFrame, replaced: Column) -> None:
         """Delete and insert: rows that ``replaced`` holds for go, the batch comes."""
-        self.overwrite(self.read().filter(~F.coalesce(replaced, F.lit(False))).unionByName(batch, allowMissingColumns=True) if self.exists() else batch)
+        number, folders = self._state()
+        kept = self._rewritten(folders, replaced)[0]
+        self._commit(number, [*kept, self._write(batch)])
 
     def delete(self, condition: Column) -> int:
         """Retention: rows that the condition holds for go; how many they were."""
-        old = self.read()
-        gone = F.coalesce(condition, F.lit(False))
-        n = old.filter(gone).count()
+        number, folders = self._state()
+        if not folders:
+            raise FileNotFoundError(self.path)
+        kept, n = self._rewritten(folders, condition)
         if n:
-            self.overwrite(old.filter(~gone))
+            self._commit(number, kept)
         return n
 
     def keep_referenced(self, parents: DataFrame, keys: Sequence[str]) -> None:
         """Rows without a parent go."""
         self.overwrite(self.read().join(parents.select(*keys).distinct(), list(keys), "left_semi"))
 
-    def newest(self, column: str):
-        """The high-water mark; None without rows."""
-        return self.read().agg(F.max(column)).first()[0] if self.exists() else None
-
 
 def merged(old: DataFrame, batch: DataFrame, keys: Sequence[str], update: Sequence[str] | None = None, schema_change: str = "append") -> DataFrame:
     """The rows of ``old`` after a batch: one full join on the keys, each column from the side that rules it."""

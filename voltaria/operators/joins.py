@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import checkpointed
 from .dedup import distinct_on
 
 
@@ -101,9 +102,13 @@ def with_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
 
 def ranked(df: DataFrame, *order: Column, out: str = "rank") -> DataFrame:
     """A global row number without one task that holds all rows: range partitions are numbered by themselves and moved
-    by the counts of those before. ``order`` must leave no ties."""
-    w = Window.partitionBy("__p").orderBy(*order)
-    dealt = df.repartitionByRange(*order).withColumn("__p", F.spark_partition_id())
-    counts = dealt.groupBy("__p").agg(F.count("*").alias("__n"))
-    before = counts.select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__before"))
-    return dealt.withColumn(out, F.row_number().over(w)).join(F.broadcast(before), "__p").withColumn(out, (F.col(out) + F.col("__before")).cast("long")).drop("__p", "__before")
+    by the counts of those before. ``order`` must leave no ties.
+
+    Numbers and counts must come from the same partitions, and two reads of a shuffle may be sampled and coalesced
+    differently: so the numbered rows are checkpointed once and both are taken from there.
+    """
+    dealt = checkpointed(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id()))
+    part, row = F.shiftright("__id", 33), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = dealt.groupBy(part.alias("__p")).agg(F.count("*").alias("__n"))
+    before = counts.select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__before"))  # a row per partition
+    return dealt.join(F.broadcast(before), part == F.col("__p")).withColumn(out, (row + 1 + F.col("__before")).cast("long")).drop("__id", "__p", "__before")
