@@ -14,6 +14,8 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..shared import shared_dir
+
 #: Rows and bytes that one Arrow batch handed to a Python worker may hold.
 BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 
@@ -50,21 +52,11 @@ def text_bytes(column: pa.Array) -> list[bytes]:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that driver and executors share (spark.checkpoint.dir).
 
-    Where the setting is absent, as in tests, the checkpoint directory of the context or a local one is used.
+    Where the setting is absent, a local master uses a local folder; on a cluster that is an error.
     """
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    sc = spark.sparkContext
-    at = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not at:
-        at = f"/tmp/voltaria-checkpoints/{sc.applicationId}"
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(at)
-    return at.rstrip("/")
-
-
 def cut_lineage(df: DataFrame, dealt: bool = False) -> DataFrame:
     """Reliable checkpoint: what follows survives lost executors without recomputing what came before.
 
