@@ -102,35 +102,43 @@ def test_solar_rows_take_the_temperature_of_half_a_day(ctx):
 
 
 def segments(ctx):
-    cols = "dso_id string, line_name string, municipality string, conductor_type string, length_m double, operational_unit string, parent_substation_name string, feeder_id string, strike_tree_tier string, mx double, my double, geom string"
-    row = lambda n, kind, tier, x, y: ("d", n, "m", kind, 10.0, "o", "p", "f", tier, x, y, f"LINESTRING ({x - 5} {y}, {x + 5} {y})")
+    """Lines whose middle is far from the cell at (46, 11) while an end is near, one cable near it and one lost line."""
+    cols = "dso_id string, line_name string, municipality string, conductor_type string, length_m double, operational_unit string, parent_substation_name string, feeder_id string, is_vegetated_zone boolean, elevation_start_m double, elevation_end_m double, strike_tree_tier string, strike_tree_multiplier double, strike_density_per_km double, geom string"
+    row = lambda n, kind, tier, x, y, far=10: ("d", n, "m", kind, 10.0, "o", "p", "f", True, 1.0, 2.0, tier, 1.5, 0.5, f"LINESTRING ({x} {y}, {x + far} {y})")
     u = ctx.spark.range(1).select(grid.geo.to_utm(F.lit(46.0), F.lit(11.0)).alias("u")).first().u
-    return df(ctx, cols, row("near", "overhead", "high", u.x + 100, u.y), row("cable", "underground_cable", None, u.x, u.y + 50), row("lost", "overhead", None, u.x + 90_000, u.y))
+    return df(ctx, cols, row("near", "overhead_bare", "high", u.x + 100, u.y, 30_000), row("tall", "overhead_bare", "very_high", u.x + 100, u.y), row("cable", "underground_cable", None, u.x, u.y + 50), row("lost", "overhead_insulated", None, u.x + 90_000, u.y))
 
 
 def test_risks_of_segments(ctx):
     s = segments(ctx)
-    wind = df(ctx, "date date, lat double, lon double, max_gust_ms double, avg_wind_ms double, risk_level string", (NOW.date(), 46.0, 11.0, 18.0, 9.0, "WARNING"), (NOW.date(), 46.03, 11.0, 30.0, 1.0, "ALERT"))
+    wind = df(ctx, "date date, lat double, lon double, gust_excess_tier string, gust_excess double, wind_speed_max double, wind_gusts_max double", (NOW.date(), 46.0, 11.0, "WARNING", 9.0, 9.0, 18.0), (NOW.date(), 46.03, 11.0, "ALERT", 29.0, 1.0, 30.0), (NOW.date() + dt.timedelta(days=3), 46.0, 11.0, "ALERT", 29.0, 1.0, 30.0))
     w = grid.grid_wind_risks(ctx, s, wind)
-    got = {(r.line_name, str(r.date)): r for r in w.collect()}
-    near = got["near", str(NOW.date())]
-    assert len(got) == 4 and near.risk_level == "ALERT" and near.is_escalated and near.distance == pytest.approx(100, abs=0.1)
-    assert got["lost", str(NOW.date())].risk_level == "NORMAL"
-    heat = df(ctx, "date date, lat double, lon double, heat_risk_tier string, temp_max_c double, p90_threshold double, consecutive_heat_days bigint", (NOW.date(), 46.0, 11.0, "ORANGE", 28.0, 27.0, 1))
+    got = {r.line_name: r for r in w.collect()}
+    assert len(got) == w.count() == 3 and got["near"].risk_level == "ALERT" and got["near"].escalated_by_tree_strike and got["near"].gust_excess == 9.0
+    assert got["tall"].risk_level == "WARNING" and not got["tall"].escalated_by_tree_strike and got["tall"].risk_color_hex == "#F7D000"
+    assert got["lost"].risk_level is None and got["lost"].date is None and got["lost"].risk_color_hex == "#808080"
+    heat = df(ctx, "date date, lat double, lon double, heat_risk_tier string, temp_max_c double, p90_threshold double, consecutive_heat_days bigint, elevation_m double, altitude_band string, forecast_model string", (NOW.date(), 46.0, 11.0, "ORANGE", 28.0, 27.0, 1, 400.0, "low", "x"))
     h = grid.grid_heat_risks(ctx, s, heat)
-    assert {r.risk_level for r in h.filter(F.col("date") == F.lit(NOW.date())).collect()} == {"WARNING"}
+    assert [(r.line_name, r.risk_level, r.forecast_model) for r in h.collect()] == [("cable", "WARNING", "x")]
     risks = grid.grid_risks(ctx, w, h)
-    assert risks.count() == 8 and json.loads(risks.filter("risk_vector = 'heat' AND risk_level = 'WARNING'").first().metrics)["temp_max_c"] == 28.0
-    t = {(str(r.date), r.risk_vector): (r.alerts, r.trend) for r in grid.grid_risks_trendline(ctx, risks).collect()}
-    assert t[str(NOW.date()), "wind"] == (1, "LOW")
-    shapes = grid.grid_shapes(ctx, s, df(ctx, "dso_id string, name string, municipality string, geom string", ("d", "sub", "m", "POINT (1 2)")))
-    assert shapes.count() == 4 and grid.v_superset_grid(ctx, risks, shapes).count() == 8
-    assert grid.grid_tile_index(ctx, grid.grid_tiles(ctx, s)).agg(F.sum("segments")).first()[0] >= 3 and grid.grid_network_topology(ctx, s).count() == 3
+    assert risks.count() == 3 and json.loads(risks.filter("risk_vector = 'heat'").first().metrics)["temp_max_c"] == 28.0
+    subs = "dso_id string, asset_id string, name string, label_id string, label string, line_name string, feeder_id string, parent_substation_name string, operational_unit string, municipality string, voltage_class string, geom string"
+    shapes = grid.grid_shapes(ctx, s.union(s.filter("line_name = 'near'").withColumn("geom", F.lit("MULTILINESTRING ((1 1, 2 2), (3 3, 4 4))"))), df(ctx, subs, ("d", "a1", "sub", None, None, "near", "f", "p", "o", "m", "MT", "POINT (655000 5096000)")))
+    rows = {r.asset_key: r for r in shapes.collect()}
+    assert len(rows) == 5 and rows["near"].length_m == 20.0 and rows["near"].geom.count("(") == 4 and rows["a1"].asset_type == "substation"
+    assert json.loads(rows["a1"].feature_geojson)["geometry"]["type"] == "Point" and json.loads(rows["tall"].feature_geojson)["geometry"]["coordinates"][0][1] == pytest.approx(46.0, abs=1e-3)
+    t = {r.risk_vector: (r.alert_count, r.warning_count, r.total_segments, r.risk_ratio, r.day_risk_level) for r in grid.grid_risks_trendline(ctx, risks, shapes).collect()}
+    assert t == {"wind": (1, 1, 3, 0.6667, "ALERT"), "heat": (0, 1, 1, 1.0, "ALERT")}
+    assert grid.v_superset_grid(ctx, risks, shapes).count() == 3 and grid.grid_network_topology(ctx, s).count() == 4
+    line = df(ctx, "segment_id string, geom string", ("a", "LINESTRING (1000 1000, 9000 9000)"), ("b", "LINESTRING (1000 8000, 2000 9000)"), ("c", "LINESTRING (12000 12000, 12000 14000)"))
+    tiles = {(r.tile_id, r.segment_id) for r in grid.grid_tiles(ctx, line).collect()}
+    assert {x for x in tiles if x[1] != "a"} == {("tile_0_1", "b"), ("tile_2_2", "c")} and {("tile_0_0", "a"), ("tile_1_1", "a")} <= {x for x in tiles}
+    assert [(r.tile_x, r.tile_y) for r in grid.grid_tile_index(ctx, grid.grid_tiles(ctx, line)).collect()][0] == (0, 0)
 
 
 def test_nowcast_keeps_risks_only(ctx):
-    obs = df(ctx, "datetime timestamp_ntz, lat double, lon double, wind_gusts_10m double, wind_speed_10m double", (NOW - dt.timedelta(hours=1), 46.0, 11.0, 25.0, 5.0), (NOW - dt.timedelta(hours=2), 46.0, 11.0, 5.0, 5.0), (NOW - dt.timedelta(hours=9), 46.0, 12.0, 90.0, 5.0))
-    assert [(r.line_name, r.risk_level) for r in grid.grid_wind_risks_now(ctx, segments(ctx), obs).collect()] == [("near", "ALERT")]
+    obs = df(ctx, "datetime timestamp_ntz, lat double, lon double, wind_gusts_ms double, wind_speed_ms double", (NOW - dt.timedelta(hours=1), 46.0, 11.0, 25.0, 5.0), (NOW - dt.timedelta(hours=2), 46.0, 11.0, 5.0, 5.0), (NOW - dt.timedelta(hours=9), 46.0, 12.0, 90.0, 5.0))
+    assert sorted((r.line_name, r.risk_level, r.gust_excess) for r in grid.grid_wind_risks_now(ctx, segments(ctx), obs).collect()) == [("near", "ALERT", 20.0), ("tall", "ALERT", 20.0)]
 
 
 def square(x, y, size):
@@ -141,25 +149,33 @@ def test_suitability_and_plan(ctx):
     props = json.dumps({"class": "commercial", "num_floors": 1})
     raw = df(ctx, "wkt string, properties string, _sdc_extracted_at timestamp", *((square(11 + k * 0.01, 46.0, 0.0005), props, NOW) for k in range(4)))
     b = rooftops.pv_overture_buildings(ctx, rooftops.stg_overture_buildings(ctx, raw))
-    area = b.first().area_m2
-    assert area == pytest.approx(0.0005**2 * 111_195**2 * 0.6947, rel=0.01)
-    gj = lambda x, y, s: json.dumps({"type": "Polygon", "coordinates": [[[x, y], [x + s, y], [x + s, y + s], [x, y + s], [x, y]]]})
-    none = df(ctx, "id string, ring array<struct<x:double,y:double>>")
-    hit = df(ctx, "id string, geometry string", ("1", gj(10.999, 45.999, 0.005))).select("id", rooftops.geo.points_of_geojson(F.col("geometry")).alias("ring"))
+    area = b.first().footprint_area_m2
+    assert area == pytest.approx(2154.4, rel=2e-3)  # 55.6 m by 38.7 m
+    gj = lambda *boxes: json.dumps({"type": "MultiPolygon", "coordinates": [[[[x, y], [x + w, y], [x + w, y + h], [x, y + h], [x, y]]] for x, y, w, h in boxes]})
+    areas = lambda *boxes: df(ctx, "id string, geometry string", ("1", gj(*boxes))).select("id", rooftops.geo.polygons_of_geojson(F.col("geometry")).alias("polygons"))
+    none = areas()
+    # the second part holds the first building; a narrow strip crosses the second without a corner in it
+    hit, strip = areas((20, 20, 1, 1), (10.999, 45.999, 0.005, 0.005)), areas((11.0102, 45.9, 0.0001, 0.2))
+    assert rooftops.pv_building_suitability(ctx, b, hit, strip, none).count() == 2
     ok = rooftops.pv_building_suitability(ctx, b, hit, none, none)
-    assert ok.count() == 3 and json.loads(ok.first().feature)["properties"]["area_m2"] == pytest.approx(area)
+    assert ok.count() == 3 and json.loads(ok.first().geom_geojson)["geometry"]["type"] == "Polygon"
+    seen = df(ctx, "building_id string, has_pv boolean", (ok.first().building_id, True))
+    assert rooftops.eligible_buildings(ok).count() == 3 and rooftops.eligible_buildings(ok, seen).count() == 0 and rooftops.estimate(ok, seen).count() == 2
     e = rooftops.estimate(ok)
-    assert {r.user_type for r in e.collect()} == {"commercial"} and e.first().kwp == 20.0
-    o = rooftops.pv_rooftop_opportunities(ctx, e, ok)
-    r = rooftops.pv_installation_ranking(ctx, o)
-    assert sorted(x.rank for x in r.collect()) == [1, 2, 3]
-    params = df(ctx, "year int, cumulative_adoption_pct double, degradation_rate double", (1, 40.0, 0.0045), (2, 100.0, 0.0045))
+    assert {r.user_type for r in e.collect()} == {"commercial"} and e.first().kwp == 20.0 and e.first().capex == 30_000 and 0 < e.first().irr < 1
+    o = rooftops.pv_rooftop_opportunities(ctx, e.withColumn("estimated_at", F.lit(NOW)), b)
+    r = rooftops.pv_installation_ranking(ctx, o.withColumn("npv", F.when(F.col("building_id") == ok.first().building_id, -1.0).otherwise(F.col("npv"))))
+    assert sorted((x["rank"], x.cumulative_pct) for x in r.collect()) == [(1, 50.0), (2, 100.0)]
+    params = df(ctx, "year int, cumulative_adoption_pct double, degradation_rate double", (1, 50.0, 0.0045), (2, 100.0, 0.0045))
     plan = rooftops.pv_installation_plan(ctx, r, params)
-    s = {x.year: (x.installations, x.cumulative_installations) for x in rooftops.pv_installation_plan_summary(ctx, plan).collect()}
-    assert s == {1: (1, 1), 2: (2, 3)}
-    cab = rooftops.rec_building_cabina(ctx, o, df(ctx, "cod_ac string, geometry string", ("A", square(10.5, 45.5, 1.0))))
-    assert cab.count() == 3 and rooftops.rec_cabina_summary(ctx, rooftops.rec_cabina_opportunities(ctx, cab, o)).first().n_commercial == 3
-    assert rooftops.rec_cabina_plan(ctx, cab, plan).count() == 2
+    s = {x.install_year: (x.new_buildings, x.cum_buildings, x.coverage_pct, x.cum_investment_eur, x.cum_annual_production_mwh, x.total_eligible) for x in rooftops.pv_installation_plan_summary(ctx, plan, r).collect()}
+    assert s == {1: (1, 1, 50.0, 30_000.0, 22.0, 2), 2: (1, 2, 100.0, 60_000.0, 43.9, 2)}
+    hole = "POLYGON ((10.5 45.5, 11.5 45.5, 11.5 46.5, 10.5 46.5, 10.5 45.5), (11.019 45.99, 11.025 45.99, 11.025 46.01, 11.019 46.01, 11.019 45.99))"
+    cab = rooftops.rec_building_cabina(ctx, b, df(ctx, "cod_ac string, rag_soc string, geometry string", ("A", "x", hole), ("B", "y", "MULTIPOLYGON (((0 0, 1 0, 1 1, 0 0)), ((11.0 46.0, 11.001 46.0, 11.001 46.001, 11.0 46.0)))")))
+    assert sorted(x.cod_ac for x in cab.collect()) == ["A", "A", "A", "B"]  # one building lies in the hole
+    q = rooftops.rec_cabina_summary(ctx, rooftops.rec_cabina_opportunities(ctx, cab, o)).filter("cod_ac = 'A'").first()
+    assert (q.buildings, q.commercial_buildings, q.rag_soc, q.total_kwp, q.total_production_mwh) == (2, 2, "x", 40.0, 44.0)
+    assert rooftops.rec_cabina_plan(ctx, cab, plan).agg(F.max("cum_buildings")).first()[0] >= 1
 
 
 def test_detections(ctx):

@@ -25,14 +25,14 @@ def ladder_below(value: Column, steps: list[tuple[float, object]], otherwise: ob
 #: Metres a second by which gusts pass the mean wind, and the level from there on (fixed values).
 WIND_LEVELS = [(12.46, "ALERT"), (7.62, "WARNING")]
 #: Colours of tiers (fixed values).
-RISK_COLORS = {"ALERT": "#d73027", "WARNING": "#fc8d59", "NORMAL": "#1a9850"}
+RISK_COLORS = {"ALERT": "#D00000", "WARNING": "#F7D000", "NORMAL": "#00A000"}
 
 
 def wind_level(gust: Column, wind: Column) -> Column:
     return ladder(gust - wind, WIND_LEVELS, "NORMAL")
 
 
-def risk_color(level: Column, default: str = "#999999") -> Column:
+def risk_color(level: Column, default: str = "#808080") -> Column:
     out = F.lit(default)
     for name, color in RISK_COLORS.items():
         out = F.when(level == name, color).otherwise(out)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,43 +23,108 @@ def calendar(df: DataFrame, ts: str, holidays: DataFrame | None = None) -> DataF
 
 
 def fourier(df: DataFrame, ts: str, origin: str = "2020-01-01") -> DataFrame:
-    """Sine and cosine of the day, the week, the year and the half year."""
+    """Sine and cosine of the hour, the day of the week, the year and the half year."""
     since = T.hours_between(F.lit(origin).cast("timestamp_ntz"), F.col(ts))
-    parts = {"day": (F.hour(ts), 24.0), "week": (F.weekday(F.col(ts)), 7.0), "year": (since, 8766.0), "half_year": (since, 4383.0)}
-    angle = lambda c, period: c * (2 * 3.141592653589793 / period)
-    return df.withColumns({f"{f}_{n}": fn(angle(*v)) for n, v in parts.items() for f, fn in (("sin", F.sin), ("cos", F.cos))})
+    parts = {"hour": (F.hour(ts), 24.0), "dow": (F.weekday(F.col(ts)), 7.0), "annual": (since, 8766.0), "semi_annual": (since, 4383.0)}
+    angle = lambda c, period: c * (2 * math.pi / period)
+    return df.withColumns({f"{n}_{f}": fn(angle(*v)) for n, v in parts.items() for f, fn in (("sin", F.sin), ("cos", F.cos))})
 
 
-def weather(df: DataFrame, keys: Sequence[str], ts: str, temperature: str) -> DataFrame:
-    w = rolling(keys, ts, 24)
-    t = F.col(temperature)
-    return df.withColumns({"heating_degrees": F.greatest(F.lit(0.0), 18 - t), "temperature_mean_24": F.avg(t).over(w), "temperature_std_24": F.stddev_samp(t).over(w)})
+def above(value: Column | float, other: Column | float, known: Column) -> Column:
+    """max(0, value - other); null where what it is computed from is null."""
+    return F.when(known.isNotNull(), F.greatest(F.lit(0.0), value - other))
 
 
-def thermal(df: DataFrame, keys: Sequence[str], ts: str, temperature: str, half_life: float = 12) -> DataFrame:
-    """Rates of change, decaying mean and the sum of two days' heating degrees."""
-    w = Window.partitionBy(*keys).orderBy(ts)
-    t = F.col(temperature)
-    df = df.withColumns({"change_3h": (t - F.lag(t, 3).over(w)) / 3, "change_24h": t - F.lag(t, 24).over(w), "heating_sum_48": F.sum(F.greatest(F.lit(0.0), 18 - t)).over(rolling(keys, ts, 48))})
-    return decaying_mean(df, keys, ts, temperature, half_life, "temperature_ewm")
-
-
-def interactions(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    return df.withColumns({f"{a}_x_{b}": F.col(a) * F.col(b) for a, b in pairs})
+def weather(df: DataFrame, keys: Sequence[str], ts: str, temperature: str = "temperature_2m") -> DataFrame:
+    """Heating degrees and a day's rolling means; of radiation and clouds where the table has them."""
+    w, t = rolling(keys, ts, 24), F.col(temperature)
+    df = df.withColumn("heating_degree_hour", above(F.lit(18.0), t, t))
+    rolls = {"temp_rolling_mean_24h": F.avg(t).over(w), "temp_rolling_std_24h": F.stddev_samp(t).over(w), "heating_degree_rolling_mean_24h": F.avg("heating_degree_hour").over(w)}
+    more = {"radiation_rolling_mean_24h": "shortwave_radiation", "cloud_cover_rolling_mean_24h": "cloud_cover"}
+    return df.withColumns(rolls | {n: F.avg(c).over(w) for n, c in more.items() if c in df.columns})
 
 
-def clear_sky_index(radiation: Column, ts: Column, lat: float, least: float = 50.0, most: float = 1.5) -> Column:
-    """Measured over clear-sky radiation, 0 at night and at most ``most``."""
-    day, hour = F.dayofyear(ts), F.hour(ts) + F.minute(ts) / 60.0
-    tilt = F.radians(F.lit(23.45)) * F.sin((day + 284) * (2 * 3.141592653589793 / 365))
-    turn = F.radians((hour - 12) * 15)
-    phi = F.radians(F.lit(lat))
-    height = F.sin(phi) * F.sin(tilt) + F.cos(phi) * F.cos(tilt) * F.cos(turn)
-    clear = F.greatest(F.lit(0.0), height) * 1000
-    return F.when(clear <= least, 0.0).otherwise(F.least(F.greatest(radiation / clear, F.lit(0.0)), F.lit(most)))
-
-
-def gold_features(df: DataFrame, keys: Sequence[str], ts: str, temperature: str, holidays: DataFrame | None = None) -> DataFrame:
-    """The whole feature set of an hourly temperature series."""
-    df = thermal(weather(fourier(calendar(df, ts, holidays), ts), keys, ts, temperature), keys, ts, temperature)
-    return interactions(df, [("heating_degrees", "is_weekend"), ("heating_degrees", "is_daylight"), ("temperature_ewm", "is_weekend"), (temperature, "is_daylight")])
+def thermal(df: DataFrame, keys: Sequence[str], ts: str, temperature: str = "temperature_2m", half_life: float = 12) -> DataFrame:
+    """Rates of change, decaying mean and the sum of two days' heating degrees."""
+    w, t = Window.partitionBy(*keys).orderBy(ts), F.col(temperature)
+    heat = F.sum(above(F.lit(18.0), t, t)).over(rolling(keys, ts, 48))
+    df = df.withColumns({"temp_change_rate_3h": (t - F.lag(t, 3).over(w)) / 3, "temp_gradient_24h": t - F.lag(t, 24).over(w), "cumulative_hdd_48h": heat})
+    return decaying_mean(df, keys, ts, temperature, half_life, "thermal_inertia_12h")
+
+
+def interactions(df: DataFrame) -> DataFrame:
+    """Products of weather with the time of day and the weekend."""
+    night = ((F.col("hour") >= 20) | (F.col("hour") <= 6)).cast("int")
+    return df.withColumns(
+        {
+            "temp_x_hour_sin": F.col("temperature_2m") * F.col("hour_sin"), "radiation_x_daytime": F.col("shortwave_radiation") * F.col("is_daylight"),
+            "weekend_x_hour_cos": F.col("is_weekend") * F.col("hour_cos"), "heating_x_night": F.col("heating_degree_hour") * night,
+        }
+    )
+
+
+#: Degrees north of the place that solar features are made for (fixed value).
+LATITUDE = 45.9167
+
+
+def _sine_of_elevation(ts: Column, lat: float) -> Column:
+    """Sine of the sun's height over the horizon at a full hour."""
+    tilt = F.radians(23.45 * F.sin(F.radians(360 / 365 * (F.dayofyear(ts) - 81))))
+    turn, phi = F.radians(15.0 * (F.hour(ts) - 12)), F.radians(F.lit(lat))
+    return F.sin(phi) * F.sin(tilt) + F.cos(phi) * F.cos(tilt) * F.cos(turn)
+
+
+def clear_sky_index(radiation: Column, ts: Column, lat: float = LATITUDE, least: float = 50.0, most: float = 1.5) -> Column:
+    """Measured over clear-sky radiation, 0 at night and at most ``most``; null by day without a measure."""
+    clear = F.greatest(_sine_of_elevation(ts, lat), F.lit(0.0)) * 1000
+    held = F.when(radiation.isNotNull(), F.least(F.greatest(radiation / clear, F.lit(0.0)), F.lit(most)))
+    return F.when(clear > least, held).otherwise(0.0)
+
+
+def solar_elevation(ts: Column, lat: float = LATITUDE) -> Column:
+    """Degrees over the horizon at a full hour."""
+    return F.degrees(F.asin(F.least(F.greatest(_sine_of_elevation(ts, lat), F.lit(-1.0)), F.lit(1.0))))
+
+
+def fill_edges(df: DataFrame, keys: Sequence[str], ts: str, columns: Sequence[str], most: int = 48) -> DataFrame:
+    """What windows leave null at a series' edges: the next value, then the one before, 0 for a column without any. Columns
+    with more than ``most`` nulls in a series stay as they are."""
+    w, all_rows = Window.partitionBy(*keys).orderBy(ts), Window.partitionBy(*keys)
+    df = df.withColumns({f"__n_{c}": F.count_if(F.col(c).isNull()).over(all_rows) for c in columns})
+    near = lambda c: F.coalesce(c, F.first(c, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)), F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0.0))
+    return df.withColumns({c: F.when(F.col(f"__n_{c}").between(1, most), near(F.col(c))).otherwise(F.col(c)) for c in columns}).drop(*(f"__n_{c}" for c in columns))
+
+
+#: The feature sets, in order.
+WEATHER_FEATURES = [
+    "hour_sin", "hour_cos", "dow_sin", "dow_cos", "annual_sin", "annual_cos", "semi_annual_sin", "semi_annual_cos", "is_weekend", "is_holiday", "is_daylight", "temperature_2m", "heating_degree_hour",
+    "temp_rolling_mean_24h", "temp_rolling_std_24h", "temp_change_rate_3h", "thermal_inertia_12h", "temp_gradient_24h", "heating_degree_rolling_mean_24h", "cumulative_hdd_48h", "temp_x_hour_sin",
+    "heating_x_night", "shortwave_radiation", "radiation_rolling_mean_24h", "radiation_x_daytime", "cloud_cover", "cloud_cover_rolling_mean_24h", "precipitation", "weekend_x_hour_cos",
+]
+METER_FEATURES = [
+    "hour_sin", "hour_cos", "day_of_week", "month", "is_weekend", "global_tilted_irradiance", "shortwave_radiation", "cloud_cover", "temperature_2m", "clearsky_index", "effective_solar_pv",
+    "solar_elevation", "cloud_cover_diff", "pv_temp_factor", "ghi_ramp", "heating_degree", "cooling_degree", "is_daylight", "theoretical_prod",
+]
+_CALENDAR = {"hour_sin", "hour_cos", "dow_sin", "dow_cos", "annual_sin", "annual_cos", "semi_annual_sin", "semi_annual_cos", "is_weekend", "is_holiday", "is_daylight", "weekend_x_hour_cos", "day_of_week", "month", "solar_elevation"}
+
+
+def gold_features(df: DataFrame, keys: Sequence[str], ts: str, holidays: DataFrame | None = None) -> DataFrame:
+    """The keys, the time and the 29 features of hourly temperature, radiation, clouds and precipitation."""
+    df = interactions(thermal(weather(fourier(calendar(df, ts, holidays), ts), keys, ts), keys, ts))
+    out = [c for c in WEATHER_FEATURES if c in df.columns]
+    return fill_edges(df.select(*keys, ts, *out), keys, ts, [c for c in out if c not in _CALENDAR])
+
+
+def meter_features(df: DataFrame, keys: Sequence[str], ts: str, lat: float = LATITUDE) -> DataFrame:
+    """The keys, the time and the 19 features of solar production."""
+    t, w = F.col("temperature_2m"), Window.partitionBy(*keys).orderBy(ts)
+    tilted, step = F.col("global_tilted_irradiance"), lambda c: F.col(c) - F.lag(c).over(w)
+    sun = F.coalesce("direct_radiation", F.lit(0.0)) + 0.9 * F.coalesce("diffuse_radiation", F.lit(0.0))
+    df = fourier(calendar(df, ts), ts).withColumns(
+        {
+            "month": F.month(ts), "clearsky_index": clear_sky_index(F.col("shortwave_radiation"), F.col(ts), lat), "effective_solar_pv": sun, "solar_elevation": solar_elevation(F.col(ts), lat),
+            "cloud_cover_diff": F.abs(step("cloud_cover")), "pv_temp_factor": 1 - 0.004 * above(t, 25.0, t), "ghi_ramp": F.coalesce(step("global_tilted_irradiance"), F.lit(0.0)),
+            "heating_degree": above(F.lit(18.0), t, t), "cooling_degree": above(t, 24.0, t), "theoretical_prod": F.coalesce(tilted, F.lit(0.0)) * sun,
+        }
+    )
+    return fill_edges(df.select(*keys, ts, *METER_FEATURES), keys, ts, [c for c in METER_FEATURES if c not in _CALENDAR])

@@ -156,33 +156,38 @@ def _reach(decay: float, block: int) -> int:
     return n
 
 
-def impute(df: DataFrame, keys: Sequence[str], ts: str, column: str, small: int = 6, back: Sequence[int] = (24, 48, 72), monthly: dict[int, float] | None = None) -> DataFrame:
+def impute(df: DataFrame, keys: Sequence[str], ts: str, column: str, small: int = 6, day: int = 24, days_back: int = 3, monthly: dict[int, float] | None = None) -> DataFrame:
     """Fills nulls of an hourly series, in order: in gaps longer than ``small`` the value a day (two, three) before, values
-    filled earlier included; then the month's default; short gaps by interpolation; edges by the nearest value.
+    filled earlier included; then the month's default; short gaps by interpolation over rows; edges by the nearest value.
 
-    The day-before rule reads what it has just filled, so each series is walked in order by one grouped function.
+    The day-before rule reads what it has filled itself, but needs no walk: rows a whole number of days apart form a chain,
+    and what a row takes over is the last value or default of its chain, unless the last ``days_back`` links are all short
+    gaps (not filled yet at that point), where the month's default starts anew. So all steps are windows.
     """
-    import pandas as pd
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ts).reset_index(drop=True)
-        v = pdf[column].astype("float64").copy()
-        null = v.isna()
-        run = (null != null.shift()).cumsum()
-        length = null.groupby(run).transform("sum")
-        months = pd.to_datetime(pdf[ts]).dt.month
-        for k in v.index[null & (length > small)]:
-            for b in back:
-                if k >= b and pd.notna(v[k - b]):
-                    v[k] = v[k - b]
-                    break
-            else:
-                if monthly:
-                    v[k] = monthly.get(int(months[k]), float("nan"))
-        pdf[column] = v.interpolate(limit=small, limit_area="inside").ffill().bfill()
-        return pdf
-
-    return df.groupBy(*keys).applyInPandas(walk, df.schema)
+    w, v = Window.partitionBy(*keys).orderBy(ts), F.col(column)
+    none = v.isNull()
+    df = df.withColumn("__n", F.row_number().over(w) - 1).withColumn("__none", none)
+    df = df.withColumn("__run", F.col("__n") - F.row_number().over(Window.partitionBy(*keys, "__none").orderBy(ts)))
+    df = df.withColumn("__gap", F.when(none, F.count("*").over(Window.partitionBy(*keys, "__none", "__run"))).otherwise(0))
+    large, link = F.col("__gap") > small, F.col("__n") % day
+    default = F.element_at(F.create_map(*(F.lit(x) for kv in monthly.items() for x in (kv[0], float(kv[1])))), F.month(ts)) if monthly else F.lit(None).cast("double")
+    chain = Window.partitionBy(*keys, "__link").orderBy("__n")
+    df = df.withColumns({"__link": link, "__large": large})
+    filled_at = F.when(~F.col("__none") | F.col("__large"), F.col("__n"))
+    before = F.last(filled_at, ignorenulls=True).over(chain.rowsBetween(Window.unboundedPreceding, -1))
+    anew = F.col("__large") & (before.isNull() | (F.col("__n") - before > day * days_back))
+    # a struct, so that a default that is null is carried too
+    source = F.when(~F.col("__none"), F.struct(v.cast("double").alias("v"))).when(anew, F.struct(default.alias("v")))
+    carried = F.last(source, ignorenulls=True).over(chain.rowsBetween(Window.unboundedPreceding, 0))
+    df = df.withColumn("__v", F.when(F.col("__none") & ~F.col("__large"), None).otherwise(carried["v"]))
+    at = F.when(F.col("__v").isNotNull(), F.struct("__n", "__v"))
+    df = df.withColumn("__p", F.last(at, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    df = df.withColumn("__q", F.first(at, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    p, q = F.col("__p"), F.col("__q")
+    steps = F.least(F.col("__n") - p["__n"], F.lit(small))
+    between = p["__v"] + (q["__v"] - p["__v"]) * steps / (q["__n"] - p["__n"])
+    value = F.coalesce(F.col("__v"), F.when(q["__n"] > p["__n"], between), p["__v"], q["__v"])
+    return df.withColumn(column, value).drop("__n", "__none", "__run", "__gap", "__link", "__large", "__v", "__p", "__q")
 
 
 def hours(df: DataFrame, start: str, end: str, step: str = "1 HOUR", out: str = "ts") -> DataFrame:

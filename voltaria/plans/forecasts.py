@@ -78,23 +78,31 @@ def point(lat: str = "lat", lon: str = "lon"):
     return F.struct(F.col(lon).alias("lon"), F.col(lat).alias("lat")).alias("geoposition")
 
 
-def _staged(name: str, doubles: list[str], zone: str | None = None):
+def _staged(name: str, columns: dict[str, str], more: tuple[str, ...], time: str = "datetime", zone: str | None = None):
+    """A staging model: numbers under standard names with their unit, the time as an instant if a zone is given."""
+
     def build(ctx: Context, raw: DataFrame) -> DataFrame:
-        at = F.col("datetime").cast("timestamp") if zone else F.col("datetime").cast("timestamp_ntz")
-        return raw.withColumns({c: F.col(c).cast("double") for c in doubles if c in raw.columns} | {"datetime": T.to_instant(at, zone) if zone else at})
+        at = F.col(time).cast("timestamp") if zone else F.col(time).cast("timestamp_ntz")
+        return raw.select((T.to_instant(at, zone) if zone else at).alias("datetime"), *(F.col(c).cast("double").alias(n) for c, n in columns.items()), *more)
 
     build.__name__ = name
     return build
 
 
-model("om_wind_raw", name="stg_om_wind", layer="staging", tags=("om", "wind"))(_staged("stg_om_wind", ["lat", "lon", "wind_speed_10m", "wind_gusts_10m", "wind_direction_10m"]))
-model("om_obs_raw", name="stg_om_obs", layer="staging", tags=("om", "obs"))(_staged("stg_om_obs", ["lat", "lon", "temperature_2m", "wind_speed_10m", "wind_gusts_10m", "precipitation"], "Europe/Rome"))
-model("om_weather_raw", name="stg_om_weather", layer="staging", kind="merge", key=("datetime",), watermark=("_sdc_extracted_at", None), tags=("om",))(_staged("stg_om_weather", ["temperature_2m", "shortwave_radiation", "cloud_cover", "precipitation"]))
+#: Standard names of the service's variables (fixed values).
+WIND = {"wind_speed_10m": "wind_speed_ms", "wind_gusts_10m": "wind_gusts_ms", "wind_direction_10m": "wind_direction_deg"}
+OBSERVED = {"temperature_2m": "temp_c", "apparent_temperature": "apparent_temp_c", **WIND, "precipitation": "precip_mm"}
+WEATHER = ["shortwave_radiation", "direct_radiation", "diffuse_radiation", "global_tilted_irradiance", "cloud_cover", "temperature_2m", "precipitation"]
+_CELL = {"lat": "lat", "lon": "lon"}
+
+model("om_wind_raw", name="stg_om_wind", layer="staging", tags=("om", "wind"))(_staged("stg_om_wind", _CELL | WIND, ("model", "_sdc_extracted_at")))
+model("om_obs_raw", name="stg_om_obs", layer="staging", tags=("om", "obs"))(_staged("stg_om_obs", _CELL | OBSERVED, ("model", "_sdc_extracted_at"), zone="Europe/Rome"))
+model("om_weather_raw", name="stg_om_weather", layer="staging", kind="merge", key=("datetime",), watermark=("_sdc_extracted_at", None), tags=("om",))(_staged("stg_om_weather", {c: c for c in WEATHER}, ("location_name", "_sdc_extracted_at"), "time"))
 
 
 @model("om_heat_raw", layer="staging", tags=("om", "heat"))
 def stg_om_heat(ctx: Context, raw: DataFrame) -> DataFrame:
-    return raw.select(F.to_date("date").alias("date"), *(F.col(c).cast("double").alias(c) for c in ("lat", "lon", "elevation_m")), F.col("temperature_2m_max").cast("double").alias("temp_max_c"), F.col("model").alias("forecast_model"), "_sdc_extracted_at")
+    return raw.select(F.to_date("date").alias("date"), *(F.col(c).cast("double").alias(c) for c in ("lat", "lon")), F.col("elevation").cast("double").alias("elevation_m"), F.col("temperature_2m_max").cast("double").alias("temp_max_c"), F.col("model").alias("forecast_model"), "_sdc_extracted_at")
 
 
 @model("stg_om_wind", layer="silver", kind="merge", key=("datetime", "lat", "lon"), tags=("om", "wind"))
@@ -109,12 +117,12 @@ def om_obs_15min(ctx: Context, s: DataFrame) -> DataFrame:
 
 @model("stg_om_heat", layer="silver", kind="merge", key=("date", "lat", "lon"), tags=("om", "heat"))
 def om_heat_daily(ctx: Context, s: DataFrame) -> DataFrame:
-    return dedup.latest(s, ["date", *CELL], "_sdc_extracted_at").withColumn("altitude_band", tiers.altitude_band(F.col("elevation_m")))
+    return dedup.latest(s, ["date", *CELL], "_sdc_extracted_at").withColumn("altitude_band", F.coalesce(tiers.altitude_band(F.col("elevation_m")), F.lit("high")))
 
 
 @model("stg_om_weather", layer="silver", kind="merge", key=("datetime",), watermark=("datetime", "7 DAYS"), tags=("om",))
 def om_weather_hourly(ctx: Context, s: DataFrame) -> DataFrame:
-    return s
+    return s.select("datetime", *WEATHER)
 
 
 @model("om_weather_hourly", tags=("om",))
@@ -124,8 +132,10 @@ def om_weather_hourly_view(ctx: Context, s: DataFrame) -> DataFrame:
 
 @model("om_wind_hourly", kind="merge", key=("date", "lat", "lon"), tags=("om", "wind"))
 def om_wind_gusts(ctx: Context, w: DataFrame) -> DataFrame:
-    d = w.groupBy(F.to_date("datetime").alias("date"), *CELL).agg(F.max("wind_gusts_10m").alias("max_gust_ms"), F.avg("wind_speed_10m").alias("avg_wind_ms"))
-    return d.withColumns({"excess_ms": F.col("max_gust_ms") - F.col("avg_wind_ms"), "risk_level": tiers.wind_level(F.col("max_gust_ms"), F.col("avg_wind_ms")), "geoposition": point()})
+    most, mean = lambda c: F.max(f"wind_{c}_ms").alias(f"wind_{c}_max"), lambda c: F.avg(f"wind_{c}_ms").alias(f"wind_{c}_avg")
+    d = w.groupBy(F.to_date("datetime").alias("date"), *CELL).agg(*map(most, ("speed", "gusts")), *map(mean, ("speed", "gusts")), F.max("_sdc_extracted_at").alias("_sdc_extracted_at"))
+    gust, wind = F.col("wind_gusts_max"), F.col("wind_speed_max")
+    return d.withColumns({"gust_excess": gust - wind, "gust_excess_tier": tiers.wind_level(gust, wind), "geoposition": point()})
 
 
 def heat_streaks(d: DataFrame) -> DataFrame:
@@ -142,18 +152,41 @@ def om_heat_risk(ctx: Context, d: DataFrame) -> DataFrame:
     return heat_streaks(d).withColumn("heat_risk_tier", tier).withColumn("geoposition", point())
 
 
+#: Defaults by month of what is missing, January to December (fixed values).
+MONTHLY = {
+    "temperature_2m": [-2.0, -1.0, 3.0, 7.0, 11.0, 15.0, 17.0, 17.0, 13.0, 8.0, 3.0, -1.0], "shortwave_radiation": [150, 200, 300, 400, 500, 550, 550, 500, 400, 280, 180, 130],
+    "cloud_cover": [55, 50, 50, 55, 55, 50, 40, 45, 45, 50, 60, 60], "precipitation": [0.0, 0.0, 0.0, 0.1, 0.1, 0.1, 0.1, 0.1, 0.1, 0.0, 0.0, 0.0],
+}
+
+
+def imputed(h: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
+    """Hourly weather without gaps in the given columns."""
+    for c in columns:
+        h = timeseries.impute(h, keys, "datetime", c, monthly={m: float(v) for m, v in enumerate(MONTHLY[c], 1)} if c in MONTHLY else None)
+    return h
+
+
+def _series(ctx: Context, h: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The series that a table of hourly weather holds: one per location where the table names locations, else one."""
+    return (h, ["location_id"]) if "location_id" in h.columns else (h.withColumn("series", F.lit(1)), ["series"])
+
+
 @model("om_weather_hourly", kind="range", replaced=lambda ctx: F.col("datetime") >= F.lit(ctx.as_of).cast("timestamp_ntz") - F.expr("INTERVAL 48 HOURS"), tags=("om", "features"))
 def om_weather_features(ctx: Context, h: DataFrame) -> DataFrame:
-    """Forecasting features. The last 48 hours are made anew; they read all the history that windows and decay ask for."""
-    one = h.withColumn("series", F.lit(1))
-    full = timeseries.impute(one.select("series", "datetime", "temperature_2m"), ["series"], "datetime", "temperature_2m") if ctx.var("impute", True) else one
-    return features.gold_features(full, ["series"], "datetime", "temperature_2m", T.italian_holidays(ctx.spark)).drop("series")
+    """The 29 forecasting features. The last 48 hours are made anew; they read all the history that windows and decay ask for."""
+    h, keys_ = _series(ctx, h)
+    columns = ["temperature_2m", "shortwave_radiation", "cloud_cover", "precipitation"]
+    h = imputed(h, columns, keys_) if ctx.var("impute", True) else h
+    return features.gold_features(h, keys_, "datetime", T.italian_holidays(ctx.spark)).drop("series")
 
 
 @model("om_weather_hourly", kind="merge", key=("datetime",), tags=("om", "features"))
 def om_weather_features_meters(ctx: Context, h: DataFrame) -> DataFrame:
-    f = features.fourier(features.calendar(h, "datetime"), "datetime")
-    return f.withColumn("clearsky_index", features.clear_sky_index(F.col("shortwave_radiation"), F.col("datetime"), float(ctx.var("lat", 46.0))))
+    """The 19 features of solar production."""
+    h, keys_ = _series(ctx, h)
+    columns = [c for c in WEATHER if c != "precipitation"]
+    h = imputed(h, columns, keys_) if ctx.var("impute", True) else h
+    return features.meter_features(h, keys_, "datetime", float(ctx.var("lat", features.LATITUDE))).drop("series")
 
 
 def regular_grid(ctx: Context, lat: tuple[float, float], lon: tuple[float, float], spacing: float) -> DataFrame:

@@ -34,14 +34,14 @@ def _osm_base(region: str, tags: list[str]):
 
 
 def themes() -> dict[str, dict[str, Column]]:
-    """Region -> theme -> predicate; alternatives are in brackets."""
+    """Region -> theme -> predicate by map tags (fixed values); alternatives are in brackets."""
     c = F.col
     return {
         "fi_lappeenranta": {"social_buildings": (c("amenity") == "social_facility") | c("social_facility").isNotNull()},
         "it_alpecimbra": {
-            "amusement": c("leisure").isin("playground", "water_park", "sports_centre", "park"), "ev_charging": c("amenity") == "charging_station",
-            "hospitality": c("tourism").isin("hotel", "guest_house", "hostel", "chalet", "apartment", "alpine_hut", "camp_site"), "parking": c("amenity").isin("parking", "parking_space"),
-            "piste_and_lifts": c("piste_type").isNotNull() | c("aerialway").isNotNull(), "tourism_culture": c("tourism").isin("museum", "attraction", "viewpoint", "artwork", "gallery") | c("heritage").isNotNull() | c("amenity").isin("theatre", "arts_centre"),
+            "amusement": c("leisure").isin("amusement_arcade", "theme_park", "water_park", "park"), "ev_charging": c("amenity") == "charging_station",
+            "hospitality": c("tourism").isin("hotel", "guest_house", "alpine_hut", "resort", "hostel", "camp_site", "caravan_site"), "parking": c("amenity").isin("parking", "parking_space"),
+            "piste_and_lifts": c("piste_type").isNotNull() | c("aerialway").isNotNull(), "tourism_culture": c("tourism").isin("museum", "artwork", "gallery", "attraction", "exhibit") | c("heritage").isNotNull() | c("amenity").isin("theatre", "arts_centre"),
         },
     }
 
@@ -73,9 +73,8 @@ def stg_overture_buildings(ctx: Context, raw: DataFrame) -> DataFrame:
 def pv_overture_buildings(ctx: Context, s: DataFrame) -> DataFrame:
     """Buildings under a stable id, the MD5 of their outline."""
     p = lambda k, kind: F.get_json_object("properties", f"$.{k}").cast(kind)
-    ring = geo.outer_ring(F.col("wkt"))
-    b = s.select(F.md5("wkt").alias("building_id"), F.col("wkt").alias("geom"), ring.alias("ring"), p("class", "string").alias("building_class"), p("num_floors", "int").alias("num_floors"), p("height", "double").alias("height_m"), "_sdc_extracted_at")
-    return dedup.latest(b, ["building_id"], "_sdc_extracted_at").withColumn("area_m2", geo.geodesic_area(F.col("ring")))
+    b = s.select(F.md5("wkt").alias("building_id"), F.col("wkt").alias("geom"), p("class", "string").alias("building_class"), p("subtype", "string").alias("building_subtype"), p("num_floors", "int").alias("num_floors"), p("height", "double").alias("height_m"), "_sdc_extracted_at")
+    return dedup.latest(b, ["building_id"], "_sdc_extracted_at").withColumn("footprint_area_m2", geo.area_of(geo.polygons_of_wkt(F.col("geom"))))
 
 
 # --- constraints and suitability ----------------------------------------------------------------------------------------
@@ -86,8 +85,8 @@ def _constraint(name: str, silver: str):
         return raw.select("id", "geometry", "properties", "_sdc_extracted_at")
 
     def build(ctx: Context, s: DataFrame) -> DataFrame:
-        r = dedup.latest(s, ["id"], "_sdc_extracted_at").withColumn("ring", geo.points_of_geojson(F.col("geometry")))
-        return r.withColumn("name", F.get_json_object("properties", "$.name")).withColumn("area_m2", geo.geodesic_area(F.col("ring"))).withColumn("feature", geo.feature(F.col("geometry"), name=F.col("name")))
+        r = dedup.latest(s, ["id"], "_sdc_extracted_at").withColumn("polygons", geo.polygons_of_geojson(F.col("geometry")))
+        return r.withColumn("name", F.get_json_object("properties", "$.name")).withColumn("area_m2", geo.area_of(F.col("polygons"))).withColumn("feature", geo.feature(F.col("geometry"), name=F.col("name")))
 
     model(f"{name}_raw", name=f"stg_{name}", layer="staging", tags=("rooftops",))(staging)
     model(f"stg_{name}", name=silver, layer="silver", kind="merge", key=("id",), tags=("rooftops",))(build)
@@ -99,11 +98,12 @@ for _c in ("aree_non_idonee", "vincoli_diretti", "vincoli_indiretti"):
 
 @model("pv_overture_buildings", "pv_aree_non_idonee", "pv_vincoli_diretti", "pv_vincoli_indiretti", kind="merge", key=("building_id",), tags=("rooftops",))
 def pv_building_suitability(ctx: Context, b: DataFrame, areas: DataFrame, direct: DataFrame, indirect: DataFrame) -> DataFrame:
-    """Buildings that no constraint touches."""
-    other = [(c.select(F.col("ring").alias(f"ring_{k}")), f"ring_{k}") for k, c in enumerate((areas, direct, indirect))]
-    free = spatial.free_of(b, ["building_id"], "ring", other, float(ctx.var("cell_deg", 0.01)))
-    at = geo.centroid(F.col("ring"))
-    return free.withColumns({"lon": at["x"], "lat": at["y"]}).withColumn("feature", geo.feature(geo.polygon_geojson(F.col("ring")), building_id=F.col("building_id"), area_m2=F.col("area_m2")))
+    """Buildings whose outline no constraint area touches."""
+    other = [(c.select(F.explode("polygons").alias(f"rings_{k}")), f"rings_{k}") for k, c in enumerate((areas, direct, indirect))]
+    own = b.withColumn("rings", geo.rings_of_wkt(F.col("geom")))
+    free = spatial.free_of(own, ["building_id"], "rings", other, float(ctx.var("cell_deg", 0.01))).drop("rings")
+    at = geo.centroid(geo.outer_ring(F.col("geom")))
+    return free.withColumns({"lon": at["x"], "lat": at["y"], "geom_geojson": geo.wkt_feature(F.col("geom"))})
 
 
 # --- detections -----------------------------------------------------------------------------------------------------------
@@ -128,10 +128,10 @@ def buildings_to_scan(b: DataFrame, done: DataFrame, box: tuple[float, float, fl
     """Buildings without a prediction that meet the given conditions, in order of id."""
     keep = []
     if box:
-        q = geo.bbox(F.col("ring"))
+        q = geo.bbox(geo.points_of_wkt(F.col("geom")))
         keep += [q["minx"] <= box[2], q["maxx"] >= box[0], q["miny"] <= box[3], q["maxy"] >= box[1]]
     if least_area is not None:
-        keep.append(F.col("area_m2") >= least_area)
+        keep.append(F.col("footprint_area_m2") >= least_area)
     if ids is not None:
         keep.append(F.col("building_id").isin(*ids))
     for k in keep:
@@ -140,7 +140,7 @@ def buildings_to_scan(b: DataFrame, done: DataFrame, box: tuple[float, float, fl
     return b.limit(limit) if limit else b
 
 
-def detect(tiles: DataFrame, answer, name: str, threshold: float = 0.5) -> DataFrame:
+def detect(tiles: DataFrame, answer, name: str, threshold: float = 0.6) -> DataFrame:
     """Predictions for (building_id, content): ``answer(list of bytes) -> list of texts`` is the model's free text."""
     @F.pandas_udf("string")
     def ask(content: pd.Series) -> pd.Series:
@@ -154,13 +154,26 @@ def detect(tiles: DataFrame, answer, name: str, threshold: float = 0.5) -> DataF
 # --- estimates and roll-out ------------------------------------------------------------------------------------------------
 
 
-def estimate(buildings: DataFrame) -> DataFrame:
-    """Size, use and cash flow of each building with room for 3 kW at least."""
-    use = planning.use_of_building(F.col("area_m2"), F.col("num_floors"), F.col("building_class"))
-    b = buildings.filter("area_m2 > 0").withColumn("user_type", use).withColumn("consumption_kwh", planning.yearly_use(F.col("area_m2"), F.col("user_type")))
-    b = b.withColumn("kwp", planning.system_size(F.col("area_m2"), F.col("consumption_kwh"))).filter("kwp >= 3")
-    flow = planning.cash_flow(F.col("kwp"), F.col("consumption_kwh"))
-    return b.select("building_id", "user_type", "consumption_kwh", "kwp", (F.col("kwp") * 1100).alias("production_kwh"), *(F.round(v, 4).alias(k) for k, v in flow.items()), (1 / flow["payback_years"]).alias("irr"))
+def eligible_buildings(suitability: DataFrame, detections: DataFrame | None = None) -> DataFrame:
+    """Candidates for an estimate: all suitable buildings, or with detections those that were seen to have no panels yet."""
+    if detections is None:
+        return suitability
+    return suitability.join(detections.filter(~F.col("has_pv")).select("building_id").distinct(), "building_id", "left_semi")
+
+
+def estimate(buildings: DataFrame, done: DataFrame | None = None) -> DataFrame:
+    """Size, use and cash flow of each building with room for the least system; buildings that ``done`` holds are skipped."""
+    if done is not None:
+        buildings = buildings.join(done.select("building_id").distinct(), "building_id", "left_anti")
+    area = F.col("footprint_area_m2")
+    b = buildings.filter(area > 0).withColumn("user_type", planning.use_of_building(area, F.col("num_floors"), F.col("building_class")))
+    b = b.withColumn("use_kwh", planning.yearly_use(area, F.col("user_type")))
+    b = b.withColumn("kwp", planning.system_size(area, F.col("user_type"), F.col("use_kwh"))).filter(F.col("kwp") >= planning.LEAST_KWP)
+    flow, places = planning.cash_flow(F.col("kwp"), F.col("use_kwh")), {"npv": 2, "irr": 4, "payback_simple": 1, "payback_discounted": 1, "tasso_autoconsumo": 4}
+    return b.select(
+        "building_id", "kwp", F.round(F.col("kwp") * planning.EUR_KWP, 2).alias("capex"), F.round(F.col("kwp") * planning.KWH_KWP, 1).alias("annual_production_kwh"),
+        F.round("use_kwh", 1).alias("annual_consumption_kwh"), "user_type", F.lit("RID").alias("regime"), *(F.round(flow[k], n).alias(k) for k, n in places.items()),
+    )
 
 
 @model("pv_roi_estimates_raw", layer="staging", tags=("pv",))
@@ -173,51 +186,50 @@ def pv_roi_estimates(ctx: Context, s: DataFrame) -> DataFrame:
     return dedup.latest(s, ["building_id"], "estimated_at")
 
 
-@model("pv_roi_estimates", "pv_building_suitability", kind="merge", key=("building_id",), tags=("pv",))
+@model("pv_roi_estimates", "pv_overture_buildings", kind="merge", key=("building_id",), watermark=("estimated_at", None), tags=("pv",))
 def pv_rooftop_opportunities(ctx: Context, e: DataFrame, b: DataFrame) -> DataFrame:
-    return e.join(b.select("building_id", "area_m2", "lon", "lat", "ring", "feature"), "building_id")
+    cols = ["building_id", "geom", "building_class", "building_subtype", "height_m", "num_floors", "footprint_area_m2"]
+    return e.join(b.select(*cols), "building_id").withColumn("geom_geojson", geo.wkt_feature(F.col("geom")))
 
 
 @model("pv_rooftop_opportunities", kind="table", tags=("pv",))
 def pv_installation_ranking(ctx: Context, o: DataFrame) -> DataFrame:
-    return planning.rank_with_percentile(o.drop("ring"), F.col("payback_years").asc_nulls_last(), F.col("irr").desc_nulls_last(), F.col("building_id").asc())
+    """Roofs worth their cost, soonest paid first."""
+    cols = ["building_id", "geom", "building_class", "user_type", "footprint_area_m2", "kwp", "capex", "annual_production_kwh", "annual_consumption_kwh", "npv", "irr", "payback_simple", "tasso_autoconsumo", "geom_geojson"]
+    return planning.rank_with_percentile(o.filter("npv > 0").select(*cols), F.col("payback_simple").asc_nulls_last(), F.col("irr").desc_nulls_first(), F.col("building_id").asc())
 
 
 @model("pv_installation_ranking", "installation_plan_params", kind="table", tags=("pv",))
 def pv_installation_plan(ctx: Context, r: DataFrame, params: DataFrame) -> DataFrame:
-    p = planning.roll_out(r, params)
-    own = F.col("production_kwh") * F.col("self_consumption_pct") / 100
-    return p.withColumn("self_consumed_kwh", own).withColumn("exported_kwh", F.col("production_kwh") - own)
+    made, own = F.col("annual_production_kwh"), F.col("tasso_autoconsumo")
+    p = planning.roll_out(r, params).withColumns({"annual_self_consumed_kwh": made * own, "annual_grid_export_kwh": made * (1 - own)})
+    return p.drop("total_buildings", "cumulative_pct")
 
 
-@model("pv_installation_plan", kind="table", tags=("pv",))
-def pv_installation_plan_summary(ctx: Context, p: DataFrame) -> DataFrame:
-    return planning.yearly_summary(p, "kwp", "production_kwh", "irr").orderBy("year")
+@model("pv_installation_plan", "pv_installation_ranking", kind="table", tags=("pv",))
+def pv_installation_plan_summary(ctx: Context, p: DataFrame, ranking: DataFrame) -> DataFrame:
+    return planning.yearly_summary(p, ranking.agg(F.count("*").alias("total_eligible"))).orderBy("install_year")
 
 
-@model("pv_rooftop_opportunities", "gse_cabine_primarie", kind="table", tags=("pv", "community"))
-def rec_building_cabina(ctx: Context, o: DataFrame, areas: DataFrame) -> DataFrame:
-    """The substation area that holds each building."""
-    a = areas.select("cod_ac", geo.outer_ring(F.col("geometry")).alias("area_ring"))
-    return spatial.points_in(o.select("building_id", "lon", "lat"), a, "lon", "lat", "area_ring", float(ctx.var("cell_deg", 0.05))).select("building_id", "cod_ac")
+@model("pv_overture_buildings", "gse_cabine_primarie", kind="table", tags=("pv", "community"))
+def rec_building_cabina(ctx: Context, b: DataFrame, areas: DataFrame) -> DataFrame:
+    """The substation areas that each building's outline meets."""
+    a = areas.select("cod_ac", "rag_soc", F.explode(geo.polygons_of_wkt(F.col("geometry"))).alias("area_rings"))
+    own = b.select("building_id", geo.rings_of_wkt(F.col("geom")).alias("rings"))
+    return spatial.overlay(own, a, "rings", "area_rings", float(ctx.var("cell_deg", 0.05))).select("building_id", "cod_ac", "rag_soc").distinct()
 
 
 @model("rec_building_cabina", "pv_rooftop_opportunities", kind="table", tags=("pv", "community"))
 def rec_cabina_opportunities(ctx: Context, m: DataFrame, o: DataFrame) -> DataFrame:
-    return m.join(o.drop("ring"), "building_id")
+    cols = ["building_id", "user_type", "kwp", "capex", "annual_production_kwh", "annual_consumption_kwh", "npv", "irr", "payback_simple", "tasso_autoconsumo", "footprint_area_m2", "geom", "geom_geojson"]
+    return m.join(o.select(*cols), "building_id").select("cod_ac", "rag_soc", *cols)
 
 
 @model("rec_cabina_opportunities", kind="table", tags=("pv", "community"))
 def rec_cabina_summary(ctx: Context, o: DataFrame) -> DataFrame:
-    kind = lambda u: F.count_if(F.col("user_type") == u).alias(f"n_{u}")
-    return o.groupBy("cod_ac").agg(
-        F.count("*").alias("buildings"), F.round(F.sum("kwp"), 2).alias("kwp"), F.round(F.sum("production_kwh"), 0).alias("production_kwh"), F.round(F.avg("payback_years"), 2).alias("payback_years"),
-        (F.sum(F.col("irr") * F.col("kwp")) / F.nullif(F.sum("kwp"), F.lit(0.0))).alias("weighted_irr"), kind("residential"), kind("condominium"), kind("commercial"),
-    )
+    return planning.area_summary(o, ["cod_ac", "rag_soc"])
 
 
 @model("rec_building_cabina", "pv_installation_plan", kind="table", tags=("pv", "community"))
 def rec_cabina_plan(ctx: Context, m: DataFrame, p: DataFrame) -> DataFrame:
-    g = m.join(p, "building_id").groupBy("cod_ac", "year").agg(F.count("*").alias("installations"), F.sum("kwp").alias("kwp"), (F.sum(F.col("irr") * F.col("kwp")) / F.nullif(F.sum("kwp"), F.lit(0.0))).alias("weighted_irr"))
-    w = Window.partitionBy("cod_ac").orderBy("year")
-    return g.withColumn("cumulative_installations", F.sum("installations").over(w)).withColumn("cumulative_kwp", F.sum("kwp").over(w))
+    return planning.area_plan(m.join(p, "building_id"), ["cod_ac", "rag_soc"])

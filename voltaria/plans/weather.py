@@ -193,16 +193,16 @@ for _kind, _key in {"alerts": ["synced_at", "event", "start_ts"], "current": ["d
     model(f"owm_weather_{_kind}", name=f"folgaria_weather_{_kind}", kind="table" if _kind == "current" else "merge", key=tuple(_key), tags=("owm",))(_rows)
 
 IRI = "https://example.org/weather/"
-#: Observed properties and their units (fixed values).
+#: Observed properties and their labels (fixed values).
 PROPERTIES = [
-    ("temp", "degC"), ("feels_like", "degC"), ("pressure", "hPa"), ("humidity", "%"), ("uvi", "1"), ("clouds", "%"), ("wind_speed", "m/s"), ("precipitation", "mm/h"),
+    ("temperature", "Air Temperature"), ("humidity", "Relative Humidity"), ("pressure", "Air Pressure"), ("uvi", "UV Index"), ("clouds", "Cloud Cover"),
+    ("wind_deg", "Wind Direction"), ("precipitation", "Precipitation"), ("pop", "Probability of Precipitation"),
 ]
 
 
-@model(tags=("owm", "rdf"))
+@model(alias="weather_observed_properties", tags=("owm", "rdf"))
 def rdf_weather_observed_properties(ctx: Context) -> DataFrame:
-    p = ctx.spark.createDataFrame(PROPERTIES, "property string, unit string")
-    return p.withColumn("property_iri", keys.iri(IRI + "property/", F.col("property")))
+    return ctx.spark.createDataFrame(PROPERTIES, "code string, label string")
 
 
 def observation_iri(key: Column, scale: str) -> Column:

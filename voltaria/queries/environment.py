@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +48,7 @@ def q_day_tier(spark: SparkSession, d: str) -> DataFrame:
 
 
 SQL_day_tier = f"""WITH {E}, {M}, g AS (SELECT day, nation, max(value) AS gust, avg(value) AS wind FROM e JOIN m USING (user_id) GROUP BY 1, 2), l AS (SELECT *, CASE WHEN gust - wind >= 12.46 THEN 'ALERT' WHEN gust - wind >= 7.62 THEN 'WARNING' ELSE 'NORMAL' END AS level FROM g)
-SELECT day, nation, gust, round(wind + 1e-9, 4) AS wind, level, CASE level WHEN 'ALERT' THEN '#d73027' WHEN 'WARNING' THEN '#fc8d59' ELSE '#1a9850' END AS color FROM l"""
+SELECT day, nation, gust, round(wind + 1e-9, 4) AS wind, level, CASE level WHEN 'ALERT' THEN '#D00000' WHEN 'WARNING' THEN '#F7D000' ELSE '#00A000' END AS color FROM l"""
 
 
 def q_altitude_band(spark: SparkSession, d: str) -> DataFrame:
@@ -254,16 +256,16 @@ CAST(CAST(hr AS DATE) IN (DATE '2024-01-01', DATE '2024-01-06') AS BIGINT) AS is
 
 def q_fourier(spark: SparkSession, d: str) -> DataFrame:
     f = features.fourier(_hourly(spark, d), "hr")
-    return f.select("series", "hr", *((F.round(c, 6) + 0.0).alias(c) for c in f.columns if c.startswith(("sin_", "cos_"))))
+    return f.select("series", "hr", *((F.round(c, 6) + 0.0).alias(c) for c in f.columns if c.endswith(("_sin", "_cos"))))
 
 
 SQL_fourier = f"""WITH {_H}, x AS (SELECT series, hr, hour(hr) / 24.0::DOUBLE AS a, (isodow(hr) - 1) / 7.0::DOUBLE AS b, (epoch_us(hr) - epoch_us(TIMESTAMP '2020-01-01')) / 3600000000.0::DOUBLE AS s FROM h)
-SELECT series, hr, """ + ", ".join(f"round({fn}(2 * pi() * {e}), 6) + 0.0::DOUBLE AS {fn}_{n}" for n, e in (("day", "a"), ("week", "b"), ("year", "s / 8766.0::DOUBLE"), ("half_year", "s / 4383.0::DOUBLE")) for fn in ("sin", "cos")) + " FROM x"
+SELECT series, hr, """ + ", ".join(f"round({fn}(2 * pi() * {e}), 6) + 0.0::DOUBLE AS {n}_{fn}" for n, e in (("hour", "a"), ("dow", "b"), ("annual", "s / 8766.0::DOUBLE"), ("semi_annual", "s / 4383.0::DOUBLE")) for fn in ("sin", "cos")) + " FROM x"
 
 
 def q_rolling24(spark: SparkSession, d: str) -> DataFrame:
     f = features.weather(_hourly(spark, d), ["series"], "hr", "temp")
-    return f.select("series", "hr", r4_up(F.col("heating_degrees"), 6).alias("hdd"), r4_up(F.col("temperature_mean_24"), 6).alias("m24"), r4(F.col("temperature_std_24"), 6).alias("s24"))
+    return f.select("series", "hr", r4_up(F.col("heating_degree_hour"), 6).alias("hdd"), r4_up(F.col("temp_rolling_mean_24h"), 6).alias("m24"), r4(F.col("temp_rolling_std_24h"), 6).alias("s24"))
 
 
 SQL_rolling24 = f"WITH {_H} SELECT series, hr, round(greatest(0.0, 18 - temp) + 1e-9, 6) AS hdd, round(avg(temp) OVER w + 1e-9, 6) AS m24, round(stddev_samp(temp) OVER w, 6) AS s24 FROM h WINDOW w AS (PARTITION BY series ORDER BY hr ROWS 23 PRECEDING)"
@@ -271,7 +273,7 @@ SQL_rolling24 = f"WITH {_H} SELECT series, hr, round(greatest(0.0, 18 - temp) +
 
 def q_lag_diff(spark: SparkSession, d: str) -> DataFrame:
     f = features.thermal(_hourly(spark, d), ["series"], "hr", "temp")
-    return f.select("series", "hr", r4(F.col("change_3h")).alias("c3"), r4(F.col("change_24h")).alias("c24"), r4(F.col("heating_sum_48")).alias("sum48"))
+    return f.select("series", "hr", r4(F.col("temp_change_rate_3h")).alias("c3"), r4(F.col("temp_gradient_24h")).alias("c24"), r4(F.col("cumulative_hdd_48h")).alias("sum48"))
 
 
 SQL_lag_diff = f"WITH {_H} SELECT series, hr, round((temp - lag(temp, 3) OVER v) / 3, 4) AS c3, round(temp - lag(temp, 24) OVER v, 4) AS c24, round(sum(greatest(0.0, 18 - temp)) OVER w, 4) AS sum48 FROM h WINDOW v AS (PARTITION BY series ORDER BY hr), w AS (PARTITION BY series ORDER BY hr ROWS 47 PRECEDING)"
@@ -305,18 +307,100 @@ SQL_fill_edges = f"""WITH {_H}, v AS (SELECT series, hr, CASE WHEN temp > 20 THE
 
 def q_clear_sky(spark: SparkSession, d: str) -> DataFrame:
     h = _hourly(spark, d)
-    return h.select("series", "hr", r4(features.clear_sky_index(F.col("temp") * 5, F.col("hr"), 46.0)).alias("index"))
+    return h.select("series", "hr", r4(features.clear_sky_index(F.col("temp") * 5, F.col("hr"))).alias("index"))
 
 
-SQL_clear_sky = f"""WITH {_H}, c AS (SELECT *, greatest(0.0, sin(radians(46.0)) * sin(dl) + cos(radians(46.0)) * cos(dl) * cos(radians((hour(hr) - 12) * 15))) * 1000 AS clear FROM (SELECT *, radians(23.45) * sin((dayofyear(hr) + 284) * (2 * pi() / 365)) AS dl FROM h))
-SELECT series, hr, round(CASE WHEN clear <= 50 THEN 0.0 ELSE least(greatest(temp * 5 / clear, 0.0), 1.5) END, 4) AS index FROM c"""
+SQL_clear_sky = f"""WITH {_H}, c AS (SELECT *, 1000 * greatest(0.0, sin(radians(45.9167)) * sin(dl) + cos(radians(45.9167)) * cos(dl) * cos(radians(15 * (hour(hr) - 12)))) AS clear FROM (SELECT *, radians(23.45 * sin(radians(360.0::DOUBLE / 365 * (dayofyear(hr) - 81)))) AS dl FROM h))
+SELECT series, hr, round(CASE WHEN clear > 50 THEN least(greatest(temp * 5 / clear, 0.0), 1.5) ELSE 0.0 END, 4) AS index FROM c"""
 
 
 def q_impute(spark: SparkSession, d: str) -> DataFrame:
-    h = _hourly(spark, d).select("series", "hr", F.when(F.col("temp") > 20, F.col("temp")).alias("v"))
+    h = _hourly(spark, d).select("series", "hr", F.when(F.col("temp") > 20, F.col("temp") * 1.0013718416).alias("v"))
     return timeseries.impute(h, ["series"], "hr", "v", 6, monthly={1: 5.0}).select("series", "hr", r4(F.col("v")).alias("v"))
 
 
+#: A recursion by days: the state of a chain of rows a day apart is what its last three rows held when they were read.
+SQL_impute = f"""WITH RECURSIVE {_H}, v AS (SELECT series, hr, CASE WHEN temp > 20 THEN temp * 1.0013718416::DOUBLE END AS v, row_number() OVER (PARTITION BY series ORDER BY hr) - 1 AS n FROM h),
+g AS (SELECT *, n - row_number() OVER (PARTITION BY series, v IS NULL ORDER BY n) AS run FROM v), z AS (SELECT *, CASE WHEN v IS NULL THEN count(*) OVER (PARTITION BY series, v IS NULL, run) ELSE 0 END AS gap FROM g),
+r(series, n, f, f1, f2) AS (SELECT series, n, CASE WHEN gap > 6 THEN CASE month(hr) WHEN 1 THEN 5.0::DOUBLE END ELSE v END, NULL::DOUBLE, NULL::DOUBLE FROM z WHERE n < 24
+  UNION ALL SELECT z.series, z.n, CASE WHEN z.gap > 6 THEN coalesce(r.f, r.f1, r.f2, CASE month(z.hr) WHEN 1 THEN 5.0::DOUBLE END) ELSE z.v END, r.f, r.f1 FROM r JOIN z ON z.series = r.series AND z.n = r.n + 24),
+p AS (SELECT series, n, f, max(CASE WHEN f IS NOT NULL THEN n END) OVER (PARTITION BY series ORDER BY n) AS a, min(CASE WHEN f IS NOT NULL THEN n END) OVER (PARTITION BY series ORDER BY n DESC) AS b FROM r)
+SELECT v.series, v.hr, round(coalesce(p.f, x.f + (y.f - x.f) * least(p.n - p.a, 6) / (p.b - p.a), x.f, y.f), 4) AS v
+FROM p JOIN v USING (series, n) LEFT JOIN r x ON x.series = p.series AND x.n = p.a LEFT JOIN r y ON y.series = p.series AND y.n = p.b"""
+
+
+def _weather(spark: SparkSession, d: str) -> DataFrame:
+    """Five series of hourly weather made of events, with gaps."""
+    e = readings(spark, d)
+    h = e.groupBy((F.col("user_id") % 5).alias("series"), F.col("hr").alias("datetime")).agg(F.avg("value").alias("__v"), F.count("*").alias("__n"))
+    v, n = F.col("__v"), F.col("__n")
+    gone = lambda k, c: F.when(F.hour("datetime") % k != 1, c)
+    cols = {"temperature_2m": gone(7, v * 0.3337184159 - 5), "shortwave_radiation": gone(11, v * 9.0127182818), "direct_radiation": v * 5.0271828183, "diffuse_radiation": gone(5, v * 2.0314159265), "global_tilted_irradiance": v * 7.0141421356 + n, "cloud_cover": n * 10.0, "precipitation": gone(13, n / 10)}
+    return h.withColumns(cols).drop("__v", "__n")
+
+
+_WX = f"""{E}, x AS (SELECT user_id % 5 AS series, hr AS datetime, avg(value) AS v, count(*) AS n, row_number() OVER (PARTITION BY user_id % 5 ORDER BY hr) AS k FROM e GROUP BY 1, 2),
+w AS (SELECT series, datetime, k, CASE WHEN hour(datetime) % 7 <> 1 THEN v * 0.3337184159::DOUBLE - 5 END AS temperature_2m, CASE WHEN hour(datetime) % 11 <> 1 THEN v * 9.0127182818::DOUBLE END AS shortwave_radiation, v * 5.0271828183::DOUBLE AS direct_radiation,
+CASE WHEN hour(datetime) % 5 <> 1 THEN v * 2.0314159265::DOUBLE END AS diffuse_radiation, v * 7.0141421356::DOUBLE + n AS global_tilted_irradiance, n * 10.0::DOUBLE AS cloud_cover, CASE WHEN hour(datetime) % 13 <> 1 THEN n / 10.0::DOUBLE END AS precipitation FROM x)"""
+
+
+def q_weather_features(spark: SparkSession, d: str) -> DataFrame:
+    """The 29 features, without imputation."""
+    f = features.gold_features(_weather(spark, d), ["series"], "datetime", T.italian_holidays(spark, 2024, 2024))
+    return f.select("series", "datetime", *((F.round(F.col(c).cast("double"), 4) + 0.0).alias(c) for c in features.WEATHER_FEATURES))
+
+
+def _edges_sql(columns: dict[str, str], calendar: dict[str, str], source: str) -> str:
+    """Selects columns with edges filled: the next value, the one before, 0; columns with more than 48 nulls as they are."""
+    fill = "CASE WHEN count(*) FILTER ({c} IS NULL) OVER (PARTITION BY series) BETWEEN 1 AND 48 THEN coalesce({c}, first_value({c} IGNORE NULLS) OVER (PARTITION BY series ORDER BY datetime ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), last_value({c} IGNORE NULLS) OVER (PARTITION BY series ORDER BY datetime ROWS UNBOUNDED PRECEDING), 0.0) ELSE {c} END"
+    made = ", ".join(f"{e} AS {c}" for c, e in (columns | calendar).items())
+    shown = ", ".join(f"round(CAST({fill.format(c=c) if c in columns else c} AS DOUBLE), 4) + 0.0::DOUBLE AS {c}" for c in (columns | calendar))
+    return f"f AS (SELECT series, datetime, {made} FROM {source}) SELECT series, datetime, {shown} FROM f"
+
+
+_CAL = {
+    "hour_sin": "sin(2 * pi() * hour(datetime) / 24)", "hour_cos": "cos(2 * pi() * hour(datetime) / 24)", "is_weekend": "(isodow(datetime) >= 6)::INT", "is_daylight": "(hour(datetime) BETWEEN 6 AND 20)::INT",
+}
+_EPOCH = "(epoch_us(datetime) - epoch_us(TIMESTAMP '2020-01-01')) / 3600000000.0::DOUBLE"
+SQL_weather_features = f"""WITH {_WX}, y AS (SELECT *, CASE WHEN temperature_2m IS NOT NULL THEN greatest(0.0, 18 - temperature_2m) END AS hdh FROM w),
+d AS (SELECT a.series, a.k, sum(b.temperature_2m * pow(0.5, (a.k - b.k) / 12.0::DOUBLE)) / sum(pow(0.5, (a.k - b.k) / 12.0::DOUBLE)) AS ewm FROM y a JOIN y b ON a.series = b.series AND b.k <= a.k AND b.temperature_2m IS NOT NULL GROUP BY 1, 2),
+j AS (SELECT y.*, ewm FROM y LEFT JOIN d USING (series, k)), """ + _edges_sql(
+    {
+        "temperature_2m": "temperature_2m", "heating_degree_hour": "hdh", "temp_rolling_mean_24h": "avg(temperature_2m) OVER r24", "temp_rolling_std_24h": "stddev_samp(temperature_2m) OVER r24",
+        "temp_change_rate_3h": "(temperature_2m - lag(temperature_2m, 3) OVER o) / 3", "thermal_inertia_12h": "ewm", "temp_gradient_24h": "temperature_2m - lag(temperature_2m, 24) OVER o",
+        "heating_degree_rolling_mean_24h": "avg(hdh) OVER r24", "cumulative_hdd_48h": "sum(hdh) OVER r48", "temp_x_hour_sin": "temperature_2m * sin(2 * pi() * hour(datetime) / 24)",
+        "heating_x_night": "hdh * (hour(datetime) >= 20 OR hour(datetime) <= 6)::INT", "shortwave_radiation": "shortwave_radiation", "radiation_rolling_mean_24h": "avg(shortwave_radiation) OVER r24",
+        "radiation_x_daytime": "shortwave_radiation * (hour(datetime) BETWEEN 6 AND 20)::INT", "cloud_cover": "cloud_cover", "cloud_cover_rolling_mean_24h": "avg(cloud_cover) OVER r24", "precipitation": "precipitation",
+    },
+    _CAL | {
+        "dow_sin": "sin(2 * pi() * (isodow(datetime) - 1) / 7)", "dow_cos": "cos(2 * pi() * (isodow(datetime) - 1) / 7)", "annual_sin": f"sin(2 * pi() * {_EPOCH} / 8766)", "annual_cos": f"cos(2 * pi() * {_EPOCH} / 8766)",
+        "semi_annual_sin": f"sin(2 * pi() * {_EPOCH} / 4383)", "semi_annual_cos": f"cos(2 * pi() * {_EPOCH} / 4383)", "is_holiday": "(CAST(datetime AS DATE) IN (DATE '2024-01-01', DATE '2024-01-06'))::INT",
+        "weekend_x_hour_cos": "(isodow(datetime) >= 6)::INT * cos(2 * pi() * hour(datetime) / 24)",
+    },
+    "j WINDOW o AS (PARTITION BY series ORDER BY datetime), r24 AS (PARTITION BY series ORDER BY datetime ROWS 23 PRECEDING), r48 AS (PARTITION BY series ORDER BY datetime ROWS 47 PRECEDING)",
+)
+
+
+def q_meter_features(spark: SparkSession, d: str) -> DataFrame:
+    """The 19 features of solar production, without imputation."""
+    f = features.meter_features(_weather(spark, d), ["series"], "datetime")
+    return f.select("series", "datetime", *((F.round(F.col(c).cast("double"), 4) + 0.0).alias(c) for c in features.METER_FEATURES))
+
+
+_SINE = "sin(radians(45.9167)) * sin(dl) + cos(radians(45.9167)) * cos(dl) * cos(radians(15 * (hour(datetime) - 12)))"
+SQL_meter_features = f"""WITH {_WX}, y AS (SELECT *, {_SINE} AS sine, direct_radiation + 0.9 * coalesce(diffuse_radiation, 0) AS sun FROM (SELECT *, radians(23.45 * sin(radians(360.0::DOUBLE / 365 * (dayofyear(datetime) - 81)))) AS dl FROM w)), """ + _edges_sql(
+    {
+        "global_tilted_irradiance": "global_tilted_irradiance", "shortwave_radiation": "shortwave_radiation", "cloud_cover": "cloud_cover", "temperature_2m": "temperature_2m",
+        "clearsky_index": "CASE WHEN 1000 * sine > 50 THEN CASE WHEN shortwave_radiation IS NOT NULL THEN least(greatest(shortwave_radiation / (1000 * sine), 0.0), 1.5) END ELSE 0.0 END", "effective_solar_pv": "sun",
+        "cloud_cover_diff": "abs(cloud_cover - lag(cloud_cover) OVER o)", "pv_temp_factor": "1 - 0.004 * CASE WHEN temperature_2m IS NOT NULL THEN greatest(0.0, temperature_2m - 25) END",
+        "ghi_ramp": "coalesce(global_tilted_irradiance - lag(global_tilted_irradiance) OVER o, 0.0)", "heating_degree": "CASE WHEN temperature_2m IS NOT NULL THEN greatest(0.0, 18 - temperature_2m) END",
+        "cooling_degree": "CASE WHEN temperature_2m IS NOT NULL THEN greatest(0.0, temperature_2m - 24) END", "theoretical_prod": "global_tilted_irradiance * sun",
+    },
+    _CAL | {"day_of_week": "isodow(datetime) - 1", "month": "month(datetime)", "solar_elevation": "degrees(asin(sine))"},
+    "y WINDOW o AS (PARTITION BY series ORDER BY datetime)",
+)
+
+
 def q_geodesic_area(spark: SparkSession, d: str) -> DataFrame:
     p = _points(spark, d)
     at = lambda x, y: F.concat(x.cast("string"), F.lit(" "), y.cast("string"))
@@ -326,7 +410,11 @@ def q_geodesic_area(spark: SparkSession, d: str) -> DataFrame:
     return p.select("vec_id", F.round(geo.geodesic_area(ring) / 1e6, 2).alias("km2"), F.round(geo.planar_area(ring), 6).alias("degrees2"), geo.contains(ring, F.lit(0.5), F.lit(0.5)).alias("holds"))
 
 
-SQL_geodesic_area = f"""WITH {_P}, r AS (SELECT vec_id, round(x, 3) AS x, round(y, 3) AS y FROM p) SELECT vec_id, round(radians(1.0) * 2 * (sin(radians(y + 1)) - sin(radians(y))) * 6371007.2 * 6371007.2 / 2 / 1e6, 2) AS km2, 1.0::DOUBLE AS degrees2, x < 0.5 AND 0.5 < x + 1 AND y < 0.5 AND 0.5 < y + 1 AS holds FROM r"""
+_E2 = 1 / 298.257223563 * (2 - 1 / 298.257223563)
+_QP = 1 + (1 - _E2) / (2 * _E2**0.5) * math.log((1 + _E2**0.5) / (1 - _E2**0.5))
+_Q = lambda y: f"({1 - _E2!r}::DOUBLE * (sin(radians({y})) / (1 - {_E2!r}::DOUBLE * pow(sin(radians({y})), 2)) + atanh({_E2**0.5!r}::DOUBLE * sin(radians({y}))) / {_E2**0.5!r}::DOUBLE))"
+#: A cell of one degree by one has a closed form on the ellipsoid.
+SQL_geodesic_area = f"""WITH {_P}, r AS (SELECT vec_id, round(x, 3) AS x, round(y, 3) AS y FROM p) SELECT vec_id, round(radians(1.0) * {6378137.0**2 / 2!r}::DOUBLE * ({_Q('y + 1')} - {_Q('y')}) / 1e6, 2) AS km2, 1.0::DOUBLE AS degrees2, x < 0.5 AND 0.5 < x + 1 AND y < 0.5 AND 0.5 < y + 1 AS holds FROM r"""
 
 
 def q_haversine(spark: SparkSession, d: str) -> DataFrame:
@@ -346,3 +434,32 @@ def q_utm_round_trip(spark: SparkSession, d: str) -> DataFrame:
 
 
 SQL_utm_round_trip = f"WITH {_P} SELECT vec_id, true AS returns, 11 + y > 9 AS east_of_middle FROM p"
+
+
+def q_near_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Points within 60 of whole lines, however far from their middles."""
+    p = _points(spark, d).select("vec_id", (F.col("x") * 1000).alias("x"), (F.col("y") * 1000).alias("y"))
+    text = lambda *v: F.concat_ws(" ", *(c.cast("string") for c in v))
+    wkt = F.concat(F.lit("LINESTRING ("), text(F.col("x"), F.col("y")), F.lit(", "), text(F.col("x") + 500, F.col("y") + 200), F.lit(", "), text(F.col("x") + 600, F.col("y") - 300), F.lit(")"))
+    lines = p.filter("vec_id % 5 = 0").select(F.col("vec_id").alias("line"), geo.line_segments(wkt).alias("seg"))
+    met = spatial.near_lines(lines, p.filter("vec_id % 5 <> 0"), "seg", ("x", "y"), 60.0, 200.0)
+    return met.select("line", "vec_id", F.round("distance", 4).alias("distance"))
+
+
+SQL_near_lines = f"""WITH {_P}, s AS (SELECT vec_id, x * 1000 AS x, y * 1000 AS y FROM p), l AS (SELECT vec_id AS line, x AS ax, y AS ay, x + 500 AS bx, y + 200 AS b_y FROM s WHERE vec_id % 5 = 0 UNION ALL SELECT vec_id, x + 500, y + 200, x + 600, y - 300 FROM s WHERE vec_id % 5 = 0),
+u AS (SELECT line, vec_id, ax, ay, bx, b_y, x, y, greatest(0.0, least(1.0, ((x - ax) * (bx - ax) + (y - ay) * (b_y - ay)) / (pow(bx - ax, 2) + pow(b_y - ay, 2)))) AS k FROM l, s WHERE vec_id % 5 <> 0),
+f AS (SELECT line, vec_id, min(sqrt(pow(x - ax - k * (bx - ax), 2) + pow(y - ay - k * (b_y - ay), 2))) AS distance FROM u GROUP BY 1, 2) SELECT line, vec_id, round(distance, 4) AS distance FROM f WHERE distance <= 60"""
+
+
+def q_overlay(spark: SparkSession, d: str) -> DataFrame:
+    """Wide bars that meet tall ones: most cross without a corner of one in the other; some lie in the other's hole."""
+    p = _points(spark, d)
+    bar = lambda w, h: F.array(*(F.struct((F.col("x") + i * w).alias("x"), (F.col("y") + j * h).alias("y")) for i, j in ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))))
+    wide = p.filter("vec_id % 2 = 0").select(F.col("vec_id").alias("a"), F.array(bar(0.6, 0.05)).alias("ra"))
+    hole = F.array(*(F.struct((F.col("x") + i).alias("x"), (F.col("y") + j).alias("y")) for i, j in ((0.01, 0.01), (0.04, 0.01), (0.04, 0.69), (0.01, 0.69), (0.01, 0.01))))
+    tall = p.filter("vec_id % 2 = 1").select(F.col("vec_id").alias("b"), F.array(bar(0.05, 0.7), hole).alias("rb"))
+    return spatial.overlay(wide, tall, "ra", "rb", 0.25).select("a", "b")
+
+
+#: Boxes meet where their intervals do on both axes; a bar of 0.6 never fits the hole.
+SQL_overlay = f"WITH {_P} SELECT w.vec_id AS a, t.vec_id AS b FROM p w JOIN p t ON w.vec_id % 2 = 0 AND t.vec_id % 2 = 1 AND w.x <= t.x + 0.05 AND t.x <= w.x + 0.6 AND w.y <= t.y + 0.7 AND t.y <= w.y + 0.05"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.geo import let
 from ..materialize import merged
 from ..operators import dedup, planning
 from ..sources import payloads
@@ -23,35 +24,62 @@ def _ranking(spark: SparkSession, d: str) -> DataFrame:
 
 
 _RANK = """c AS (SELECT c_custkey, c_nationkey::BIGINT AS nation, round(abs(c_acctbal) / 500, 2) AS kw, round(abs(c_acctbal) / 1000 + 2, 4) AS payback FROM customer),
-r AS (SELECT *, row_number() OVER (ORDER BY payback, c_custkey) AS rank, count(*) OVER () AS total_rows FROM c), k AS (SELECT *, rank * 100.0::DOUBLE / total_rows AS percentile FROM r)"""
-_PLAN = _RANK + ", v(year, cum, deg) AS (VALUES (1, 2.0, 0.0045), (2, 6.0, 0.0045), (3, 12.0, 0.0045), (4, 20.0, 0.0045), (5, 30.0, 0.0045)), g AS (SELECT *, lag(cum, 1, 0) OVER (ORDER BY year) AS lo FROM v), pl AS (SELECT k.*, g.year, g.deg FROM k JOIN g ON percentile > lo AND percentile <= cum)"
+r AS (SELECT *, row_number() OVER (ORDER BY payback, c_custkey) AS rank, count(*) OVER () AS total FROM c), k AS (SELECT *, round(100.0::DOUBLE * rank / total, 2) AS pct FROM r)"""
+_PLAN = _RANK + ", v(year, cum, deg) AS (VALUES (1, 2.0, 0.0045), (2, 6.0, 0.0045), (3, 12.0, 0.0045), (4, 20.0, 0.0045), (5, 30.0, 0.0045)), g AS (SELECT *, lag(cum, 1, 0) OVER (ORDER BY year) AS lo FROM v), pl AS (SELECT k.*, g.year, g.deg FROM k JOIN g ON pct > lo AND pct <= cum)"
 
 
 def q_rank_percentile(spark: SparkSession, d: str) -> DataFrame:
-    return _ranking(spark, d).select("c_custkey", "rank", F.round("percentile", 6).alias("percentile"))
+    return _ranking(spark, d).select("c_custkey", "rank", "cumulative_pct")
 
 
-SQL_rank_percentile = f"WITH {_RANK} SELECT c_custkey, rank, round(percentile, 6) AS percentile FROM k"
+SQL_rank_percentile = f"WITH {_RANK} SELECT c_custkey, rank, pct AS cumulative_pct FROM k"
 
 
 def q_range_plan(spark: SparkSession, d: str) -> DataFrame:
-    return planning.roll_out(_ranking(spark, d), _params(spark)).select("c_custkey", "rank", F.col("year").cast("long").alias("year"))
+    return planning.roll_out(_ranking(spark, d), _params(spark)).select("c_custkey", "rank", F.col("install_year").cast("long").alias("install_year"))
 
 
-SQL_range_plan = f"WITH {_PLAN} SELECT c_custkey, rank, year::BIGINT AS year FROM pl"
+SQL_range_plan = f"WITH {_PLAN} SELECT c_custkey, rank, year::BIGINT AS install_year FROM pl"
+
+#: What a plan's row holds besides: energy and money made of size and payback.
+_ENERGY = {"kwp": "kw * 1.0137184159D", "annual_production_kwh": "kw * 1100.3141592D", "annual_consumption_kwh": "kw * 900", "capex": "kw * 1500.271828D", "npv": "kw * 100.1414213D - payback", "irr": "payback / 100", "payback_simple": "payback", "tasso_autoconsumo": "0.25 + nation / 100"}
 
 
 def q_plan_summary(spark: SparkSession, d: str) -> DataFrame:
-    plan = planning.roll_out(_ranking(spark, d), _params(spark)).withColumn("energy", F.col("kw") * 1100)
-    y = planning.yearly_summary(plan, "kw", "energy", "payback")
-    cols = ["capacity", "energy", "weighted_rate", "cumulative_capacity", "cumulative_energy", "net_energy"]
-    return y.select(F.col("year").cast("long").alias("year"), "installations", "cumulative_installations", *(r4(F.col(c), 3).alias(c) for c in cols))
+    r = _ranking(spark, d)
+    plan = planning.roll_out(r, _params(spark)).withColumns({k: F.expr(v) for k, v in _ENERGY.items()})
+    y = planning.yearly_summary(plan, r.agg(F.count("*").alias("total_eligible")))
+    return y.withColumn("install_year", F.col("install_year").cast("long"))
+
+
+_SUMS = """count(*) AS buildings, round(sum(kwp), 1) AS kwp1, round(sum(annual_production_kwh) / 1000, 1) AS made, round(sum(annual_consumption_kwh) / 1000, 1) AS used, round(sum(annual_production_kwh * tasso_autoconsumo) / 1000, 1) AS own,
+round(sum(annual_production_kwh * (1 - tasso_autoconsumo)) / 1000, 1) AS out, round(sum(capex), 0) AS paid, round(sum(npv), 0) AS npv0, round(sum(kwp * irr) / nullif(sum(kwp), 0), 4) AS weighted_avg_irr, round(avg(payback_simple), 1) AS avg_payback_years"""
+_WITH_ENERGY = "e AS (SELECT *, " + ", ".join(f"({v.replace('D', '::DOUBLE')})::DOUBLE AS {k}" for k, v in _ENERGY.items()) + " FROM pl)"
+SQL_plan_summary = f"""WITH {_PLAN}, {_WITH_ENERGY}, y AS (SELECT year, {_SUMS}, min(deg)::DOUBLE AS deg FROM e GROUP BY 1),
+s AS (SELECT *, sum(buildings) OVER w AS cb, round(sum(kwp1) OVER w, 1) AS ck, round(sum(paid) OVER w, 0) AS cp, round(sum(npv0) OVER w, 0) AS cn, round(sum(made) OVER w - sum(made * deg * (year - 1)) OVER w, 1) AS cm, (SELECT count(*) FROM k) AS total FROM y WINDOW w AS (ORDER BY year))
+SELECT year::BIGINT AS install_year, buildings AS new_buildings, cb::BIGINT AS cum_buildings, round(100.0::DOUBLE * cb / total, 1) AS coverage_pct, kwp1 AS new_kwp, ck AS cum_kwp, round(ck / 1000, 2) AS cum_mwp, made AS new_production_mwh, used AS new_consumption_mwh,
+own AS new_self_consumed_mwh, out AS new_grid_export_mwh, cm AS cum_annual_production_mwh, paid AS new_investment_eur, cp AS cum_investment_eur, round(cp / 1000000, 2) AS cum_investment_meur, npv0 AS new_npv_eur, cn AS cum_npv_eur, weighted_avg_irr, avg_payback_years, total AS total_eligible FROM s"""
+
+
+def q_area_plan(spark: SparkSession, d: str) -> DataFrame:
+    """Installations by area and year, areas being nations."""
+    plan = planning.roll_out(_ranking(spark, d), _params(spark)).withColumns({k: F.expr(v) for k, v in _ENERGY.items()})
+    return planning.area_plan(plan, ["nation"]).withColumn("install_year", F.col("install_year").cast("long"))
+
 
+SQL_area_plan = f"""WITH {_PLAN}, {_WITH_ENERGY}, y AS (SELECT nation, year, {_SUMS}, sum(kwp) AS k, sum(capex) AS c FROM e GROUP BY 1, 2)
+SELECT nation, year::BIGINT AS install_year, buildings AS new_buildings, (sum(buildings) OVER w)::BIGINT AS cum_buildings, kwp1 AS new_kwp, round(sum(k) OVER w, 1) AS cum_kwp, made AS new_production_mwh, own AS new_self_consumed_mwh, out AS new_grid_export_mwh,
+paid AS new_investment_eur, round(sum(c) OVER w, 0) AS cum_investment_eur, npv0 AS new_npv_eur, weighted_avg_irr, avg_payback_years FROM y WINDOW w AS (PARTITION BY nation ORDER BY year)"""
 
-SQL_plan_summary = f"""WITH {_PLAN}, y AS (SELECT year, count(*) AS installations, sum(kw) AS capacity, sum(kw * 1100) AS energy, sum(kw * payback) / nullif(sum(kw), 0) AS weighted_rate, max(deg) AS deg FROM pl GROUP BY 1),
-s AS (SELECT *, sum(installations) OVER w AS ci, sum(capacity) OVER w AS cc, sum(energy) OVER w AS ce FROM y WINDOW w AS (ORDER BY year))
-SELECT year::BIGINT AS year, installations, ci::BIGINT AS cumulative_installations, round(capacity, 3) AS capacity, round(energy, 3) AS energy, round(weighted_rate, 3) AS weighted_rate, round(cc, 3) AS cumulative_capacity, round(ce, 3) AS cumulative_energy,
-round(ce * pow(1 - deg::DOUBLE, year - 1), 3) AS net_energy FROM s"""
+
+def q_area_summary(spark: SparkSession, d: str) -> DataFrame:
+    """What the roofs of each area hold, with kinds of use."""
+    kinds = F.element_at(F.array(*map(F.lit, ("residential", "commercial", "industrial", "office"))), (F.col("c_custkey") % 4 + 1).cast("int"))
+    return planning.area_summary(_ranking(spark, d).withColumns({k: F.expr(v) for k, v in _ENERGY.items()} | {"user_type": kinds}), ["nation"])
+
+
+SQL_area_summary = f"""WITH {_RANK}, pl AS (SELECT * FROM k), {_WITH_ENERGY} SELECT nation, buildings, kwp1 AS total_kwp, mwp AS total_mwp, made AS total_production_mwh, used AS total_consumption_mwh, own AS total_self_consumed_mwh, out AS total_grid_export_mwh, paid AS total_investment_eur, meur AS total_investment_meur, npv0 AS total_npv_eur, weighted_avg_irr,
+avg_payback_years, share AS avg_autoconsumo, a AS residential_buildings, b AS commercial_buildings, c AS industrial_buildings FROM (SELECT nation, {_SUMS}, round(sum(kwp) / 1000, 2) AS mwp, round(sum(capex) / 1000000, 2) AS meur, round(avg(tasso_autoconsumo), 4) AS share, count(*) FILTER (c_custkey % 4 = 0) AS a, count(*) FILTER (c_custkey % 4 = 1) AS b, count(*) FILTER (c_custkey % 4 = 2) AS c FROM e GROUP BY 1)"""
 
 
 def q_window_over_agg(spark: SparkSession, d: str) -> DataFrame:
@@ -76,13 +104,17 @@ SQL_weighted_summary = "SELECT l_returnflag, count(*) FILTER (l_linestatus = 'O'
 def _sized(spark: SparkSession, d: str) -> DataFrame:
     p = t(spark, d, "part")
     area = F.col("p_size") * 20.0
-    use = planning.use_of_building(area, F.col("p_size") % 6, F.when(F.col("p_size") % 5 == 0, "Commercial"))
+    use = planning.use_of_building(area, F.when(F.col("p_partkey") % 7 > 0, F.col("p_size") % 6), F.when(F.col("p_size") % 5 == 0, "Agricultural").when(F.col("p_size") % 5 == 1, "barn"))
     kwh = planning.yearly_use(area, use)
-    return p.select("p_partkey", area.alias("area"), use.alias("use"), kwh.alias("kwh"), planning.system_size(area, kwh).alias("kw"))
+    return p.select("p_partkey", area.alias("area"), use.alias("use"), kwh.alias("kwh"), planning.system_size(area, use, kwh).alias("kw"))
 
 
-_SIZED = """b AS (SELECT p_partkey, p_size * 20.0::DOUBLE AS area, CASE WHEN p_size % 5 = 0 THEN 'commercial' WHEN p_size % 6 > 3 THEN 'condominium' WHEN p_size * 20 < 200 THEN 'residential' WHEN p_size * 20 < 500 THEN 'condominium' WHEN p_size * 20 < 2000 THEN 'commercial' ELSE 'industrial' END AS use FROM part),
-z AS (SELECT *, CASE use WHEN 'residential' THEN 3500 WHEN 'commercial' THEN area * 120 WHEN 'industrial' THEN area * 150 WHEN 'condominium' THEN area * 60 ELSE area * 80 END::DOUBLE AS kwh FROM b), s AS (SELECT *, round(least(area / 6, kwh * 1.2::DOUBLE / 1100, 20.0), 2) AS kw FROM z)"""
+#: By the rules of classification, consumption and sizing: a known class; more than three floors; more than 200 square
+#: metres, from 500 on and with one floor at most industrial; homes by 3500 kWh and a fifth of headroom; 0.13 kWp a square metre.
+_SIZED = """b AS (SELECT p_partkey, p_size * 20.0::DOUBLE AS area, CASE WHEN p_size % 5 = 0 THEN 'agricultural' WHEN floors > 3 THEN 'commercial' WHEN p_size * 20 > 200 AND p_size * 20 >= 500 AND floors <= 1 THEN 'industrial' WHEN p_size * 20 > 200 THEN 'commercial' ELSE 'residential' END AS use
+  FROM (SELECT *, CASE WHEN p_partkey % 7 > 0 THEN p_size % 6 ELSE 0 END AS floors FROM part)),
+z AS (SELECT *, CASE use WHEN 'residential' THEN 3500 WHEN 'office' THEN area * 80 WHEN 'commercial' THEN area * 100 WHEN 'industrial' THEN area * 150 WHEN 'agricultural' THEN area * 30 ELSE area * 80 END::DOUBLE AS kwh FROM b),
+s AS (SELECT *, round(CASE WHEN use = 'residential' THEN least(area * 0.13::DOUBLE, kwh * 1.2::DOUBLE / 1100, 20.0) ELSE least(area * 0.13::DOUBLE, 20.0) END, 2) AS kw FROM z)"""
 
 
 def q_classify_building(spark: SparkSession, d: str) -> DataFrame:
@@ -100,25 +132,37 @@ SQL_size_system = f"WITH {_SIZED} SELECT p_partkey, use, kw FROM s"
 
 
 def q_cash_flow(spark: SparkSession, d: str) -> DataFrame:
+    """Present value and paybacks; the internal rate by the present value that it leaves (zero)."""
     s = _sized(spark, d)
     c = planning.cash_flow(F.col("kw"), F.col("kwh"))
-    return s.select("p_partkey", *(r4(v, 2).alias(k) for k, v in c.items()))
+    s = s.select("p_partkey", "kw", "kwh", *(v.alias(k) for k, v in c.items()))
+    flow = F.expr("(least(kw * 1100 * 0.35D, kwh) * 0.25D + (kw * 1100 - least(kw * 1100 * 0.35D, kwh)) * 0.08D)")
+    left = let(F.struct(F.col("irr").alias("r"), flow.alias("f")), lambda v: F.aggregate(F.sequence(F.lit(1), F.lit(25)), F.lit(0.0), lambda a, y: a + v["f"] * F.pow(F.lit(1 - 0.0045), y - 1) / F.pow(1 + v["r"], y))) - F.col("kw") * 1500
+    return s.select("p_partkey", r4(F.col("npv"), 2).alias("npv"), r4(F.col("payback_simple"), 2).alias("payback_simple"), r4(F.col("payback_discounted"), 2).alias("payback_discounted"), r4(F.col("tasso_autoconsumo")).alias("tasso_autoconsumo"), (F.abs(left) < 0.01).alias("irr_solves"))
 
 
 SQL_cash_flow = f"""WITH {_SIZED}, f AS (SELECT *, least(kw * 1100 * 0.35::DOUBLE, kwh) AS own FROM s), n AS (SELECT *, own * 0.25::DOUBLE + (kw * 1100 - own) * 0.08::DOUBLE AS first FROM f),
 p AS (SELECT p_partkey, (SELECT sum(n.first * pow(1 - 0.0045::DOUBLE, y - 1) / pow(1.055::DOUBLE, y)) FROM range(1, 26) g(y)) AS present, kw, own, first FROM n)
-SELECT p_partkey, round(present - kw * 1500, 2) AS npv, round(kw * 1500 / nullif(first, 0), 2) AS payback_years, round(own * 100 / nullif(kw * 1100, 0), 2) AS self_consumption_pct FROM p"""
+SELECT p_partkey, round(present - kw * 1500, 2) AS npv, round(kw * 1500 / nullif(first, 0), 2) AS payback_simple, CASE WHEN present > kw * 1500 THEN round(ln(1 - kw * 1500 * (1 - 0.9955::DOUBLE / 1.055) * 1.055::DOUBLE / first) / ln(0.9955::DOUBLE / 1.055), 2) END AS payback_discounted,
+round(own / nullif(kw * 1100, 0), 4) AS tasso_autoconsumo, true AS irr_solves FROM p"""
+
+
+_ANSWERS = [
+    ('Result: {"has_pv": true, "confidence": 1.5} end', True, 1.0), ('{"has_pv": false, "confidence": 0.25}', False, 0.25), ('{"confidence": 0.5} yes', None, 0.5), ('{"has_pv": null}', False, 0.0),
+    ("Yes, confidence 0.75", True, 0.75), ("No panels. Conf: 0.5", False, 0.5), ("false, not true", True, 0.0), ("unclear", None, 0.0), ('{broken} nothing seen, confidence: 7', False, 1.0), ('{"has_pv": 1, "confidence": "high"} yes', True, 0.0),
+]
 
 
 def q_parse_detection(spark: SparkSession, d: str) -> DataFrame:
+    """Free answers of a model: JSON first, then words anywhere; confidence held within 0 and 1."""
     e = t(spark, d, "events")
-    raw = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('Result: {"has_pv": true, "confidence": '), ((F.col("event_id") % 150) / 100).cast("string"), F.lit("} end")))
-    raw = raw.when(F.col("event_id") % 3 == 1, F.concat(F.lit("Yes, confidence about "), ((F.col("event_id") % 100) / 100).cast("string"))).otherwise("No panels seen")
+    raw = F.element_at(F.array(*(F.lit(a[0]) for a in _ANSWERS)), (F.col("event_id") % len(_ANSWERS) + 1).cast("int"))
     flag, confidence = payloads.detection(raw)
     return e.select("event_id", flag.alias("has_pv"), F.round(confidence, 4).alias("confidence"))
 
 
-SQL_parse_detection = """SELECT event_id, event_id % 3 <> 2 AS has_pv, CASE event_id % 3 WHEN 0 THEN least((event_id % 150) / 100, 1.0) WHEN 1 THEN (event_id % 100) / 100 END::DOUBLE AS confidence FROM events"""
+#: What the rules give for each answer, worked out by hand.
+SQL_parse_detection = "SELECT event_id, a.has_pv, a.confidence FROM events JOIN (VALUES " + ", ".join(f"({k}, {'NULL' if f is None else f}::BOOLEAN, {c}::DOUBLE)" for k, (_, f, c) in enumerate(_ANSWERS)) + f") a(k, has_pv, confidence) ON event_id % {len(_ANSWERS)} = a.k"
 
 
 def _batches(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:

@@ -84,11 +84,19 @@ def commitments(raw: DataFrame) -> DataFrame:
 
 
 def detection(raw: Column) -> tuple[Column, Column]:
-    """(has_pv, confidence) of a model's free answer: the first JSON object in it, else a leading yes or no and a number
-    after "confidence"; the confidence is held within 0 and 1."""
-    obj = F.from_json(F.regexp_extract(raw, r"(\{[^{}]*\})", 1), "has_pv string, confidence double")
-    said = F.lower(F.regexp_extract(raw, r"(?i)\b(true|yes|false|no)\b", 1))
-    flag = F.coalesce(F.lower(obj["has_pv"]).isin("true", "yes", "1"), F.when(said != "", said.isin("true", "yes")))
-    number = F.regexp_extract(raw, r"(?i)confidence\D{0,10}?([0-9]*\.?[0-9]+)", 1)
-    confidence = F.coalesce(obj["confidence"], F.when(number != "", number.cast("double")))
-    return flag, F.when(confidence.isNotNull(), F.least(F.greatest(confidence, F.lit(0.0)), F.lit(1.0)))
+    """(has_pv, confidence) of a model's free answer. The first {...} in it counts if it is JSON: its has_pv (any value that
+    isn't false, 0, empty or null), its confidence. Otherwise has_pv is true if the text holds "true" or "yes" anywhere,
+    else false if it holds "false" or "no", else null, and the confidence is the number after "confidence" or "conf".
+    The confidence is held within 0 and 1 and is 0 if there is none."""
+    found = F.regexp_extract(raw, r"(\{[^{}]*\})", 1)
+    obj = F.from_json(found, "map<string,string>")
+    value, quoted = F.try_element_at(obj, F.lit("has_pv")), F.regexp_like(found, F.lit(r'"has_pv"\s*:\s*"'))
+    truthy = F.when(quoted, value != "").otherwise(~F.coalesce(value.isin("false", "0", "0.0", "[]", "{}"), F.lit(True)))
+    low = F.lower(raw)
+    said = F.when(low.contains("true") | low.contains("yes"), True).when(low.contains("false") | low.contains("no"), False)
+    number = F.regexp_extract(low, r"(?:confidence|conf)[:\s]*([0-9]*\.?[0-9]+)", 1)
+    given = F.try_element_at(obj, F.lit("confidence"))
+    json = obj.isNotNull() & (given.isNull() | given.try_cast("double").isNotNull())
+    flag = F.when(json, F.when(F.map_contains_key(obj, "has_pv"), truthy)).otherwise(said)
+    confidence = F.when(json, F.coalesce(given.try_cast("double"), F.lit(0.0))).otherwise(F.when(number != "", number.cast("double")).otherwise(0.0))
+    return flag, F.when(raw.isNotNull(), F.least(F.greatest(confidence, F.lit(0.0)), F.lit(1.0)))
