@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 from voltaria.llm import components, neardup
 
@@ -59,7 +60,6 @@ def test_components_are_those_of_all_pairs(spark, seed, size, percent):
 def test_parts_of_regions_change_nothing(spark, monkeypatch):
     rows = corpus(3)
     monkeypatch.setattr(neardup, "PART", 150)
-    monkeypatch.setattr(neardup, "LARGE", 4)
     monkeypatch.setattr(neardup, "HUB", 2)
     cloudpickle.register_pickle_by_value(neardup)
     try:
@@ -95,3 +95,34 @@ def test_signatures_estimate_the_jaccard():
     x = np.unique(r.integers(0, 2**63, 1000, dtype=np.uint64))
     a, b = neardup.signature(x[:900]), neardup.signature(x[100:])
     assert abs((a == b).mean() - 0.8) < 0.12
+
+
+def test_long_unrelated_texts_share_no_values(spark):
+    """Hashes of the least values tell long sets apart: unrelated ones agree on about one byte in 256."""
+    memo = neardup.WordHashes()
+    r = np.random.default_rng(5)
+    made = spark.createDataFrame([(k, " ".join(f"w{x}" for x in r.integers(0, 10**6, 5000)), k) for k in range(12)], "doc_id long, text string, other int")
+    rows = neardup.sketches(made, 5, 4).collect()
+    bytes_ = [np.frombuffer(x.agree, np.uint8) for x in rows]
+    assert max((bytes_[i] == bytes_[j]).mean() for i in range(12) for j in range(i)) < 0.05
+    assert len(memo) == 0 and neardup.near_duplicates(made).filter("NOT kept").count() == 0
+
+
+def test_neighbours_of_the_sorted_orders_find_nearly_all_links(spark):
+    """Chains of copies that each differ by a word: the candidates alone unite them, before regions are compared."""
+    r = np.random.default_rng(6)
+    docs = []
+    for g in range(20):
+        base = [f"g{g}w{x}" for x in r.integers(0, 10**6, 120)]
+        for k in range(30):
+            w = list(base)
+            for _ in range(int(r.integers(0, 3))):
+                w[int(r.integers(0, 120))] = f"x{g}y{k}"
+            docs.append((1000 * g + k, " ".join(w)))
+    made = spark.createDataFrame(docs, "doc_id long, text string")
+    s = neardup.sketches(made, 5, 4).select(F.col("doc_id").alias("doc"), F.posexplode("keys").alias("tree", "key"), "agree")
+    s = s.select("doc", "tree", F.substr("agree", F.col("tree") * neardup.MAX_DEPTH + 1, F.lit(neardup.MAX_DEPTH)).alias("values"))
+    pairs = neardup._neighbours(s, 4).distinct().collect()
+    assert all(a > b and a // 1000 == b // 1000 for a, b in pairs) and len(pairs) < 20 * 30 * 29 // 2
+    met = {x for p in pairs for x in p}
+    assert len(met) >= 0.95 * len(docs)

@@ -1,16 +1,17 @@
 """Near-duplicate documents by an LSH forest over MinHash signatures.
 
-Each document's set of word shingles gets a signature of ``TREES`` orders with up to ``MAX_DEPTH`` values each. In
-every order, documents are sorted by their values; those whose longest common prefix reaches ``depth`` lie in one
-region and are candidates. ``depth`` follows from the threshold: the deepest at which a pair at the threshold is missed
-by all orders with a chance of at most ``MISS``. Where a region is large, its order goes deeper until neighbours'
-prefixes tell documents apart again.
+Each document's set of word shingles gets a signature of ``TREES`` orders with ``MAX_DEPTH`` values each. In every order
+all documents are sorted by their values, over range partitions, so that equal values of any number of documents are
+dealt evenly. A document's candidates are the one before it and the first of the run of documents that share its longest
+common prefix with that one: the prefix is as deep as the neighbourhood allows, so large regions are told apart at deeper
+values and small ones at shallower. ``depth``, the least prefix that counts, follows from the threshold: the deepest at
+which a pair at the threshold is missed by all orders with a chance of at most ``MISS``. Documents that share a prefix of
+that depth form a region.
 
 No region is ever held whole and no group is expanded into all its pairs:
 
 1.  Documents with equal sets are one class; its smallest document stands for it.
-2.  In every region each member is paired with the region's first (smallest) document and with its neighbours in
-    the deeper order. These pairs are confirmed on full sets, and components of confirmed links are formed.
+2.  Candidates by longest common prefix are confirmed on full sets, and components of confirmed links are formed.
 3.  Regions that still hold several components are what may hide a link: their members' pairs across components
     (and no others) are confirmed too, in the region's own tasks and once per pair however many regions share it,
     unless sizes or signatures already rule the link out (a signature that agrees so little has a chance below
@@ -39,9 +40,8 @@ from .components import components
 from .repeats import U, WordHashes, mixed
 
 TREES, MAX_DEPTH, MISS = 24, 8, 1e-5
-#: Members from which a region's order goes on to its deepest level; shingles of a region's part (a task holds two parts);
-#: pairs that share one copy of a document's text.
-LARGE, PART, HUB = 64, 1_000_000, 256
+#: Shingles of a region's part (a task holds two parts); pairs that share one copy of a document's text.
+PART, HUB = 1_000_000, 256
 
 _rng = np.random.default_rng(20240301)
 _ODD = (_rng.integers(1, 2**31, TREES * MAX_DEPTH, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -83,13 +83,14 @@ def links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 def sketches(docs: DataFrame, size: int, depth: int, carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n, high, low, keys, agree, packed): set size and 128-bit hash; the hash of each order's number and first
-    ``depth`` values; a byte of every value, order by order; the text compressed; carried columns as _name."""
+    ``depth`` values; a byte of every value, order by order (of its hash: the least values themselves are all small); the
+    text compressed; carried columns as _name."""
     import xxhash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, pack = WordHashes(), zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            n, high, low, keys, deep, agree, packed = [], [], [], [], [], [], []
+            n, high, low, keys, agree, packed = [], [], [], [], [], []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
                 s = shingles(text or b"", size, memo)
                 n.append(len(s))
@@ -106,7 +107,7 @@ def sketches(docs: DataFrame, size: int, depth: int, carry: tuple[str, ...] = ()
                 for k in range(depth):
                     h = mixed(h * U(0x9E3779B97F4A7C15) + sig[:, k].astype(np.uint64))
                 keys.append(h.view(np.int64))
-                agree.append((sig >> np.uint32(24)).astype(np.uint8).tobytes())
+                agree.append(((sig ^ (sig >> np.uint32(15))) * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.uint8).tobytes())
             cols = [batch.column(0), *(pa.array(x, pa.int64()) for x in (n, high, low)), pa.array(keys, pa.list_(pa.int64())), pa.array(agree, pa.binary()), pa.array(packed, pa.binary())]
             yield pa.RecordBatch.from_arrays(cols + batch.columns[2:], names=["doc_id", "n", "high", "low", "keys", "agree", "packed", *(f"_{c}" for c in carry)])
 
@@ -144,21 +145,33 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     return both.mapInArrow(run, "a long, b long")
 
 
-def _neighbours(members: DataFrame) -> DataFrame:
-    """Pairs of neighbours in the deeper order of large regions: equal deep values lie together, one chain a value."""
+def _neighbours(members: DataFrame, depth: int) -> DataFrame:
+    """Candidate pairs of every sorted order: (tree, values, doc), a byte a value.
+
+    A partition's first document has no one before it; regions that hold several components are compared in any case.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = None
+        order, before, last = None, b"", None
+        first = [None] * (MAX_DEPTH + 1)  # by depth: the first document of the run that shares that many values
         for batch in batches:
-            out = []
-            for tree, deep, doc in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if before and before[:2] == (tree, deep) and before[2] != doc:
-                    out.append((before[2], doc))
-                before = tree, deep, doc
-            yield pa.RecordBatch.from_pydict({"a": pa.array([r[0] for r in out], pa.int64()), "b": pa.array([r[1] for r in out], pa.int64())})
-
-    dealt = members.filter(F.col("members") >= LARGE).select("tree", "deep", "doc")
-    return dealt.repartition(partitions(members.sparkSession), "tree", "deep").sortWithinPartitions("tree", "deep", "doc").mapInArrow(run, "a long, b long")
+            a, b = [], []
+            for tree, values, doc in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                common = 0
+                if tree == order:
+                    common = MAX_DEPTH if values == before else next(k for k in range(MAX_DEPTH) if values[k] != before[k])
+                if common >= depth:
+                    for other in {last, first[common]}:
+                        if other != doc:
+                            a.append(max(doc, other))
+                            b.append(min(doc, other))
+                first[common + 1 :] = [doc] * (MAX_DEPTH - common)
+                order, before, last = tree, values, doc
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    by = ("tree", "values", "doc")
+    dealt = members.select(*by).repartitionByRange(partitions(members.sparkSession), *by)
+    return dealt.sortWithinPartitions(*by).mapInArrow(run, "a long, b long")
 
 
 def _labelled(nodes: DataFrame, found: DataFrame) -> DataFrame:
@@ -238,14 +251,12 @@ def _grouped(docs: DataFrame, size: int, percent: int, carry: tuple[str, ...] =
     doubles = doubles.select("a", "b").distinct()
 
     orders = chosen.select("doc", "n", "agree", F.posexplode("keys").alias("tree", "key"))
-    orders = orders.select("doc", "n", "tree", "key", F.substr("agree", F.col("tree") * MAX_DEPTH + 1, F.lit(MAX_DEPTH)).alias("deep"))
-    regions = orders.groupBy("key").agg(F.count("*").alias("members"), F.min("doc").alias("first")).filter("members > 1")
+    orders = orders.select("doc", "n", "tree", "key", F.substr("agree", F.col("tree") * MAX_DEPTH + 1, F.lit(MAX_DEPTH)).alias("values"))
+    regions = orders.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1").drop("members")
     # what is joined to large groups is checkpointed first: a join of two plain shuffles is one whose hot keys are split
     members = cut_lineage(orders.join(cut_lineage(regions), "key"))
-    pairs = members.filter("doc > first").select(F.col("doc").alias("a"), F.col("first").alias("b"))
-    chain = _neighbours(members).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     texts = filled.select("doc_id", "packed")
-    near = cut_lineage(confirmed(pairs.union(chain), texts, size, percent).union(doubles))
+    near = cut_lineage(confirmed(_neighbours(members, depth), texts, size, percent).union(doubles))
     found = components(near)
 
     data = chosen.select("doc", "n", "keys", "agree", "packed")
