@@ -1,15 +1,20 @@
 """Exact top-k inner products by no-random-access aggregation.
 
-Vectors are dealt into blocks. A block keeps one list per dimension, sorted by value; for a query the list is read from
-the end that adds most. Reading all lists to the same depth, every vector has a lower bound (what was seen, and for the
-rest the least that its lists hold) and an upper bound (what was seen, and for the rest the value at the depth read).
-When the k-th best lower bound is above every outsider's upper bound no outsider can qualify; reading stops, and the
-scores of the few candidates left are resolved.
-Blocks of queries meet blocks of vectors; a block's k best per query go on to the last ranking.
+Queries and vectors are dealt over a bounded number of cells: a cell holds a share of the queries in memory and reads a
+share of the vectors as a stream, block by block. A block keeps one list per dimension, sorted by value; for a query the
+list is read from the end that adds most, in chunks whose depth doubles. Only entries newly read are added: every vector
+has a lower bound (what was seen, and for the rest the least that its lists hold), and no vector can gain more than what
+the values at the depth read leave. Reading stops when no outsider can reach the bar, the k-th best score of the query,
+and the scores of the candidates left are resolved. The bar goes on from block to block, so later blocks are read less.
+A cell's k best per query go on to the last ranking.
+
+Sums are integers: 64-bit where the block's numbers can't exceed that, else Python's own, by the same steps.
 
 Edge cases: a vector that is null, empty or holds null or non-finite components takes no part, nor does one with a null
 id; vectors of another length than the query score the dimensions that they share; ties go to the smaller id; rows that
-repeat an id are candidates each, but never of their own query; no rows give no rows.
+repeat an id are candidates each, but never of their own query; a query that is repeated with another vector is another
+query of the same id and they share the k places; components whose 1024-fold exceeds a long, and scores that do, raise an
+error; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -21,10 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import importable, table
+from .common import importable, partitions, table
 
-#: The scale of components; vectors and queries in a block; queries that a task bounds at once.
-SCALE, VECTORS, QUERIES, AT_ONCE = 1024, 8192, 512, 64
+#: The scale of components; vectors in a block; queries that read together; queries that a cell holds at most.
+SCALE, VECTORS, AT_ONCE, QUERIES = 1024, 8192, 64, 200_000
+NONE = np.iinfo(np.int64).min
 
 
 def scaled(vectors: DataFrame) -> DataFrame:
@@ -37,106 +43,152 @@ def scaled(vectors: DataFrame) -> DataFrame:
 
 
 class Lists:
-    """One block's sorted lists."""
+    """One block's sorted lists. ``x``: vectors of one length, as rows of integers."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray) -> None:
         order = np.argsort(ids, kind="stable")
         self.ids, self.x = ids[order], x[order]
-        self.up = np.sort(self.x, axis=0)
-        place = np.argsort(self.x, axis=0, kind="stable")
-        self.place = np.empty(place.shape, np.int32)
-        np.put_along_axis(self.place, place, np.arange(len(ids), dtype=np.int32)[:, None], axis=0)  # how far up the list a vector is
-
-    def best(self, ids: np.ndarray, q: np.ndarray, k: int) -> tuple[list[list[tuple[int, int]]], list[int]]:
-        """For each query (a row of ``q`` with its id): (score, id) of the k best, ties to the smaller id; and the depth read.
-
-        All queries read to the same depth at once, so bounds are products of matrices: lists read from the top serve
-        the positive weights, lists read from the bottom the negative ones.
-        """
-        if np.abs(q).sum(axis=1).max() * max(-self.up.min(), self.up.max(), 1) >= 2**53:  # too large for exact floating sums
-            return [self._resolve(i, [int(v) for v in w], k) for i, w in zip(ids, q, strict=True)], [len(self.ids)] * len(ids)
-        n = len(self.ids)
-        out: list[list[tuple[int, int]]] = [[] for _ in ids]
-        read = [n] * len(ids)
-        left, depth = np.arange(len(ids)), max(1, n // 8)
+        self.at = np.argsort(self.x, axis=0, kind="stable")
+        self.up = np.take_along_axis(self.x, self.at, axis=0)
+        self.entries = 0  # read so far, by all queries
+
+    def best(self, asked: np.ndarray, q: np.ndarray, k: int, bars: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query (a row of ``q``, its id in ``asked``): scores and ids of those of the k best of this block that
+        reach its bar (a score that k vectors have already), ties to the smaller id."""
+        n, d = self.x.shape
+        q, x, up = q[:, :d], self.x, self.up
+        if int(max(-up.min(), up.max(), 1)) * int(np.abs(q).sum(axis=1).max()) * 4 >= 2**63:
+            q, x, up = q.astype(object), x.astype(object), up.astype(object)
+        own = {j: np.flatnonzero(self.ids == i) for j, i in enumerate(asked)}
+        plus, minus = np.maximum(q, 0), np.minimum(q, 0)
+        out: list = [None] * len(q)
+        left, before, depth = np.arange(len(q)), 0, max(1, n // 16)
+        low = np.repeat((plus @ up[0] + minus @ up[-1])[None, :], n, axis=0)  # as if all lists gave their least
         while len(left):
-            w = q[left].T
-            plus, minus = np.maximum(w, 0), np.minimum(w, 0)
-            top, bottom = (self.place >= n - depth).astype(np.float64), (self.place < depth).astype(np.float64)
-            seen = (top * self.x) @ plus + (bottom * self.x) @ minus
-
-            def rest(high: np.ndarray, low: np.ndarray) -> np.ndarray:
-                """What dimensions not yet seen add if each adds ``high`` (positive weights) or ``low`` (negative ones)."""
-                a, b = high[:, None] * plus, low[:, None] * minus
-                return (a + b).sum(axis=0) - top @ a - bottom @ b  # noqa: B023
-
-            if depth >= n:
-                low = high = seen
-            else:
-                low = seen + rest(self.up[0], self.up[-1])
-                high = seen + rest(self.up[n - 1 - depth], self.up[depth])
-            own = self.ids[:, None] == ids[left]
-            low, high = np.where(own, -np.inf, low), np.where(own, -np.inf, high)
-            bar = np.partition(low, n - k, axis=0)[n - k] if n >= k else np.full(len(left), -np.inf)
-            may = (high >= bar) & ~own
-            done = (may.sum(axis=0) <= max(4 * k, n // 64)) | (depth >= n)
-            for j in np.flatnonzero(done):
-                at = np.flatnonzero(may[:, j])
-                score = self.x[at] @ q[left[j]]
-                first = np.lexsort((self.ids[at], -score))[:k]
-                out[left[j]] = [(int(score[t]), int(self.ids[at[t]])) for t in first]
-                read[left[j]] = min(depth, n)
-            left, depth = left[~done], min(n, 2 * depth)
-        return out, read
-
-    def _resolve(self, query: int, q: list[int], k: int) -> list[tuple[int, int]]:
-        scores = [(sum(int(a) * b for a, b in zip(x, q, strict=True)), int(i)) for i, x in zip(self.ids, self.x, strict=True) if i != query]
-        return sorted(scores, key=lambda s: (-s[0], s[1]))[:k]
-
-
-def _packed(rows: DataFrame, block: str) -> DataFrame:
-    """(block, rows): a block's vectors together; blocks have a bounded expected size."""
-    return rows.groupBy(block).agg(F.collect_list(F.struct("vec_id", "x")).alias("rows"))
-
-
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, per_block: int = VECTORS, per_queries: int = QUERIES) -> DataFrame:
-    """(query_id, rank, vec_id, score). Both tables: (vec_id, embedding). Blocks are of bounded size whatever the ids are."""
-    importable(vectors.sparkSession)
-    pool, asked = scaled(vectors), scaled(queries)
+            p, m = plus[left], minus[left]
+            for j in range(d):  # entries between the two depths, from the top for positive weights, else from the bottom
+                if p[:, j].any():
+                    rows = self.at[n - depth : n - before, j]
+                    low[rows] += np.outer(x[rows, j] - up[0, j], p[:, j])
+                if m[:, j].any():
+                    rows = self.at[before:depth, j]
+                    low[rows] += np.outer(x[rows, j] - up[-1, j], m[:, j])
+            self.entries += d * (depth - before) * len(left)
+            # what a vector can still gain from entries that weren't read
+            gain = p @ (up[n - 1 - depth] - up[0]) + m @ (up[depth] - up[-1]) if depth < n else np.zeros(len(left), q.dtype)
+            done = np.zeros(len(left), bool)
+            for c, j in enumerate(left):
+                have = low[:, c]
+                if len(own[j]):
+                    have = have.copy()
+                    have[own[j]] = have.min() - 1 - gain[c]
+                bar = bars[j]
+                if n >= k:
+                    bar = max(bar, np.partition(have, n - k)[n - k])
+                may = np.flatnonzero(have + gain[c] >= bar)
+                may = may[self.ids[may] != asked[j]]
+                if depth >= n or len(may) <= max(4 * k, n // 64):
+                    score = have[may] if depth >= n else x[may] @ q[j]
+                    first = np.lexsort((self.ids[may], -score))[:k]
+                    out[j], done[c] = (score[first], self.ids[may][first]), True
+            left, low = left[~done], low[:, ~done]
+            before, depth = depth, min(n, 2 * depth)
+        return out
+
+
+class _Cell:
+    """The queries of a cell and the best that they have met."""
+
+    def __init__(self, k: int) -> None:
+        self.k, self.rows, self.block = k, [], []
+        self.ready = False
+        self.entries = self.total = 0
+
+    def _start(self) -> None:
+        self.ids = np.array([i for i, _ in self.rows], np.int64)
+        self.q = np.zeros((len(self.rows), max(len(v) for _, v in self.rows)), np.int64)
+        for row, (_, v) in zip(self.q, self.rows, strict=True):
+            row[: len(v)] = v
+        self.bars = np.full(len(self.rows), NONE, np.int64)
+        self.best: list = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(self.rows)
+        self.ready = True
+
+    def settle(self) -> None:
+        """Reads the block that is at hand."""
+        if not self.block or not self.rows:
+            self.block = []
+            return
+        if not self.ready:
+            self._start()
+        by_size: dict[int, list] = {}
+        for i, v in self.block:
+            by_size.setdefault(len(v), []).append((i, v))
+        self.block = []
+        for part in by_size.values():
+            lists = Lists(np.array([i for i, _ in part], np.int64), np.array([v for _, v in part], np.int64))
+            wide = np.zeros((len(self.ids), max(0, lists.x.shape[1] - self.q.shape[1])), np.int64)
+            q = np.hstack([self.q, wide]) if wide.shape[1] else self.q
+            for at in range(0, len(self.ids), AT_ONCE):
+                some = slice(at, at + AT_ONCE)
+                for j, (score, ids) in enumerate(lists.best(self.ids[some], q[some], self.k, self.bars[some]), at):
+                    score, ids = np.concatenate([self.best[j][0], score]), np.concatenate([self.best[j][1], ids])
+                    first = np.lexsort((ids, -score))[: self.k]
+                    self.best[j] = score[first], ids[first]
+                    if len(first) == self.k:
+                        self.bars[j] = score[first[-1]]
+            self.entries += lists.entries
+            self.total += lists.x.size * len(self.ids)
+
+    def batch(self) -> pa.RecordBatch:
+        self.settle()
+        found = [(int(i), int(v), int(s)) for i, (score, ids) in zip(self.ids, self.best, strict=True) for s, v in zip(score, ids, strict=True)] if self.ready else []
+        cols = list(zip(*found, strict=True)) or [[], [], []]
+        share = [pa.array([v] * len(found), pa.int64()) for v in (self.entries, self.total)]
+        return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), *share], names=["query_id", "vec_id", "score", "entries_read", "entries"])
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, per_block: int = VECTORS, per_cell: int = QUERIES, report: bool = False) -> DataFrame:
+    """(query_id, rank, vec_id, score). Both tables: (vec_id, embedding).
+
+    With c columns of cells for the queries and r rows of cells for the vectors, queries are sent r times and vectors c
+    times; c follows from what a cell may hold, r * c is bounded by the cluster's partitions (four cells each).
+    ``report``: two more columns, the list entries that the row's cell read and those that its lists hold.
+    """
+    spark = vectors.sparkSession
+    importable(spark)
+    pool, asked = scaled(vectors), scaled(queries).distinct()
     n, m = pool.count(), asked.count()
-    n_blocks, q_blocks = max(1, -(-n // per_block)), max(1, -(-m // per_queries))
+    c = max(1, -(-m // per_cell))
+    r = max(1, min(4 * partitions(spark) // c, -(-n // per_block)))
     # rows are dealt by hash of id and content, so that repeated ids spread too
-    deal = lambda df, name, parts: df.withColumn(name, F.pmod(F.xxhash64("vec_id", "x"), F.lit(parts)).cast("int"))
-    v = _packed(deal(pool, "block", n_blocks), "block").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
-    q = _packed(deal(asked.distinct(), "part", q_blocks), "part").withColumnRenamed("rows", "asked")
+    deal = lambda parts: F.pmod(F.xxhash64("vec_id", "x"), F.lit(parts)).cast("int")
+    all_of = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    q = asked.withColumn("col", deal(c)).withColumn("row", all_of(r)).withColumn("kind", F.lit(0))
+    v = pool.withColumn("row", deal(r)).withColumn("col", all_of(c)).withColumn("kind", F.lit(1))
+    both = q.select("row", "col", "kind", "vec_id", "x").union(v.select("row", "col", "kind", "vec_id", "x"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, cell = None, _Cell(k)
         for batch in batches:
-            for row, queried in zip(batch.column(0), batch.column(1), strict=True):
-                by_size: dict[int, list] = {}
-                for r in row.as_py():
-                    by_size.setdefault(len(r["x"]), []).append(r)
-                blocks = [Lists(np.array([r["vec_id"] for r in part], np.int64), np.array([r["x"] for r in part], np.float64)) for part in by_size.values()]
-                asked = queried.as_py()
-                best: list[list[tuple[int, int]]] = [[] for _ in asked]
-                for at in range(0, len(asked), AT_ONCE):
-                    some = asked[at : at + AT_ONCE]
-                    ids = np.array([a["vec_id"] for a in some], np.int64)
-                    for b in blocks:
-                        q = np.zeros((len(some), b.x.shape[1]))
-                        for row_of, a in zip(q, some, strict=True):
-                            row_of[: len(a["x"])] = a["x"][: len(row_of)]
-                        for j, found in enumerate(b.best(ids, q, k)[0]):
-                            best[at + j] = sorted(best[at + j] + found, key=lambda s: (-s[0], s[1]))[:k]
-                out = [(a["vec_id"], i, s) for a, found in zip(asked, best, strict=True) for s, i in found]
-                cols = list(zip(*out, strict=True)) or [[], [], []]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score"])
-
-    # each pair of blocks is one row and one unit of work
-    met = v.join(q, "part").repartition(max(n_blocks * q_blocks, 1), "block", "part").select("rows", "asked")
-    found = met.mapInArrow(run, "query_id long, vec_id long, score long")
+            rows, cols, kinds, ids = (batch.column(i).to_pylist() for i in range(4))
+            x = batch.column(4)
+            flat, offsets = x.flatten().to_numpy(zero_copy_only=False), np.append(0, np.cumsum(x.value_lengths().to_numpy(zero_copy_only=False)))
+            for t, here in enumerate(zip(rows, cols, strict=True)):
+                if here != at:
+                    if at is not None:
+                        yield cell.batch()
+                    at, cell = here, _Cell(k)
+                (cell.block if kinds[t] else cell.rows).append((ids[t], flat[offsets[t] : offsets[t + 1]]))
+                if len(cell.block) >= per_block:
+                    cell.settle()
+        if at is not None:
+            yield cell.batch()
+
+    dealt = both.repartition(min(r * c, 4 * partitions(spark)), "row", "col").sortWithinPartitions("row", "col", "kind")
+    found = dealt.mapInArrow(run, "query_id long, vec_id long, score long, entries_read long, entries long")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return best.select("query_id", "rank", "vec_id", "score", *(["entries_read", "entries"] if report else []))
 
 
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
