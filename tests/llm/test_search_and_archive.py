@@ -35,14 +35,38 @@ def test_top_k(spark, n, block):
 
 def test_reading_stops_early_and_large_numbers_stay_exact():
     r = np.random.default_rng(0)
-    x = np.floor(r.normal(0, 10, (4000, 4)))
+    x = np.floor(r.normal(0, 10, (4000, 4))).astype(np.int64)
     x[7] = [900, 900, 900, 900]
+    none = np.full(2, topk.NONE)
     lists = topk.Lists(np.arange(4000), x)
-    got, depth = lists.best(np.array([1, 7]), np.array([[3.0, 2, 1, 1], [-1, 0, 0, 0]]), 1)
-    assert got[0] == [(6300, 7)] and depth[0] < 4000
-    assert got[1][0][0] == -x[:, 0].min()
-    big = topk.Lists(np.array([1, 2, 3]), np.array([[2.0**40, 1], [2.0**40, 0], [1, 1]]))
-    assert big.best(np.array([3]), np.array([[2.0**20, 1.0]]), 2)[0][0] == [(2**60 + 1, 1), (2**60, 2)]
+    got = lists.best(np.array([1, 7]), np.array([[3, 2, 1, 1], [-1, 0, 0, 0]]), 1, none)
+    assert [(v.tolist(), i.tolist()) for v, i in got][0] == ([6300], [7]) and got[1][0][0] == -x[:, 0].min()
+    assert lists.entries < 2 * x.size
+    # with a bar that nothing reaches, less is read still
+    again = topk.Lists(np.arange(4000), x)
+    assert not len(again.best(np.array([1]), np.array([[3, 2, 1, 1]]), 1, np.array([10**6]))[0][0]) and again.entries <= x.size // 8
+    big = topk.Lists(np.array([1, 2, 3]), np.array([[2**40, 1], [2**40, 0], [1, 1]]))
+    score, ids = big.best(np.array([3]), np.array([[2**22, 1]]), 2, none[:1])[0]
+    assert (score.tolist(), ids.tolist()) == ([2**62 + 1, 2**62], [1, 2])
+
+
+def test_top_k_of_odd_rows(spark):
+    """Repeated ids and rows, null ids, unequal lengths, clashing columns, several cells; the share read is told."""
+    r = np.random.default_rng(4)
+    rows = [(int(k) % 150, [float(v) for v in r.normal(0, 0.2, 4 + int(k) % 3)]) for k in range(200)]
+    rows += rows[:20] + [(None, [1.0] * 4)]
+    df = spark.createDataFrame([(i, x, 1, 2) for i, x in rows], "vec_id long, embedding array<double>, score int, rank int")
+    one = [(i, x) for k, (i, x) in enumerate(rows) if i is not None and i < 40 and [a for a, _ in rows].index(i) == k]
+    asked = spark.createDataFrame(one, "vec_id long, embedding array<double>")
+    ints = [(i, [math.floor(1024 * v) for v in x]) for i, x in rows if i is not None]
+    want = []
+    for q, x in one:
+        w = [math.floor(1024 * v) for v in x]
+        s = sorted((-sum(a * b for a, b in zip(w, y)), i) for i, y in ints if i != q)[:10]  # noqa: B905
+        want += [(q, k + 1, i, -v) for k, (v, i) in enumerate(s)]
+    got = topk.top_k(df, asked, 10, 32, 7, report=True)
+    assert sorted(tuple(x)[:4] for x in got.collect()) == sorted(want)
+    assert all(0 < x.entries_read <= x.entries for x in got.collect())
 
 
 PAGES = [
@@ -59,11 +83,13 @@ def test_round_trip(spark, tmp_path):
     assert records.count() == 3 * len(PAGES)
     rows = warc.captures(records).collect()
     assert len(rows) == len(PAGES)
-    got = []
+    got, page_of = [], {r.capture: (r.fields or {}).get("pageId") for r in rows}
     for r in rows:
-        page = None if r.page == "none" else int(r.page)
-        assert r.request.concurrent_to == r.record_id == r.metadata.concurrent_to and r.request.page == r.page if "page" in r.request else True
-        refers = int(r.response.refers_to.split(":")[2]) if r.response.refers_to else None
+        page = page_of[r.capture]
+        assert r.request.concurrent_to == r.response.record_id == r.capture == r.metadata.concurrent_to
+        if r.response.refers_to:  # to a record that is there, the response with that payload
+            assert any(x.response.record_id == r.response.refers_to and x.response.type == "response" and x.response.payload_digest == r.response.payload_digest for x in rows)
+        refers = int(page_of[r.response.refers_to]) if r.response.refers_to else None
         got.append((str(page), r.response.payload_bytes, r.response.payload_digest, r.response.type, refers))
         if r.response.type == "response":
             body = bytes(r.response.block).split(b"\r\n\r\n", 1)[1]
@@ -99,5 +125,17 @@ def test_random_payloads_survive(spark, tmp_path):
     r = random.Random(4)
     pages = [(k, "u", "".join(r.choices(["\r", "\n", "\r\n\r\n", "x", "WARC/1.1"], k=r.randint(0, 40)))) for k in range(300)]
     warc.write_warc(spark.createDataFrame(pages, "page_id long, url string, html string"), str(tmp_path / "w"), least=10**6)
-    got = {int(x.page): x.payload_digest for x in warc.read_records(spark, str(tmp_path / "w")).filter("type = 'response'").collect()}
-    assert got == {k: hashlib.sha256(h.encode()).hexdigest() for k, _, h in pages}
+    rows = warc.captures(warc.read_records(spark, str(tmp_path / "w"))).collect()
+    assert {int(x.fields["pageId"]): x.response.payload_digest for x in rows} == {k: hashlib.sha256(h.encode()).hexdigest() for k, _, h in pages}
+
+
+def test_plain_files_that_are_split_are_read_whole(spark, tmp_path):
+    pages = [(k, "u", f"{k} " + "é\r\n\r\nWARC/1.1 " * (k * 37 % 200)) for k in range(120)]
+    warc.write_warc(spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(2), str(tmp_path / "w"), compression="none")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+        rows = warc.captures(warc.read_records(spark, str(tmp_path / "w"))).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {int(x.fields["pageId"]): x.response.payload_bytes for x in rows} == {k: len(h.encode()) for k, _, h in pages}
