@@ -5,17 +5,17 @@ numbers (IBAN), secret tokens (long hexadecimal or
 mixed strings, also after a key name and an equals sign) and persons named after a title. A person is known by the name
 without title; a shorter name is that of the fullest name in the document that holds all its words, if no title speaks
 against it, and names found by a title, whole or their first or last word, are also found without one in that document.
-A surrogate is derived from a keyed hash of the entity, so one entity has one surrogate
-in all documents, without a table of them. It keeps the type and the format: digits stay digits and letters stay
-letters of their case and script (Latin, Greek, Cyrillic), separators and lengths stay, the last label of a mail domain
-and a phone's country code stay, octets stay octets of as many digits, card numbers keep a valid check digit if they
-had one, and a person gets a name of the title's gender and the name's script.
+An entity is known in all its forms: numbers without their separators, mail addresses without capitals; each mention keeps
+its own separators and capitals. A surrogate is derived from a keyed hash of the entity, so one entity has one surrogate
+in all documents, without a table of them; the key is an argument. It keeps the type and the format: digits stay digits
+and letters stay letters of their case and script, separators and lengths stay, the last label of a mail domain and a
+phone's country code stay, octets stay octets of as many digits, card numbers keep a valid check digit if they had one,
+and a person gets a name of the title's gender and the name's script.
 
 Collision check: distinct entities are compared once over the whole corpus. Where two entities of a type would get the
 same surrogate, or a surrogate is an entity that occurs, the entities after the first (in order) are derived anew with
-a further attempt until all surrogates of the type differ and none occurs. Only entities with a further attempt are
-brought back to the documents that mention them (as a constant while there are at most ``INLINE`` of them, by a join
-beyond that); all others are rewritten where they stand.
+a further attempt until all surrogates of the type differ and none occurs. From attempt ``WIDE`` on mail addresses, address
+octets, secrets and phone numbers may grow, since a format of few signs can be used up.
 
 Edge cases: a null text stays null, an empty one empty; texts without an entity stay as they are; repeated rows are
 rewritten alike; very long texts are rewritten whole in one pass; an empty table gives an empty result.
@@ -23,19 +23,18 @@ rewritten alike; very long texts are rewritten whole in one pass; an empty table
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, table
+from .common import cut_lineage, shared_path, table
 
-KEY = "voltaria-surrogates"
-#: Entities with a further attempt that are written into the plan; more are joined. From attempt WIDE on, formats with few values are widened.
-INLINE, WIDE = 1000, 6
+#: The setting that holds the secret which surrogates are derived from, and what queries take where it isn't set.
+KEY_SETTING, OPEN_KEY = "spark.voltaria.surrogates.key", "open key: for tests"
+#: Attempt from which on a surrogate may be longer than its entity, as its format has no free value left.
+WIDE = 6
 
-_TITLES_F = "Mrs|Ms|Miss|Madame|Mme|Frau|Señora|Sra"
-_TITLES_M = "Mr|Sir|Monsieur|Herr|Señor|Sr"
+_TITLES_F = "Mrs|Ms|Miss|Madame|Mme|Frau|Señora|Sra|г-жа|[Гг]оспожа|[Κκ]υρία|[Κκ]α"
+_TITLES_M = "Mr|Sir|Monsieur|Herr|Señor|Sr|г-н|[Гг]осподин|[Κκ]ύριος|[Κκ]ος"
 _TITLES_N = "Dr|Prof"
 #: One or more titles, and a name: words with inner capitals, apostrophes and hyphens, initials, particles before a word.
 _TITLE = rf"(?<![\p{{L}}])(?:(?:{_TITLES_F}|{_TITLES_M}|{_TITLES_N})(?:\.\s{{0,2}}|\s{{1,2}}))++"
@@ -88,6 +87,8 @@ NAMES = {
 _LOWER, _UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _CYR = "абвгдежзиклмнопрстуфхцчшэюя"
 _GRE = "αβγδεζηθικλμνξοπρστυφχψω"
+#: Letters of scripts without case (fixed values).
+_SCRIPTS = {"IsHebrew": "אבגדהוזחטילמנסעפצקרשת", "IsArabic": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي", "IsDevanagari": "कखगघचछजझटठडढणतथदधनपफबभमयरलवसह", "IsHan": "山川田林水火木金石天日月星雲雪花", "IsHiragana": "あいうえおかきくけこさしすせそ", "IsKatakana": "アイウエオカキクケコサシスセソ", "IsHangul": "가나다라마바사아자차카타파하"}
 
 
 def _let(value: Column, then) -> Column:
@@ -104,27 +105,34 @@ def kind_of(mention: Column) -> Column:
     return out
 
 
+def _number(digest: Column, at: Column) -> Column:
+    """A number from the keyed digest for the position ``at`` (from 0)."""
+    return F.conv(F.substr(digest, F.pmod(at * 5, F.lit(58)) + 1, F.lit(6)), 16, 10).cast("long") + at * 7
+
+
+def _under(number: Column, below: int) -> Column:
+    return F.pmod(number, F.lit(below)).cast("int")
+
+
 def _draw(digest: Column, at: Column, below: int) -> Column:
-    """A number under ``below`` from the keyed digest for the position ``at`` (from 0)."""
-    return F.pmod(F.conv(F.substr(digest, F.pmod(at * 5, F.lit(58)) + 1, F.lit(6)), 16, 10).cast("long") + at * 7, F.lit(below)).cast("int")
+    return _under(_number(digest, at), below)
 
 
 def _pick(letters: str, k: Column) -> Column:
     return F.substr(F.lit(letters), k + 1, F.lit(1))
 
 
-def _like(text: Column, digest: Column, salt: int = 0, hexa: bool = False) -> Column:
-    """Every letter and digit of a text replaced by another of its kind; the rest stays."""
+def _like(text: Column, digest: Column, letters: Column) -> Column:
+    """Every letter and digit of a text replaced by another of its kind; the rest stays. ``letters``: how many of the Latin alphabet are drawn from."""
 
-    def one(c: Column, i: Column) -> Column:
-        at = i + salt
-        out = F.when(c.rlike("[0-9]"), _pick("0123456789", _draw(digest, at, 10)))
-        out = out.when(c.rlike("[a-f]") if hexa else c.rlike("[a-z]"), _pick("abcdef" if hexa else _LOWER, _draw(digest, at, 6 if hexa else 26)))
-        out = out.when(c.rlike("[A-F]") if hexa else c.rlike("[A-Z]"), _pick("ABCDEF" if hexa else _UPPER, _draw(digest, at, 6 if hexa else 26)))
-        out = out.when(c.rlike(r"\p{IsCyrillic}"), _case(_CYR, c, _draw(digest, at, len(_CYR)))).when(c.rlike(r"\p{IsGreek}"), _case(_GRE, c, _draw(digest, at, len(_GRE))))
-        return out.when(c.rlike(r"\p{L}"), _case(_LOWER, c, _draw(digest, at, 26))).otherwise(c)
+    def drawn(c: Column, r: Column) -> Column:
+        latin = F.pmod(r, letters).cast("int")
+        out = F.when(c.rlike("[0-9]"), _pick("0123456789", _under(r, 10))).when(c.rlike("[A-Za-z]"), _case(_LOWER, c, latin)).when(~c.rlike(r"\p{L}"), c)
+        for script, signs in {"IsCyrillic": _CYR, "IsGreek": _GRE, **_SCRIPTS}.items():
+            out = out.when(c.rlike(rf"\p{{{script}}}"), _case(signs, c, _under(r, len(signs))))
+        return out.otherwise(_case(_LOWER, c, latin))
 
-    return F.array_join(F.transform(F.split(text, ""), one), "")
+    return F.array_join(F.transform(F.split(text, ""), lambda c, i: _let(_number(digest, i), lambda r: drawn(c, r))), "")
 
 
 def _case(letters: str, like: Column, k: Column) -> Column:
@@ -141,12 +149,11 @@ def _plain(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
 
-def _card(text: Column, digest: Column) -> Column:
-    made = _like(text, digest)
-    body = F.substr(_plain(made), F.lit(1), F.length(_plain(made)) - 1)
+def _card(text: Column, made: Column) -> Column:
+    """A check digit that was right is right again."""
+    body = F.substr(made, F.lit(1), F.length(made) - 1)
     check = F.pmod(10 - F.pmod(_luhn(F.concat(body, F.lit("0"))), F.lit(10)), F.lit(10)).cast("string")
-    valid = F.concat(F.substr(made, F.lit(1), F.length(made) - 1), check)
-    return F.when(F.pmod(_luhn(_plain(text)), F.lit(10)) == 0, valid).otherwise(made)
+    return F.when(F.pmod(_luhn(text), F.lit(10)) == 0, F.concat(body, check)).otherwise(made)
 
 
 def _mod97(iban: Column) -> Column:
@@ -156,11 +163,11 @@ def _mod97(iban: Column) -> Column:
     return F.aggregate(chars, F.lit(0), lambda a, c: F.when(c.rlike("[0-9]"), (a * 10 + c.cast("int")) % 97).otherwise((a * 100 + F.ascii(c) - 55) % 97))
 
 
-def _iban(text: Column, digest: Column) -> Column:
-    """The country stays; check digits that were right are right again."""
-    country, rest = F.substr(text, F.lit(1), F.lit(2)), _like(F.substr(text, F.lit(5), F.length(text)), digest)
+def _iban(text: Column, made: Column) -> Column:
+    """Check digits that were right are right again."""
+    country, rest = F.substr(made, F.lit(1), F.lit(2)), F.substr(made, F.lit(5), F.length(made))
     check = F.lpad((98 - _mod97(F.concat(country, F.lit("00"), rest))).cast("string"), 2, "0")
-    return F.concat(country, F.when(_mod97(text) == 1, check).otherwise(_like(F.substr(text, F.lit(3), F.lit(2)), digest, 37)), rest)
+    return F.when(_mod97(text) == 1, F.concat(country, check, rest)).otherwise(made)
 
 
 def _ip(text: Column, digest: Column, attempt: Column) -> Column:
@@ -171,23 +178,27 @@ def _ip(text: Column, digest: Column, attempt: Column) -> Column:
     return F.array_join(F.transform(F.split(text, r"\."), octet), ".")
 
 
-def _secret(text: Column, digest: Column) -> Column:
-    """Hexadecimal stays so, and a vendor's prefix stays."""
-    start = F.regexp_extract(text, "^(AKIA|ghp_|sk_live_|xox[bp]-)", 1)
-    rest = F.substr(text, F.length(start) + 1, F.length(text))
-    return F.when(text.rlike("^[0-9a-fA-F]+$"), _like(text, digest, hexa=True)).otherwise(F.concat(start, _like(rest, digest)))
+#: Country codes of one or two digits, all others have three; a trunk prefix (fixed values).
+_CODE = r"^(\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})|0+|1(?=[0-9]{10}$))"
 
 
-def _email(text: Column, digest: Column, attempt: Column) -> Column:
-    local, domain = F.substring_index(text, "@", 1), F.substring_index(text, "@", -1)
-    last = F.concat(F.lit("."), F.substring_index(domain, ".", -1))
-    wide = F.when(attempt >= WIDE, F.substr(digest, F.lit(1), F.lit(8))).otherwise("")
-    return F.concat(_like(local, digest), wide, F.lit("@"), _like(F.substr(domain, F.lit(1), F.length(domain) - F.length(last)), digest, 23), last)
+def canonical(kind: Column, mention: Column) -> Column:
+    """What all forms of an entity have in common: numbers without separators, mail addresses without capitals."""
+    out = F.when(kind == "phone", F.concat(F.regexp_extract(mention, r"^\+", 0), _plain(mention))).when(kind == "card", _plain(mention))
+    return out.when(kind == "iban", F.regexp_replace(mention, " ", "")).when(kind == "email", F.lower(mention)).otherwise(mention)
 
 
-def _phone(text: Column, digest: Column) -> Column:
-    code = F.regexp_extract(text, r"^(\+[0-9]{1,3})[ .(-]", 1)
-    return F.concat(code, _like(F.substr(text, F.length(code) + 1, F.length(text)), digest))
+def as_written(kind: Column, mention: Column, made: Column) -> Column:
+    """A canonical entity's surrogate in the form of a mention: its separators, its capitals."""
+
+    def spread(signs: Column) -> Column:
+        before = lambda i: F.length(F.regexp_replace(F.substr(mention, F.lit(1), i + 1), "[^0-9A-Za-z]", ""))
+        out = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(c.rlike("[0-9A-Za-z]"), F.substr(signs, before(i), F.lit(1))).otherwise(c)), "")
+        return F.concat(out, F.substr(signs, F.length(F.regexp_replace(mention, "[^0-9A-Za-z]", "")) + 1, F.length(signs)))
+
+    capitals = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(c.rlike(r"\p{Lu}"), F.upper(F.substr(made, i + 1, F.lit(1)))).otherwise(F.substr(made, i + 1, F.lit(1)))), "")
+    out = F.when(kind.isin("phone", "card", "iban"), _let(F.regexp_replace(made, "[^0-9A-Za-z]", ""), spread))
+    return out.when((kind == "email") & (F.length(mention) == F.length(made)), capitals).otherwise(made)
 
 
 def _choose(names: list[str], k: Column) -> Column:
@@ -221,15 +232,30 @@ def _person(name: Column, digest: Column, gender: Column) -> Column:
     return F.when(name.rlike(r"\p{IsCyrillic}"), named("cyrillic")).when(name.rlike(r"\p{IsGreek}"), named("greek")).otherwise(named("latin"))
 
 
-def surrogate(kind: Column, text: Column, attempt: Column, key: str = KEY, gender: Column | None = None) -> Column:
+def surrogate(kind: Column, text: Column, attempt: Column, key: str, gender: Column | None = None) -> Column:
     """The surrogate of an entity: a function of key, type, text and attempt, and of a person's gender for given names."""
-    def by(digest: Column) -> Column:
-        out = F.when(kind == "email", _email(text, digest, attempt)).when(kind == "secret", _secret(text, digest))
-        out = out.when(kind == "card", _card(text, digest)).when(kind == "ip", _ip(text, digest, attempt)).when(kind == "phone", _phone(text, digest))
-        out = out.when(kind == "iban", _iban(text, digest)).when(kind == "ipv6", _like(text, digest, hexa=True))
-        return out.when(kind == "person", _person(text, digest, F.lit("") if gender is None else gender)).otherwise(_like(text, digest))
+    # what stays in front and behind: a vendor's prefix, a country; the last label of a mail domain
+    start = F.when(kind == "secret", F.regexp_extract(text, "^(AKIA|ghp_|sk_live_|xox[bp]-)", 1)).when(kind == "phone", F.regexp_extract(text, _CODE, 1)).when(kind == "iban", F.substr(text, F.lit(1), F.lit(2))).otherwise("")
+    end = F.when(kind == "email", F.concat(F.lit("."), F.substring_index(text, ".", -1))).otherwise("")
+    hexa = (kind == "ipv6") | ((kind == "secret") & text.rlike("^[0-9a-fA-F]+$"))
+
+    def by(x: Column) -> Column:
+        digest = x["digest"]
+        middle = F.substr(text, F.length(x["start"]) + 1, F.length(text) - F.length(x["start"]) - F.length(x["end"]))
+        like = F.concat(x["start"], _like(middle, digest, x["letters"]), x["end"])
+        wide = F.substr(digest, F.lit(40), F.lit(8))
+
+        def checked(made: Column) -> Column:
+            out = F.when(kind == "card", _card(text, made)).when(kind == "iban", _iban(text, made))
+            # a format with very few signs to draw has no free value left: it grows
+            out = out.when((attempt >= WIDE) & (kind == "secret"), F.concat(made, wide)).when((attempt >= WIDE) & (kind == "phone"), F.concat(made, F.regexp_replace(wide, "[a-f]", "7")))
+            return out.when((attempt >= WIDE) & (kind == "email"), F.concat(wide, made)).otherwise(made)
+
+        person = _person(text, digest, F.lit("") if gender is None else gender)
+        return F.when(kind == "ip", _ip(text, digest, attempt)).when(kind == "person", person).otherwise(_let(like, checked))
 
-    return _let(F.sha2(F.concat_ws("\x1f", F.lit(key), kind, text, attempt.cast("string")), 256), by)
+    digest = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, text, attempt.cast("string")), 256)
+    return _let(F.struct(digest.alias("digest"), start.alias("start"), end.alias("end"), F.when(hexa, 6).otherwise(26).alias("letters")), by)
 
 
 def _gender(titles: Column) -> Column:
@@ -286,11 +312,12 @@ def any_of(names: Column) -> Column:
 
 
 def mentions(text: Column, people: Column, pattern: Column) -> Column:
-    """The entities of a text in order, as (kind, text, gender, lead, at): a person's text is the fullest name, ``lead`` the titles, ``at`` the words meant."""
+    """The entities of a text in order, as (kind, text, gender, lead, at, raw): the entity in its canonical form (a person's
+    fullest name) and as written; ``lead``: a person's titles, ``at``: the words meant."""
     found = F.when(text.rlike(HINT), F.regexp_extract_all(text, pattern, 0)).otherwise(F.array().cast("array<string>"))
 
-    def mention(kind: Column, text: Column, gender: Column, lead: Column, at: Column) -> Column:
-        return F.struct(kind.alias("kind"), text.alias("text"), gender.alias("gender"), lead.alias("lead"), at.cast("array<int>").alias("at"))
+    def mention(kind: Column, text: Column, gender: Column, lead: Column, at: Column, raw: Column) -> Column:
+        return F.struct(kind.alias("kind"), text.alias("text"), gender.alias("gender"), lead.alias("lead"), at.cast("array<int>").alias("at"), raw.alias("raw"))
 
     def person(m: Column) -> Column:
         lead = F.regexp_extract(m, f"^{_TITLE}", 0)
@@ -306,10 +333,10 @@ def mentions(text: Column, people: Column, pattern: Column) -> Column:
 
     def meant(x: Column) -> Column:
         at = F.when(x["who"]["full"] != x["name"], _places(x["words"], x["who"]["words"]))
-        return mention(F.lit("person"), F.coalesce(x["who"]["full"], x["name"]), F.coalesce(x["who"]["known"], F.lit("")), x["lead"], at)
+        return mention(F.lit("person"), F.coalesce(x["who"]["full"], x["name"]), F.coalesce(x["who"]["known"], F.lit("")), x["lead"], at, x["name"])
 
     def one(x: Column) -> Column:
-        return F.when(x["kind"] == "person", person(x["m"])).otherwise(mention(x["kind"], x["m"], F.lit(""), F.lit(""), F.lit(None)))
+        return F.when(x["kind"] == "person", person(x["m"])).otherwise(mention(x["kind"], canonical(x["kind"], x["m"]), F.lit(""), F.lit(""), F.lit(None), x["m"]))
 
     # numbers that only their check digit makes card numbers; those without it have no type and stay
     asked = F.when(F.exists(found, lambda m: m.rlike(f"^(?:{_CARD})$")), F.regexp_extract_all(text, pattern, 1))
@@ -326,7 +353,7 @@ def _found(docs: DataFrame) -> DataFrame:
     return people.withColumn("__who", linked(F.col("__names"))).withColumn("__m", mentions(text, F.col("__who"), F.col("__any")))
 
 
-def resolved(entities: DataFrame, key: str = KEY, rounds: int = 50) -> DataFrame:
+def resolved(entities: DataFrame, key: str, rounds: int = 50) -> DataFrame:
     """Entities (kind, text, distinct; gender, mixed) that need a further attempt, with their surrogates, so that all of a kind differ and none occurs.
 
     ``mixed`` ones, whose gender is not known in every document, are given too.
@@ -348,42 +375,47 @@ def resolved(entities: DataFrame, key: str = KEY, rounds: int = 50) -> DataFrame
     raise RuntimeError("surrogates still collide: the format of a type has too few values for its entities")
 
 
-def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """The documents with every entity replaced, their columns as they came (n_chars anew), and ``n_entities``."""
-    text = F.col("text")
-    with_m = _found(docs)
-    found = with_m.select(F.explode("__m").alias("m")).filter("m.kind IS NOT NULL").groupBy("m.kind", "m.text").agg(F.max("m.gender").alias("gender"), (F.min("m.gender") < F.max("m.gender")).alias("mixed"))
-    moved = resolved(found, key)
+def replace_entities(docs: DataFrame, key: str) -> DataFrame:
+    """The documents with every entity replaced, their columns as they came (n_chars anew), and ``n_entities`` (a column of
+    that name is replaced). ``key``: the secret that surrogates are derived from.
 
+    Texts are matched once: documents, mentions and what lies between them are written to the shared folder. Only entities
+    whose surrogate isn't the first attempt go back to the documents that mention them, as rows; nothing of the texts is
+    collected or written into a plan.
+    """
+    spark, cols = docs.sparkSession, [c for c in docs.columns if c != "n_entities"]
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in cols)).alias("d"), F.col("text"))
+    some = F.size("__m") > 0
+    made = _found(whole).withColumn("__parts", F.when(some, F.split("text", F.col("__any"), -1))).withColumn("__row", F.monotonically_increasing_id())
+    at = shared_path(spark, "mentions")
+    made.select("d", "__m", "__parts", "__row").write.option("compression", "zstd").parquet(at)
+    saved = spark.read.parquet(at)
+    found = saved.select(F.explode("__m").alias("m")).filter("m.kind IS NOT NULL")
+    entities = found.groupBy("m.kind", "m.text").agg(F.max("m.gender").alias("gender"), (F.min("m.gender") < F.max("m.gender")).alias("mixed"))
+    moved = resolved(entities, key)
+
+    named = lambda kind, text: F.concat_ws("\x1f", kind, text)
+    hit = saved.select("__row", F.explode("__m").alias("m")).filter("m.kind IS NOT NULL").select("__row", "m.kind", "m.text").distinct().join(moved, ["kind", "text"])
+    maps = cut_lineage(hit.groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct(named(F.col("kind"), F.col("text")), "surrogate"))).alias("__other")))
+    loud = saved.filter(some).join(maps, "__row", "left")
     first = lambda m: surrogate(m["kind"], m["text"], F.lit(0), key, m["gender"])
     # a shorter mention has the words of the surrogate that stand where its words stand in the full name
     part = lambda m, words: F.array_join(F.transform(m["at"], lambda k: F.try_element_at(words, k)), " ")
-    meant = lambda m, made: F.when(m["kind"].isNull(), m["text"]).otherwise(woven_name(m, made))
-    woven_name = lambda m, made: _let(made, lambda s: F.concat(m["lead"], F.when(m["at"].isNull(), s).otherwise(part(m, _words(s)))))
-    named = lambda kind, text: F.concat_ws("\x1f", kind, text)
-    some = F.size("__m") > 0
-    with_m = with_m.withColumn("__parts", F.when(some, F.split(text, F.col("__any"), -1)))
-    inline = moved.limit(INLINE + 1).collect()
-    if not inline:
-        other = None
-    elif len(inline) <= INLINE:
-        table_of = {f"{r.kind}\x1f{r.text}": r.surrogate for r in inline}
-        other = F.from_json(F.lit(json.dumps(table_of)), "map<string,string>")
-    else:  # rows of equal key share a table; entities are told apart within it
-        row = F.xxhash64("doc_id", "text")
-        hit = with_m.select(row.alias("__row"), F.explode("__m").alias("m")).select("__row", "m.kind", "m.text").distinct().join(moved, ["kind", "text"])
-        maps = hit.groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct(named(F.col("kind"), F.col("text")), "surrogate"))).alias("__other"))
-        with_m = with_m.withColumn("__row", row).join(maps, "__row", "left")
-        other = F.col("__other")
-    if other is None:
-        made = F.transform("__m", lambda m: meant(m, first(m)))
-    else:
-        made = F.transform("__m", lambda m: meant(m, F.coalesce(F.try_element_at(other, named(m["kind"], m["text"])), first(m))))
-    woven = F.concat(F.array_join(F.zip_with(F.slice("__parts", 1, F.size("__m")), made, lambda p, s: F.concat(p, s)), ""), F.element_at("__parts", -1))
-    with_m = with_m.withColumn("__new", F.when(some, woven).otherwise(text))
+    woven_name = lambda m, made: _let(made, lambda s: F.concat(m["lead"], F.when(m["at"].isNull(), as_written(m["kind"], m["raw"], s)).otherwise(part(m, _words(s)))))
+    meant = lambda m, made: F.when(m["kind"].isNull(), m["raw"]).otherwise(woven_name(m, made))
+    shown = F.transform("__m", lambda m: meant(m, F.coalesce(F.try_element_at("__other", named(m["kind"], m["text"])), first(m))))
+    woven = F.concat(F.array_join(F.zip_with(F.slice("__parts", 1, F.size("__m")), shown, lambda p, s: F.concat(p, s)), ""), F.element_at("__parts", -1))
+    loud = loud.withColumn("__new", woven).withColumn("n_entities", F.size(F.filter("__m", lambda m: m["kind"].isNotNull())).cast("long"))
+    quiet = saved.filter(~some | F.col("__m").isNull()).select("d", F.col("d.text").alias("__new"), F.lit(0).cast("long").alias("n_entities"))
     out = {"text": F.col("__new"), "n_chars": F.length("__new").cast("long")}
-    return with_m.select(*(out.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns), F.size(F.filter("__m", lambda m: m["kind"].isNotNull())).cast("long").alias("n_entities"))
+    both = quiet.unionByName(loud.select("d", "__new", "n_entities"))
+    return both.select(*(out.get(c, F.col("d")[c]).alias(c) for c in cols), "n_entities")
+
+
+def key_of(spark: SparkSession) -> str:
+    """The secret named in the session's settings; where there is none, the open one, whose surrogates anyone can derive."""
+    return spark.conf.get(KEY_SETTING, OPEN_KEY)
 
 
 def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"), key_of(spark))
