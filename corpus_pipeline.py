@@ -31,7 +31,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with surrogates for personal data and secrets."""
-    return pii.replace_entities(docs).drop("n_entities")
+    return pii.replace_entities(docs, pii.key_of(spark)).drop("n_entities")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
