@@ -53,3 +53,24 @@ def test_good_documents_of_the_labels_are_kept(spark):
     got = quality.op1_quality_rules(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").filter("NOT base_failed").groupBy("quality", "kept").count().collect()
     n = {(r.quality, r.kept): r["count"] for r in got}
     assert n.get((1, False), 0) == 0 and n.get((0, True), 0) == 0
+
+
+def test_each_rule_rejects_its_kind_and_no_prose(spark):
+    prose = " ".join(f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(120)) + "."
+    odd = {
+        "few_letters": " ".join("½²" for _ in range(10)) + " 12 34 -- __ one two", "symbols": prose[:200] + " # $ % & * | < > # $ % & *", "word_length": " ".join("abcdefghijklmnopqrst" + str(k) for k in range(20)),
+        "duplicate_lines": "\n".join(["same line here"] * 6 + [f"line {chr(97 + k)} differs" for k in range(6)]), "shouting": prose.upper(), "bullets": "\n".join(f"- item {chr(97 + k)} of the list" for k in range(12)),
+        "open_ended_lines": "\n".join(f"read more of {chr(97 + k)}..." for k in range(12)), "digits": " ".join(f"a{10**5 + k}" for k in range(30)), "one_word": " ".join(f"spam w{chr(97 + k)}" for k in range(26)),
+        "one_phrase": " ".join(f"buy it now {chr(97 + k)}{chr(97 + k)} {chr(98 + k)}" for k in range(20)), "broken_characters": prose[:300] + "�" * 30, "placeholder": prose + " Lorem IPSUM dolor",
+    }
+    rules = {r.name: r for r in quality.RULES}
+    assert set(odd) == set(rules)
+    for name, text in odd.items():
+        t = quality.Text(text)
+        t.base()
+        assert rules[name].rejects(t), name
+    t = quality.Text(prose)
+    t.base()
+    assert not any(r.rejects(t) for r in quality.RULES)
+    docs = spark.createDataFrame([(1, odd["few_letters"]), (None, prose), (3, prose)], "doc_id long, text string")
+    assert {(r.doc_id, r.kept) for r in quality.judge(docs).collect()} == {(1, False), (None, True), (3, True)}

@@ -85,14 +85,49 @@ def _shouted(t: Text) -> bool:
     return upper > lower
 
 
-_LETTER = re.compile(r"[^\W\d_]")
+_ASCII = re.compile("[A-Za-z]")
+_BULLET, _OPEN_END = re.compile("[ \t\r\v\f]*[•‣·*-]"), re.compile(r"(?:\.\.\.|…)[ \t\r\v\f]*\Z")
+_BLANKS = str.maketrans(dict.fromkeys(SPACES, " "))
 
 
 def _few_letters(t: Text) -> bool:
-    return 10 * sum(1 for x in t.text.translate(_BLANKS).split(" ") if x and _LETTER.search(x)) < 7 * len(t.words)
+    """Under seven words in ten hold a letter."""
+    n = sum(1 for x in t.text.translate(_BLANKS).split(" ") if x and (_ASCII.search(x) or any(map(str.isalpha, x))))
+    return 10 * n < 7 * len(t.words)
 
 
-_BLANKS = str.maketrans(dict.fromkeys(SPACES, " "))
+def _lines(text: str) -> list[str]:
+    return [x for x in text.split("\n") if x.strip(SPACES)]
+
+
+def _bullets(t: Text) -> bool:
+    return 10 * sum(1 for x in _lines(t.text) if _BULLET.match(x)) > 9 * t.n_lines
+
+
+def _open_ended(t: Text) -> bool:
+    return 10 * sum(1 for x in _lines(t.text) if _OPEN_END.search(x)) > 3 * t.n_lines
+
+
+def _digits(t: Text) -> bool:
+    return 2 * int(np.bincount(np.frombuffer(t.raw, np.uint8), minlength=256)[48:58].sum()) > t.word_chars
+
+
+def _one_word(t: Text) -> bool:
+    """One word makes up more than three in ten."""
+    return 10 * max(Counter(t.words).values()) > 3 * len(t.words)
+
+
+def _one_phrase(t: Text) -> bool:
+    """One window of three words, found twice at least, would fill more than three words in ten."""
+    w = t.words
+    top = max(Counter(zip(w, w[1:], w[2:])).values(), default=0)  # noqa: B905
+    return top > 1 and 10 * 3 * top > 3 * len(w)
+
+
+def _placeholder(t: Text) -> bool:
+    low = t.raw.lower()
+    return b"lorem ipsum" in low or b"enable javascript" in low
+
 
 RULES = (
     Rule("few_letters", _few_letters),
@@ -100,6 +135,13 @@ RULES = (
     Rule("word_length", lambda t: not 2 * len(t.words) <= t.word_chars <= 15 * len(t.words)),
     Rule("duplicate_lines", lambda t: 10 * t.n_dup_lines > 3 * t.n_lines),
     Rule("shouting", _shouted),
+    Rule("bullets", _bullets),
+    Rule("open_ended_lines", _open_ended),
+    Rule("digits", _digits),
+    Rule("one_word", _one_word),
+    Rule("one_phrase", _one_phrase),
+    Rule("broken_characters", lambda t: 100 * t.text.count("\ufffd") > t.word_chars),
+    Rule("placeholder", _placeholder),
 )
 
 
@@ -181,12 +223,18 @@ def op1_sql() -> str:
     g AS (SELECT doc_id, i, ws[i:i + 4] AS five FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1))) AS i FROM w)),
     m AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, five) AS n FROM g) WHERE n > 1),
     r AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM m, (SELECT unnest([0, 1, 2, 3, 4]) AS k) GROUP BY doc_id),
+    t3 AS (SELECT doc_id, max(n) AS n FROM (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, ws[i:i + 2] AS three FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 1))) AS i FROM w)) GROUP BY doc_id, three) GROUP BY doc_id),
+    t1 AS (SELECT doc_id, max(n) AS n FROM (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(ws) AS word FROM w) GROUP BY ALL) GROUP BY doc_id),
     a AS (SELECT w.doc_id, text, len(ws)::BIGINT AS n_words, len(regexp_replace(text, '{space}', '', 'g'))::BIGINT AS word_chars,
                  len(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
                  coalesce(r.n, 0)::BIGINT AS n_repeat_words, len(ls) AS n_lines, len(list_filter(ws, lambda x: regexp_matches(x, '\p{{L}}'))) AS lettered,
-                 len(regexp_replace(text, '[^A-Z]', '', 'g')) AS upper, len(regexp_replace(text, '[^a-z]', '', 'g')) AS lower FROM w LEFT JOIN r USING (doc_id)),
+                 len(regexp_replace(text, '[^A-Z]', '', 'g')) AS upper, len(regexp_replace(text, '[^a-z]', '', 'g')) AS lower,
+                 len(list_filter(ls, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[•‣·*-]'))) AS bullets, len(list_filter(ls, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS open_ends,
+                 len(regexp_replace(text, '[^0-9]', '', 'g')) AS digits, coalesce(t1.n, 0) AS top1, coalesce(t3.n, 0) AS top3, len(text) - len(replace(text, chr(65533), '')) AS broken,
+                 regexp_matches(text, '(?i)lorem ipsum|enable javascript') AS placeholder FROM w LEFT JOIN r USING (doc_id) LEFT JOIN t1 USING (doc_id) LEFT JOIN t3 USING (doc_id)),
     b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM a)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
            NOT (base_failed OR 10 * lettered < 7 * n_words OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 15 * n_words
-                OR 10 * n_dup_lines > 3 * n_lines OR upper > lower) AS kept
+                OR 10 * n_dup_lines > 3 * n_lines OR upper > lower OR 10 * bullets > 9 * n_lines OR 10 * open_ends > 3 * n_lines OR 2 * digits > word_chars
+                OR 10 * top1 > 3 * n_words OR (top3 > 1 AND 30 * top3 > 3 * n_words) OR 100 * broken > word_chars OR placeholder) AS kept
     FROM b"""
