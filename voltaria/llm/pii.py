@@ -37,7 +37,9 @@ _TITLES_F = "Mrs|Ms|Miss|Madame|Mme|Frau|Señora|Sra|г-жа|[Гг]оспожа|
 _TITLES_M = "Mr|Sir|Monsieur|Herr|Señor|Sr|г-н|[Гг]осподин|[Κκ]ύριος|[Κκ]ος"
 _TITLES_N = "Dr|Prof"
 #: One or more titles, and a name: words with inner capitals, apostrophes and hyphens, initials, particles before a word.
-_TITLE = rf"(?<![\p{{L}}])(?:(?:{_TITLES_F}|{_TITLES_M}|{_TITLES_N})(?:\.\s{{0,2}}|\s{{1,2}}))++"
+#: Signs that a title begins with: what can't begin one is passed over at little cost, as in the other patterns' first looks ahead.
+_BEGIN = "(?=[MSFDPгГκΚ])"
+_TITLE = rf"{_BEGIN}(?<![\p{{L}}])(?:(?:{_TITLES_F}|{_TITLES_M}|{_TITLES_N})(?:\.\s{{0,2}}|\s{{1,2}}))++"
 _PARTICLE = r"(?:[Vv]an|[Vv]on|[Dd]er|[Dd]en|[Dd]e|[Dd]el|[Dd]ella|[Dd]i|[Dd]a|[Dd]as|[Dd]os|[Dd]u|[Ll]a|[Ll]e|[Ee]l|[Aa]l|[Bb]in|[Ii]bn|[Bb]en|[Zz]u|[Zz]ur|[Tt]er|[Tt]en|af|av|y)"
 _WORD = r"(?:\p{Lu}\.|(?:[dl]['’])?\p{Lu}[\p{L}\p{M}]*+(?:-\p{L}[\p{L}\p{M}]*+|['’](?:\p{Lu}|\p{L}{3})[\p{L}\p{M}]*+)*)"
 _NAME = rf"(?:{_PARTICLE}[ \u00a0]){{0,3}}{_WORD}(?:[ \u00a0](?:{_PARTICLE}[ \u00a0]){{0,3}}{_WORD}){{0,5}}"
@@ -59,9 +61,9 @@ _PHONE = "|".join(
 )
 #: Type -> pattern. A mention's type is the first that matches it whole, else it is a secret known by its key.
 PATTERNS = {
-    "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
+    "email": r"(?<![\p{L}\p{N}._%+-])[._%+-]*+[\p{L}\p{N}][\p{L}\p{N}._%+-]*+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
     "secret": r"(?<![0-9A-Za-z])(?:(?:AKIA|ghp_|sk_live_|xox[bp]-)[0-9A-Za-z-]{12,}|[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z])",
-    "iban": r"(?<![0-9A-Za-z])(?:" + "|".join(f"(?:{c})[0-9]{{2}}(?: ?[0-9A-Z]){{{n - 4}}}" for n, c in _IBAN.items()) + ")(?![0-9A-Za-z])",
+    "iban": r"(?=[A-Z]{2}[0-9]{2})(?<![0-9A-Za-z])(?:" + "|".join(f"(?:{c})[0-9]{{2}}(?: ?[0-9A-Z]){{{n - 4}}}" for n, c in _IBAN.items()) + ")(?![0-9A-Za-z])",
     "ipv6": rf"(?<![0-9A-Za-z:.])(?={_H}{{0,4}}:)(?:(?=[0-9A-Fa-f:]*?{_H}:{{1,2}}{_H}++:{{1,2}}{_H})|(?=[A-Fa-f:]*+[0-9])(?=[0-9A-Fa-f:]*?{_H}{{3}}))(?:(?:{_H}{{1,4}}:){{7}}{_H}{{1,4}}|(?=(?:{_H}{{0,4}}:){{2,7}}(?:{_H}{{1,4}})?(?![0-9A-Za-z:]))(?:{_H}{{1,4}}(?::{_H}{{1,4}})*+)?::(?:{_H}{{1,4}}(?::{_H}{{1,4}})*+)?)(?![0-9A-Za-z:]|\.[0-9])",
     "card": r"(?<![0-9])[0-9]{4}(?:(?:[ -][0-9]{4}){3}[ -][0-9]{3}|(?:[ -]?[0-9]{4}){3})(?![0-9])",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![0-9]|\.[0-9])",
@@ -71,11 +73,15 @@ PATTERNS = {
 }
 #: A value with a digit after a key name that tells a secret; alone, without its key, it may match no pattern.
 _KEYS = "password|passwd|passphrase|pwd|secret|token|api_?key|access_?key"
-KEYED = rf"(?<=[=:\"'\s])(?<=(?i:{_KEYS})[\"']?\s?[=:]\s?[\"']?)(?=[^\s\"'&;,<>0-9]*+[0-9])[^\s\"'&;,<>=:][^\s\"'&;,<>]{{5,}}+"
+KEYED = (
+    r"(?<=[=:\"'\s])(?=[^\s\"'&;,<>=:])(?<=[=:]\s?[\"']?)"  # bounded looks first: long runs of signs are passed over
+    rf"(?<=(?i:{_KEYS})[\"']?\s?[=:]\s?[\"']?)(?=[^\s\"'&;,<>0-9]*+[0-9])[^\s\"'&;,<>]{{6,}}+"
+)
 #: The one numbered group holds what is a card number only if its check digit is right.
-ANY = "|".join([*(f"(?:{p})" for p in [KEYED, *PATTERNS.values()]), f"({_CARD})"])
+_SIGNS = "|".join(f"(?:{PATTERNS[k]})" for k in ("card", "ip", "phone", "ssn"))
+ANY = "|".join([*(f"(?:{p})" for p in (KEYED, *(PATTERNS[k] for k in ("email", "secret", "iban", "ipv6")))), f"(?=[0-9+(])(?:{_SIGNS})", f"(?:{PATTERNS['person']})", f"(?=[1-6])({_CARD})"])
 #: What every mention has something of; texts without are left alone at little cost.
-TITLED = rf"(?:{_TITLES_F}|{_TITLES_M}|{_TITLES_N})[.\s]"
+TITLED = rf"{_BEGIN}(?:{_TITLES_F}|{_TITLES_M}|{_TITLES_N})[.\s]"
 HINT = rf"[0-9@]|::|{TITLED}"
 
 #: Given names by gender and family names, by script (fixed values).
