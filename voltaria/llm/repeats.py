@@ -5,8 +5,8 @@ elements of one text. What both repeat operators share:
 
 1.  Blocks. Documents are gathered into blocks of a few MB, compressed, dealt over the cluster by block and
     checkpointed once; every later step reads them where they lie.
-2.  Anchors. A window's anchor is the leftmost of the ``gram``-element pieces inside it whose rolling hash is least.
-    It depends on the window's content alone, so equal windows have equal anchors at equal offsets, and neighbouring
+2.  Anchors. A window's anchor is the leftmost of the ``gram``-element pieces inside it whose rolling hash is least, or
+    for bytes the first whose hash a modulus divides. It depends on the window's content alone, so equal windows have equal anchors at equal offsets, and neighbouring
     windows mostly share one: a text has an anchor about every (window - gram) / 2 elements.
 3.  Sharing. Blocks send 4 bytes and a count per distinct anchor to the bucket that its hash names; the bucket answers
     which anchors occur elsewhere, and how often. An anchor that occurs once cannot lie in a repeated window.
@@ -74,8 +74,12 @@ def gram_hashes(e: np.ndarray, k: int) -> np.ndarray:
     return h
 
 
-def anchors(e: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of each anchor of a text, and the first and last start of the windows in a row that it anchors."""
+def anchors(e: np.ndarray, window: int, gram: int, modulus: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of each anchor of a text, and the first and last start of the windows in a row that it anchors.
+
+    With a modulus, a window's anchor is the first piece in it whose hash the modulus divides (a trigger), and only windows
+    without one take the piece of the least hash.
+    """
     hashes, firsts, lasts = [], [], []
     for at in range(0, max(len(e) - window + 1, 0), SLICE):
         part = e[at : at + SLICE + window - 1]
@@ -88,6 +92,11 @@ def anchors(e: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarr
         if width < span:
             least = np.minimum(least[: len(least) - (span - width)], least[span - width :])
         place = (least & U(0xFFFFFFFF)).astype(np.int64)
+        if modulus:
+            start = np.arange(len(h))
+            trigger = np.where((h & U(0xFFFFFFFF)) % U(modulus) == 0, start, len(h) + span)
+            following = np.minimum.accumulate(trigger[::-1])[::-1][: len(place)]
+            place = np.where(following - start[: len(place)] < span, following, place)
         cut = np.flatnonzero(place[1:] != place[:-1])
         first = np.concatenate([[0], cut + 1])
         hashes.append(h[place[first]])
@@ -114,6 +123,7 @@ class Bytes:
 
     window: int = 100
     gram: int = 24
+    modulus: int = 48  # bytes from trigger to trigger, on average
     same_document: bool = True
 
     def split(self, text: bytes) -> bytes:
@@ -143,6 +153,7 @@ class Words:
 
     window: int = 50
     gram: int = 20
+    modulus: int = 0
     same_document: bool = False
 
     def split(self, text: bytes) -> list[bytes]:
@@ -286,12 +297,12 @@ def sent_anchors(stored: DataFrame, unit: Unit, buckets: int) -> DataFrame:
             for row in batch.to_pylist():
                 per_doc = []
                 for t in texts_of(unit, row["sizes"], row["texts"]):
-                    h = _bucketed(anchors(unit.elements(t, memo), unit.window, unit.gram)[0], buckets)
+                    h = _bucketed(anchors(unit.elements(t, memo), unit.window, unit.gram, unit.modulus)[0], buckets)
                     per_doc.append(h if unit.same_document else np.unique(h))
                 keys, counts = np.unique(np.concatenate(per_doc), return_counts=True)
                 at = np.searchsorted(keys, np.arange(buckets + 1, dtype=np.uint64) << U(32))
                 some = np.flatnonzero(np.diff(at))
-                low, counts = (keys & U(0xFFFFFFFF)).astype("<u4"), np.minimum(counts, 65535).astype("<u2")
+                low, counts = (keys & U(0xFFFFFFFF)).astype("<u4"), counts.astype("<u4")
                 yield pa.RecordBatch.from_pydict(
                     {
                         "bucket": pa.array(some, pa.int64()),
@@ -309,7 +320,7 @@ def answers(sent: DataFrame) -> DataFrame:
 
     def run(t: pa.Table) -> pa.Table:
         keys = [np.frombuffer(x, "<u4") for x in t.column("keys").to_pylist()]
-        counts = np.concatenate([np.frombuffer(zlib.decompress(x), "<u2") for x in t.column("counts").to_pylist()]).astype(np.int64)
+        counts = np.concatenate([np.frombuffer(zlib.decompress(x), "<u4") for x in t.column("counts").to_pylist()]).astype(np.int64)
         flat = np.concatenate(keys)
         order = np.argsort(flat, kind="stable")
         ordered = flat[order]
@@ -356,7 +367,7 @@ def shared_runs(stored: DataFrame, told: DataFrame, unit: Unit, buckets: int) ->
             for b in batch.to_pylist():
                 texts = texts_of(unit, b["sizes"], b["texts"])
                 ids = [LAST if x is None else x for x in b["ids"]]
-                found = [anchors(unit.elements(t, memo), w, unit.gram) for t in texts]
+                found = [anchors(unit.elements(t, memo), w, unit.gram, unit.modulus) for t in texts]
                 own = [_bucketed(f[0], buckets) for f in found]
                 keys = np.unique(np.concatenate(own))
                 parts = np.concatenate([np.frombuffer(zlib.decompress(x["parts"]), "<u4") for x in sorted(b["told"] or [], key=lambda x: x["bucket"])] + [np.zeros(0, "<u4")])

@@ -1,12 +1,16 @@
-"""Suffix-array dedup of byte strings by prefix-free parsing.
-
-Rolling-hash triggers (the locally least hash of a byte piece) cut every text into phrases; a phrase is taken with the
-bytes after it that its last window needs, so neighbouring phrases overlap and none is a prefix of another context.
-Distinct phrases form the dictionary, the phrases of a text in turn its parse. The suffixes of the dictionary are
-ranked once, however often a phrase occurs; the order of corpus positions follows from the dictionary ranks of their
-phrase and offset and, among equals, from the parse's order (document, then position). A position whose first
-``window`` bytes have an earlier equal is a repeat. Phrases whose trigger occurs once are told apart without being
-moved. See ``repeats`` for how the parts are dealt over the cluster.
+"""Suffix-array dedup of byte strings by prefix-free parsing, dealt by trigger.
+
+Rolling-hash triggers (a byte piece whose hash a modulus divides) cut every text into phrases; a phrase is taken with the
+bytes after it that its last window needs, so neighbouring phrases overlap and none is a prefix of another's context. A
+stretch of a window's length without a trigger is cut at its locally least hash, so phrases stay bounded on any text.
+Distinct phrases form the dictionary, the phrases of a text in turn its parse. The dictionary is dealt by the phrases'
+first trigger: suffixes that share a first window share it too, so each share's suffixes are ranked by themselves, once,
+however often a phrase occurs. The order of corpus positions follows from the ranks of phrase and offset and, among
+equals, from the parse's order (document, then position). A position whose first ``window`` bytes have an earlier equal
+is a repeat. Phrases whose trigger occurs once are told apart without being moved. See ``repeats`` for the shares.
+
+What the textbook method has and this doesn't: one suffix array of the whole dictionary and one of the whole parse. Both
+are global orders of data that grow with the corpus; here only equality to the window's depth and what comes first decide.
 
 Edge cases: a null, empty or short text loses nothing; texts of any length are taken whole; matches never cross
 documents; rows that share a doc_id are ordered by where they lie in the input; a null doc_id counts as the greatest;
