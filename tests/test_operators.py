@@ -157,3 +157,19 @@ def test_files(spark, tmp_path):
 def test_reconciliation_sees_missing_keys(spark):
     a, b = spark.createDataFrame([(1, 1.0), (2, 2.0)], "k int, v double"), spark.createDataFrame([(1, 1.0), (3, 1.0)], "k int, v double")
     assert sorted(r.k for r in quality.reconciled(a, b, ["k"], "v", 0.1).collect()) == [2, 3]
+
+
+def test_streaks_folded_are_those_of_the_steps(spark):
+    from voltaria.operators import streaks
+
+    r = np.random.default_rng(8)
+    rows = [(f"d{k}", w, bool(r.random() < 0.6)) for k in range(12) for w in range(3, 30) if r.random() < 0.8]
+    df = spark.createDataFrame(rows, "device_id string, period int, responded boolean")
+    got = {x.device_id: (x.level, x.peak) for x in streaks.run_streaks(df, F.lit(3), F.lit(29)).collect()}
+    hit = {(d, w) for d, w, ok in rows if ok}
+    for d in got:
+        level = peak = 0
+        for w in range(3, 30):
+            level = min(level + 1, 10) if (d, w) in hit else min(level, max(level - 1, round(peak * 0.5), 0))
+            peak = max(peak, level)
+        assert got[d] == (level, peak)

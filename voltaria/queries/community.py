@@ -263,21 +263,18 @@ SQL_percent_rank = f"WITH {E}, s AS (SELECT day, user_id, CAST(round(sum(value))
 
 
 def q_streak_step(spark: SparkSession, d: str) -> DataFrame:
-    """Five weekly steps, all of the month, from no state."""
-    e = readings(spark, d).filter("event_type = 'purchase'").select(F.col("user_id").alias("device_id"), F.weekofyear("day").alias("week"), "value")
-    fleet = e.select("device_id")
-    state = fleet.limit(0).select("device_id", F.lit(0).alias("level"), F.lit(0).alias("peak"))
-    for week in (1, 2, 3, 4, 5):
-        got = e.filter(F.col("week") == week).groupBy("device_id").agg((F.sum("value") > 60).alias("responded"))
-        state = streaks.update_streaks(state, got, fleet)
+    """Weekly steps from the first to the last week with a purchase, from no state."""
+    week = F.floor(F.datediff("day", F.lit("1970-01-05")) / 7).cast("int")
+    p = readings(spark, d).filter("event_type = 'purchase'").groupBy(F.col("user_id").alias("device_id"), week.alias("period")).agg((F.sum("value") > 60).alias("responded"))
+    p = joins.with_scalars(p, p.agg(F.min("period").alias("a"), F.max("period").alias("z")))
+    state = streaks.run_streaks(p, F.col("a"), F.col("z"))
     return state.select("device_id", F.col("level").cast("long").alias("level"), F.col("peak").cast("long").alias("peak"), F.round(tiers.streak_multiplier(F.col("level")), 4).alias("multiplier"))
 
 
-_STEP = "s{1} AS (SELECT user_id, lv, greatest(s{0}.pk, lv) AS pk FROM (SELECT s{0}.user_id, CASE WHEN coalesce(r{1}.ok, false) THEN least(s{0}.lv + 1, 10) ELSE least(s{0}.lv, greatest(s{0}.lv - 1, round_even(s{0}.pk * 0.5, 0)::INT, 0)) END AS lv FROM s{0} LEFT JOIN r{1} USING (user_id)) JOIN (SELECT user_id, pk FROM s{0}) s{0} USING (user_id))"
-SQL_streak_step = (
-    f"WITH {E}, p AS (SELECT user_id, week(day) AS w, sum(value) > 60 AS ok FROM e WHERE event_type = 'purchase' GROUP BY 1, 2), " + ", ".join(f"r{k} AS (SELECT * FROM p WHERE w = {k})" for k in range(1, 6)) + ", "
-    "s0 AS (SELECT DISTINCT user_id, 0 AS lv, 0 AS pk FROM p), " + ", ".join(_STEP.format(k, k + 1) for k in range(5)) + " SELECT user_id AS device_id, lv::BIGINT AS level, pk::BIGINT AS peak, round(least(1.0 + lv * 0.05, 1.5)::DOUBLE, 4) AS multiplier FROM s5"
-)
+SQL_streak_step = f"""WITH RECURSIVE {E}, p AS (SELECT user_id, CAST(date_trunc('week', day) AS DATE) AS w, sum(value) > 60 AS ok FROM e WHERE event_type = 'purchase' GROUP BY 1, 2), b AS (SELECT min(w) AS a, max(w) AS z FROM p),
+r(user_id, w, lv, pk) AS (SELECT DISTINCT user_id, (SELECT a FROM b), 0, 0 FROM p UNION ALL
+  SELECT user_id, w, lv, greatest(pk, lv) FROM (SELECT r.user_id, CAST(r.w + INTERVAL 7 DAY AS DATE) AS w, CASE WHEN coalesce(p.ok, false) THEN least(lv + 1, 10) ELSE least(lv, greatest(lv - 1, round_even(pk * 0.5, 0)::INT, 0)) END AS lv, pk FROM r LEFT JOIN p ON p.user_id = r.user_id AND p.w = r.w WHERE r.w <= (SELECT z FROM b)))
+SELECT user_id AS device_id, lv::BIGINT AS level, pk::BIGINT AS peak, round(least(1.0 + lv * 0.05, 1.5)::DOUBLE, 4) AS multiplier FROM r WHERE w > (SELECT z FROM b)"""
 
 
 def q_co2(spark: SparkSession, d: str) -> DataFrame:

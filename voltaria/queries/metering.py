@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import keys, time as T
-from ..operators import dedup, quality, reshape, timeseries
+from ..operators import dedup, joins, quality, reshape, timeseries
 from .base import E, r4, readings, t
 
 
@@ -36,13 +36,14 @@ SELECT (SELECT count(*) FROM x) AS hours, (SELECT count(*) FROM x FULL JOIN u US
 
 
 def q_missing_slots(spark: SparkSession, d: str) -> DataFrame:
+    """Hours without a reading, from the first to the last hour of all readings."""
     e = readings(spark, d).select("user_id", F.col("hr").alias("ts"))
-    at = lambda s: F.lit(s).cast("timestamp_ntz")
-    m = timeseries.missing_slots(e, ["user_id"], "ts", at("2024-01-01 00:00:00"), at("2024-01-30 23:00:00"), "1 HOUR")
-    return m.select("user_id", "ts", F.hour("ts").cast("long").alias("hour"))
+    users = joins.with_scalars(e.select("user_id").distinct(), e.agg(F.min("ts").alias("first"), F.max("ts").alias("last")))
+    m = timeseries.spine(users, F.col("first"), F.col("last"), "1 HOUR").select("user_id", "ts").join(e, ["user_id", "ts"], "left_anti")
+    return m.withColumn("hour", F.hour("ts").cast("long"))
 
 
-SQL_missing_slots = f"""WITH {E}, g AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-30 23:00:00', INTERVAL 1 HOUR)) AS ts),
+SQL_missing_slots = f"""WITH {E}, g AS (SELECT unnest(generate_series(min(hr), max(hr), INTERVAL 1 HOUR)) AS ts FROM e),
 s AS (SELECT user_id, ts FROM (SELECT DISTINCT user_id FROM e), g)
 SELECT user_id, ts, CAST(hour(ts) AS BIGINT) AS hour FROM s ANTI JOIN (SELECT DISTINCT user_id, hr AS ts FROM e) USING (user_id, ts)"""
 
