@@ -42,7 +42,7 @@ def test_stages_on_the_small_table(spark, tmp_path):
         assert n - gone - 8 <= len(texts[d].text.encode()) <= n - gone if gone else texts[d].text == reps[d].text
         assert texts[d].source == rows[d].source and texts[d].n_chars == len(texts[d].text)
     clean = {r.doc_id: r.text for r in safe.collect()}
-    got = {r.doc_id: r.text for r in pii.replace_entities(cut).collect()}
+    got = {r.doc_id: r.text for r in pii.replace_entities(cut, pii.key_of(spark)).collect()}
     assert clean == got and clean.keys() == texts.keys()
     enc = bpe.encoding(bpe.rank_path())
     count = dict.fromkeys(clean, 0)
