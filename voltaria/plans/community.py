@@ -119,14 +119,6 @@ def rec_measurements_per_device_15m(ctx: Context, slots: DataFrame) -> DataFrame
     return out.withColumn("sensor_iri", F.when(measured, keys.iri(VOCABULARY + "sensor/", F.col("device_id"))))
 
 
-def meters_data_1h_matches_15m_rollup(slots: DataFrame, hours: DataFrame, tolerance: float = 1e-6) -> DataFrame:
-    """Data test: hours that differ from the sum of their slots."""
-    from ..operators.quality import reconciled
-
-    up = timeseries.rollup(slots, ["device_id"], "ts", 60, {"consumption_kwh": F.col("consumption_kwh")})
-    return reconciled(hours, up, ["device_id", "ts"], "consumption_kwh", tolerance)
-
-
 def balance(slots: DataFrame) -> DataFrame:
     """Read query: totals and the share of each community's self-consumption."""
     g = slots.groupBy("rec_id").agg(F.sum("total_production_kwh").alias("production_kwh"), F.sum("self_consumption_kwh").alias("self_consumption_kwh"))
