@@ -137,3 +137,24 @@ def test_placement(spark):
     for r in rows:
         text = "null" if r.doc_id is None else str(r.doc_id)
         assert r.slot == int(hashlib.md5(text.encode()).hexdigest()[:15], 16) % 101 and r.shard == table[r.slot]
+
+
+def test_registered_encoding_query_against_whole_texts(spark):
+    """Every document by the library's own call on its whole text, and its bytes back."""
+    d = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()}
+    encoding = bpe.encoding(bpe.rank_path())
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.op3_byte_bpe(spark, d).collect()}
+    want = {}
+    for k, text in texts.items():
+        ids = encoding.encode_ordinary(text)
+        want[k] = len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
+    assert got == want
+
+
+def test_placing_replaces_columns_of_its_names(spark):
+    df = spark.createDataFrame([(k, f"s{k}", 7) for k in range(50)], "id int, slot string, shard int")
+    names = sharding.shard_names(4)
+    by_slot = {r.id: r.shard for r in sharding.place(df, "slot", names).collect()}
+    other = {r.id: r.shard for r in sharding.place(df.withColumnRenamed("slot", "k").drop("shard"), "k", names).collect()}
+    assert by_slot == other and set(by_slot.values()) <= set(range(4))

@@ -54,10 +54,11 @@ def slot_of(key: Column | str, size: int = SLOTS) -> Column:
 
 
 def place(df: DataFrame, key: str, shards: list[str], size: int = SLOTS, turns: dict[str, int] | None = None) -> DataFrame:
-    """Adds slot and shard (its index) to each row by a broadcast of the filled table, ``size`` rows whatever the data."""
+    """Adds slot and shard (its index) to each row by a broadcast of the filled table, ``size`` rows whatever the data.
+    Columns of these names that the rows have are replaced, also where one of them is the key."""
     spark = df.sparkSession
     owners = spark.createDataFrame(list(enumerate(fill_table(shards, size, turns))), "slot int, shard int")
-    placed = df.drop("slot", "shard").withColumn("slot", slot_of(key, size))
+    placed = df.withColumn("__slot", slot_of(key, size)).drop("slot", "shard").withColumnRenamed("__slot", "slot")
     return placed.join(F.broadcast(owners), "slot")
 
 
