@@ -107,8 +107,8 @@ def test_geometry(spark):
     assert (back.lat, back.lon) == (pytest.approx(46.0, abs=1e-8), pytest.approx(9.0, abs=1e-8))
     ring = geo.outer_ring(F.lit("POLYGON ((0 0, 2 0, 2 2, 0 2, 0 0), (0.5 0.5, 1 0.5, 1 1, 0.5 0.5))"))
     assert get(geo.planar_area(ring)) == 4.0 and get(geo.contains(ring, F.lit(1.0), F.lit(1.0))) and not get(geo.contains(ring, F.lit(3.0), F.lit(1.0)))
-    g = geo.points_of_geojson(F.lit('{"type":"Polygon","coordinates":[[[0,0],[2.5,0],[2,2],[0,0]]]}'))
-    assert [(p.x, p.y) for p in get(g)] == [(0, 0), (2.5, 0), (2, 2), (0, 0)]
+    g = geo.polygons_of_geojson(F.lit('{"type":"Polygon","coordinates":[[[0,0],[2.5,0],[2,2],[0,0]]]}'))
+    assert [[[(p.x, p.y) for p in ring] for ring in polygon] for polygon in get(g)] == [[[(0, 0), (2.5, 0), (2, 2), (0, 0)]]]
     assert get(geo.points_of_wkt(F.lit("POINT EMPTY"))) is None
 
 
