@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from voltaria import materialize
 from voltaria.functions import geo, time as T
 from voltaria.materialize import DuplicateKeys, Table, merged, since_watermark
-from voltaria.operators import joins, quality, spatial, timeseries
+from voltaria.operators import allocation, joins, quality, spatial, timeseries
 from voltaria.sources import files, payloads
 
 T0 = dt.datetime(2026, 1, 1)
@@ -173,3 +173,21 @@ def test_streaks_folded_are_those_of_the_steps(spark):
             level = min(level + 1, 10) if (d, w) in hit else min(level, max(level - 1, round(peak * 0.5), 0))
             peak = max(peak, level)
         assert got[d] == (level, peak)
+
+
+def test_totals_and_places_by_joins(spark):
+    df = spark.createDataFrame([("a", 1, 5), ("a", 2, 5), ("a", 3, 9), ("a", 4, None), (None, 5, 2), (None, 6, 2)], "day string, id int, points long")
+    got = {r.id: r.all for r in allocation.with_totals(df, ["day"], F.sum("points").alias("all")).collect()}
+    assert got == {1: 19, 2: 19, 3: 19, 4: 19, 5: 4, 6: 4}
+    placed = allocation.with_places(df, ["day"], "points")
+    assert placed.columns == ["day", "id", "points", "members", "rank", "below"]
+    assert {r.id: (r.rank, r.members, r.below) for r in placed.collect()} == {3: (1, 4, 3), 1: (2, 4, 1), 2: (2, 4, 1), 4: (4, 4, 0), 5: (1, 2, 0), 6: (1, 2, 0)}
+    assert allocation.with_places(df.limit(0), ["day"], "points").count() == 0
+
+
+def test_overlay_of_crossing_nested_and_apart(spark):
+    box = lambda x0, y0, x1, y1: [[(float(a), float(b)) for a, b in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))]]
+    schema = "id string, {} array<array<struct<x: double, y: double>>>"
+    left = spark.createDataFrame([("bar", box(0, 4, 10, 5)), ("far", box(50, 50, 51, 51)), ("none", None)], schema.format("ra"))
+    right = spark.createDataFrame([("cross", box(4, 0, 5, 10)), ("inner", box(1, 4.2, 2, 4.8)), ("outer", box(49, 49, 60, 60))], schema.format("rb").replace("id", "other"))
+    assert sorted((r.id, r.other) for r in spatial.overlay(left, right, "ra", "rb", 3.0).collect()) == [("bar", "cross"), ("bar", "inner"), ("far", "outer")]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..context import Context
 from ..functions import keys, tiers, time as T
-from ..operators import baselines, dedup, joins, streaks, timeseries
+from ..operators import allocation, baselines, dedup, joins, streaks, timeseries
 from ..registry import model
 
 #: kWh of an hour's surplus that counts; first hour of the day; hours of a window at most and at least (fixed values).
@@ -303,8 +303,8 @@ def rec_points_leaderboard(ctx: Context, points: DataFrame, fleet: DataFrame) ->
     seasons = points.select("season_start").union(ctx.spark.range(1).select(season(ctx, current))).distinct()
     full = fleet.select("device_id").distinct().crossJoin(F.broadcast(seasons))  # a handful of seasons
     z = full.join(p, ["season_start", "device_id"], "left").fillna(0, ["season_points"])
-    w = Window.partitionBy("season_start")
-    z = z.withColumns({"rank_position": F.rank().over(w.orderBy(F.desc("season_points"))), "total_members": F.count("*").over(w), "all_time_points": F.sum("season_points").over(Window.partitionBy("device_id"))})
+    z = allocation.with_places(z, ["season_start"], "season_points").drop("below").withColumnsRenamed({"rank": "rank_position", "members": "total_members"})
+    z = z.withColumn("rank_position", F.col("rank_position").cast("int")).withColumn("all_time_points", F.sum("season_points").over(Window.partitionBy("device_id")))
     return z.withColumn("is_current", F.col("season_start") == season(ctx, current))
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import tiers, time as T
 from ..operators import allocation, baselines, dedup, joins, streaks, timeseries
+from ..shared import checkpointed
 from .base import E, M, members, r4, r4_up, readings, t
 
 
@@ -202,8 +203,8 @@ def q_effort_points(spark: SparkSession, d: str) -> DataFrame:
     e = readings(spark, d).groupBy("user_id", "day").agg(F.sum("value").alias("kwh"), F.count("*").alias("slots"))
     tier = tiers.ladder(F.col("kwh") / F.col("slots"), [(60.0, "high"), (45.0, "mid"), (30.0, "low")], "none")
     p = e.withColumn("tier", tier).withColumn("points", tiers.effort_points(F.col("kwh"), F.col("slots")))
-    pool = F.sum("points").over(Window.partitionBy("day"))
-    return p.select("user_id", "day", "tier", r4(F.col("points")).alias("points"), F.round(F.col("points") / pool, 6).alias("pool_share"))
+    p = allocation.with_totals(p, ["day"], F.sum("points").alias("pool"))
+    return p.select("user_id", "day", "tier", r4(F.col("points")).alias("points"), F.round(F.col("points") / F.col("pool"), 6).alias("pool_share"))
 
 
 SQL_effort_points = f"""WITH {E}, s AS (SELECT user_id, day, sum(value) AS kwh, count(*) AS slots FROM e GROUP BY 1, 2), p AS (SELECT *, slots * ln(1 + kwh / slots) * 10 AS points FROM s)
@@ -238,12 +239,11 @@ SELECT user_id, day, round(CASE WHEN usual IS NULL THEN kwh ELSE least(kwh, 2 *
 
 def q_season_leaderboard(spark: SparkSession, d: str) -> DataFrame:
     o = t(spark, d, "orders").withColumn("season", T.season_start(F.to_date("o_orderdate"), "1995-05-01", 2))
-    pts = o.groupBy("season", "o_custkey").agg(F.round(F.sum(F.col("o_totalprice") / 1000)).cast("long").alias("points"))
+    pts = checkpointed(o.groupBy("season", "o_custkey").agg(F.round(F.sum(F.col("o_totalprice") / 1000)).cast("long").alias("points")))
     fleet = t(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"))
     full = fleet.crossJoin(F.broadcast(pts.select("season").distinct()))  # a season is two months: a few dozen
     z = full.join(pts, ["season", "o_custkey"], "left").withColumn("points", F.coalesce("points", F.lit(0)).cast("long"))
-    w = Window.partitionBy("season")
-    return z.select("season", "o_custkey", "points", F.rank().over(w.orderBy(F.desc("points"))).cast("long").alias("rank"), F.count("*").over(w).alias("members"))
+    return allocation.with_places(z, ["season"], "points").select("season", "o_custkey", "points", "rank", "members")
 
 
 _SEASON = "CAST(date_trunc('month', DATE '1995-05-01') + INTERVAL (CAST(floor(((year({0}) - 1995) * 12 + month({0}) - 5) / 2.0) * 2 AS INT)) MONTH AS DATE)"
@@ -254,9 +254,9 @@ SELECT season, o_custkey, points, rank() OVER (PARTITION BY season ORDER BY poin
 
 
 def q_percent_rank(spark: SparkSession, d: str) -> DataFrame:
-    s = readings(spark, d).groupBy("day", "user_id").agg(F.round(F.sum("value")).cast("long").alias("points"))
-    w = Window.partitionBy("day").orderBy("points")
-    return s.select("day", "user_id", "points", F.round(F.percent_rank().over(w), 6).alias("pct"), F.rank().over(Window.partitionBy("day").orderBy(F.desc("points"))).cast("long").alias("rank"))
+    s = checkpointed(readings(spark, d).groupBy("day", "user_id").agg(F.round(F.sum("value")).cast("long").alias("points")))
+    pct = F.coalesce(F.col("below") / F.nullif(F.col("members") - 1, F.lit(0)), F.lit(0.0))
+    return allocation.with_places(s, ["day"], "points").select("day", "user_id", "points", F.round(pct, 6).alias("pct"), "rank")
 
 
 SQL_percent_rank = f"WITH {E}, s AS (SELECT day, user_id, CAST(round(sum(value)) AS BIGINT) AS points FROM e GROUP BY 1, 2) SELECT day, user_id, points, round(percent_rank() OVER (PARTITION BY day ORDER BY points), 6) AS pct, rank() OVER (PARTITION BY day ORDER BY points DESC) AS rank FROM s"
