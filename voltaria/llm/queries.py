@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, neardup, packing, pii, quality, sharding, substrings, suffixes, topk, warc
+from . import audit, bestfit, bpe, neardup, packing, pii, quality, sharding, substrings, suffixes, topk, vectorcodes, warc
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_exact_top_k": topk.op8_exact_top_k,
     "op9_shard_lookup": sharding.op9_shard_lookup,
     "op10_warc_captures": warc.op10_warc_captures,
+    "op11_filter_audit": audit.op11_filter_audit,
+    "op12_best_fit": bestfit.op12_best_fit,
+    "op13_vector_codes": vectorcodes.op13_vector_codes,
 }
 
 
@@ -27,4 +30,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_exact_top_k": topk.OP8_SQL,
         "op9_shard_lookup": sharding.op9_sql(),
         "op10_warc_captures": warc.OP10_SQL,
+        "op11_filter_audit": audit.OP11_SQL,
+        "op13_vector_codes": vectorcodes.op13_sql(),
     }
