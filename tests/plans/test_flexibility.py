@@ -131,10 +131,37 @@ def test_seasons(ctx):
 
 
 def test_leaderboard_is_complete_and_ranked(ctx):
-    p = df(ctx, "device_id string, season_start date, daily_points int", *((d, dt.date(2026, 5, 1), n) for d, n in (("a", 10), ("a", 20), ("b", 20), ("c", 20))))
-    fleet = df(ctx, "device_id string", ("a",), ("b",), ("c",), ("d",))
-    got = {r.device_id: (r.season_points, r.rank_position, r.total_members, r.is_current) for r in fx.rec_points_leaderboard(ctx, p, fleet).collect()}
-    assert got == {"a": (30, 1, 4, True), "b": (20, 2, 4, True), "c": (20, 2, 4, True), "d": (0, 4, 4, True)}
+    """The current season has the whole fleet; an earlier one those with points alone, one before the anchor nobody."""
+    may, march, old = dt.date(2026, 5, 1), dt.date(2026, 3, 1), dt.date(2025, 7, 1)
+    rows = [(d, s, n - 5, 5, n) for d, s, n in (("a", may, 10), ("a", may, 20), ("b", may, 20), ("c", may, 20), ("a", march, 7), ("gone", march, 9), ("a", old, 99))]
+    p = df(ctx, "device_id string, season_start date, daily_settlement_points int, daily_bonus_points int, daily_points int", *rows)
+    board = fx.rec_points_leaderboard(ctx, p, df(ctx, "device_id string", ("a",), ("b",), ("c",), ("d",)))
+    got = {(r.device_id, r.season_start): (r.season_base_points, r.season_bonus_points, r.season_points, r.season_rank, r.total_members, r.alltime_base_points, r.alltime_bonus_points, r.is_current_season) for r in board.collect()}
+    assert got == {
+        ("a", may): (20, 10, 30, 1, 4, 22, 15, True), ("b", may): (15, 5, 20, 2, 4, 15, 5, True), ("c", may): (15, 5, 20, 2, 4, 15, 5, True), ("d", may): (0, 0, 0, 4, 4, 0, 0, True),
+        ("gone", march): (4, 5, 9, 1, 2, 4, 5, False), ("a", march): (2, 5, 7, 2, 2, 22, 15, False),
+    }
+    assert {r.season_end for r in board.filter("is_current_season").collect()} == {dt.date(2026, 7, 1)}
+
+
+def test_savings_count_own_energy_of_all_slots_and_of_windows(ctx):
+    m = df(ctx, "device_id string, ts timestamp_ntz, self_consumed_kwh double", ("a", at(9), 1.00004), ("a", at(20), 2.0), ("b", at(9), 4.0), ("b", at(21), 8.0))
+    f = df(ctx, "country string, kg_co2_per_kwh double, trees_per_ton double", ("it", 0.233, 21.0), ("de", 9.0, 9.0))
+    got = {r.device_id: (r.consumption_kwh, r.co2_avoided_kg, r.trees_equivalent) for r in fx.rec_co2_savings(ctx, m, f).collect()}
+    assert got == {"a": (3.0, 0.699, 0.014679), "b": (12.0, 2.796, 0.058716)}  # 12 kWh: 2.796 kg, of which 0.002796 t times 21
+    s = df(ctx, "device_id string, ts timestamp_ntz, window_start timestamp_ntz, consumption_kwh double", ("a", at(9), at(9), 50.0), ("a", at(20), None, 50.0), ("b", at(9), at(9), 50.0))
+    r = fx.rec_co2_savings_community(ctx, m, s, f).collect()
+    assert [tuple(x) for x in r] == [(DAY.date(), 5.0, 1.165, 0.024465, 2)]
+
+
+def test_flags(ctx):
+    """Ten times the median of the 30 days before is the limit; a median of 0 sets none; each cut window is a flag of its own."""
+    cols = "_id string, device_id string, window_start timestamp_ntz, window_end timestamp_ntz, bonus_points int, bonus_points_raw double, bonus_points_capped double"
+    row = lambda d, day, n, raw=1.0, cap=1.0, h=9: ("", d, at(h) - dt.timedelta(days=day), at(h + 1) - dt.timedelta(days=day), n, raw, cap)
+    b = df(ctx, cols, row("a", 40, 10_000), row("a", 3, 1), row("a", 2, 2), row("a", 1, 5), row("a", 0, 10), row("a", 0, 11, h=14), row("zero", 2, 0), row("zero", 1, 0), row("zero", 0, 999), row("cut", 0, 5, 9.0, 4.0), row("cut", 0, 5, 8.0, 4.0, 14), row("cut", 1, 5, 4.0005, 4.0))
+    got = sorted((r.device_id, r.flag_date, r.flag_type, r.metric_value, r.threshold_value, r.severity) for r in fx.rec_anti_gaming_flags(ctx, b).collect())
+    assert got == [("a", DAY.date(), "L4_DAILY_SPIKE", 21.0, 20.0, "warning"), ("cut", DAY.date(), "L3_WINDOW_CAP", 8.0, 4.0, "info"), ("cut", DAY.date(), "L3_WINDOW_CAP", 9.0, 4.0, "info")]
+    assert fx.rec_anti_gaming_flags(ctx, b).select("_id").distinct().count() == 3
 
 
 def test_settlement_points_of_surplus_and_deficit(ctx):
@@ -161,7 +188,8 @@ def test_bonus_and_its_retention(ctx):
     assert (r.shifted_kwh, r.reference_kwh, r.shift_fraction, r.shift_effort_mult, r.accuracy) == (1.0, 1.0, 1.0, 2.5, 0.5)
     assert r.bonus_points_raw == pytest.approx(1.0 * 15 * 2.5 * 0.5 * 1.1) and r.bonus_points == 21
     b = fx.rec_flexibility_bonus(ctx, c, w, p, base, state)
-    assert fx.bonus_of_live_commitments(b, c).count() == 1 and fx.bonus_of_live_commitments(b, c.withColumn("status", F.lit("cancelled"))).count() == 0
+    assert fx.bonus_of_live_commitments(ctx, b, c).count() == 1 and fx.bonus_of_live_commitments(ctx, b, c.withColumn("status", F.lit("cancelled"))).count() == 0
+    assert fx.bonus_of_live_commitments(ctx, b, c.withColumn("period_end", F.col("period_end") - F.expr("INTERVAL 1 MINUTE"))).count() == 0
 
 
 def test_baselines_of_a_fleet(ctx):
@@ -199,4 +227,4 @@ def test_models_run_through_the_registry(ctx):
         out = MODELS.run(ctx, [n for n in names if n in MODELS.models])
         assert out["meters_data_15m"].count() == 16 and out["rec_flexibility_windows"].count() == 1
         assert out["rec_settlement_15m"].filter("window_start IS NOT NULL").count() == 8 and out["rec_settlement_points"].count() == 16
-        assert out["rec_co2_savings"].first().kwh == pytest.approx(2.0, abs=0.26)
+        assert out["rec_co2_savings"].first().consumption_kwh == 0.0

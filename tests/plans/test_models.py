@@ -33,6 +33,7 @@ def test_every_model_is_registered_in_an_order():
 
 def test_netting_and_shares(ctx):
     m = df(ctx, "device_id string, ts timestamp_ntz, consumption_kwh double, production_kwh double", ("a", NOW, 1.0, 9.0), ("b", NOW, 3.0, 2.0), ("x", NOW, 5.0, 5.0))
+    m = m.selectExpr("*", "concat(device_id, ts) _id", "0.0D self_consumed_kwh")
     r = df(ctx, "sensor_id string, user_id string, rec_id string, role string, substation_id string", ("a", "u1", "r", "consumer", "s"), ("b", "u2", "r", "prosumer", "s"))
     v = community.rec_virtual_consumption_15m(ctx, m, r)
     row = v.first()
@@ -48,12 +49,13 @@ def test_missing_slots(ctx):
     have = [("a", end - dt.timedelta(minutes=15 * k)) for k in range(1, 5) if k != 3]
     ctx.vars["gap_hours"] = 1
     got = community.meters_data_15m_missing_intervals(ctx, df(ctx, "device_id string, ts timestamp_ntz", *have)).collect()
-    assert sorted(r.ts for r in got) == [end - dt.timedelta(minutes=75), end - dt.timedelta(minutes=45)] and got[0].local_hour in (12, 13)
+    assert sorted((r.ts, r.hour) for r in got) == [(end - dt.timedelta(minutes=45), 13), (end, 14)] and got[0].created_at == NOW
 
 
 def test_nearest_source_by_distance_height_and_id(ctx):
     places = df(ctx, "location_id string, provider string, lat double, lon double, elevation_m int", ("p", "x", 46.0, 11.0, 1000), ("far", "x", 50.0, 11.0, 0))
     src = df(ctx, "station_id string, lat double, lon double, elevation_m int, temperature_c double", ("s1", 46.05, 11.0, 900, 1.0), ("s2", 46.05, 11.0, 990, 2.0), ("s3", 46.2, 11.0, 1000, 3.0), ("s0", 46.05, 11.0, None, 4.0))
+    src = src.selectExpr("*", "'x' provider", "station_id station_name", "now() observed_at", *(f"CAST(NULL AS DOUBLE) {c}" for c in ("humidity_pct", "wind_speed_ms", "wind_direction_deg", "wind_gust_ms", "precipitation_mm", "cloud_cover_pct", "sky_condition", "pressure_hpa")))
     got = weather.weather_current(ctx, src, places).collect()
     assert [(r.location_id, r.station_id) for r in got] == [("p", "s2")]
 
@@ -61,17 +63,20 @@ def test_nearest_source_by_distance_height_and_id(ctx):
 def test_regional_alerts_go_to_the_providers_places(ctx):
     places = df(ctx, "location_id string, provider string", ("p", "mt"), ("q", "owm"))
     a = df(ctx, "location_id string, provider string, alert_id string", (None, "mt", "1"), ("z", "owm", "2"))
+    a = a.selectExpr("*", *(f"CAST(NULL AS STRING) {c}" for c in ("event", "severity", "urgency", "headline", "description", "starts_at", "expires_at", "source_name", "area_desc")))
     assert {(r.location_id, r.alert_id) for r in weather.stg_weather_alerts(ctx, a, places).collect()} == {("p", "1"), ("z", "2")}
 
 
 def test_nested_forecasts(ctx):
     hourly = json.dumps([{"dt": 1767225600, "temp": 1.5, "weather": [{"main": "Snow"}]}, {"dt": 1767229200, "temp": 2.5, "weather": []}])
-    s = df(ctx, "synced_at timestamp, lat double, lon double, location_id string, hourly string, daily string, current string, alerts string, minutely string", (NOW, 46.0, 11.0, "Folgaria", hourly, None, json.dumps({"dt": 1767225600, "temp": 3.0, "weather": [{"main": "Rain"}]}), None, None))
+    s = df(ctx, "synced_at timestamp, lat double, lon double, location_id string, hourly string, daily string, current string, alerts string, minutely string", (NOW, 46.0, 11.0, "Folgaria", hourly, None, json.dumps({"dt": 1767225600, "temp": 3.0, "sunrise": 1767254400, "weather": [{"main": "Rain", "description": "light rain"}]}), None, None))
+    s = s.selectExpr("*", "'Europe/Rome' timezone", "3600 timezone_offset")
     got = sorted(weather.payloads.weather_hourly(s).collect(), key=lambda r: r.ts)
     assert [(r.temp, r.weather_main) for r in got] == [(1.5, "Snow"), (2.5, None)]
     assert weather.payloads.weather_daily(s).count() == 0 and weather.payloads.weather_alerts(s).count() == 0
-    assert weather.weather_current_rows(s).first().weather_main == "Rain"
-    assert weather.place_rows(weather.payloads.weather_hourly(s), "FOLGARIA", ["dt_lat_lon"]).count() == 2
+    now = weather.payloads.weather_current(s).first()
+    assert (now.weather_main, now.weather_description, now.timezone, now.sunrise, now.dt_lat_lon) == ("Rain", "light rain", "Europe/Rome", dt.datetime(2026, 1, 1, 8), "1767225600_46.0_11.0")
+    assert weather.place_rows(weather.payloads.weather_hourly(s), "FOLGARIA", ["dt_lat_lon"], "ts").count() == 2
 
 
 def test_accumulated_forecasts_become_hourly(ctx):
@@ -80,7 +85,7 @@ def test_accumulated_forecasts_become_hourly(ctx):
     rows = [(run, at(h - 1), at(h), 46.0, 11.0, n, v, at(0)) for n, vs in {"avg_snswrf": (100.0, 150.0), "tp": (1.0, 3.5), "2t": (273.15, 283.15), "CLCT": (10.4, 90.0)}.items() for h, v in enumerate(vs, 1)]
     rows.append((run, at(0), at(1), 46.0, 11.0, "tp", 9.0, at(-1)))
     raw = df(ctx, "run_datetime timestamp, interval_start_datetime timestamp, interval_end_datetime timestamp, lat double, lon double, name string, value double, _sdc_last_modified timestamp", *rows)
-    gold = forecasts.dwd_icon_d2_gold(ctx, forecasts.dwd_icon_d2_silver(ctx, forecasts.stg_dwd_icon_d2(ctx, raw)))
+    gold = forecasts.dwd_icon_d2_gold(ctx, forecasts.dwd_icon_d2_silver(ctx, raw))
     got = [(r.temperature_2m, r.shortwave_radiation, r.cloud_cover, r.precipitation) for r in gold.orderBy("forecast_hour").collect()]
     assert got == [(0.0, 100.0, 10.0, 1.0), (10.0, 200.0, 90.0, 2.5)]
 
@@ -147,7 +152,7 @@ def square(x, y, size):
 
 def test_suitability_and_plan(ctx):
     props = json.dumps({"class": "commercial", "num_floors": 1})
-    raw = df(ctx, "wkt string, properties string, _sdc_extracted_at timestamp", *((square(11 + k * 0.01, 46.0, 0.0005), props, NOW) for k in range(4)))
+    raw = df(ctx, "geometry string, features string, _sdc_extracted_at timestamp", *((square(11 + k * 0.01, 46.0, 0.0005), props, NOW) for k in range(4)))
     b = rooftops.pv_overture_buildings(ctx, rooftops.stg_overture_buildings(ctx, raw))
     area = b.first().footprint_area_m2
     assert area == pytest.approx(2154.4, rel=2e-3)  # 55.6 m by 38.7 m
@@ -164,6 +169,7 @@ def test_suitability_and_plan(ctx):
     e = rooftops.estimate(ok)
     assert {r.user_type for r in e.collect()} == {"commercial"} and e.first().kwp == 20.0 and e.first().capex == 30_000 and 0 < e.first().irr < 1
     o = rooftops.pv_rooftop_opportunities(ctx, e.withColumn("estimated_at", F.lit(NOW)), b)
+    assert o.columns[:3] == ["building_id", "geometry", "building_class"]
     r = rooftops.pv_installation_ranking(ctx, o.withColumn("npv", F.when(F.col("building_id") == ok.first().building_id, -1.0).otherwise(F.col("npv"))))
     assert sorted((x["rank"], x.cumulative_pct) for x in r.collect()) == [(1, 50.0), (2, 100.0)]
     params = df(ctx, "year int, cumulative_adoption_pct double, degradation_rate double", (1, 50.0, 0.0045), (2, 100.0, 0.0045))
@@ -186,7 +192,7 @@ def test_detections(ctx):
 
 
 def test_map_themes(ctx):
-    raw = df(ctx, "id bigint, wkt string, tags string, _sdc_extracted_at timestamp", (1, "POINT (1 2)", json.dumps({"amenity": "parking"}), NOW), (2, "POINT (1 2)", json.dumps({"piste:type": "downhill"}), NOW), (3, "POINT (1 2)", "{}", NOW))
+    raw = df(ctx, "osm_id bigint, geometry string, features string, _sdc_extracted_at timestamp", (1, "POINT (1 2)", json.dumps({"amenity": "parking"}), NOW), (2, "POINT (1 2)", json.dumps({"piste:type": "downhill"}), NOW), (3, "POINT (1 2)", "{}", NOW)).withColumn("element", F.lit("node"))
     m = MODELS.models
     base = m["openstreetmap_it_alpecimbra_base"].build(ctx, m["openstreetmap_it_alpecimbra"].build(ctx, raw))
     assert [r.osm_id for r in m["openstreetmap_it_alpecimbra_parking"].build(ctx, base).collect()] == [1]

@@ -140,7 +140,7 @@ def test_registry_bundles(spark):
     m = payloads.registry_members(spark.createDataFrame([(json.dumps(bundle),)], "bundle string"))
     got = {r.user_id: r for r in m.collect()}
     assert set(got) == {"u1", "u3"} and sorted(got["u1"].sensor_ids) == ["m1", "m2"] and got["u1"].topology_ids == ["s1", "s2"] and got["u3"].topology_ids == []
-    assert sorted((r.device_id, r.substation_id) for r in payloads.registry_devices(m).collect()) == [("m1", "s1"), ("m2", "s1")]
+    assert sorted((r.sensor_id, r.substation_id) for r in payloads.registry_devices(m).collect()) == [("m1", "s1"), ("m2", "s1")]
 
 
 def test_files(spark, tmp_path):

@@ -19,10 +19,16 @@ class Context:
     as_of: dt.datetime
     vars: dict[str, Any] = field(default_factory=dict)
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    #: What the model that is being built has written before; None where it hasn't, or is written anew.
+    target: DataFrame | None = None
 
     def now(self) -> Column:
         return F.lit(self.as_of).cast("timestamp_ntz")
 
+    def today(self, back: int = 0) -> Column:
+        """The day of ``as_of``, or a number of days before it."""
+        return F.lit(self.as_of.date() - dt.timedelta(days=back))
+
     def path(self, layer: str, name: str) -> str:
         return f"{self.warehouse}/{layer}/{name}"
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: How timestamps are rendered inside keys.
@@ -22,6 +22,19 @@ def stamp(ts: Column | str) -> Column:
     return F.date_format(_col(ts), TIMESTAMP)
 
 
+def zoned(ts: Column | str) -> Column:
+    """A timestamp's text with its zone, as in "2026-07-10 12:00:00+00"."""
+    return F.date_format(_col(ts), TIMESTAMP + "x")
+
+
+def number_text(df: DataFrame, column: str) -> Column:
+    """A number's shortest text, whole numbers without a decimal point; text as it is."""
+    c = F.col(column)
+    if dict(df.dtypes)[column] not in ("double", "float"):
+        return c.cast("string")
+    return F.when((c == F.floor(c)) & (F.abs(c) < 1e15), c.cast("bigint").cast("string")).otherwise(c.cast("string"))
+
+
 def md5_key(*parts: Column | str, sep: str = "") -> Column:
     """MD5 of the columns' text; null if any is null."""
     cols = [_col(p).cast("string") for p in parts]

@@ -3,14 +3,17 @@
 Plain Parquet has no update in place. A table is a set of folders of Parquet files and a log of commits, one small file
 each, that list the folders which make up the table. Data are written first; a commit file is written aside and moved to
 its number, which fails if another writer took that number. So readers see the table before or after a write, a job that
-dies leaves unused folders and nothing else, and two writers who start from the same commit can't both succeed.
-Appending adds a folder; replacing a range rewrites the folders that hold rows of it and no others.
+dies leaves unused folders and nothing else, and two writers who start from the same commit can't both succeed (where the
+file system's rename is exclusive, as on HDFS and local disks; on an object store a table needs one writer at a time).
+Appending adds a folder. Merges, replaced ranges and deletions rewrite the parts that hold rows of theirs and no others: a part
+is a folder, or one partition of it where the table is partitioned.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,15 +75,19 @@ class Table:
                 raise Conflict(f"{self.path}: commit {after + 1} was taken by another writer") from e
             raise
 
-    def _write(self, df: DataFrame) -> str:
+    def _write(self, df: DataFrame) -> list[str]:
+        """Writes a folder and gives its parts: itself, or its partitions."""
         folder = f"d-{uuid.uuid4().hex}"
         at, fs = self._at(folder)
         if self.partition_by:
             df.write.partitionBy(*self.partition_by).parquet(f"{self.path}/{folder}")
-            if any(f.isDirectory() for f in fs.listStatus(at)):
-                return folder
+            parts = [folder]
+            for _ in self.partition_by:
+                parts = [f"{p}/{f.getPath().getName()}" for p in parts for f in fs.listStatus(self._at(p)[0]) if f.isDirectory() and not f.getPath().getName().startswith(("_", "."))]
+            if parts:
+                return parts
         df.write.mode("overwrite").parquet(f"{self.path}/{folder}")  # without rows there are no partitions, but a schema
-        return folder
+        return [folder]
 
     def _state(self) -> tuple[int, list[str]]:
         numbers = self.commits()
@@ -90,7 +97,7 @@ class Table:
         """Removes commits before the last ``keep`` and folders that none of these lists; how many folders went. Not to be
         run beside a writer: its folder isn't listed yet."""
         numbers = self.commits()
-        listed = {f for n in numbers[-keep:] for f in self._folders(n)}
+        listed = {f.split('/')[0] for n in numbers[-keep:] for f in self._folders(n)}
         for n in numbers[:-keep]:
             at, fs = self._at(f"_commits/{n:012d}")
             fs.delete(at, False)
@@ -111,14 +118,17 @@ class Table:
             raise FileNotFoundError(self.path)
         return self._read(folders)
 
-    def _read(self, folders: Sequence[str]) -> DataFrame:
-        """The union of the folders' rows. Each folder is read with its own columns, as later ones may have more."""
-        parts = [self.spark.read.option("basePath", f"{self.path}/{f}").parquet(f"{self.path}/{f}") for f in folders]
-        if all(p.schema == parts[0].schema for p in parts) and not self.partition_by:
-            return self.spark.read.schema(parts[0].schema).parquet(*(f"{self.path}/{f}" for f in folders))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p, allowMissingColumns=True)
+    def _read(self, parts: Sequence[str]) -> DataFrame:
+        """The union of the parts' rows. Each folder is read with its own columns, as later ones may have more."""
+        folders: dict[str, list[str]] = {}
+        for p in parts:
+            folders.setdefault(p.split("/")[0], []).append(f"{self.path}/{p}")
+        frames = [self.spark.read.option("basePath", f"{self.path}/{f}").parquet(*ps) for f, ps in folders.items()]
+        if not self.partition_by and all(f.schema == frames[0].schema for f in frames):
+            return self.spark.read.schema(frames[0].schema).parquet(*(f"{self.path}/{p}" for p in parts))
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f, allowMissingColumns=True)
         return out
 
     def newest(self, column: str):
@@ -129,7 +139,7 @@ class Table:
 
     def overwrite(self, df: DataFrame) -> None:
         number = self._state()[0]
-        self._commit(number, [self._write(df)])
+        self._commit(number, self._write(df))
 
     def overwrite_unless_empty(self, df: DataFrame) -> bool:
         """Full replacement that leaves the old rows when the new ones are none (a source that failed)."""
@@ -140,47 +150,116 @@ class Table:
 
     def append(self, df: DataFrame) -> None:
         """Adds a folder; what is there isn't read."""
-        number, folders = self._state()
-        self._commit(number, [*folders, self._write(df)])
+        number, parts = self._state()
+        self._commit(number, [*parts, *self._write(df)])
+
+    def _holding(self, parts: Sequence[str], rows: DataFrame) -> dict[str, int]:
+        """The parts that rows of the table (with their file in ``__file``) come from, and how many they are."""
+        files = rows.groupBy("__file").count().collect()  # one short row per file
+        out: dict[str, int] = {}
+        for r in files:
+            at = unquote(r["__file"])
+            part = next(p for p in parts if f"/{unquote(p)}/" in at)
+            out[part] = out.get(part, 0) + r["count"]
+        return out
+
+    def _with_file(self, parts: Sequence[str]) -> DataFrame:
+        return self._read(parts).withColumn("__file", F.input_file_name())
+
+    def _partitions_of(self, batch: DataFrame, parts: Sequence[str]) -> list[str]:
+        """Of a partitioned table the parts whose partition the batch has rows of."""
+        if not self.partition_by:
+            return list(parts)
+        escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+        names = batch.select(*(F.col(c).cast("string") for c in self.partition_by)).distinct().collect()
+        has = {"/".join(escape(c, v) for c, v in zip(self.partition_by, r, strict=True)) for r in names}
+        return [p for p in parts if "/" not in p or p.split("/", 1)[1] in has]
 
     def merge(self, batch: DataFrame, keys: Sequence[str], update: Sequence[str] | None = None, schema_change: str = "append", check: bool = True) -> None:
         """Upsert. ``update``: columns that a match takes over, all by default; the others keep the old value.
-        schema_change: append keeps columns that the batch lacks, sync drops them, ignore keeps the table's columns."""
+        schema_change: append keeps columns that the batch lacks, sync drops them, ignore keeps the table's columns.
+
+        The batch is written once and read from there. The table's keys alone tell which parts hold matches; those are
+        rewritten, the others keep their files, and without a match the batch is simply added. Where the table is
+        partitioned, the key must determine the partition: then only the batch's partitions are looked at.
+        """
+        number, parts = self._state()
+        if parts and schema_change == "ignore":
+            batch = batch.select(*(c for c in batch.columns if c in self._read(parts[:1]).columns))
+        new = self._write(batch)
+        batch = self._read(new)
         if check and not duplicate_keys(batch, keys).isEmpty():
             raise DuplicateKeys(f"{self.path}: several rows for a key of {', '.join(keys)}")
-        number, folders = self._state()
-        self._commit(number, [self._write(merged(self._read(folders), batch, keys, update, schema_change) if folders else batch)])
+        if not parts:
+            return self._commit(number, new)
+        if schema_change == "sync" and set(self._read(parts).columns) - set(batch.columns):
+            met = set(parts)
+        else:
+            near = self._partitions_of(batch, parts)
+            met = set(self._holding(near, _semi(self._with_file(near).select(*keys, "__file"), batch.select(*keys), keys))) if near else set()
+        if met:
+            new = self._write(merged(self._read([p for p in parts if p in met]), batch, keys, update, schema_change))
+        self._commit(number, [*(p for p in parts if p not in met), *new])
+
+    def insert(self, batch: DataFrame, keys: Sequence[str], check: bool = True) -> None:
+        """Adds the rows whose key the table doesn't hold; rows that it holds stay as they are, and no part is rewritten."""
+        number, parts = self._state()
+        near = self._partitions_of(batch, parts) if parts else []
+        if near:
+            batch = _semi(batch, self._read(near).select(*keys), keys, "left_anti")
+        new = self._write(batch)
+        if check and not duplicate_keys(self._read(new), keys).isEmpty():
+            raise DuplicateKeys(f"{self.path}: several rows for a key of {', '.join(keys)}")
+        self._commit(number, [*parts, *new])
 
-    def _rewritten(self, folders: Sequence[str], condition: Column) -> tuple[list[str], int]:
-        """The folders without the rows that ``condition`` holds for, and how many rows those were. A folder without such
+    def _rewritten(self, parts: Sequence[str], condition: Column) -> tuple[list[str], int]:
+        """The parts without the rows that ``condition`` holds for, and how many rows those were. A part without such
         rows stays as it is; where statistics rule it out, its files aren't read."""
-        gone, out, total = F.coalesce(condition, F.lit(False)), [], 0
-        for f in folders:
-            rows = self._read([f])
-            n = rows.filter(condition).count()
-            total += n
-            out.append(self._write(rows.filter(~gone)) if n else f)
-        return out, total
+        hit = self._holding(parts, self._with_file(parts).filter(condition)) if parts else {}
+        if not hit:
+            return list(parts), 0
+        kept, rest = [p for p in parts if p not in hit], self._write(self._read([p for p in parts if p in hit]).filter(~F.coalesce(condition, F.lit(False))))
+        return kept if kept and self._read(rest).isEmpty() else [*kept, *rest], sum(hit.values())
 
     def replace_range(self, batch: DataFrame, replaced: Column) -> None:
-        """Delete and insert: rows that ``replaced`` holds for go, the batch comes."""
-        number, folders = self._state()
-        kept = self._rewritten(folders, replaced)[0]
-        self._commit(number, [*kept, self._write(batch)])
+        """Delete and insert by one predicate: rows that ``replaced`` holds for go, and those of the batch that it holds for come."""
+        number, parts = self._state()
+        new = self._write(batch.filter(replaced) if parts else batch)
+        self._commit(number, [*self._rewritten(parts, replaced)[0], *new])
 
     def delete(self, condition: Column) -> int:
         """Retention: rows that the condition holds for go; how many they were."""
-        number, folders = self._state()
-        if not folders:
+        number, parts = self._state()
+        if not parts:
             raise FileNotFoundError(self.path)
-        kept, n = self._rewritten(folders, condition)
+        kept, n = self._rewritten(parts, condition)
         if n:
             self._commit(number, kept)
         return n
 
-    def keep_referenced(self, parents: DataFrame, keys: Sequence[str]) -> None:
-        """Rows without a parent go."""
-        self.overwrite(self.read().join(parents.select(*keys).distinct(), list(keys), "left_semi"))
+    def keep_referenced(self, parents: DataFrame, keys: Sequence[str]) -> int:
+        """Rows without a parent go; how many they were. Parts that lose none stay as they are."""
+        number, parts = self._state()
+        hit = self._holding(parts, _semi(self._with_file(parts).select(*keys, "__file"), parents.select(*keys), keys, "left_anti"))
+        if hit:
+            rows = _semi(self._read([p for p in parts if p in hit]), parents.select(*keys), keys)
+            self._commit(number, [*(p for p in parts if p not in hit), *self._write(rows)])
+        return sum(hit.values())
+
+    def compact(self, most: int = 64) -> bool:
+        """Writes the table anew once it has more than ``most`` folders."""
+        number, parts = self._state()
+        if len({p.split("/")[0] for p in parts}) <= most:
+            return False
+        self._commit(number, self._write(self._read(parts)))
+        return True
+
+
+def _semi(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """Null keys meet null keys."""
+    named = right.select(*(F.col(k).alias(f"__{k}") for k in keys))
+    on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    return left.join(named, on, how)
 
 
 def merged(old: DataFrame, batch: DataFrame, keys: Sequence[str], update: Sequence[str] | None = None, schema_change: str = "append") -> DataFrame:

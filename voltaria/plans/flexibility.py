@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..context import Context
 from ..functions import keys, tiers, time as T
 from ..operators import allocation, baselines, dedup, joins, streaks, timeseries
-from ..registry import model
+from ..registry import Days, Hook, model
 
 #: kWh of an hour's surplus that counts; first hour of the day; hours of a window at most and at least (fixed values).
 SURPLUS_KWH, FIRST_HOUR, MOST_HOURS, LEAST_HOURS = 0.5, 5, 3, 2
@@ -34,14 +34,17 @@ def _slotted(df: DataFrame, ts: str) -> DataFrame:
 @model("meters_data_15m", "rec_active_devices", layer="silver", tags=("flexibility",))
 def rec_meters_15m(ctx: Context, meters: DataFrame, active: DataFrame) -> DataFrame:
     own = F.greatest(F.col("self_consumed_kwh"), F.lit(0.0))
-    cols = {"pv_production_kwh": F.col("self_consumed_kwh") + F.col("production_kwh"), "total_consumption_kwh": F.col("consumption_kwh") + own, "self_consumed_kwh": own}
-    return meters.join(active, "device_id", "left_semi").withColumns(cols)
+    m = meters.join(active, "device_id", "left_semi")
+    return m.select("_id", "device_id", "ts", "consumption_kwh", "production_kwh", (F.col("self_consumed_kwh") + F.col("production_kwh")).alias("pv_production_kwh"), own.alias("self_consumed_kwh"), (F.col("consumption_kwh") + own).alias("total_consumption_kwh"))
 
 
 @model("flexibility_commitments_mirror", layer="silver", kind="table", tags=("flexibility",))
 def silver_flexibility_commitments(ctx: Context, raw: DataFrame) -> DataFrame:
-    status = F.lower(F.split_part(F.col("status"), F.lit("."), F.lit(-1)))
-    return raw.withColumnRenamed("id", "commitment_id").withColumn("status", status).withColumn("window_duration_hours", T.hours_between("period_start", "period_end"))
+    time = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
+    return raw.select(
+        F.col("id").alias("commitment_id"), "user_id", "suggestion_id", "suggestion_type", "community_id", "device_id", *map(time, ("period_start", "period_end", "committed_at", "settled_at", "reminded_at")),
+        F.split_part(F.col("status"), F.lit("."), F.lit(-1)).alias("status"), "reward_points_estimated", "reward_points_actual", T.hours_between("period_start", "period_end").alias("window_duration_hours"), "last_updated",
+    )
 
 
 @model("rec_device_baselines_raw", tags=("flexibility",))
@@ -120,18 +123,26 @@ def hit_rate(past: DataFrame, actual: DataFrame) -> DataFrame:
     return r.select(F.when(F.col("rate").isNotNull(), F.round(F.least(F.lit(0.95), F.greatest(F.lit(0.30), F.col("rate"))), 2)).alias("confidence"))
 
 
-@model("total_meters_forecast", kind="range", full_refresh=False, replaced=lambda ctx: F.col("ts_date") >= F.lit(ctx.as_of.date()), tags=("flexibility",))
+def _from_today(ctx: Context) -> Column:
+    return F.col("ts_date") >= ctx.today()
+
+
+#: Of forecasts later runs read the hours from today on.
+_AHEAD = Days("to_date(CAST(timestamp AS TIMESTAMP_NTZ))")
+
+
+@model("total_meters_forecast", kind="range", full_refresh=False, replaced=_from_today, tags=("flexibility",))
 def rec_flexibility_windows_community(ctx: Context, forecast: DataFrame) -> DataFrame:
     """Windows of the newest forecast. On later runs only days from ``as_of`` on are replaced, so history stays; their
-    confidence comes from the past windows in ``ctx.vars['past_windows']``."""
+    confidence is the hit rate of the windows of the 30 days before, as the table holds them."""
     f = forecast.withColumn("ts", F.col("timestamp").cast("timestamp_ntz"))
     newest = dedup.newest_generation(f.filter("period = 'forecast'"), "generated_at")
-    past = ctx.var("past_windows")
-    w = surplus_windows(newest.select("ts", "net_exchange_kwh"))
-    if past is None:
-        w = w.withColumn("confidence", F.lit(None).cast("double"))
+    if ctx.target is None:
+        w = surplus_windows(newest.select("ts", "net_exchange_kwh")).withColumn("confidence", F.lit(None).cast("double"))
     else:
-        w = joins.with_scalars(w.filter(F.col("ts_date") >= F.lit(ctx.as_of.date())), hit_rate(past, f.filter("period = 'actual'")))
+        past = ctx.target.filter((F.col("ts_date") >= ctx.today(30)) & (F.col("ts_date") < ctx.today()))
+        actual = f.filter((F.col("period") == "actual") & (F.col("ts") >= ctx.today(31)) & (F.col("ts") < ctx.today()))
+        w = joins.with_scalars(surplus_windows(newest.filter(F.col("ts") >= ctx.today()).select("ts", "net_exchange_kwh")), hit_rate(past, actual))
     key = keys.md5_key(F.col("ts_date"), keys.stamp("window_start"), keys.stamp("window_end"))
     return w.select(key.alias("_id"), "ts_date", "window_start", "window_end", F.round("community_kwh", 2).alias("community_kwh"), "confidence", F.lit(ctx.var("flexibility_model", "solar_overproduction")).alias("flexibility_model"))
 
@@ -141,7 +152,7 @@ def reward_points(kwh: Column, start: Column, end: Column) -> Column:
     return F.round(tiers.effort_points(kwh, slots)).cast("int")
 
 
-@model("rec_flexibility_windows_community", "meters_energy_forecast", "rec_device_baselines", "rec_device_class", kind="range", full_refresh=False, replaced=lambda ctx: F.col("ts_date") >= F.lit(ctx.as_of.date()), tags=("flexibility",))
+@model("rec_flexibility_windows_community", "meters_energy_forecast", "rec_device_baselines", "rec_device_class", kind="range", full_refresh=False, replaced=_from_today, reads={"rec_flexibility_windows_community": Days("ts_date"), "meters_energy_forecast": _AHEAD}, tags=("flexibility",))
 def rec_flexibility_windows(ctx: Context, windows: DataFrame, forecast: DataFrame, base: DataFrame, classes: DataFrame) -> DataFrame:
     """Per device and window: expected use, held to the community's surplus, and the points to gain."""
     used = F.coalesce("total_consumption_kwh", "grid_import_kwh", F.lit(0.0))
@@ -159,46 +170,45 @@ def rec_flexibility_windows(ctx: Context, windows: DataFrame, forecast: DataFram
     gain = F.when(F.coalesce("is_m1_only", F.lit(False)), F.least("potential", "cap")).otherwise(F.col("potential"))
     known = sums.join(classes, "device_id", "left").select(*at, ((F.col("expected") + gain) * float(ctx.var("calibration_lambda", 1.0))).alias("kwh"))
     other = live.join(based, "device_id", "left_anti").select(*at, F.col("forecast_kwh").alias("kwh"))
-    total = F.sum("kwh").over(Window.partitionBy("window_start", "window_end"))
     kwh = F.when(F.col("total") > F.col("community_kwh"), F.col("kwh") / F.col("total") * F.col("community_kwh")).otherwise(F.col("kwh"))
-    d = known.unionByName(other).withColumn("total", total).filter("kwh > 0").withColumn("estimate", kwh)
+    d = allocation.with_totals(known.unionByName(other), ["window_start", "window_end"], F.sum("kwh").alias("total")).filter("kwh > 0").withColumn("estimate", kwh)
     return d.select(
         keys.md5_key(F.col("device_id"), F.col("ts_date"), keys.stamp("window_start"), keys.stamp("window_end")).alias("_id"), "device_id", "ts_date", "window_start", "window_end", F.round("community_kwh", 2).alias("community_kwh"),
         F.round("estimate", 2).alias("estimated_kwh"), reward_points(F.col("estimate"), F.col("window_start"), F.col("window_end")).alias("reward_points_estimated"), "confidence", F.lit(ctx.var("flexibility_model", "solar_overproduction")).alias("flexibility_model"),
     )
 
 
-@model("rec_meters_15m", "rec_flexibility_windows", kind="merge", key=("_id",), watermark=("ts", "2 DAYS"), tags=("flexibility",))
+@model("rec_meters_15m", "rec_flexibility_windows", kind="merge", key=("_id",), reads={"rec_meters_15m": Days("ts", 2)}, tags=("flexibility",))
 def rec_settlement_15m(ctx: Context, meters: DataFrame, windows: DataFrame) -> DataFrame:
     """Readings with the earliest window of their device that holds them, if any."""
     w = windows.select("device_id", "window_start", "window_end", "ts_date", F.col("estimated_kwh").alias("window_estimated_kwh"), F.col("reward_points_estimated").alias("window_reward_points_estimated"))
     m = meters.select("device_id", "ts", "consumption_kwh", F.col("consumption_kwh").alias("grid_import_kwh"), F.col("production_kwh").alias("grid_export_kwh"), "total_consumption_kwh")
     j = joins.interval_join(m, w, ["device_id"], "ts", "window_start", "window_end", "left")
     first = dedup.distinct_on(j, ["device_id", "ts"], F.col("window_start").asc_nulls_last(), F.col("window_end").asc_nulls_last())
-    return first.withColumn("_id", keys.md5_key(F.col("device_id"), keys.stamp("ts")))
+    keep = "ts device_id consumption_kwh grid_import_kwh grid_export_kwh total_consumption_kwh window_start window_end ts_date window_estimated_kwh window_reward_points_estimated"
+    return first.select(keys.md5_key(F.col("device_id"), keys.stamp("ts")).alias("_id"), *keep.split())
 
 
-@model("rec_settlement_15m", kind="merge", key=("_id",), watermark=("ts", "2 DAYS"), tags=("flexibility",))
+@model("rec_settlement_15m", kind="merge", key=("_id",), reads={"rec_settlement_15m": Days("ts", 2)}, tags=("flexibility",))
 def rec_settlement_1h(ctx: Context, slots: DataFrame) -> DataFrame:
-    g = slots.groupBy("device_id", T.floor_hour("ts").alias("ts")).agg(F.sum("consumption_kwh").alias("consumption_kwh"), *(F.max(c).alias(c) for c in ("window_start", "window_end", "ts_date", "window_estimated_kwh", "window_reward_points_estimated")))
-    return g.withColumn("_id", keys.md5_key(F.col("device_id"), keys.stamp("ts")))
+    g = slots.groupBy("device_id", T.floor_hour("ts").alias("ts")).agg(F.sum("consumption_kwh").alias("consumption_kwh"), *(F.max(c).alias(c) for c in ("window_start", "window_end", "ts_date", "window_estimated_kwh")))
+    return g.select(keys.md5_key(F.col("device_id"), keys.stamp("ts")).alias("_id"), "ts", "device_id", "consumption_kwh", "window_start", "window_end", "ts_date", "window_estimated_kwh")
 
 
-@model("rec_settlement_15m", "rec_device_class", "rec_device_baselines", "total_meters_forecast", kind="merge", key=("_id",), watermark=("ts", "2 DAYS"), tags=("flexibility",))
+@model("rec_settlement_15m", "rec_device_class", "rec_device_baselines", "total_meters_forecast", kind="merge", key=("_id",), reads={"rec_settlement_15m": Days("ts", 2)}, tags=("flexibility",))
 def rec_settlement_points(ctx: Context, slots: DataFrame, classes: DataFrame, base: DataFrame, forecast: DataFrame) -> DataFrame:
     """Points per slot: the logarithm of the use times the effort over the baseline; in a surplus in full, else by share of what is made."""
     s = _slotted(slots.select("ts", "device_id", "grid_import_kwh", "grid_export_kwh", "total_consumption_kwh"), "ts")
     s = s.join(classes, "device_id", "left").join(_wide_baselines(base), BASE_KEYS, "left").withColumn("is_m1_only", F.coalesce("is_m1_only", F.lit(False)))
     used = F.when(F.col("is_m1_only"), baselines.consumption_proxy(F.col("grid_import_kwh"), F.col("grid_export_kwh"), F.col("b_grid_export_median"))).otherwise(F.col("total_consumption_kwh"))
     s = s.withColumn("consumption_kwh", used).withColumn("baseline_kwh", F.coalesce("b_settlement", F.lit(FLOOR_KWH)))
-    now = Window.partitionBy("ts")
-    s = s.withColumn("comm_grid_import_kwh", F.sum("grid_import_kwh").over(now)).withColumn("hr", T.floor_hour("ts"))
     made = forecast.filter("period = 'actual'").groupBy(T.floor_hour(F.col("timestamp").cast("timestamp_ntz")).alias("hr")).agg((F.avg("production_kwh") / 4).alias("made"))
-    s = s.join(made, "hr", "left").withColumn("comm_grid_export_kwh", F.coalesce("made", F.lit(0.0)))
     ratio = F.when(F.col("baseline_kwh") < FLOOR_KWH, 1.0).otherwise(F.col("consumption_kwh") / F.nullif("baseline_kwh", F.lit(0.0)))
     s = s.withColumn("effort_ratio", ratio).withColumn("effort_multiplier", tiers.ladder(F.col("effort_ratio"), EFFORT, 0.25))
-    s = s.withColumns({"is_surplus_interval": (F.col("comm_grid_export_kwh") >= F.col("comm_grid_import_kwh")).cast("int"), "has_production": (F.col("comm_grid_export_kwh") > 0).cast("int"), "weight": F.log1p("consumption_kwh") * F.col("effort_multiplier")})
-    s = s.withColumn("log_scaled_points", F.col("weight") * 10).withColumn("all_weight", F.sum("weight").over(now))
+    s = s.withColumn("weight", F.log1p("consumption_kwh") * F.col("effort_multiplier")).withColumn("log_scaled_points", F.col("weight") * 10)
+    s = allocation.with_totals(s, ["ts"], F.sum("grid_import_kwh").alias("comm_grid_import_kwh"), F.sum("weight").alias("all_weight")).withColumn("hr", T.floor_hour("ts"))
+    s = s.join(made, "hr", "left").withColumn("comm_grid_export_kwh", F.coalesce("made", F.lit(0.0)))
+    s = s.withColumns({"is_surplus_interval": (F.col("comm_grid_export_kwh") >= F.col("comm_grid_import_kwh")).cast("int"), "has_production": (F.col("comm_grid_export_kwh") > 0).cast("int")})
     full = F.when(F.col("is_surplus_interval") == 1, F.col("log_scaled_points")).otherwise(0.0)
     pool = F.when((F.col("is_surplus_interval") == 0) & (F.col("has_production") == 1) & (F.col("all_weight") > 0), F.col("comm_grid_export_kwh") * 10 * F.col("weight") / F.col("all_weight")).otherwise(0.0)
     s = s.withColumn("effort_adjusted_points", full).withColumn("pool_share_points", pool).withColumn("settlement_points", full + pool)
@@ -206,7 +216,16 @@ def rec_settlement_points(ctx: Context, slots: DataFrame, classes: DataFrame, ba
     return s.select(keys.md5_key(F.col("device_id"), keys.stamp("ts")).alias("_id"), *keep.split())
 
 
-@model("silver_flexibility_commitments", "rec_flexibility_windows", "rec_settlement_points", "rec_device_baselines", "rec_device_streaks", kind="merge", key=("_id",), tags=("flexibility",))
+def bonus_of_live_commitments(ctx: Context, bonus: DataFrame, commits: DataFrame) -> DataFrame:
+    """After a bonus run: rows whose window no live commitment of the device holds any more go. The interval in the interval is
+    found by start times: windows meet the periods that hold their start, by buckets of time."""
+    live = commits.filter(F.col("status").isin(*LIVE)).select("device_id", F.col("period_start").alias("held_from"), F.col("period_end").alias("held_to")).distinct()
+    own = bonus.select("_id", "device_id", F.col("window_start").alias("from"), F.col("window_end").alias("to"))
+    met = joins.interval_join(own, live, ["device_id"], "from", "held_from", "held_to").filter("`to` <= held_to").select(F.col("_id").alias("__id"))
+    return bonus.join(met, F.col("_id") == F.col("__id"), "left_semi")
+
+
+@model("silver_flexibility_commitments", "rec_flexibility_windows", "rec_settlement_points", "rec_device_baselines", "rec_device_streaks", kind="merge", key=("_id",), reads={"silver_flexibility_commitments": Days("period_start", 7)}, hooks=(Hook(bonus_of_live_commitments, ("silver_flexibility_commitments",)),), tags=("flexibility",))
 def rec_flexibility_bonus(ctx: Context, commits: DataFrame, windows: DataFrame, points: DataFrame, base: DataFrame, state: DataFrame) -> DataFrame:
     """What a device shifted into the windows that it committed to, over its reference."""
     at = ["device_id", "window_start", "window_end"]
@@ -230,18 +249,11 @@ def rec_flexibility_bonus(ctx: Context, commits: DataFrame, windows: DataFrame,
     return s.select(keys.md5_key(F.col("device_id"), keys.stamp("window_start"), keys.stamp("window_end")).alias("_id"), *at, *keep.split())
 
 
-def bonus_of_live_commitments(bonus: DataFrame, commits: DataFrame) -> DataFrame:
-    """After a bonus run: rows whose window no live commitment of the device holds any more go."""
-    live = commits.filter(F.col("status").isin(*LIVE)).select("device_id", "period_start", "period_end")
-    on = (bonus["device_id"] == live["device_id"]) & (bonus["window_start"] >= live["period_start"]) & (bonus["window_end"] <= live["period_end"])
-    return bonus.join(live, on, "left_semi")
-
-
 def _budgets(windows: DataFrame) -> DataFrame:
     return windows.groupBy("window_start", "window_end").agg(F.min("community_kwh").alias("budget"))
 
 
-@model("silver_flexibility_commitments", "rec_settlement_1h", "rec_flexibility_windows", "rec_settlement_points", "rec_flexibility_bonus", kind="merge", key=("commitment_id",), update=("status", "actual_kwh", "allocated_kwh", "reward_points_actual", "adherence_ratio"), tags=("flexibility",))
+@model("silver_flexibility_commitments", "rec_settlement_1h", "rec_flexibility_windows", "rec_settlement_points", "rec_flexibility_bonus", kind="merge", key=("commitment_id",), reads={"silver_flexibility_commitments": Days("last_updated", 2)}, update=("status", "actual_kwh", "allocated_kwh", "reward_points_actual", "adherence_ratio"), tags=("flexibility",))
 def rec_commitment_settlement(ctx: Context, commits: DataFrame, hours: DataFrame, windows: DataFrame, points: DataFrame, bonus: DataFrame) -> DataFrame:
     """What each commitment used in its period, its part of the window's budget, and its points."""
     span = commits.select("commitment_id", "device_id", "period_start", "period_end")
@@ -263,7 +275,7 @@ def rec_commitment_settlement(ctx: Context, commits: DataFrame, hours: DataFrame
     return c.select(*keep.split(), kept.alias("adherence_ratio"), "committed_at", "settled_at", "last_updated")
 
 
-@model("rec_settlement_15m", "silver_flexibility_commitments", "rec_commitment_settlement", "rec_flexibility_windows", kind="merge", key=("_id",), tags=("flexibility",))
+@model("rec_settlement_15m", "silver_flexibility_commitments", "rec_commitment_settlement", "rec_flexibility_windows", kind="merge", key=("_id",), reads={"rec_settlement_15m": Days("ts", 2), "silver_flexibility_commitments": Days("to_date(committed_at)", 2)}, tags=("flexibility",))
 def rec_gamification_summary(ctx: Context, slots: DataFrame, commits: DataFrame, settled: DataFrame, windows: DataFrame) -> DataFrame:
     """Daily use in windows, what those who didn't commit get of the rest, and ranks."""
     at = ["window_start", "window_end"]
@@ -271,67 +283,92 @@ def rec_gamification_summary(ctx: Context, slots: DataFrame, commits: DataFrame,
     committed = commits.filter(F.col("status").isin(*LIVE)).select("device_id", F.to_date("committed_at").alias("ts_date")).distinct()
     spent = settled.filter(F.col("status").isin(*LIVE)).groupBy(F.col("period_start").alias("window_start"), F.col("period_end").alias("window_end")).agg(F.sum("allocated_kwh").alias("spent"))
     rest = _budgets(windows).join(spent, at, "left").select(*at, F.greatest(F.lit(0.0), F.col("budget") - F.coalesce("spent", F.lit(0.0))).alias("rest"))
-    p = used.join(committed, ["device_id", "ts_date"], "left_anti").join(rest, at, "left").withColumn("total", F.sum("kwh").over(Window.partitionBy(*at)))
+    p = allocation.with_totals(used.join(committed, ["device_id", "ts_date"], "left_anti"), at, F.sum("kwh").alias("total")).join(rest, at, "left")
     part = F.when(F.coalesce("rest", F.lit(0.0)) == 0, 0.0).when(F.col("total") <= F.col("rest"), F.col("kwh")).otherwise(F.round(F.col("kwh") / F.nullif("total", F.lit(0.0)) * F.col("rest"), 4))
     passive = p.withColumn("part", part).groupBy("device_id", "ts_date").agg(F.sum("kwh").alias("total_consumption_kwh"), F.sum("part").alias("total_allocated_kwh")).withColumn("committed", F.lit(False))
     active = used.join(committed, ["device_id", "ts_date"], "left_semi").groupBy("device_id", "ts_date").agg(F.sum("kwh").alias("total_consumption_kwh"), F.lit(0.0).alias("total_allocated_kwh")).withColumn("committed", F.lit(True))
-    day = Window.partitionBy("ts_date")
-    return active.unionByName(passive).select(
-        keys.md5_key(F.col("device_id"), F.col("ts_date")).alias("_id"), "device_id", "ts_date", "total_consumption_kwh", "total_allocated_kwh", "committed",
-        F.percent_rank().over(day.orderBy("total_consumption_kwh")).alias("percentile_rank"), F.rank().over(day.orderBy(F.desc("total_consumption_kwh"))).alias("rank_position"), F.count("*").over(day).alias("total_members"),
+    placed = allocation.with_places(active.unionByName(passive), ["ts_date"], "total_consumption_kwh")
+    share = F.coalesce(F.col("below") / F.nullif(F.col("members") - 1, F.lit(0)), F.lit(0.0))
+    return placed.select(
+        keys.md5_key(F.col("device_id"), F.col("ts_date")).alias("_id"), "device_id", "ts_date", "total_consumption_kwh", "total_allocated_kwh", "committed", share.alias("percentile_rank"), F.col("rank").alias("rank_position"), F.col("members").alias("total_members"),
     )
 
 
-@model("rec_settlement_points", "rec_flexibility_bonus", kind="merge", key=("_id",), tags=("flexibility",))
+@model("rec_settlement_points", "rec_flexibility_bonus", kind="merge", key=("_id",), reads={"rec_settlement_points": Days("ts", 2), "rec_flexibility_bonus": Days("window_start", 2)}, tags=("flexibility",))
 def rec_participant_points(ctx: Context, points: DataFrame, bonus: DataFrame) -> DataFrame:
     s = points.groupBy("device_id", F.to_date("ts").alias("ts_date")).agg(F.round(F.sum("settlement_points")).cast("int").alias("daily_settlement_points"), F.sum("consumption_kwh").alias("daily_consumption_kwh"))
     b = bonus.groupBy("device_id", F.to_date("window_start").alias("ts_date")).agg(F.sum("bonus_points").cast("int").alias("daily_bonus_points"))
     j = s.join(b, ["device_id", "ts_date"], "left").fillna(0, ["daily_settlement_points", "daily_bonus_points"])
-    j = j.withColumn("daily_points", F.col("daily_settlement_points") + F.col("daily_bonus_points"))
-    return j.withColumn("season_start", season(ctx, F.col("ts_date"))).withColumn("_id", keys.md5_key(F.col("device_id"), F.col("ts_date")))
+    total = (F.col("daily_settlement_points") + F.col("daily_bonus_points")).alias("daily_points")
+    return j.select(keys.md5_key(F.col("device_id"), F.col("ts_date")).alias("_id"), "device_id", "ts_date", season(ctx, F.col("ts_date")).alias("season_start"), "daily_consumption_kwh", "daily_settlement_points", "daily_bonus_points", total)
 
 
 def season(ctx: Context, day: Column) -> Column:
     return T.season_start(day, ctx.var("season_anchor_date", "2025-09-01"), int(ctx.var("season_months", 2)))
 
 
-@model("rec_participant_points", "rec_active_devices", kind="table", tags=("flexibility",))
-def rec_points_leaderboard(ctx: Context, points: DataFrame, fleet: DataFrame) -> DataFrame:
-    """Every device of the fleet in every season, zero-filled, with its rank."""
-    p = points.groupBy("season_start", "device_id").agg(F.sum("daily_points").cast("long").alias("season_points"))
-    current = F.to_date(F.lit(ctx.as_of))
-    seasons = points.select("season_start").union(ctx.spark.range(1).select(season(ctx, current))).distinct()
-    full = fleet.select("device_id").distinct().crossJoin(F.broadcast(seasons))  # a handful of seasons
-    z = full.join(p, ["season_start", "device_id"], "left").fillna(0, ["season_points"])
-    z = allocation.with_places(z, ["season_start"], "season_points").drop("below").withColumnsRenamed({"rank": "rank_position", "members": "total_members"})
-    z = z.withColumn("rank_position", F.col("rank_position").cast("int")).withColumn("all_time_points", F.sum("season_points").over(Window.partitionBy("device_id")))
-    return z.withColumn("is_current", F.col("season_start") == season(ctx, current))
+def season_places(full: DataFrame) -> DataFrame:
+    """(device_id, season_start, season_points, ...) with the place in the season and its members."""
+    z = allocation.with_places(full, ["season_start"], "season_points").drop("below")
+    return z.withColumnsRenamed({"rank": "season_rank", "members": "total_members"})
 
 
-@model("rec_flexibility_bonus", kind="merge", key=("_id",), tags=("flexibility",))
-def rec_anti_gaming_flags(ctx: Context, bonus: DataFrame) -> DataFrame:
-    """Days far above the usual, and days whose bonus was cut."""
-    d = bonus.groupBy("device_id", F.to_date("window_start").alias("ts_date")).agg(F.sum("bonus_points_raw").alias("raw"), F.sum("bonus_points_capped").alias("capped"))
-    m = timeseries.trailing(d, ["device_id"], "ts_date", "raw", 30, "median", "usual")
-    spike = m.filter(F.col("raw") > 10 * F.col("usual")).select("device_id", "ts_date", F.lit("spike").alias("flag"), F.col("raw").alias("value"), F.col("usual").alias("limit"))
-    cut = d.filter(F.col("raw") > F.col("capped") + 0.001).select("device_id", "ts_date", F.lit("cap").alias("flag"), F.col("raw").alias("value"), F.col("capped").alias("limit"))
-    return spike.unionByName(cut).withColumn("_id", keys.md5_key(F.col("device_id"), F.col("ts_date"), F.col("flag")))
+@model("rec_participant_points", "rec_active_devices", kind="table", tags=("flexibility",))
+def rec_points_leaderboard(ctx: Context, points: DataFrame, fleet: DataFrame) -> DataFrame:
+    """Past seasons with those who have points in them; the current one with the whole fleet, zero-filled."""
+    anchor = F.trunc(F.to_date(F.lit(ctx.var("season_anchor_date", "2025-09-01"))), "month")
+    kinds = {"season_base_points": "daily_settlement_points", "season_bonus_points": "daily_bonus_points", "season_points": "daily_points"}
+    per = points.filter(F.col("season_start") >= anchor).groupBy("device_id", "season_start").agg(*(F.sum(c).cast("long").alias(n) for n, c in kinds.items()))
+    now = season(ctx, ctx.today())
+    everyone = fleet.select("device_id", now.alias("season_start"))
+    current = everyone.join(per, ["device_id", "season_start"], "left").fillna(0, list(kinds))
+    full = season_places(per.filter(F.col("season_start") != now).unionByName(current))
+    ever = per.groupBy("device_id").agg(F.sum("season_base_points").alias("alltime_base_points"), F.sum("season_bonus_points").alias("alltime_bonus_points"))
+    z = full.join(ever, "device_id", "left").fillna(0, ["alltime_base_points", "alltime_bonus_points"])
+    end = F.add_months("season_start", int(ctx.var("season_months", 2))).alias("season_end")
+    return z.select(keys.md5_key(F.col("device_id"), F.col("season_start")).alias("_id"), "device_id", "season_start", end, *kinds, "season_rank", "total_members", "alltime_base_points", "alltime_bonus_points", (F.col("season_start") == now).alias("is_current_season"))
 
 
-def _savings(g: DataFrame, factors: DataFrame, country: str) -> DataFrame:
-    j = joins.with_scalars(g, factors.filter(F.col("country") == country))
-    kg = F.round(F.col("kwh") * F.col("kg_co2_per_kwh"), 3)
-    return j.withColumn("kg_co2", kg).withColumn("trees", F.round(F.col("kg_co2") / 1000 * F.col("trees_per_ton"), 4)).drop("country", "kg_co2_per_kwh", "trees_per_ton")
+#: Days far above this many times the usual are flagged; what a cut must exceed (fixed values).
+SPIKE, CUT = 10, 0.001
 
 
-@model("rec_settlement_15m", "co2_factors", kind="merge", key=("_id",), tags=("flexibility",))
-def rec_co2_savings(ctx: Context, slots: DataFrame, factors: DataFrame) -> DataFrame:
-    g = slots.filter("window_start IS NOT NULL").groupBy("device_id", F.to_date("ts").alias("ts_date")).agg(F.round(F.sum("consumption_kwh"), 3).alias("kwh"))
-    return _savings(g, factors, ctx.var("country", "it")).withColumn("_id", keys.md5_key(F.col("device_id"), F.col("ts_date")))
+def daily_spikes(daily: DataFrame, ids: list[str], day: str, points: str) -> DataFrame:
+    """Days whose points exceed ten times the median of the 30 days before (where that is over 0), with ``threshold_value``."""
+    m = timeseries.trailing(daily, ids, day, points, 30, "median", "usual")
+    return m.filter((F.col("usual") > 0) & (F.col(points) > F.col("usual") * SPIKE)).withColumn("threshold_value", F.col("usual") * SPIKE).drop("usual")
 
 
-@model("rec_settlement_15m", "rec_settlement_points", "co2_factors", kind="merge", key=("ts_date",), tags=("flexibility",))
-def rec_co2_savings_community(ctx: Context, slots: DataFrame, points: DataFrame, factors: DataFrame) -> DataFrame:
-    scored = slots.filter("window_start IS NOT NULL").join(points.select("device_id", "ts"), ["device_id", "ts"], "left_semi")
-    g = scored.groupBy(F.to_date("ts").alias("ts_date")).agg(F.countDistinct("device_id").alias("participants"), F.round(F.sum("consumption_kwh"), 3).alias("kwh"))
-    return _savings(g, factors, ctx.var("country", "it"))
+@model("rec_flexibility_bonus", kind="merge", key=("_id",), tags=("flexibility",))
+def rec_anti_gaming_flags(ctx: Context, bonus: DataFrame) -> DataFrame:
+    """Days far above the usual (warning) and windows whose bonus was cut (info). Later runs look for spikes among the last
+    seven days alone, their medians too."""
+    recent = bonus if ctx.target is None else Days("window_start", 7).apply(ctx, bonus)
+    daily = recent.groupBy("device_id", F.to_date("window_start").alias("flag_date")).agg(F.sum("bonus_points").alias("daily_points"))
+    cols = ["device_id", "flag_date", "flag_type", "metric_value", "threshold_value", "severity"]
+    spike = daily_spikes(daily, ["device_id"], "flag_date", "daily_points").withColumns({"flag_type": F.lit("L4_DAILY_SPIKE"), "metric_value": F.col("daily_points").cast("double"), "severity": F.lit("warning")})
+    cut = bonus.filter(F.col("bonus_points_raw") > F.col("bonus_points_capped") + CUT).withColumns({"flag_date": F.to_date("window_start"), "flag_type": F.lit("L3_WINDOW_CAP"), "metric_value": F.col("bonus_points_raw"), "threshold_value": F.col("bonus_points_capped"), "severity": F.lit("info")})
+    key = [F.col("device_id"), F.col("flag_date"), F.col("flag_type")]
+    return spike.select(keys.md5_key(*key).alias("_id"), *cols).unionByName(dedup.distinct_on(cut, ["device_id", "window_start"], F.col("window_end")).select(keys.md5_key(*key, keys.stamp("window_start")).alias("_id"), *cols))
+
+
+def savings(daily: DataFrame, factors: DataFrame, country: str) -> DataFrame:
+    """Adds carbon dioxide and trees to ``consumption_kwh``; they come from the energy before it is rounded."""
+    j = joins.with_scalars(daily, factors.filter(F.col("country") == country).select("kg_co2_per_kwh", "trees_per_ton"))
+    kg = F.col("consumption_kwh") * F.col("kg_co2_per_kwh")
+    return j.withColumns({"co2_avoided_kg": F.round(kg, 3), "trees_equivalent": F.round(kg / 1000 * F.col("trees_per_ton"), 6), "consumption_kwh": F.round("consumption_kwh", 4)})
+
+
+@model("rec_meters_15m", "co2_factors", kind="merge", key=("_id",), reads={"rec_meters_15m": Days("ts", 2)}, tags=("flexibility",))
+def rec_co2_savings(ctx: Context, meters: DataFrame, factors: DataFrame) -> DataFrame:
+    """What each device used of its own energy, day by day, windows or not."""
+    d = meters.groupBy("device_id", F.to_date("ts").alias("ts_date")).agg(F.sum("self_consumed_kwh").alias("consumption_kwh"))
+    return savings(d, factors, ctx.var("co2_country", "it")).select(keys.md5_key(F.col("device_id"), F.col("ts_date")).alias("_id"), "device_id", "ts_date", "consumption_kwh", "co2_avoided_kg", "trees_equivalent")
+
+
+@model("rec_meters_15m", "rec_settlement_15m", "co2_factors", kind="merge", key=("ts_date",), reads={"rec_meters_15m": Days("ts", 2), "rec_settlement_15m": Days("ts", 2)}, tags=("flexibility",))
+def rec_co2_savings_community(ctx: Context, meters: DataFrame, slots: DataFrame, factors: DataFrame) -> DataFrame:
+    """Own energy used in windows, by all who took part."""
+    within = slots.filter("window_start IS NOT NULL").select("device_id", "ts")
+    d = meters.join(within, ["device_id", "ts"]).groupBy(F.to_date("ts").alias("ts_date")).agg(F.sum("self_consumed_kwh").alias("consumption_kwh"), F.countDistinct("device_id").alias("participating_devices"))
+    return savings(d, factors, ctx.var("co2_country", "it")).select("ts_date", "consumption_kwh", "co2_avoided_kg", "trees_equivalent", "participating_devices")

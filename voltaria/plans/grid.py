@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from ..context import Context
 from ..functions import geo, tiers
 from ..operators import dedup, joins, reshape, spatial
-from ..registry import model
+from ..registry import Days, model
 from .forecasts import heat_streaks
 
 SEGMENT = ["date", "dso_id", "line_name", "municipality", "conductor_type", "length_m"]
+#: What one row is chosen of: operators don't count.
+RANKED = ["date", "line_name", "municipality", "conductor_type", "length_m"]
 LINE = ["dso_id", "line_name", "conductor_type", "parent_substation_name", "operational_unit", "feeder_id", "municipality", "length_m"]
 TREES = ["is_vegetated_zone", "elevation_start_m", "elevation_end_m", "strike_tree_tier", "strike_tree_multiplier", "strike_density_per_km"]
 #: What heat tiers are called as risks (fixed values).
@@ -27,7 +29,7 @@ TILE, SHARE_ALERT, SHARE_WARNING = 5000, 0.65, 0.35
 def _nearest(lines: DataFrame, cells: DataFrame, metres: float, by: list[str]) -> DataFrame:
     """Each segment with each of its cells' days within ``metres`` of the whole line, and of each group ``by`` the nearest;
     segments without a cell are kept, with nulls."""
-    s = lines.withColumn("__row", F.monotonically_increasing_id()).withColumn("__seg", geo.line_segments(F.col("geom")))
+    s = lines.withColumn("__seg", geo.line_segments(F.col("geom")))
     u = geo.to_utm(F.col("lat"), F.col("lon"))
     p = cells.withColumn("__u", u).withColumns({"__x": F.col("__u.x"), "__y": F.col("__u.y")}).drop("__u")
     met = spatial.near_lines(s.filter(F.size("__seg") > 0).select(*lines.columns, "__seg"), p, "__seg", ("__x", "__y"), metres, metres)
@@ -46,7 +48,7 @@ def _ahead(ctx: Context, df: DataFrame) -> DataFrame:
 @model("silver_grid_ac_line_segment", "om_heat_risk", kind="merge", key=tuple(SEGMENT), tags=("grid", "heat"))
 def grid_heat_risks(ctx: Context, segments: DataFrame, heat: DataFrame) -> DataFrame:
     h = _ahead(ctx, heat).select("date", "lat", "lon", "heat_risk_tier", "temp_max_c", "p90_threshold", "consecutive_heat_days", "elevation_m", "altitude_band", "forecast_model")
-    j = _nearest(segments.filter("conductor_type = 'underground_cable'").select(*LINE, "geom"), h, 5000, SEGMENT)
+    j = _nearest(segments.filter("conductor_type = 'underground_cable'").select(*LINE, "geom"), h, 5000, RANKED)
     names = F.create_map(*(F.lit(x) for kv in HEAT_LEVELS.items() for x in kv))
     j = j.withColumn("risk_level", F.coalesce(F.element_at(names, F.col("heat_risk_tier")), F.col("heat_risk_tier")))
     return j.select(*LINE, "date", "risk_level", "temp_max_c", "p90_threshold", "consecutive_heat_days", "elevation_m", "altitude_band", "forecast_model", tiers.risk_color(F.col("risk_level")).alias("risk_color_hex"))
@@ -62,7 +64,7 @@ def _escalated(df: DataFrame, level: Column) -> DataFrame:
 @model("silver_grid_ac_line_segment", "om_wind_gusts", kind="merge", key=tuple(SEGMENT), tags=("grid", "wind"))
 def grid_wind_risks(ctx: Context, segments: DataFrame, wind: DataFrame) -> DataFrame:
     g = _ahead(ctx, wind).select("date", "lat", "lon", "gust_excess_tier", "gust_excess", "wind_speed_max", "wind_gusts_max")
-    j = _nearest(segments.filter("conductor_type <> 'underground_cable'").select(*LINE, *TREES, "geom"), g, 5000, SEGMENT)
+    j = _nearest(segments.filter("conductor_type <> 'underground_cable'").select(*LINE, *TREES, "geom"), g, 5000, RANKED)
     return _escalated(j, F.col("gust_excess_tier")).select(*LINE, *TREES, "date", "risk_level", "escalated_by_tree_strike", "gust_excess", "wind_speed_max", "wind_gusts_max", "risk_color_hex")
 
 
@@ -73,7 +75,7 @@ def grid_heat_risks_now(ctx: Context, segments: DataFrame, obs: DataFrame) -> Da
     today = heat_streaks(week).filter(F.col("date") == F.lit(ctx.as_of.date()))
     level = F.when(~F.col("is_heat_stress"), "NORMAL").when(F.col("consecutive_heat_days") >= 3, "ALERT").otherwise("WARNING")
     h = today.select("date", "lat", "lon", level.alias("risk_level"), "temp_max_c", "p90_threshold", "consecutive_heat_days", "elevation_m", "altitude_band", F.col("latest_obs").alias("observed_at"))
-    j = _nearest(segments.filter("conductor_type = 'underground_cable'").select(*LINE, "geom"), h, 15_000, SEGMENT[1:]).filter("risk_level <> 'NORMAL'")
+    j = _nearest(segments.filter("conductor_type = 'underground_cable'").select(*LINE, "geom"), h, 15_000, RANKED[1:]).filter("risk_level <> 'NORMAL'")
     return j.select(*LINE, "date", "risk_level", "temp_max_c", "p90_threshold", "consecutive_heat_days", "elevation_m", "altitude_band", tiers.risk_color(F.col("risk_level")).alias("risk_color_hex"), "observed_at")
 
 
@@ -82,7 +84,7 @@ def grid_wind_risks_now(ctx: Context, segments: DataFrame, obs: DataFrame) -> Da
     """The last three hours' newest observation of each cell; segments at risk only."""
     recent = dedup.latest(obs.filter(F.col("datetime") >= ctx.now() - F.expr("INTERVAL 3 HOURS")), ["lat", "lon"], "datetime")
     o = recent.select("lat", "lon", F.col("datetime").alias("observed_at"), F.col("wind_speed_ms").alias("wind_speed_max"), F.col("wind_gusts_ms").alias("wind_gusts_max"))
-    j = _nearest(segments.filter("conductor_type <> 'underground_cable'").select(*LINE, *TREES, "geom"), o, 5000, SEGMENT[1:])
+    j = _nearest(segments.filter("conductor_type <> 'underground_cable'").select(*LINE, *TREES, "geom"), o, 5000, RANKED[1:])
     out = _escalated(j, tiers.wind_level(F.col("wind_gusts_max"), F.col("wind_speed_max"))).filter("risk_level <> 'NORMAL'")
     return out.select(*LINE, *TREES, F.lit(ctx.as_of.date()).alias("date"), "risk_level", "escalated_by_tree_strike", (F.col("wind_gusts_max") - F.col("wind_speed_max")).alias("gust_excess"), "wind_speed_max", "wind_gusts_max", "risk_color_hex", "observed_at")
 
@@ -104,7 +106,7 @@ WIND_METRICS = ["gust_excess", "wind_speed_max", "wind_gusts_max", "strike_tree_
 HEAT_METRICS = ["temp_max_c", "p90_threshold", "consecutive_heat_days", "altitude_band"]
 
 
-@model("grid_wind_risks", "grid_heat_risks", kind="range", replaced=lambda ctx: F.col("date") >= F.lit(ctx.as_of.date()), tags=("grid",))
+@model("grid_wind_risks", "grid_heat_risks", kind="range", replaced=lambda ctx: F.col("date") >= ctx.today(), reads={"grid_wind_risks": Days("date"), "grid_heat_risks": Days("date")}, tags=("grid",))
 def grid_risks(ctx: Context, wind: DataFrame, heat: DataFrame) -> DataFrame:
     """Warnings and alerts alone, the worst of each segment's fragments."""
     return reshape.pad_union(_worst(wind, "wind", "gust_excess", WIND_METRICS), _worst(heat, "heat", "temp_max_c", [*HEAT_METRICS, "forecast_model"]))
@@ -115,7 +117,7 @@ def grid_risks_now(ctx: Context, wind: DataFrame, heat: DataFrame) -> DataFrame:
     return reshape.pad_union(_worst(wind, "wind", "gust_excess", WIND_METRICS, "observed_at"), _worst(heat, "heat", "temp_max_c", HEAT_METRICS, "observed_at"))
 
 
-@model("grid_risks", "grid_shapes", kind="range", replaced=lambda ctx: F.col("date") >= F.lit(ctx.as_of.date()), tags=("grid",))
+@model("grid_risks", "grid_shapes", kind="range", replaced=lambda ctx: F.col("date") >= ctx.today(), reads={"grid_risks": Days("date")}, tags=("grid",))
 def grid_risks_trendline(ctx: Context, risks: DataFrame, shapes: DataFrame) -> DataFrame:
     """Per day and vector: the share at risk of the segments that the vector concerns (bare and insulated overhead lines for
     wind, underground cables for heat)."""

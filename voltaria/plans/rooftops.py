@@ -9,28 +9,32 @@ from pyspark.sql import functions as F
 from ..context import Context
 from ..functions import geo
 from ..operators import dedup, planning, spatial
-from ..registry import model
+from ..registry import Since, model
 from ..sources import payloads
 
 # --- open map data ------------------------------------------------------------------------------------------------------
 
 
+#: What was loaded since the target's newest load.
+_LOADED = Since("_sdc_extracted_at", strict=True)
+
+
 def _osm_staging(region: str):
     def build(ctx: Context, raw: DataFrame) -> DataFrame:
-        return raw.withColumnRenamed("id", "osm_id")
+        return raw
 
     model(f"osm_{region}_raw", name=f"openstreetmap_{region}", layer="staging", tags=("osm",))(build)
 
 
 def _osm_base(region: str, tags: list[str]):
-    """Features with their tags as columns."""
+    """Features (osm_id, element, WKT in degrees, JSON tags) with their tags as columns; of one loaded again the last."""
 
     def build(ctx: Context, s: DataFrame) -> DataFrame:
-        t = dedup.latest(s, ["osm_id"], "_sdc_extracted_at").withColumn("__t", F.from_json("tags", "map<string,string>"))
+        t = dedup.latest(s, ["osm_id"], "_sdc_extracted_at").withColumn("__t", F.from_json("features", "map<string,string>"))
         named = [F.try_element_at("__t", F.lit(k)).alias(k.replace(":", "_")) for k in tags]
-        return t.select("osm_id", F.col("wkt").alias("geom"), geo.bbox(geo.points_of_wkt(F.col("wkt"))).alias("bbox"), *named, "_sdc_extracted_at")
+        return t.select("osm_id", "element", "geometry", "_sdc_extracted_at", *named, geo.wkt_feature(F.col("geometry")).alias("geom_geojson"))
 
-    model(f"openstreetmap_{region}", name=f"openstreetmap_{region}_base", layer="silver", kind="merge", key=("osm_id",), tags=("osm",))(build)
+    model(f"openstreetmap_{region}", name=f"openstreetmap_{region}_base", layer="silver", kind="merge", key=("osm_id",), reads={f"openstreetmap_{region}": _LOADED}, tags=("osm",))(build)
 
 
 def themes() -> dict[str, dict[str, Column]]:
@@ -46,7 +50,11 @@ def themes() -> dict[str, dict[str, Column]]:
     }
 
 
-_OSM_TAGS = {"fi_lappeenranta": ["name", "building", "amenity", "social_facility", "addr:city", "addr:street", "addr:housenumber", "addr:postcode", "website", "phone"], "it_alpecimbra": ["name", "amenity", "tourism", "leisure", "heritage", "aerialway", "piste:type"]}
+#: Tags that become columns, by region (fixed values).
+_OSM_TAGS = {
+    "fi_lappeenranta": ["name", "amenity", "social_facility", "operator", "addr:city", "addr:street", "addr:postcode", "phone", "website", "start_date"],
+    "it_alpecimbra": ["piste:type", "aerialway", "tourism", "amenity", "leisure", "heritage", "name"],
+}
 
 
 def _register_osm() -> None:
@@ -58,7 +66,7 @@ def _register_osm() -> None:
             def build(ctx: Context, base: DataFrame, region: str = region, theme: str = theme) -> DataFrame:
                 return base.filter(themes()[region][theme])
 
-            model(f"openstreetmap_{region}_base", name=f"openstreetmap_{region}_{theme}", layer="silver", kind="merge", key=("osm_id",), watermark=("_sdc_extracted_at", None), tags=("osm",))(build)
+            model(f"openstreetmap_{region}_base", name=f"openstreetmap_{region}_{theme}", layer="silver", kind="merge", key=("osm_id",), reads={f"openstreetmap_{region}_base": _LOADED}, tags=("osm",))(build)
 
 
 _register_osm()
@@ -66,44 +74,56 @@ _register_osm()
 
 @model("overture_buildings_raw", layer="staging", tags=("overture",))
 def stg_overture_buildings(ctx: Context, raw: DataFrame) -> DataFrame:
-    return raw.select("wkt", "properties", "_sdc_extracted_at")
+    return raw.select("geometry", "features", *(c for c in ("metadata", *_META) if c in raw.columns))
+
 
+#: What loaders add to every row.
+_META = ("_sdc_extracted_at", "_sdc_received_at", "_sdc_batched_at", "_sdc_deleted_at", "_sdc_sequence")
 
-@model("stg_overture_buildings", layer="silver", kind="merge", key=("building_id",), tags=("overture",))
+
+@model("stg_overture_buildings", layer="silver", kind="merge", key=("building_id",), reads={"stg_overture_buildings": _LOADED}, tags=("overture",))
 def pv_overture_buildings(ctx: Context, s: DataFrame) -> DataFrame:
     """Buildings under a stable id, the MD5 of their outline."""
-    p = lambda k, kind: F.get_json_object("properties", f"$.{k}").cast(kind)
-    b = s.select(F.md5("wkt").alias("building_id"), F.col("wkt").alias("geom"), p("class", "string").alias("building_class"), p("subtype", "string").alias("building_subtype"), p("num_floors", "int").alias("num_floors"), p("height", "double").alias("height_m"), "_sdc_extracted_at")
-    return dedup.latest(b, ["building_id"], "_sdc_extracted_at").withColumn("footprint_area_m2", geo.area_of(geo.polygons_of_wkt(F.col("geom"))))
+    p = lambda k, kind: F.get_json_object("features", f"$.{k}").cast(kind)
+    b = dedup.latest(s.withColumn("building_id", F.md5("geometry")), ["building_id"], "_sdc_extracted_at")
+    return b.select(
+        "building_id", "geometry", "_sdc_extracted_at", p("class", "string").alias("building_class"), p("subtype", "string").alias("building_subtype"), p("height", "double").alias("height"), p("num_floors", "int").alias("num_floors"),
+        geo.area_of(geo.polygons_of_wkt(F.col("geometry"))).alias("footprint_area_m2"), geo.wkt_feature(F.col("geometry")).alias("geom_geojson"),
+    )
 
 
 # --- constraints and suitability ----------------------------------------------------------------------------------------
 
 
-def _constraint(name: str, silver: str):
+def _constraint(name: str, silver: str, *attributes: str):
+    """Areas from GeoJSON. ``polygons`` are the parsed rings, for joins; ``geometry`` stays GeoJSON."""
+
     def staging(ctx: Context, raw: DataFrame) -> DataFrame:
-        return raw.select("id", "geometry", "properties", "_sdc_extracted_at")
+        return raw.select("id", *(c for c in ("type",) if c in raw.columns), "geometry", *(c for c in ("geometry_name",) if c in raw.columns), "properties", *(c for c in _META if c in raw.columns))
 
     def build(ctx: Context, s: DataFrame) -> DataFrame:
         r = dedup.latest(s, ["id"], "_sdc_extracted_at").withColumn("polygons", geo.polygons_of_geojson(F.col("geometry")))
-        return r.withColumn("name", F.get_json_object("properties", "$.name")).withColumn("area_m2", geo.area_of(F.col("polygons"))).withColumn("feature", geo.feature(F.col("geometry"), name=F.col("name")))
+        named = [F.get_json_object("properties", f"$.{a}").alias(a) for a in attributes]
+        return r.select("id", "geometry", "_sdc_extracted_at", *named, geo.area_of(F.col("polygons")).alias("area_m2"), F.concat(F.lit('{"type":"Feature","geometry":'), "geometry", F.lit(',"properties":{}}')).alias("geom_geojson"), "polygons")
 
     model(f"{name}_raw", name=f"stg_{name}", layer="staging", tags=("rooftops",))(staging)
-    model(f"stg_{name}", name=silver, layer="silver", kind="merge", key=("id",), tags=("rooftops",))(build)
+    model(f"stg_{name}", name=silver, layer="silver", kind="merge", key=("id",), reads={f"stg_{name}": _LOADED}, tags=("rooftops",))(build)
+
 
+_constraint("aree_non_idonee", "pv_aree_non_idonee", "nome", "tipo")
+_constraint("vincoli_diretti", "pv_vincoli_diretti", "denominazione", "tipo_vincolo")
+_constraint("vincoli_indiretti", "pv_vincoli_indiretti", "denominazione", "tipo_vincolo")
 
-for _c in ("aree_non_idonee", "vincoli_diretti", "vincoli_indiretti"):
-    _constraint(_c, f"pv_{_c}")
+_BUILDING = ["building_class", "building_subtype", "height", "num_floors", "footprint_area_m2"]
 
 
-@model("pv_overture_buildings", "pv_aree_non_idonee", "pv_vincoli_diretti", "pv_vincoli_indiretti", kind="merge", key=("building_id",), tags=("rooftops",))
+@model("pv_overture_buildings", "pv_aree_non_idonee", "pv_vincoli_diretti", "pv_vincoli_indiretti", kind="merge", key=("building_id",), reads={"pv_overture_buildings": _LOADED}, tags=("rooftops",))
 def pv_building_suitability(ctx: Context, b: DataFrame, areas: DataFrame, direct: DataFrame, indirect: DataFrame) -> DataFrame:
-    """Buildings whose outline no constraint area touches."""
+    """Buildings whose outline no constraint area touches; later runs test buildings loaded since."""
     other = [(c.select(F.explode("polygons").alias(f"rings_{k}")), f"rings_{k}") for k, c in enumerate((areas, direct, indirect))]
-    own = b.withColumn("rings", geo.rings_of_wkt(F.col("geom")))
-    free = spatial.free_of(own, ["building_id"], "rings", other, float(ctx.var("cell_deg", 0.01))).drop("rings")
-    at = geo.centroid(geo.outer_ring(F.col("geom")))
-    return free.withColumns({"lon": at["x"], "lat": at["y"], "geom_geojson": geo.wkt_feature(F.col("geom"))})
+    own = b.withColumn("rings", geo.rings_of_wkt(F.col("geometry")))
+    free = spatial.free_of(own, ["building_id"], "rings", other, float(ctx.var("cell_deg", 0.01)))
+    return free.select("building_id", "geometry", *_BUILDING, "_sdc_extracted_at", geo.wkt_feature(F.col("geometry")).alias("geom_geojson"))
 
 
 # --- detections -----------------------------------------------------------------------------------------------------------
@@ -111,24 +131,27 @@ def pv_building_suitability(ctx: Context, b: DataFrame, areas: DataFrame, direct
 
 @model("pv_predictions_raw", layer="staging", tags=("pv",))
 def stg_pv_predictions(ctx: Context, raw: DataFrame) -> DataFrame:
-    return raw.select("building_id", "has_pv", "confidence", "model", "detected_at")
+    return raw.select("building_id", "has_pv", "confidence", "model_name", "lon", "lat", "_sdc_extracted_at")
 
 
-@model("stg_pv_predictions", layer="silver", kind="merge", key=("building_id",), tags=("pv",))
+@model("stg_pv_predictions", layer="silver", kind="merge", key=("building_id",), reads={"stg_pv_predictions": Since("detected_at", "_sdc_extracted_at", strict=True)}, tags=("pv",))
 def pv_detections(ctx: Context, p: DataFrame) -> DataFrame:
-    return dedup.latest(p, ["building_id"], "detected_at")
+    n = dedup.latest(p, ["building_id"], "_sdc_extracted_at")
+    return n.select("building_id", F.col("has_pv").cast("boolean").alias("has_pv"), F.col("confidence").cast("double").alias("confidence"), "model_name", "lon", "lat", F.col("_sdc_extracted_at").alias("detected_at"))
 
 
-@model("pv_detections", "pv_overture_buildings", kind="merge", key=("building_id",), watermark=("detected_at", None), tags=("pv",))
+@model("pv_detections", "pv_overture_buildings", kind="merge", key=("building_id",), reads={"pv_detections": Since("detected_at", strict=True)}, tags=("pv",))
 def pv_detected_installations(ctx: Context, d: DataFrame, b: DataFrame) -> DataFrame:
-    return d.filter("has_pv").join(b.drop("_sdc_extracted_at"), "building_id")
+    """Every detection, with or without panels, of a building that is known."""
+    j = d.join(b.select("building_id", "geometry", *_BUILDING), "building_id")
+    return j.select("building_id", "geometry", "has_pv", "confidence", "model_name", "detected_at", *_BUILDING)
 
 
 def buildings_to_scan(b: DataFrame, done: DataFrame, box: tuple[float, float, float, float] | None = None, least_area: float | None = None, ids: list[str] | None = None, limit: int | None = None) -> DataFrame:
     """Buildings without a prediction that meet the given conditions, in order of id."""
     keep = []
     if box:
-        q = geo.bbox(geo.points_of_wkt(F.col("geom")))
+        q = geo.bbox(geo.points_of_wkt(F.col("geometry")))
         keep += [q["minx"] <= box[2], q["maxx"] >= box[0], q["miny"] <= box[3], q["maxy"] >= box[1]]
     if least_area is not None:
         keep.append(F.col("footprint_area_m2") >= least_area)
@@ -148,7 +171,7 @@ def detect(tiles: DataFrame, answer, name: str, threshold: float = 0.6) -> DataF
 
     flag, confidence = payloads.detection(F.col("__raw"))
     out = tiles.withColumn("__raw", ask("content")).withColumn("confidence", confidence)
-    return out.select("building_id", F.coalesce(flag, F.col("confidence") >= threshold).alias("has_pv"), "confidence", F.lit(name).alias("model"))
+    return out.select("building_id", F.coalesce(flag, F.col("confidence") >= threshold).alias("has_pv"), "confidence", F.lit(name).alias("model_name"))
 
 
 # --- estimates and roll-out ------------------------------------------------------------------------------------------------
@@ -176,26 +199,29 @@ def estimate(buildings: DataFrame, done: DataFrame | None = None) -> DataFrame:
     )
 
 
+_ESTIMATE = ["kwp", "capex", "annual_production_kwh", "annual_consumption_kwh", "user_type", "regime", "npv", "irr", "payback_simple", "payback_discounted", "tasso_autoconsumo"]
+
+
 @model("pv_roi_estimates_raw", layer="staging", tags=("pv",))
 def stg_pv_roi_estimates(ctx: Context, raw: DataFrame) -> DataFrame:
-    return raw
+    return raw.select("building_id", *_ESTIMATE, "_sdc_extracted_at")
 
 
-@model("stg_pv_roi_estimates", layer="silver", kind="merge", key=("building_id",), tags=("pv",))
+@model("stg_pv_roi_estimates", layer="silver", kind="merge", key=("building_id",), reads={"stg_pv_roi_estimates": Since("estimated_at", "_sdc_extracted_at", strict=True)}, tags=("pv",))
 def pv_roi_estimates(ctx: Context, s: DataFrame) -> DataFrame:
-    return dedup.latest(s, ["building_id"], "estimated_at")
+    return dedup.latest(s, ["building_id"], "_sdc_extracted_at").select("building_id", *_ESTIMATE, F.col("_sdc_extracted_at").alias("estimated_at"))
 
 
-@model("pv_roi_estimates", "pv_overture_buildings", kind="merge", key=("building_id",), watermark=("estimated_at", None), tags=("pv",))
+@model("pv_roi_estimates", "pv_overture_buildings", kind="merge", key=("building_id",), reads={"pv_roi_estimates": Since("estimated_at", strict=True)}, tags=("pv",))
 def pv_rooftop_opportunities(ctx: Context, e: DataFrame, b: DataFrame) -> DataFrame:
-    cols = ["building_id", "geom", "building_class", "building_subtype", "height_m", "num_floors", "footprint_area_m2"]
-    return e.join(b.select(*cols), "building_id").withColumn("geom_geojson", geo.wkt_feature(F.col("geom")))
+    j = e.join(b.select("building_id", "geometry", *_BUILDING), "building_id")
+    return j.select("building_id", "geometry", *_BUILDING, *_ESTIMATE, "estimated_at", geo.wkt_feature(F.col("geometry")).alias("geom_geojson"))
 
 
 @model("pv_rooftop_opportunities", kind="table", tags=("pv",))
 def pv_installation_ranking(ctx: Context, o: DataFrame) -> DataFrame:
     """Roofs worth their cost, soonest paid first."""
-    cols = ["building_id", "geom", "building_class", "user_type", "footprint_area_m2", "kwp", "capex", "annual_production_kwh", "annual_consumption_kwh", "npv", "irr", "payback_simple", "tasso_autoconsumo", "geom_geojson"]
+    cols = ["building_id", "geometry", "building_class", "user_type", "footprint_area_m2", "kwp", "capex", "annual_production_kwh", "annual_consumption_kwh", "npv", "irr", "payback_simple", "tasso_autoconsumo", "geom_geojson"]
     return planning.rank_with_percentile(o.filter("npv > 0").select(*cols), F.col("payback_simple").asc_nulls_last(), F.col("irr").desc_nulls_first(), F.col("building_id").asc())
 
 
@@ -215,13 +241,13 @@ def pv_installation_plan_summary(ctx: Context, p: DataFrame, ranking: DataFrame)
 def rec_building_cabina(ctx: Context, b: DataFrame, areas: DataFrame) -> DataFrame:
     """The substation areas that each building's outline meets."""
     a = areas.select("cod_ac", "rag_soc", F.explode(geo.polygons_of_wkt(F.col("geometry"))).alias("area_rings"))
-    own = b.select("building_id", geo.rings_of_wkt(F.col("geom")).alias("rings"))
+    own = b.select("building_id", geo.rings_of_wkt(F.col("geometry")).alias("rings"))
     return spatial.overlay(own, a, "rings", "area_rings", float(ctx.var("cell_deg", 0.05))).select("building_id", "cod_ac", "rag_soc").distinct()
 
 
 @model("rec_building_cabina", "pv_rooftop_opportunities", kind="table", tags=("pv", "community"))
 def rec_cabina_opportunities(ctx: Context, m: DataFrame, o: DataFrame) -> DataFrame:
-    cols = ["building_id", "user_type", "kwp", "capex", "annual_production_kwh", "annual_consumption_kwh", "npv", "irr", "payback_simple", "tasso_autoconsumo", "footprint_area_m2", "geom", "geom_geojson"]
+    cols = ["building_id", "user_type", "kwp", "capex", "annual_production_kwh", "annual_consumption_kwh", "npv", "irr", "payback_simple", "tasso_autoconsumo", "footprint_area_m2", "geometry", "geom_geojson"]
     return m.join(o.select(*cols), "building_id").select("cod_ac", "rag_soc", *cols)
 
 

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..context import Context
 from ..functions import tiers, time as T
 from ..operators import allocation, baselines, dedup, joins, streaks, timeseries
+from ..plans import flexibility
 from ..shared import checkpointed
-from .base import E, M, members, r4, r4_up, readings, t
+from .base import E, M, members, r4, readings, t
 
 
 def _net(spark: SparkSession, d: str) -> DataFrame:
@@ -237,20 +242,27 @@ SQL_trailing_avg_cap = f"""WITH {_UD}, j AS (SELECT a.user_id, a.day, a.kwh, (SE
 SELECT user_id, day, round(CASE WHEN usual IS NULL THEN kwh ELSE least(kwh, 2 * usual) END + 1e-9, 4) AS capped, kwh > CASE WHEN usual IS NULL THEN kwh ELSE least(kwh, 2 * usual) END + 0.001 AS was_capped FROM j"""
 
 
+#: What stands for now in seasons of orders, and the season's anchor and length.
+_SEASON_NOW, _SEASON_VARS = dt.datetime(1996, 7, 10), {"season_anchor_date": "1995-05-01", "season_months": 2}
+
+
 def q_season_leaderboard(spark: SparkSession, d: str) -> DataFrame:
-    o = t(spark, d, "orders").withColumn("season", T.season_start(F.to_date("o_orderdate"), "1995-05-01", 2))
-    pts = checkpointed(o.groupBy("season", "o_custkey").agg(F.round(F.sum(F.col("o_totalprice") / 1000)).cast("long").alias("points")))
-    fleet = t(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"))
-    full = fleet.crossJoin(F.broadcast(pts.select("season").distinct()))  # a season is two months: a few dozen
-    z = full.join(pts, ["season", "o_custkey"], "left").withColumn("points", F.coalesce("points", F.lit(0)).cast("long"))
-    return allocation.with_places(z, ["season"], "points").select("season", "o_custkey", "points", "rank", "members")
+    """Orders as points: past seasons with those who have points, the current one with everybody; nothing before the anchor."""
+    ctx = Context(spark, "", _SEASON_NOW, vars=_SEASON_VARS)
+    o = t(spark, d, "orders").filter(F.col("o_orderdate") < F.lit(_SEASON_NOW.date()))
+    day = o.groupBy(F.col("o_custkey").cast("string").alias("device_id"), F.to_date("o_orderdate").alias("ts_date")).agg(F.floor(F.sum(F.col("o_totalprice").cast("decimal(18,2)")) / 1000).cast("int").alias("daily_settlement_points"), F.count("*").cast("int").alias("daily_bonus_points"))
+    points = day.select("device_id", flexibility.season(ctx, F.col("ts_date")).alias("season_start"), "daily_settlement_points", "daily_bonus_points", (F.col("daily_settlement_points") + F.col("daily_bonus_points")).alias("daily_points"))
+    return flexibility.rec_points_leaderboard(ctx, checkpointed(points), t(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("device_id")))
 
 
-_SEASON = "CAST(date_trunc('month', DATE '1995-05-01') + INTERVAL (CAST(floor(((year({0}) - 1995) * 12 + month({0}) - 5) / 2.0) * 2 AS INT)) MONTH AS DATE)"
-SQL_season_leaderboard = f"""WITH p AS (SELECT {_SEASON.format("o_orderdate")} AS season, o_custkey, CAST(round(sum(o_totalprice / 1000)) AS BIGINT) AS points FROM orders GROUP BY 1, 2),
-f AS (SELECT season, c_custkey AS o_custkey FROM (SELECT DISTINCT season FROM p), customer),
-z AS (SELECT season, o_custkey, coalesce(points, 0) AS points FROM f LEFT JOIN p USING (season, o_custkey))
-SELECT season, o_custkey, points, rank() OVER (PARTITION BY season ORDER BY points DESC) AS rank, count(*) OVER (PARTITION BY season) AS members FROM z"""
+_SEASON = "CAST(DATE '1995-05-01' + INTERVAL (CAST(floor(((year({0}) - 1995) * 12 + month({0}) - 5) / 2.0) * 2 AS INT)) MONTH AS DATE)"
+SQL_season_leaderboard = f"""WITH d AS (SELECT o_custkey::VARCHAR AS device_id, CAST(o_orderdate AS DATE) AS ts_date, CAST(floor(sum(CAST(o_totalprice AS DECIMAL(18, 2))) / 1000) AS INT) AS base, count(*)::INT AS bonus FROM orders WHERE o_orderdate < DATE '1996-07-10' GROUP BY 1, 2),
+p AS (SELECT device_id, {_SEASON.format("ts_date")} AS season_start, sum(base)::BIGINT AS season_base_points, sum(bonus)::BIGINT AS season_bonus_points, sum(base + bonus)::BIGINT AS season_points FROM d GROUP BY 1, 2 HAVING season_start >= DATE '1995-05-01'),
+u AS (SELECT c_custkey::VARCHAR AS device_id, DATE '1996-07-01' AS season_start FROM customer),
+s AS (SELECT * FROM p WHERE season_start <> DATE '1996-07-01' UNION ALL SELECT u.device_id, u.season_start, coalesce(season_base_points, 0), coalesce(season_bonus_points, 0), coalesce(season_points, 0) FROM u LEFT JOIN p USING (device_id, season_start)),
+a AS (SELECT device_id, sum(season_base_points)::BIGINT AS alltime_base_points, sum(season_bonus_points)::BIGINT AS alltime_bonus_points FROM p GROUP BY 1)
+SELECT md5(device_id || strftime(season_start, '%Y-%m-%d')) AS _id, device_id, season_start, CAST(season_start + INTERVAL 2 MONTH AS DATE) AS season_end, season_base_points, season_bonus_points, season_points, rank() OVER (PARTITION BY season_start ORDER BY season_points DESC) AS season_rank,
+count(*) OVER (PARTITION BY season_start) AS total_members, coalesce(alltime_base_points, 0) AS alltime_base_points, coalesce(alltime_bonus_points, 0) AS alltime_bonus_points, season_start = DATE '1996-07-01' AS is_current_season FROM s LEFT JOIN a USING (device_id)"""
 
 
 def q_percent_rank(spark: SparkSession, d: str) -> DataFrame:
@@ -277,31 +289,51 @@ r(user_id, w, lv, pk) AS (SELECT DISTINCT user_id, (SELECT a FROM b), 0, 0 FROM
 SELECT user_id AS device_id, lv::BIGINT AS level, pk::BIGINT AS peak, round(least(1.0 + lv * 0.05, 1.5)::DOUBLE, 4) AS multiplier FROM r WHERE w > (SELECT z FROM b)"""
 
 
+def _own(spark: SparkSession, d: str) -> DataFrame:
+    """Production stands for what a device uses of its own energy; decimals, so that rounding is the same everywhere."""
+    return readings(spark, d).select("user_id", "ts", "day", F.col("prod").cast("decimal(18,4)").alias("self_consumed_kwh"))
+
+
+def _factors(spark: SparkSession) -> DataFrame:
+    rows = [("it", Decimal("0.233"), Decimal("21.0")), ("de", Decimal("0.400"), Decimal("20.0"))]
+    return spark.createDataFrame(rows, "country string, kg_co2_per_kwh decimal(6,3), trees_per_ton decimal(4,1)")
+
+
+_SAVED = ["consumption_kwh", "co2_avoided_kg", "trees_equivalent"]
+_SAVED_SQL = "CAST(round(kwh, 4) AS DOUBLE) AS consumption_kwh, CAST(round(kwh * 0.233, 3) AS DOUBLE) AS co2_avoided_kg, CAST(round(CAST(kwh * 0.233 * 0.021 AS DECIMAL(30, 10)), 6) AS DOUBLE) AS trees_equivalent"
+
+
 def q_co2(spark: SparkSession, d: str) -> DataFrame:
-    factor = spark.createDataFrame([("it", 0.233, 21.0)], "country string, kg_co2_per_kwh double, trees_per_ton double")
-    g = readings(spark, d).groupBy("user_id", "day").agg(r4(F.sum("prod"), 3).alias("kwh"))
-    j = joins.with_scalars(g, factor)
-    kg = r4(F.col("kwh") * F.col("kg_co2_per_kwh"), 3)
-    return j.select("user_id", "day", "kwh", kg.alias("kg_co2"), r4_up(kg / 1000 * F.col("trees_per_ton")).alias("trees"))
+    """What each device's own energy of a day saved: no windows, no rounding before the factors."""
+    g = _own(spark, d).groupBy("user_id", "day").agg(F.sum("self_consumed_kwh").alias("consumption_kwh"))
+    return flexibility.savings(g, _factors(spark), "it").select("user_id", "day", *(F.col(c).cast("double").alias(c) for c in _SAVED))
 
 
-SQL_co2 = f"WITH {E}, g AS (SELECT user_id, day, round(sum(prod), 3) AS kwh FROM e GROUP BY 1, 2), k AS (SELECT *, round(kwh * 0.233::DOUBLE, 3) AS kg_co2 FROM g) SELECT user_id, day, kwh, kg_co2, round(kg_co2 / 1000 * 21.0::DOUBLE + 1e-9, 4) AS trees FROM k"
+SQL_co2 = f"WITH {E}, g AS (SELECT user_id, day, sum(CAST(prod AS DECIMAL(18, 4))) AS kwh FROM e GROUP BY 1, 2) SELECT user_id, day, {_SAVED_SQL} FROM g"
 
 
 def q_co2_community(spark: SparkSession, d: str) -> DataFrame:
-    e, w = readings(spark, d).select("user_id", "ts", "day", "prod"), _windows(spark, d)
-    hit = joins.interval_join(e, w.select("user_id", "start_ts", "end_ts").distinct(), ["user_id"], "ts", "start_ts", "end_ts").select("user_id", "ts", "day", "prod").distinct()
-    return hit.groupBy("day").agg(F.countDistinct("user_id").alias("participants"), r4(F.sum("prod")).alias("kwh"))
+    """The same of all readings that lie in a window of their device, with the devices that took part."""
+    e, w = _own(spark, d), _windows(spark, d)
+    hit = joins.interval_join(e.select("user_id", "ts").distinct(), w.select("user_id", "start_ts", "end_ts").distinct(), ["user_id"], "ts", "start_ts", "end_ts").select("user_id", "ts").distinct()
+    g = e.join(hit, ["user_id", "ts"], "left_semi").groupBy("day").agg(F.countDistinct("user_id").alias("participating_devices"), F.sum("self_consumed_kwh").alias("consumption_kwh"))
+    return flexibility.savings(g, _factors(spark), "it").select("day", *(F.col(c).cast("double").alias(c) for c in _SAVED), "participating_devices")
 
 
-SQL_co2_community = f"WITH {E}, {_WIN} SELECT day, count(DISTINCT user_id) AS participants, round(sum(prod), 4) AS kwh FROM e WHERE EXISTS (SELECT 1 FROM w WHERE w.user_id = e.user_id AND ts >= start_ts AND ts < end_ts) GROUP BY 1"
+SQL_co2_community = f"""WITH {E}, {_WIN}, g AS (SELECT day, count(DISTINCT user_id) AS participating_devices, sum(CAST(prod AS DECIMAL(18, 4))) AS kwh FROM e
+WHERE EXISTS (SELECT 1 FROM w WHERE w.user_id = e.user_id AND ts >= start_ts AND ts < end_ts) GROUP BY 1) SELECT day, {_SAVED_SQL}, participating_devices FROM g"""
 
 
 def q_anti_gaming(spark: SparkSession, d: str) -> DataFrame:
-    spikes = q_trailing_median_spike(spark, d).select("user_id", "day", F.lit("spike").alias("flag"))
-    caps = q_trailing_avg_cap(spark, d).filter("was_capped").select("user_id", "day", F.lit("cap").alias("flag"))
-    return spikes.unionByName(caps).withColumn("_id", F.md5(F.concat(F.col("user_id").cast("string"), F.date_format("day", "yyyy-MM-dd"), "flag")))
-
-
-SQL_anti_gaming = f"""WITH a AS ({SQL_trailing_median_spike}), b AS ({SQL_trailing_avg_cap}), u AS (SELECT user_id, day, 'spike' AS flag FROM a UNION ALL SELECT user_id, day, 'cap' FROM b WHERE was_capped)
-SELECT *, md5(CAST(user_id AS VARCHAR) || strftime(day, '%Y-%m-%d') || flag) AS _id FROM u"""
+    """Readings as bonuses: a window an event, cut where it is over 60."""
+    e = readings(spark, d).select(F.col("event_id").cast("string").alias("_id"), F.col("user_id").cast("string").alias("device_id"), F.col("ts").alias("window_start"), T.plus("ts", hours=1).alias("window_end"), F.col("value").alias("bonus_points_raw"))
+    b = e.withColumn("bonus_points_capped", F.least(F.col("bonus_points_raw"), F.lit(60.0))).withColumn("bonus_points", F.floor(F.col("bonus_points_capped") * F.when(F.dayofmonth("window_start") % 7 == 0, 30).otherwise(1)).cast("int"))
+    return flexibility.rec_anti_gaming_flags(Context(spark, "", dt.datetime(2024, 1, 31)), b)
+
+
+SQL_anti_gaming = f"""WITH {E}, b AS (SELECT event_id, user_id::VARCHAR AS device_id, ts AS window_start, value AS raw, least(value, 60.0) AS capped, CAST(floor(least(value, 60.0) * CASE WHEN day(ts) % 7 = 0 THEN 30 ELSE 1 END) AS INT) AS points FROM e),
+d AS (SELECT device_id, CAST(window_start AS DATE) AS flag_date, sum(points)::BIGINT AS daily FROM b GROUP BY 1, 2),
+m AS (SELECT d.device_id, d.flag_date, d.daily, quantile_cont(p.daily, 0.5) AS med FROM d JOIN d p ON p.device_id = d.device_id AND p.flag_date >= d.flag_date - INTERVAL 30 DAY AND p.flag_date < d.flag_date GROUP BY 1, 2, 3),
+u AS (SELECT device_id, flag_date, 'L4_DAILY_SPIKE' AS flag_type, daily::DOUBLE AS metric_value, med * 10 AS threshold_value, 'warning' AS severity, '' AS more FROM m WHERE med > 0 AND daily > med * 10
+UNION ALL SELECT DISTINCT ON (device_id, window_start) device_id, CAST(window_start AS DATE), 'L3_WINDOW_CAP', raw, capped, 'info', strftime(window_start, '%Y-%m-%d %H:%M:%S') FROM b WHERE raw > capped + 0.001)
+SELECT md5(device_id || strftime(flag_date, '%Y-%m-%d') || flag_type || more) AS _id, device_id, flag_date, flag_type, metric_value, threshold_value, severity FROM u"""

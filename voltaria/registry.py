@@ -2,20 +2,66 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 from graphlib import TopologicalSorter
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .context import Context
-from .materialize import Table, since_watermark
+from .materialize import Table
+
+
+@dataclass(frozen=True)
+class Since:
+    """From the newest ``mark`` that the model has written on, or from ``back`` (such as "1 HOUR") before it: rows whose
+    ``read`` (an SQL expression, by default the mark's name) is greater, or as great unless ``strict``. ``like`` turns the
+    mark, a literal, into what the rows are compared with, so that the bound reaches the scan."""
+
+    mark: str
+    read: str | None = None
+    back: str | None = None
+    strict: bool = False
+    like: Callable[[Column], Column] = lambda x: x
+
+    def apply(self, context: Context, df: DataFrame) -> DataFrame:
+        newest = context.target.agg(F.max(self.mark).cast("string")).first()[0]
+        if newest is None:
+            return df
+        kind = context.target.schema[self.mark].dataType
+        bound = F.lit(newest).cast(kind)
+        bound = self.like((bound - F.expr(f"INTERVAL {self.back}")).cast(kind) if self.back else bound)
+        own = F.expr(self.read or self.mark)
+        return df.filter(own > bound if self.strict else own >= bound)
+
+
+@dataclass(frozen=True)
+class Days:
+    """From the start of the day ``back`` days before the run's on."""
+
+    read: str
+    back: int = 0
+
+    def apply(self, context: Context, df: DataFrame) -> DataFrame:
+        return df.filter(F.expr(self.read) >= context.today(self.back))
+
+
+@dataclass(frozen=True)
+class Hook:
+    """After a commit: ``keep(context, rows, *inputs)`` gives the rows, by key, that stay."""
+
+    keep: Callable[..., DataFrame]
+    inputs: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
 class Model:
-    """``build(context, *inputs)`` gives the rows. kind: view, table, merge, append or range."""
+    """``build(context, *inputs)`` gives the rows. kind: view, table, merge, insert (new keys alone), append or range.
+
+    Where the model's table exists (and isn't written anew), ``reads`` bounds inputs by name, ``after`` bounds the rows
+    built, and ``context.target`` is what was written before. ``hooks`` run after the commit.
+    """
 
     name: str
     build: Callable[..., DataFrame]
@@ -24,8 +70,11 @@ class Model:
     kind: str = "view"
     key: tuple[str, ...] = ()
     update: tuple[str, ...] | None = None
-    watermark: tuple[str, str | None] | None = None
+    reads: Mapping[str, Since | Days] = field(default_factory=dict)
+    after: Since | Days | None = None
     replaced: Callable[[Context], object] | None = None
+    hooks: tuple[Hook, ...] = ()
+    schema_change: str = "append"
     full_refresh: bool = True
     alias: str | None = None
     tags: frozenset[str] = frozenset()
@@ -79,22 +128,30 @@ class Registry:
             if names is not None and name not in names:
                 continue
             m = self.models[name]
-            rows = m.build(context, *(self._input(context, i) for i in m.inputs))
+            inputs = {i: self._input(context, i) for i in m.inputs}
             if m.kind == "view":
-                context.tables[name] = out[name] = rows
+                context.tables[name] = out[name] = m.build(context, *inputs.values())
                 continue
             t = Table(context.spark, context.path(m.layer, m.alias or name))
             anew = full_refresh and m.full_refresh or not t.exists()
-            if m.watermark and not anew:
-                rows = since_watermark(rows, m.watermark[0], t.newest(m.watermark[0]), m.watermark[1])
+            own = replace(context, target=None if anew else t.read())
+            if not anew:
+                inputs |= {i: bound.apply(own, inputs[i]) for i, bound in m.reads.items()}
+            rows = m.build(own, *inputs.values())
+            if m.after and not anew:
+                rows = m.after.apply(own, rows)
             if m.kind == "table" or anew:
                 t.overwrite(rows)
             elif m.kind == "merge":
-                t.merge(rows, m.key, m.update)
+                t.merge(rows, m.key, m.update, m.schema_change)
+            elif m.kind == "insert":
+                t.insert(rows, m.key)
             elif m.kind == "range":
-                t.replace_range(rows, m.replaced(context) if m.replaced else F.lit(True))
+                t.replace_range(rows, m.replaced(own))
             else:
                 t.append(rows)
+            for h in m.hooks:
+                t.keep_referenced(h.keep(own, t.read(), *(self._input(context, i) for i in h.inputs)), m.key)
             context.tables[name] = out[name] = t.read()
         return out
 

@@ -5,47 +5,64 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Fields of one hourly and one daily forecast entry.
-HOURLY = "struct<dt:long,temp:double,feels_like:double,pressure:double,humidity:double,uvi:double,clouds:double,wind_speed:double,wind_gust:double,wind_deg:double,pop:double,weather:array<struct<id:int,main:string,description:string>>>"
-DAILY = "struct<dt:long,sunrise:long,sunset:long,summary:string,temp:struct<day:double,min:double,max:double,night:double,eve:double,morn:double>,pressure:double,humidity:double,wind_speed:double,wind_deg:double,clouds:double,pop:double,rain:double,uvi:double,weather:array<struct<id:int,main:string,description:string>>>"
-ALERT = "struct<sender_name:string,event:string,start:long,end:long,description:string,tags:array<string>>"
-MINUTELY = "struct<dt:long,precipitation:double>"
+_SKY = "weather:array<struct<main:string,description:string>>"
+#: Fields of one entry of a forecast, by kind.
+ENTRIES = {
+    "hourly": f"struct<dt:long,temp:double,humidity:int,pressure:int,uvi:double,clouds:int,wind_deg:int,{_SKY}>",
+    "daily": "struct<dt:long,pop:double,uvi:double,rain:double,clouds:int,sunrise:long,sunset:long,humidity:int,pressure:int,wind_deg:int,dew_point:double,wind_gust:double,temp:struct<day:double,min:double,max:double,night:double,eve:double,morn:double>,"
+    f"feels_like:struct<day:double,night:double,eve:double,morn:double>,{_SKY},summary:string,moonrise:long,moonset:long>",
+    "alerts": "struct<sender_name:string,event:string,start:long,end:long,description:string>",
+    "minutely": "struct<dt:long,precipitation:double>",
+    "current": f"struct<dt:long,temp:double,humidity:int,pressure:int,uvi:double,clouds:int,wind_deg:int,sunrise:long,sunset:long,{_SKY}>",
+}
+_PLACE = ["synced_at", "lat", "lon"]
 
 
-def epoch(c: Column) -> Column:
-    return F.timestamp_seconds(c)
+def epoch(c: Column | str) -> Column:
+    return F.timestamp_seconds(F.col(c) if isinstance(c, str) else c)
 
 
-def _key(*cols: Column) -> Column:
-    return F.concat_ws("_", *(c.cast("string") for c in cols))
+def _key(*cols: str) -> Column:
+    """Parts that are missing are empty, as their separators stay."""
+    return F.concat_ws("_", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols)).alias("dt_lat_lon")
 
 
-def entries(stream: DataFrame, column: str, kind: str) -> DataFrame:
-    """A row per entry of a forecast's JSON array; answers without the array give none."""
-    one = F.explode(F.from_json(column, f"array<{kind}>")).alias("e")
-    return stream.select("synced_at", "lat", "lon", "location_id", one).withColumn("dt_lat_lon", _key(F.col("e.dt") if "dt:" in kind else F.col("e.start"), F.col("lat"), F.col("lon")))
+def _sky() -> list[Column]:
+    first = F.get("e.weather", F.lit(0))
+    return [first["main"].alias("weather_main"), first["description"].alias("weather_description")]
+
+
+def entries(stream: DataFrame, kind: str) -> DataFrame:
+    """A row per entry (``e``) of a forecast's JSON array; answers without the array give none."""
+    return stream.select(*_PLACE, "location_id", F.explode(F.from_json(kind, f"array<{ENTRIES[kind]}>")).alias("e"))
+
+
+def weather_current(stream: DataFrame) -> DataFrame:
+    """Every answer gives a row, one without current conditions a row of nulls."""
+    e = stream.withColumn("e", F.from_json("current", ENTRIES["current"]))
+    fields = ["temp", "humidity", "pressure", "uvi", "clouds", "wind_deg"]
+    return e.select(*_PLACE, "timezone", "timezone_offset", "location_id", epoch("e.dt").alias("ts"), *(f"e.{f}" for f in fields), epoch("e.sunrise").alias("sunrise"), epoch("e.sunset").alias("sunset"), *_sky(), _key("e.dt", "lat", "lon"))
 
 
 def weather_hourly(stream: DataFrame) -> DataFrame:
-    e = entries(stream, "hourly", HOURLY)
-    fields = ["temp", "feels_like", "pressure", "humidity", "uvi", "clouds", "wind_speed", "wind_gust", "wind_deg", "pop"]
-    return e.select("synced_at", "location_id", "lat", "lon", "dt_lat_lon", epoch(F.col("e.dt")).alias("ts"), *(f"e.{f}" for f in fields), F.get("e.weather", F.lit(0))["main"].alias("weather_main"))
+    fields = ["temp", "humidity", "pressure", "uvi", "clouds", "wind_deg"]
+    return entries(stream, "hourly").select(*_PLACE, "location_id", epoch("e.dt").alias("ts"), *(f"e.{f}" for f in fields), *_sky(), _key("e.dt", "lat", "lon"))
 
 
 def weather_daily(stream: DataFrame) -> DataFrame:
-    e = entries(stream, "daily", DAILY)
-    temps = [F.col(f"e.temp.{t}").alias(f"temp_{t}") for t in ("day", "min", "max", "night", "eve", "morn")]
-    fields = ["summary", "pressure", "humidity", "wind_speed", "wind_deg", "clouds", "pop", "rain", "uvi"]
-    return e.select("synced_at", "location_id", "lat", "lon", "dt_lat_lon", epoch(F.col("e.dt")).alias("ts"), epoch(F.col("e.sunrise")).alias("sunrise"), epoch(F.col("e.sunset")).alias("sunset"), *temps, *(f"e.{f}" for f in fields), F.get("e.weather", F.lit(0))["main"].alias("weather_main"))
+    temps = [F.col(f"e.{p}.{t}").alias(f"{p}_{t}") for p, ts in (("temp", ("day", "min", "max", "night", "eve", "morn")), ("feels_like", ("day", "night", "eve", "morn"))) for t in ts]
+    sun, moon = ([epoch(f"e.{c}{when}").alias(f"{c}{when}") for when in ("rise", "set")] for c in ("sun", "moon"))
+    fields = ["humidity", "pressure", "wind_deg", "dew_point", "wind_gust"]
+    return entries(stream, "daily").select(*_PLACE, "location_id", epoch("e.dt").alias("ts"), "e.pop", "e.uvi", "e.rain", "e.clouds", *sun, *(f"e.{f}" for f in fields), *temps, *_sky(), "e.summary", *moon, _key("e.dt", "lat", "lon"))
 
 
 def weather_minutely(stream: DataFrame) -> DataFrame:
-    return entries(stream, "minutely", MINUTELY).select("synced_at", "location_id", "lat", "lon", "dt_lat_lon", epoch(F.col("e.dt")).alias("ts"), "e.precipitation")
+    return entries(stream, "minutely").select(*_PLACE, "location_id", epoch("e.dt").alias("dt"), "e.precipitation", _key("e.dt", "lat", "lon"))
 
 
 def weather_alerts(stream: DataFrame) -> DataFrame:
-    e = entries(stream, "alerts", ALERT)
-    return e.select("synced_at", "location_id", "lat", "lon", "dt_lat_lon", "e.sender_name", "e.event", epoch(F.col("e.start")).alias("start_ts"), epoch(F.col("e.end")).alias("end_ts"), "e.description", "e.tags")
+    """An alert's key holds its start and its end."""
+    return entries(stream, "alerts").select(*_PLACE, "location_id", "e.sender_name", "e.event", epoch("e.start").alias("start_ts"), epoch("e.end").alias("end_ts"), "e.description", _key("e.start", "e.end", "lat", "lon"))
 
 
 def grid_answers(answers: DataFrame, arrays: list[str]) -> DataFrame:
@@ -74,7 +91,8 @@ def registry_members(bundles: DataFrame, column: str = "bundle") -> DataFrame:
 
 def registry_devices(members: DataFrame) -> DataFrame:
     """A row per sensor of a member, with its first topology node; members without sensors give none."""
-    return members.filter(F.size("sensor_ids") > 0).select("user_id", "rec_id", "role", F.explode("sensor_ids").alias("device_id"), F.get("topology_ids", F.lit(0)).alias("substation_id"))
+    one = members.filter(F.size("sensor_ids") > 0)
+    return one.select("user_id", "rec_id", "area", "role", "member_type", F.get("topology_ids", F.lit(0)).alias("substation_id"), F.explode("sensor_ids").alias("sensor_id"), *(c for c in members.columns if c == "last_updated"))
 
 
 def commitments(raw: DataFrame) -> DataFrame:
