@@ -7,7 +7,6 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import let
 from .joins import range_lookup, ranked, with_scalars
 
 
@@ -99,35 +98,43 @@ def system_size(area: Column, use: Column, use_kwh: Column) -> Column:
     return F.round(F.when(use == "residential", F.least(roof, use_kwh * (1 + HEADROOM) / KWH_KWP)).otherwise(roof), 2)
 
 
-def cash_flow(kw: Column, use_kwh: Column, years: int = 25, rate: float = 0.055, price: float = 0.25, feed_in: float = 0.08, self_share: float = 0.35, loss: float = 0.0045) -> dict[str, Column]:
-    """Net present value, internal rate of return, simple and discounted payback and the share consumed on site of a
-    system, as plain discounted cash flow. The solver that the source system calls is private; this one is documented here.
+def _growth(df: DataFrame, owed: str, years: int, out: str, steps: int = 8) -> DataFrame:
+    """Adds the q over 0 with q + q^2 + ... + q^years = owed, by Newton's method, a projection a step. The sum is convex and
+    rises with q, so from a start above the root every step stays above it. Where q is near 1 the closed forms of sum and slope
+    lose digits, so their expansions at 1 stand in."""
+    n, q, owes = float(years), F.col(out), F.col(owed)
+    # the first power alone, and the mean of the powers, are bounds
+    df = df.withColumn(out, F.least(owes, F.pow(owes / n, F.lit(2 / (n + 1)))))
+    near, power = F.abs(q - 1) < 1e-5, F.col("__power")
+    total = F.when(near, n + (q - 1) * (n * (n + 1) / 2)).otherwise(q * (power - 1) / (q - 1))
+    slope = F.when(near, n * (n + 1) / 2 + (q - 1) * (n * (n + 1) * (n - 1) / 3)).otherwise((1 - (n + 1) * power + n * power * q) / ((1 - q) * (1 - q)))
+    for _ in range(steps):
+        df = df.withColumn("__power", F.pow(q, F.lit(n))).withColumn(out, q - (total - owes) / slope)
+    return df.drop("__power")
+
+
+def cash_flow(df: DataFrame, kw: str, use_kwh: str, years: int = 25, rate: float = 0.055, price: float = 0.25, feed_in: float = 0.08, self_share: float = 0.35, loss: float = 0.0045) -> DataFrame:
+    """Adds net present value (npv), internal rate of return (irr), simple and discounted payback and the share consumed on site
+    (tasso_autoconsumo) of a system, as plain discounted cash flow. The solver that the source system calls is private; this
+    one is documented here.
 
     The yearly series is geometric, so present values have a closed form. The internal rate is the root of the present
-    value, halved into 40 times between -90 and 1000 per cent; null where there is none in between.
+    value between -90 and 1000 per cent; null where there is none in between.
     """
-    made = kw * KWH_KWP
-    own = F.least(made * self_share, use_kwh)
-    first = own * price + (made - own) * feed_in
-    cost = kw * EUR_KWP
+    made = F.col(kw) * KWH_KWP
+    df = df.withColumn("__own", F.least(made * self_share, F.col(use_kwh))).withColumn("__first", F.col("__own") * price + (made - F.col("__own")) * feed_in)
+    cost, first = F.col(kw) * EUR_KWP, F.nullif("__first", F.lit(0.0))
 
-    def present(r: Column) -> Column:
+    def present(r: float) -> Column:
         q = (1 - loss) / (1 + r)
-        return first / (1 + r) * F.when(F.abs(q - 1) < 1e-12, F.lit(float(years))).otherwise((1 - F.pow(q, F.lit(years))) / (1 - q))
-
-    def halve(a: Column, _: Column) -> Column:
-        def half(mid: Column) -> Column:
-            above = present(mid) > cost
-            return F.struct(F.when(above, mid).otherwise(a["lo"]).alias("lo"), F.when(above, a["hi"]).otherwise(mid).alias("hi"))
-
-        return let((a["lo"] + a["hi"]) / 2, half)
+        return F.col("__first") / (1 + r) * (float(years) if abs(q - 1) < 1e-12 else (1 - q**years) / (1 - q))
 
-    low, high = F.lit(-0.9), F.lit(10.0)
-    root = F.aggregate(F.sequence(F.lit(1), F.lit(40)), F.struct(low.alias("lo"), high.alias("hi")), halve, lambda a: (a["lo"] + a["hi"]) / 2)
+    df = _growth(df.withColumn("__owed", cost / first * (1 - loss)), "__owed", years, "__q")
     q = (1 - loss) / (1 + rate)
-    left = 1 - cost * (1 - q) * (1 + rate) / F.nullif(first, F.lit(0.0))
-    paid = F.when(left > q**years, F.log(left) / math.log(q))
-    return {
-        "npv": present(F.lit(rate)) - cost, "irr": F.when((present(low) > cost) & (present(high) < cost), root), "payback_simple": cost / F.nullif(first, F.lit(0.0)),
-        "payback_discounted": paid, "tasso_autoconsumo": own / F.nullif(made, F.lit(0.0)),
-    }
+    left = 1 - cost * (1 - q) * (1 + rate) / first
+    return df.withColumns(
+        {
+            "npv": present(rate) - cost, "irr": F.when((present(-0.9) > cost) & (present(10.0) < cost), (1 - loss) / F.col("__q") - 1), "payback_simple": cost / first,
+            "payback_discounted": F.when(left > q**years, F.log(left) / math.log(q)), "tasso_autoconsumo": F.col("__own") / F.nullif(made, F.lit(0.0)),
+        }
+    ).drop("__own", "__first", "__owed", "__q")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import time as T
+from . import scans
 
 
 def rollup(df: DataFrame, keys: Sequence[str], ts: str, minutes: int, sums: dict[str, Column]) -> DataFrame:
@@ -97,63 +98,34 @@ def trailing(df: DataFrame, keys: Sequence[str], day: str, value: str, days: int
 
 
 def fill(df: DataFrame, keys: Sequence[str], ts: str, columns: Sequence[str], forward: bool = True, backward: bool = False) -> DataFrame:
-    """Last known value carried forward, then the next one backward."""
-    w = Window.partitionBy(*keys).orderBy(ts)
-    past, future = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
-    for c in columns:
-        tries = [F.last(c, ignorenulls=True).over(past)] * forward + [F.first(c, ignorenulls=True).over(future)] * backward
-        df = df.withColumn(c, F.coalesce(F.col(c), *tries))
-    return df
+    """Last known value carried forward, then the next one backward; however long a series is, no task holds it."""
+    out = scans.numbered(df, keys, ts)
+    own = {f"__f_{c}": (lambda c=c: F.col(c)) for c in columns}
+    if forward:
+        out = scans.last_known(out, keys, own)
+    if backward:
+        out = scans.last_known(out, keys, {f"__b_{c}": (lambda c=c: F.col(c)) for c in columns}, forward=False)
+    tries = lambda c: [f"__f_{c}"] * forward + [f"__b_{c}"] * backward
+    return out.withColumns({c: F.coalesce(c, *tries(c)) for c in columns}).drop("__n", *(t for c in columns for t in tries(c)))
 
 
 def gap_lengths(df: DataFrame, keys: Sequence[str], ts: str, value: str, out: str = "gap_length") -> DataFrame:
-    """Length of the run of nulls that a row lies in; 0 where there is a value."""
-    w = Window.partitionBy(*keys).orderBy(ts)
-    none = F.col(value).isNull()
-    run = F.row_number().over(w) - F.row_number().over(Window.partitionBy(*keys, none).orderBy(ts))
-    df = df.withColumn("__none", none).withColumn("__run", run)
-    n = F.count("*").over(Window.partitionBy(*keys, "__none", "__run"))
-    return df.withColumn(out, F.when(F.col("__none"), n).otherwise(0)).drop("__none", "__run")
+    """Length of the run of nulls that a row lies in, 0 where there is a value: from the numbers of the known rows around it."""
+    at = {"__p": lambda: F.when(F.col(value).isNotNull(), F.col("__n"))}
+    n = scans.last_known(scans.last_known(scans.numbered(df, keys, ts), keys, at), keys, {"__q": at["__p"]}, forward=False)
+    total = df.groupBy(*keys).agg(F.count("*").alias("__total"))
+    j = n.alias("d").join(total.alias("s"), scans._same(keys)).select("d.*", "s.__total")
+    gap = F.coalesce("__q", "__total") - F.coalesce("__p", F.lit(-1)) - 1
+    return j.withColumn(out, F.when(F.col(value).isNull(), gap).otherwise(0)).drop("__n", "__p", "__q", "__total")
 
 
 def decaying_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, half_life: float, out: str) -> DataFrame:
-    """Mean of all rows so far, each weighted by half per ``half_life`` rows of age; nulls age, but weigh nothing.
-
-    The weights are taken relative to blocks of rows, so they never overflow: a block keeps its own sums and what the
-    blocks before it add, itself a short recurrence over their totals (``aggregate`` over the blocks before).
-    """
-    block, decay = 256, 0.5 ** (1 / half_life)
-    w = Window.partitionBy(*keys).orderBy(ts)
-    df = df.withColumn("__n", F.row_number().over(w) - 1).withColumn("__b", F.floor(F.col("__n") / block).cast("long"))
-    grow = F.pow(F.lit(decay), -(F.col("__n") % block))
-    mine = Window.partitionBy(*keys, "__b").orderBy("__n").rowsBetween(Window.unboundedPreceding, 0)
-    weight = F.when(F.col(value).isNotNull(), grow).otherwise(0.0)
-    df = df.withColumn("__s", F.sum(F.coalesce(F.col(value) * grow, F.lit(0.0))).over(mine)).withColumn("__w", F.sum(weight).over(mine))
-    last = F.pow(F.lit(decay), F.lit(float(block - 1)))
-    ends = df.groupBy(*keys, "__b").agg(F.max_by("__s", "__n").alias("s"), F.max_by("__w", "__n").alias("w"), F.count("*").alias("rows"))
-    # a full block's sums, brought to its last row
-    ends = ends.select(*keys, "__b", (F.col("s") * last).alias("s"), (F.col("w") * last).alias("w"))
-    before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(-_reach(decay, block), -1)
-    step = decay**block
-    carry = F.aggregate(
-        F.collect_list(F.struct("s", "w")).over(before),
-        F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("w")),
-        lambda a, x: F.struct((a["s"] * step + x["s"]).alias("s"), (a["w"] * step + x["w"]).alias("w")),
-    )
-    carried = ends.select(*keys, "__b", carry.alias("__c"))
-    out_df = df.join(carried, [*keys, "__b"], "left")
-    old = F.lit(decay)  # carried sums stand at the row before the block's first
-    s = F.col("__s") + F.col("__c.s") * old
-    n = F.col("__w") + F.col("__c.w") * old
-    return out_df.withColumn(out, F.when(n > 0, s / n)).drop("__n", "__b", "__s", "__w", "__c")
-
-
-def _reach(decay: float, block: int) -> int:
-    """Blocks after which what is carried is below the precision of a double."""
-    n = 1
-    while decay ** (block * n) > 1e-18 and n < 10_000:
-        n += 1
-    return n
+    """Mean of all rows so far, each weighted by half per ``half_life`` rows of age; nulls age, but weigh nothing. Buckets of
+    rows reach back as far as a weight can be told from 0; a row with no value in reach keeps the last mean."""
+    back = scans.reach(half_life)
+    b = scans.bucketed(df, keys, ts, back).withColumn(out, scans.decaying(keys, value, half_life, back))
+    mean = scans.last_known(b.filter("__own").drop("__own", "__bucket"), keys, {"__mean": lambda: F.col(out)})
+    return mean.withColumn(out, F.col("__mean")).drop("__mean", "__n")
 
 
 def impute(df: DataFrame, keys: Sequence[str], ts: str, column: str, small: int = 6, day: int = 24, days_back: int = 3, monthly: dict[int, float] | None = None) -> DataFrame:

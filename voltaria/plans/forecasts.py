@@ -212,15 +212,21 @@ def _series(ctx: Context, h: DataFrame) -> tuple[DataFrame, list[str]]:
     return (h, ["location_id"]) if "location_id" in h.columns else (h.withColumn("series", F.lit(1)), ["series"])
 
 
+#: Hours that are made anew, and hours of history that they are made from: windows and decay reach back some 820 rows, imputation a
+#: few days; more than twice that, as hours may be missing.
+RECOMPUTED, HISTORY = 48, 1800
+
+
 def _recomputed(ctx: Context) -> Column:
     """The last 48 hours that were written, and all after them."""
     newest = ctx.target.agg(F.max("datetime").cast("string")).first()[0]
-    return F.col("datetime") >= F.lit(newest).cast("timestamp_ntz") - F.expr("INTERVAL 48 HOURS")
+    return F.col("datetime") >= F.lit(newest).cast("timestamp_ntz") - F.expr(f"INTERVAL {RECOMPUTED} HOURS")
 
 
-@model("om_weather_hourly", kind="range", replaced=_recomputed, tags=("om", "features"))
+@model("om_weather_hourly", kind="range", replaced=_recomputed, reads={"om_weather_hourly": Since("datetime", back=f"{RECOMPUTED + HISTORY} HOURS")}, tags=("om", "features"))
 def om_weather_features(ctx: Context, h: DataFrame) -> DataFrame:
-    """The 29 forecasting features. The last 48 hours written are made anew; they read all the history that windows and decay ask for."""
+    """The 29 forecasting features. The last 48 hours written are made anew from a bounded history: what lies before it weighs less
+    than a double can tell. (A column without any value for all of that history is taken as without values.)"""
     h, keys_ = _series(ctx, h)
     columns = ["temperature_2m", "shortwave_radiation", "cloud_cover", "precipitation"]
     h = imputed(h, columns, keys_) if ctx.var("impute", True) else h

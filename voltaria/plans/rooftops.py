@@ -192,10 +192,10 @@ def estimate(buildings: DataFrame, done: DataFrame | None = None) -> DataFrame:
     b = buildings.filter(area > 0).withColumn("user_type", planning.use_of_building(area, F.col("num_floors"), F.col("building_class")))
     b = b.withColumn("use_kwh", planning.yearly_use(area, F.col("user_type")))
     b = b.withColumn("kwp", planning.system_size(area, F.col("user_type"), F.col("use_kwh"))).filter(F.col("kwp") >= planning.LEAST_KWP)
-    flow, places = planning.cash_flow(F.col("kwp"), F.col("use_kwh")), {"npv": 2, "irr": 4, "payback_simple": 1, "payback_discounted": 1, "tasso_autoconsumo": 4}
+    b, places = planning.cash_flow(b, "kwp", "use_kwh"), {"npv": 2, "irr": 4, "payback_simple": 1, "payback_discounted": 1, "tasso_autoconsumo": 4}
     return b.select(
         "building_id", "kwp", F.round(F.col("kwp") * planning.EUR_KWP, 2).alias("capex"), F.round(F.col("kwp") * planning.KWH_KWP, 1).alias("annual_production_kwh"),
-        F.round("use_kwh", 1).alias("annual_consumption_kwh"), "user_type", F.lit("RID").alias("regime"), *(F.round(flow[k], n).alias(k) for k, n in places.items()),
+        F.round("use_kwh", 1).alias("annual_consumption_kwh"), "user_type", F.lit("RID").alias("regime"), *(F.round(k, n).alias(k) for k, n in places.items()),
     )
 
 

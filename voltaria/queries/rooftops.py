@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import let
 from ..materialize import merged
 from ..operators import dedup, planning
 from ..sources import payloads
@@ -133,11 +132,13 @@ SQL_size_system = f"WITH {_SIZED} SELECT p_partkey, use, kw FROM s"
 
 def q_cash_flow(spark: SparkSession, d: str) -> DataFrame:
     """Present value and paybacks; the internal rate by the present value that it leaves (zero)."""
-    s = _sized(spark, d)
-    c = planning.cash_flow(F.col("kw"), F.col("kwh"))
-    s = s.select("p_partkey", "kw", "kwh", *(v.alias(k) for k, v in c.items()))
+    s = planning.cash_flow(_sized(spark, d), "kw", "kwh")
     flow = F.expr("(least(kw * 1100 * 0.35D, kwh) * 0.25D + (kw * 1100 - least(kw * 1100 * 0.35D, kwh)) * 0.08D)")
-    left = let(F.struct(F.col("irr").alias("r"), flow.alias("f")), lambda v: F.aggregate(F.sequence(F.lit(1), F.lit(25)), F.lit(0.0), lambda a, y: a + v["f"] * F.pow(F.lit(1 - 0.0045), y - 1) / F.pow(1 + v["r"], y))) - F.col("kw") * 1500
+    s = s.withColumn("first", flow).withColumn("year", F.explode(F.sequence(F.lit(1), F.lit(25))))
+    paid = F.sum(F.col("first") * F.pow(F.lit(1 - 0.0045), F.col("year") - 1) / F.pow(1 + F.col("irr"), F.col("year")))
+    cols = ["npv", "payback_simple", "payback_discounted", "tasso_autoconsumo", "kw"]
+    s = s.groupBy("p_partkey").agg(*(F.first(c).alias(c) for c in cols), paid.alias("paid"))
+    left = F.col("paid") - F.col("kw") * 1500
     return s.select("p_partkey", r4(F.col("npv"), 2).alias("npv"), r4(F.col("payback_simple"), 2).alias("payback_simple"), r4(F.col("payback_discounted"), 2).alias("payback_discounted"), r4(F.col("tasso_autoconsumo")).alias("tasso_autoconsumo"), (F.abs(left) < 0.01).alias("irr_solves"))
 
 
