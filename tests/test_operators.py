@@ -190,4 +190,49 @@ def test_overlay_of_crossing_nested_and_apart(spark):
     schema = "id string, {} array<array<struct<x: double, y: double>>>"
     left = spark.createDataFrame([("bar", box(0, 4, 10, 5)), ("far", box(50, 50, 51, 51)), ("none", None)], schema.format("ra"))
     right = spark.createDataFrame([("cross", box(4, 0, 5, 10)), ("inner", box(1, 4.2, 2, 4.8)), ("outer", box(49, 49, 60, 60))], schema.format("rb").replace("id", "other"))
-    assert sorted((r.id, r.other) for r in spatial.overlay(left, right, "ra", "rb", 3.0).collect()) == [("bar", "cross"), ("bar", "inner"), ("far", "outer")]
+    for size in (0.3, 3.0, 1000.0):
+        assert sorted((r.id, r.other) for r in spatial.overlay(left, right, ["id"], ["other"], "ra", "rb", size).collect()) == [("bar", "cross"), ("bar", "inner"), ("far", "outer")]
+
+
+def test_overlay_of_a_large_area_with_holes(spark):
+    """Small boxes against a ring of many corners with a hole: inside, in the hole, on the border, outside, on a cell's corner;
+    no cell holds more than the edges that run through it."""
+    import math
+
+    ring = lambda r, n: [(100 + r * math.cos(2 * math.pi * k / n), 100 + r * math.sin(2 * math.pi * k / n)) for k in range(n)] + [(100.0 + r, 100.0)]
+    box = lambda x, y, s=1.0: [[(x, y), (x + s, y), (x + s, y + s), (x, y + s), (x, y)]]
+    schema = "array<array<struct<x: double, y: double>>>"
+    area = spark.createDataFrame([("area", [ring(50.0, 1000), ring(20.0, 400)])], f"a string, ra {schema}")
+    at = {"in": (130.0, 100.0), "corner": (140.0, 100.0), "hole": (99.5, 99.5), "rim": (119.5, 100.0), "outer rim": (149.5, 99.5), "out": (151.0, 100.0), "far": (300.0, 100.0), "left": (60.0, 100.0), "low": (100.0, 65.0), "left of all": (10.0, 100.0)}
+    boxes = spark.createDataFrame([(n, box(*xy)) for n, xy in at.items()] + [("around", box(0.0, 0.0, 200.0)), ("in hole", box(90.0, 90.0, 20.0))], f"b string, rb {schema}")
+    for size in (3.0, 10.0, 77.0):
+        got = {r.b for r in spatial.overlay(area, boxes, ["a"], ["b"], "ra", "rb", size).collect()}
+        assert got == {"in", "corner", "rim", "outer rim", "left", "low", "around"}, size
+    cells = spatial.polygon_cells(spatial.edge_cells(area, ["a"], "ra", 3.0), ["a"], 3.0)
+    assert cells.agg(F.max(F.size("edges"))).first()[0] < 40 and cells.filter("parity AND size(edges) = 0").count() > 500
+
+
+def test_line_union(spark):
+    """Worked out by hand: a crossing, a touch, an overlap, a copy the other way round, a corner that stays, other keys apart."""
+    cases = {
+        "cross": (["LINESTRING (0 0, 2 2)", "LINESTRING (0 2, 2 0)"], {"0 0, 1 1", "1 1, 2 2", "0 2, 1 1", "1 1, 2 0"}),
+        "touch": (["LINESTRING (0 0, 4 0)", "LINESTRING (1 0, 1 3)"], {"0 0, 1 0", "1 0, 4 0", "1 0, 1 3"}),
+        "overlap": (["LINESTRING (0 0, 4 0)", "LINESTRING (6 0, 2 0)"], {"0 0, 2 0", "2 0, 4 0", "4 0, 6 0"}),
+        "copy": (["LINESTRING (0 0, 1 0, 1 1)", "LINESTRING (1 1, 1 0, 0 0)", "LINESTRING (0 0, 1 0, 1 1)"], {"0 0, 1 0", "1 0, 1 1"}),
+        "corner": (["LINESTRING (0 0, 1 1, 2 0, 3 0)"], {"0 0, 1 1, 2 0, 3 0"}),
+        "parts": (["MULTILINESTRING ((0 0, 5 5, 10 0), (0 2, 10 2))"], {"0 0, 2 2", "2 2, 5 5, 8 2", "10 0, 8 2", "0 2, 2 2", "2 2, 8 2", "10 2, 8 2"}),
+        "loop": (["LINESTRING (0 0, 2 0, 2 2, 1 -1)"], {"0 0, 1.3333333333333333 0", "1.3333333333333333 0, 2 0, 2 2, 1.3333333333333333 0", "1 -1, 1.3333333333333333 0"}),
+        "point": (["POINT (1 1)"], set()),
+    }
+    lines = spark.createDataFrame([(k, w) for k, (ws, _) in cases.items() for w in ws], "k string, wkt string")
+    for size in (0.7, 100.0):
+        got: dict[str, set] = {k: set() for k in cases}
+        for r in spatial.line_union(lines, ["k"], "wkt", size).collect():
+            pts = [(p.x, p.y) for p in r.part]
+            got[r.k].add(min(tuple(pts), tuple(reversed(pts))))
+        text = lambda s: tuple(tuple(float(v) for v in p.split()) for p in s.split(", "))
+        for k, (_, want) in cases.items():
+            near = lambda ps: {tuple((round(x, 9), round(y, 9)) for x, y in p) for p in ps}
+            assert near(got[k]) == near({min(text(w), tuple(reversed(text(w)))) for w in want}), (k, size)
+    shape = spatial.line_union(lines.filter("k = 'cross'"), ["k"], "wkt", 10.0).groupBy("k").agg(spatial.multiline(F.collect_list("part")).alias("w")).first().w
+    assert shape == "MULTILINESTRING ((0 0, 1 1), (0 2, 1 1), (1 1, 2 0), (1 1, 2 2))"

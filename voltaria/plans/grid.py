@@ -23,6 +23,8 @@ TREES = ["is_vegetated_zone", "elevation_start_m", "elevation_end_m", "strike_tr
 HEAT_LEVELS = {"RED": "ALERT", "ORANGE": "WARNING", "GREEN": "NORMAL"}
 LEVELS = ["ALERT", "WARNING"]
 #: Metres of a tile's side; shares of the network at risk above which a day is an alert or a warning (fixed values).
+#: Metres of a cell in which fragments of a line are compared.
+CELL = 500.0
 TILE, SHARE_ALERT, SHARE_WARNING = 5000, 0.65, 0.35
 
 
@@ -132,25 +134,29 @@ def grid_risks_trendline(ctx: Context, risks: DataFrame, shapes: DataFrame) -> D
 
 @model("silver_grid_ac_line_segment", "silver_grid_substation", kind="table", tags=("grid",))
 def grid_shapes(ctx: Context, segments: DataFrame, substations: DataFrame) -> DataFrame:
-    """One shape per line, conductor type and municipality (fragments merged: their distinct parts as one multi-line, which
-    isn't noded at crossings), and substations as points. ``feature`` carries the geometry in degrees."""
+    """One shape per line, conductor type and municipality (the union of its fragments, cut where they meet and without what
+    runs twice), and substations as points. ``feature_geojson`` carries the geometry in degrees."""
     key = ["dso_id", "line_name", "conductor_type", "municipality"]
     has = lambda t: F.bool_or(F.coalesce(F.col("strike_tree_tier") == t, F.lit(False)))
     tier = F.when(has("high"), "high").when(has("mid"), "mid").when(has("low"), "low")
-    parts = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.regexp_extract_all("geom", F.lit(r"(\([^()]+\))"), 1)))))
     g = segments.groupBy(*key).agg(
         F.min("operational_unit").alias("operational_unit"), F.min("parent_substation_name").alias("parent_substation_name"), F.min("feeder_id").alias("feeder_id"), F.sum("length_m").alias("length_m"),
-        F.bool_or("is_vegetated_zone").alias("is_vegetated_zone"), tier.alias("strike_tree_tier"), F.max("strike_tree_multiplier").alias("strike_tree_multiplier"), F.max("strike_density_per_km").alias("strike_density_per_km"), parts.alias("__parts"),
+        F.bool_or("is_vegetated_zone").alias("is_vegetated_zone"), tier.alias("strike_tree_tier"), F.max("strike_tree_multiplier").alias("strike_tree_multiplier"), F.max("strike_density_per_km").alias("strike_density_per_km"),
     )
-    geom = F.when(F.size("__parts") == 1, F.concat(F.lit("LINESTRING "), F.col("__parts")[0])).otherwise(F.concat(F.lit("MULTILINESTRING ("), F.array_join("__parts", ", "), F.lit(")")))
-    g = g.withColumns({"segment_id": segment_id(), "asset_type": F.lit("ac_line_segment"), "asset_key": F.col("line_name"), "geom": geom}).drop("__parts")
+    merged = spatial.line_union(segments, key, "geom", CELL).groupBy(*key).agg(spatial.multiline(F.collect_list("part")).alias("geom"))
+    same = F.lit(True)
+    for k in key:
+        same = same & F.col(f"g.{k}").eqNullSafe(F.col(f"m.{k}"))
+    g = g.alias("g").join(merged.alias("m"), same, "left").select("g.*", "m.geom")
+    g = g.withColumns({"segment_id": segment_id(), "asset_type": F.lit("ac_line_segment"), "asset_key": F.col("line_name")})
     props = ["segment_id", "asset_type", "line_name", "conductor_type", "parent_substation_name", "operational_unit", "municipality", "strike_tree_tier", "strike_tree_multiplier", "strike_density_per_km"]
     g = g.withColumn("feature_geojson", geo.feature(geo.utm_geojson(F.col("geom")), extraProps=F.struct(*props)))
     s = substations.withColumns({"segment_id": segment_id("substation", "asset_id"), "asset_type": F.lit("substation"), "asset_key": F.col("asset_id")})
     label = F.concat(F.coalesce("label", F.lit("")), F.lit(" \u2014 "), F.col("municipality")).alias("label")
     own = F.struct("segment_id", "asset_type", "asset_id", "name", label, "line_name", "parent_substation_name", "operational_unit", "municipality")
     s = s.withColumn("feature_geojson", geo.feature(geo.utm_geojson(F.col("geom")), iconColor=F.lit("#1E88E5"), iconSize=F.lit(8), extraProps=own)).drop("asset_id")
-    return reshape.pad_union(g, s)
+    out = "segment_id dso_id asset_type asset_key line_name operational_unit municipality conductor_type parent_substation_name feeder_id length_m is_vegetated_zone strike_tree_tier strike_tree_multiplier strike_density_per_km voltage_class label label_id name geom feature_geojson"
+    return reshape.pad_union(g, s).select(*out.split())
 
 
 @model("silver_grid_substation", kind="table", tags=("grid",))

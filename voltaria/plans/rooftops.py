@@ -240,9 +240,10 @@ def pv_installation_plan_summary(ctx: Context, p: DataFrame, ranking: DataFrame)
 @model("pv_overture_buildings", "gse_cabine_primarie", kind="table", tags=("pv", "community"))
 def rec_building_cabina(ctx: Context, b: DataFrame, areas: DataFrame) -> DataFrame:
     """The substation areas that each building's outline meets."""
-    a = areas.select("cod_ac", "rag_soc", F.explode(geo.polygons_of_wkt(F.col("geometry"))).alias("area_rings"))
+    a = areas.select("cod_ac", F.posexplode(geo.polygons_of_wkt(F.col("geometry"))).alias("part", "area_rings"))
     own = b.select("building_id", geo.rings_of_wkt(F.col("geometry")).alias("rings"))
-    return spatial.overlay(own, a, "rings", "area_rings", float(ctx.var("cell_deg", 0.05))).select("building_id", "cod_ac", "rag_soc").distinct()
+    met = spatial.overlay(own, a, ["building_id"], ["cod_ac", "part"], "rings", "area_rings", float(ctx.var("cell_deg", 0.05)))
+    return met.select("building_id", "cod_ac").distinct().join(areas.select("cod_ac", "rag_soc"), "cod_ac").select("building_id", "cod_ac", "rag_soc")
 
 
 @model("rec_building_cabina", "pv_rooftop_opportunities", kind="table", tags=("pv", "community"))

@@ -442,7 +442,7 @@ def q_near_lines(spark: SparkSession, d: str) -> DataFrame:
     text = lambda *v: F.concat_ws(" ", *(c.cast("string") for c in v))
     wkt = F.concat(F.lit("LINESTRING ("), text(F.col("x"), F.col("y")), F.lit(", "), text(F.col("x") + 500, F.col("y") + 200), F.lit(", "), text(F.col("x") + 600, F.col("y") - 300), F.lit(")"))
     lines = p.filter("vec_id % 5 = 0").select(F.col("vec_id").alias("line"), geo.line_segments(wkt).alias("seg"))
-    met = spatial.near_lines(lines, p.filter("vec_id % 5 <> 0"), "seg", ("x", "y"), 60.0, 200.0)
+    met = spatial.near_lines(lines, p.filter("vec_id % 5 <> 0"), "seg", ("x", "y"), 60.0, 200.0, ["line", "vec_id"])
     return met.select("line", "vec_id", F.round("distance", 4).alias("distance"))
 
 
@@ -458,8 +458,29 @@ def q_overlay(spark: SparkSession, d: str) -> DataFrame:
     wide = p.filter("vec_id % 2 = 0").select(F.col("vec_id").alias("a"), F.array(bar(0.6, 0.05)).alias("ra"))
     hole = F.array(*(F.struct((F.col("x") + i).alias("x"), (F.col("y") + j).alias("y")) for i, j in ((0.01, 0.01), (0.04, 0.01), (0.04, 0.69), (0.01, 0.69), (0.01, 0.01))))
     tall = p.filter("vec_id % 2 = 1").select(F.col("vec_id").alias("b"), F.array(bar(0.05, 0.7), hole).alias("rb"))
-    return spatial.overlay(wide, tall, "ra", "rb", 0.25).select("a", "b")
+    return spatial.overlay(wide, tall, ["a"], ["b"], "ra", "rb", 0.25)
 
 
 #: Boxes meet where their intervals do on both axes; a bar of 0.6 never fits the hole.
 SQL_overlay = f"WITH {_P} SELECT w.vec_id AS a, t.vec_id AS b FROM p w JOIN p t ON w.vec_id % 2 = 0 AND t.vec_id % 2 = 1 AND w.x <= t.x + 0.05 AND t.x <= w.x + 0.6 AND w.y <= t.y + 0.7 AND t.y <= w.y + 0.05"
+
+
+def q_line_union(spark: SparkSession, d: str) -> DataFrame:
+    """Level and upright lines of a group as one shape: cut where they cross, copies once. A part is a piece between two cuts."""
+    p = _points(spark, d).select("vec_id", F.round(F.col("x") * 8).alias("x"), F.round(F.col("y") * 8).alias("y"), (F.col("vec_id") % 3).alias("grp"))
+    text = lambda *v: F.concat_ws(" ", *(c.cast("string") for c in v))
+    level = F.col("vec_id") % 2 == 0
+    wkt = F.concat(F.lit("LINESTRING ("), text(F.col("x"), F.col("y") + F.when(level, 0.5).otherwise(0)), F.lit(", "), text(F.col("x") + F.when(level, 3).otherwise(0), F.col("y") + F.when(level, 0.5).otherwise(3)), F.lit(")"))
+    parts = spatial.line_union(p.select("grp", wkt.alias("wkt")), ["grp"], "wkt", 2.0)
+    return parts.select("grp", *((F.col("part")[k][c] + 0.0).alias(f"{c}{k}") for k in (0, 1) for c in "xy"))
+
+
+SQL_line_union = f"""WITH {_P}, s AS (SELECT DISTINCT vec_id % 3 AS grp, vec_id % 2 = 0 AS flat, round(x * 8) AS x, round(y * 8) AS y FROM p),
+h AS (SELECT grp, x AS a, x + 3 AS b, y + 0.5 AS y FROM s WHERE flat), v AS (SELECT grp, x, y AS a, y + 3 AS b FROM s WHERE NOT flat),
+hc AS (SELECT h.grp, h.y, h.a, h.b, v.x AS c FROM h JOIN v ON h.grp = v.grp AND v.x BETWEEN h.a AND h.b AND h.y BETWEEN v.a AND v.b UNION SELECT grp, y, a, b, unnest([a, b]) FROM h
+UNION SELECT h.grp, h.y, h.a, h.b, unnest([k.a, k.b]) AS c FROM h JOIN h k ON h.grp = k.grp AND h.y = k.y AND k.a <= h.b AND h.a <= k.b),
+vc AS (SELECT v.grp, v.x, v.a, v.b, h.y AS c FROM h JOIN v ON h.grp = v.grp AND v.x BETWEEN h.a AND h.b AND h.y BETWEEN v.a AND v.b UNION SELECT grp, x, a, b, unnest([a, b]) FROM v
+UNION SELECT v.grp, v.x, v.a, v.b, unnest([k.a, k.b]) AS c FROM v JOIN v k ON v.grp = k.grp AND v.x = k.x AND k.a <= v.b AND v.a <= k.b),
+hp AS (SELECT DISTINCT grp, c AS x0, y AS y0, lead(c) OVER (PARTITION BY grp, y, a, b ORDER BY c) AS x1, y AS y1 FROM hc WHERE c BETWEEN a AND b),
+vp AS (SELECT DISTINCT grp, x AS x0, c AS y0, x AS x1, lead(c) OVER (PARTITION BY grp, x, a, b ORDER BY c) AS y1 FROM vc WHERE c BETWEEN a AND b)
+SELECT grp, x0 + 0.0::DOUBLE AS x0, y0 + 0.0::DOUBLE AS y0, x1 + 0.0::DOUBLE AS x1, y1 + 0.0::DOUBLE AS y1 FROM (SELECT grp, x0, y0, x1, y1 FROM hp WHERE x1 IS NOT NULL UNION ALL SELECT grp, x0, y0, x1, y1 FROM vp WHERE y1 IS NOT NULL)"""
