@@ -47,3 +47,25 @@ def test_streak_state(spark, source, tmp_path):
     run(jobs.streaks(s), "streaks", tmp_path, "append")
     got = {(r.device_id, str(r.week)): (r.level, r.peak) for r in spark.table("streaks").collect()}
     assert got["a", str(w(2))] == (1, 2) and got["a", str(w(1))] == (2, 2) and got["b", str(w(0))] == (0, 0)
+
+
+def test_a_silent_device_decays_by_timers_and_late_weeks_are_ordered(spark, source, tmp_path):
+    name, before = "spark.sql.streaming.stateStore.providerClass", spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set(name, jobs.STATE_STORE)
+    try:
+        at = lambda k, day=1: dt.datetime(2026, 1, 5) + dt.timedelta(weeks=k, days=day)
+        schema = "device_id string, ts timestamp, responded boolean"
+        out = lambda s: {(r.device_id, str(r.week)): (r.level, r.peak) for r in s}
+        jobs_of = lambda stream: stream.writeStream.format("parquet").option("path", str(tmp_path / "o")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination(120)
+        s = source([("a", at(1), True), ("a", at(0), True), ("a", at(1), False), ("b", at(0), False)], schema)
+        jobs_of(jobs.timed_streaks(s))  # weeks 0 and 1 aren't over yet, or just one
+        source([("a", at(2), True), ("clock", at(9), False)], schema)
+        jobs_of(jobs.timed_streaks(s))  # restarted from the checkpoint
+        source([("clock", at(12), False)], schema)
+        jobs_of(jobs.timed_streaks(s))
+        got = out(spark.read.parquet(str(tmp_path / "o")).collect())
+        week = lambda k: str(at(k, 0).date())
+        assert [got.get(("a", week(k))) for k in range(5)] == [(1, 1), (2, 2), (3, 3), (2, 3), (2, 3)]  # to half of the peak, and rests there
+        assert ("a", week(6)) not in got and got["b", week(0)] == (0, 0) and ("b", week(2)) not in got
+    finally:
+        spark.conf.set(name, before)

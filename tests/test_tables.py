@@ -1,8 +1,12 @@
 """Written tables: what readers see while writers fail or meet, what a write touches, and ranks at size."""
 
+import datetime as dt
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
+from voltaria import settings
 from voltaria.materialize import Conflict, DuplicateKeys, Table
 from voltaria.operators import joins
 
@@ -84,6 +88,31 @@ def test_a_range_takes_no_row_from_outside_and_loses_none(spark, tmp_path):
     assert sorted(r.day for r in t.read().collect()) == [1, 2, 3, 4]
 
 
+def test_old_days_move_to_the_archive(spark, tmp_path, monkeypatch):
+    t = Table(spark, str(tmp_path / "t"))
+    hours = [(dt.datetime(2026, 1, d, h), d) for d in (1, 2, 3) for h in (0, 23)]
+    t.overwrite(spark.createDataFrame(hours, "ts timestamp_ntz, v int"))
+    monkeypatch.setattr(t, "delete", lambda _: 0)  # dies after writing
+    t.archive("ts", dt.date(2026, 1, 3), str(tmp_path / "cold"))
+    monkeypatch.undo()
+    assert t.archive("ts", dt.date(2026, 1, 3), str(tmp_path / "cold")) == 4 and t.read().count() == 2
+    assert t.archive("ts", dt.date(2026, 1, 3), str(tmp_path / "cold")) == 0
+    cold = spark.read.parquet(str(tmp_path / "cold"))
+    assert sorted((str(r.archived_day), r.v) for r in cold.collect()) == [("2026-01-01", 1)] * 2 + [("2026-01-02", 2)] * 2
+
+
+def test_settings(spark, tmp_path, monkeypatch):
+    tier = lambda k, *rows: [{k: a, "multiplier": b} for a, b in rows]
+    (tmp_path / "s.json").write_text(json.dumps({"fleet": {"active_devices": ["x"]}, "settlement": {"effort_multiplier_tiers": tier("ratio_min", (1.5, 2), (1, 0.5))}, "flexibility_bonus": {"shift_effort_tiers": tier("shift_pct_min", (0.5, 2)), "event_multiplier_tiers": tier("ratio_min", (2, 3), (0, 1))}}))
+    s = settings.load(tmp_path / "s.json")
+    assert settings.effort_tiers(s) == [(1.0, 0.5), (1.5, 2.0)] and settings.shift_tiers(s) == [(0.5, 2.0)] and settings.event_tiers(s) == [(0.0, 1.0), (2.0, 3.0)]
+    monkeypatch.delenv(settings.FLEET, raising=False)
+    assert settings.active_devices(s) == ["x"] and settings.active_devices({}) == []
+    monkeypatch.setenv(settings.FLEET, " a, b,,")
+    assert settings.active_devices(s) == ["a", "b"] and settings.write_fleet(settings.active_devices(s), tmp_path / "n" / "f.csv") == 2
+    assert [r.device_id for r in spark.read.csv(str(tmp_path / "n" / "f.csv"), header=True).collect()] == [r.device_id for r in settings.fleet(spark, ["a", "b"]).collect()]
+
+
 @pytest.mark.parametrize("advisory", ["64m", "256k"])
 def test_ranks_of_wide_rows_under_coalescing(spark, tmp_path, advisory):
     spark.range(300_000).withColumn("v", F.rand(3)).withColumn("wide", F.repeat(F.lit("abcdefgh"), 24)).write.parquet(str(tmp_path / "x"))

@@ -246,6 +246,15 @@ class Table:
             self._commit(number, [*(p for p in parts if p not in hit), *self._write(rows)])
         return sum(hit.values())
 
+    def archive(self, column: str, before, path: str) -> int:
+        """Moves the rows of whole days before ``before`` (a date), by the time in ``column``, to Parquet under ``path``, a folder a day;
+        how many they were. They are written before they go, and a day that is moved again replaces itself, so a run that died is
+        simply run again."""
+        old = F.col(column) < F.lit(before)
+        rows = self.read().filter(old).withColumn("archived_day", F.to_date(column))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("archived_day").parquet(path)
+        return self.delete(old)
+
     def compact(self, most: int = 64) -> bool:
         """Writes the table anew once it has more than ``most`` folders."""
         number, parts = self._state()

@@ -194,14 +194,14 @@ SELECT o_orderkey, coalesce(b.o_orderstatus, a.o_orderstatus) AS o_orderstatus,
 def q_registry_unnest(spark: SparkSession, d: str) -> DataFrame:
     c = t(spark, d, "customer")
     m = c.select(
-        F.col("c_custkey").cast("string").alias("user_id"), F.lit("rec").alias("rec_id"), F.when(F.col("c_acctbal") > 0, "prosumer").otherwise("consumer").alias("role"),
+        F.col("c_custkey").cast("string").alias("user_id"), F.lit("rec").alias("rec_id"), F.col("c_mktsegment").alias("area"), F.lit("home").alias("member_type"), F.when(F.col("c_acctbal") > 0, "prosumer").otherwise("consumer").alias("role"),
         F.filter(F.array(F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("s-"), F.col("c_custkey"))), F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("t-"), F.col("c_custkey")))), lambda x: x.isNotNull()).alias("sensor_ids"),
         F.when(F.col("c_custkey") % 5 > 0, F.array(F.col("c_nationkey").cast("string"))).otherwise(F.array().cast("array<string>")).alias("topology_ids"),
     )
     return payloads.registry_devices(m)
 
 
-SQL_registry_unnest = """SELECT user_id, 'rec' AS rec_id, role, unnest(s) AS device_id, substation_id FROM (SELECT CAST(c_custkey AS VARCHAR) AS user_id, CASE WHEN c_acctbal > 0 THEN 'prosumer' ELSE 'consumer' END AS role,
+SQL_registry_unnest = """SELECT user_id, 'rec' AS rec_id, area, role, 'home' AS member_type, substation_id, unnest(s) AS sensor_id FROM (SELECT CAST(c_custkey AS VARCHAR) AS user_id, c_mktsegment AS area, CASE WHEN c_acctbal > 0 THEN 'prosumer' ELSE 'consumer' END AS role,
 list_filter([CASE WHEN c_custkey % 2 = 0 THEN 's-' || c_custkey END, CASE WHEN c_custkey % 3 = 0 THEN 't-' || c_custkey END], lambda x: x IS NOT NULL) AS s, CASE WHEN c_custkey % 5 > 0 THEN CAST(c_nationkey AS VARCHAR) END AS substation_id FROM customer)"""
 
 
