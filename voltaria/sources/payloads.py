@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+try:  # only bundles in YAML need it
+    import yaml
+except ImportError:
+    yaml = None
+
 _SKY = "weather:array<struct<main:string,description:string>>"
 #: Fields of one entry of a forecast, by kind.
 ENTRIES = {
@@ -75,17 +84,33 @@ def grid_answers(answers: DataFrame, arrays: list[str]) -> DataFrame:
 BUNDLE = "struct<community:struct<id:string,areas:map<string,struct<topology:array<string>>>>,members:map<string,struct<status:string,user_id:string,area:string,role:string,type:string,delivery_points:array<struct<id:string>>,assets:struct<meter:map<string,struct<sensor_id:string>>>>>>"
 
 
+def bundles(texts: DataFrame, column: str = "value") -> DataFrame:
+    """(bundle), a row of JSON text per document of exports that hold several, parted by lines of three hyphens, in YAML or
+    JSON. Empty documents and null texts give no rows; a document that can't be read fails."""
+    parts = texts.select(F.explode(F.split(column, r"(?m)^---(?=\s|$)[ \t]*(?:#.*)?")).alias("part")).filter(F.trim(F.regexp_replace("part", r"(?m)^\s*(#.*|\.\.\.)?$", ""), F.lit(" \n\r\t")) != "")
+
+    @F.pandas_udf("string")
+    def as_json(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        load = json.loads if yaml is None else lambda t: yaml.load(t, getattr(yaml, "CSafeLoader", yaml.SafeLoader))
+        for texts in frames:
+            docs = texts.map(load)
+            yield docs.map(lambda d: json.dumps(d, default=str) if d else None)
+
+    return parts.select(as_json("part").alias("bundle")).filter(F.col("bundle").isNotNull())
+
+
 def registry_members(bundles: DataFrame, column: str = "bundle") -> DataFrame:
-    """A row per active member of community bundles given as JSON text."""
+    """A row per active member of community bundles given as JSON text. Communities without an id, and members without a user,
+    give none."""
     b = bundles.select(F.from_json(column, BUNDLE).alias("b"))
-    m = b.select(F.col("b.community.id").alias("rec_id"), F.col("b.community.areas").alias("areas"), F.explode(F.map_entries("b.members")).alias("m")).filter(F.lower("m.value.status") == "active")
+    m = b.select(F.col("b.community.id").alias("rec_id"), F.col("b.community.areas").alias("areas"), F.explode(F.map_entries("b.members")).alias("m")).filter((F.lower("m.value.status") == "active") & (F.col("rec_id") != "") & (F.col("m.value.user_id") != ""))
     v = F.col("m.value")
-    sensors = F.filter(F.transform(F.map_values(v["assets"]["meter"]), lambda x: x["sensor_id"]), lambda s: s.isNotNull())
+    sensors = F.filter(F.transform(F.map_values(v["assets"]["meter"]), lambda x: x["sensor_id"]), lambda s: s != "")
     none = F.array().cast("array<string>")
     return m.select(
         v["user_id"].alias("user_id"), "rec_id", v["area"].alias("area"), v["role"].alias("role"), v["type"].alias("member_type"),
         F.coalesce(F.try_element_at("areas", v["area"])["topology"], none).alias("topology_ids"),
-        F.coalesce(F.transform(v["delivery_points"], lambda p: p["id"]), none).alias("delivery_point_ids"), F.coalesce(sensors, none).alias("sensor_ids"),
+        F.coalesce(F.filter(F.transform(v["delivery_points"], lambda p: p["id"]), lambda p: p != ""), none).alias("delivery_point_ids"), F.coalesce(sensors, none).alias("sensor_ids"),
     )
 
 
