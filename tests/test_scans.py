@@ -1,6 +1,7 @@
 """Windows over long series by buckets, against pandas over the whole series; a recomputed tail against the full history."""
 
 import datetime as dt
+import re
 
 import numpy as np
 import pandas as pd
@@ -55,6 +56,55 @@ def test_fills_and_gaps(series):
     assert {r.gap_length for r in gaps.filter("k = 'none'").collect()} == {5}
 
 
+def walked(v, months, small=6):
+    """The imputation row by row, on a list with nans."""
+    v, n, known = list(v), len(v), ~np.isnan(v)
+    gaps, k = [0] * n, 0
+    while k < n:
+        end = k
+        while end < n and not known[end]:
+            end += 1
+        gaps[k:end] = [end - k] * (end - k)
+        k = max(end, k + 1)
+    for k in range(n):
+        if gaps[k] > small:
+            before = [v[k - 24 * d] for d in (1, 2, 3) if k >= 24 * d and not np.isnan(v[k - 24 * d])]
+            v[k] = before[0] if before else months.get(k, np.nan)
+    return v
+
+
+def test_imputation_by_buckets_equals_a_walk(series):
+    """Long gaps by the walk; then short ones by interpolation over at most six rows, and the edges."""
+    p, df = series
+    default = {1: 1.0, 2: 2.0, 5: 5.0}
+    months = {k: default[t.month] for k, t in enumerate(p["ts"]) if t.month in default}
+    v = pd.Series(walked(p["v"], months))
+    filled = timeseries.impute(df, ["k"], "ts", "v", monthly=default).cache()
+    same(got(filled, "v"), v.interpolate(limit=6).ffill().bfill())
+    assert filled.count() == df.count() and filled.filter("k = 'none' AND v IS NOT NULL").count() == 0  # a short gap without neighbours
+
+
+def test_two_columns_at_once_are_as_one_by_one(series):
+    _, df = series
+    two = df.withColumn("u", F.when(F.hour("ts") < 12, F.col("v") * 2))
+    both = timeseries.impute_columns(two, ["k"], "ts", {"v": {1: 1.0}, "u": None})
+    assert both.columns == two.columns
+    same(got(both, "v"), got(timeseries.impute(df, ["k"], "ts", "v", monthly={1: 1.0}), "v"))
+    same(got(both, "u"), got(timeseries.impute(two.drop("v"), ["k"], "ts", "u"), "u"))
+
+
+def test_imputation_windows_are_bounded(series):
+    """Windows over a series, or a chain, order one row a bucket or span; those over rows have a bucket or span among their keys."""
+    _, df = series
+    plan = timeseries.impute(df, ["k"], "ts", "v")._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    keys = [re.findall(r"\[([^\[\]]*)\]", line)[-2 if re.search(r"(ASC|DESC) NULLS (FIRST|LAST)\]$", line.strip()) else -1] for line in windows]
+    over_rows = [k for k in keys if re.search("__(bucket|k|span)#", k)]
+    series_alone = [line for line, k in zip(windows, keys, strict=True) if k not in over_rows]
+    assert over_rows and series_alone
+    assert all(re.search(r"__(rows|e)|__e_", line) for line in series_alone), series_alone
+
+
 def test_buckets_hold_a_bounded_number_of_rows_and_every_row_once(series):
     p, df = series
     b = scans.bucketed(df, ["k"], "ts", 30, 10, size=100)

@@ -108,9 +108,10 @@ MOST_NULLS = 48
 
 
 def _near(keys: Sequence[str], c: str) -> Column:
-    """Within buckets that reach ``MOST_NULLS`` rows to both sides: the next value, then the one before."""
-    w = Window.partitionBy(*keys, "__bucket").orderBy("__n")
-    return F.coalesce(F.first(c, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)), F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    """Within buckets that reach ``MOST_NULLS`` rows to both sides: the next value (the last one in turned order, as a frame up
+    to the last row is computed anew for every row), then the one before."""
+    w = Window.partitionBy(*keys, "__bucket")
+    return F.coalesce(*(F.last(c, ignorenulls=True).over(w.orderBy(o).rowsBetween(Window.unboundedPreceding, 0)) for o in (F.desc("__n"), F.asc("__n"))))
 
 
 def _with_near(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -109,14 +110,20 @@ def fill(df: DataFrame, keys: Sequence[str], ts: str, columns: Sequence[str], fo
     return out.withColumns({c: F.coalesce(c, *tries(c)) for c in columns}).drop("__n", *(t for c in columns for t in tries(c)))
 
 
+def _gap(value: str, at: str) -> Column:
+    """Length of the run of nulls around a row, from the numbers of the known rows around it; 0 where there is a value."""
+    gap = F.coalesce(f"{at}_after", "__total") - F.coalesce(f"{at}_before", F.lit(-1)) - 1
+    return F.when(F.col(value).isNull(), gap).otherwise(0)
+
+
+def _known_at(value: str) -> Column:
+    return F.when(F.col(value).isNotNull(), F.col("__n"))
+
+
 def gap_lengths(df: DataFrame, keys: Sequence[str], ts: str, value: str, out: str = "gap_length") -> DataFrame:
-    """Length of the run of nulls that a row lies in, 0 where there is a value: from the numbers of the known rows around it."""
-    at = {"__p": lambda: F.when(F.col(value).isNotNull(), F.col("__n"))}
-    n = scans.last_known(scans.last_known(scans.numbered(df, keys, ts), keys, at), keys, {"__q": at["__p"]}, forward=False)
-    total = df.groupBy(*keys).agg(F.count("*").alias("__total"))
-    j = n.alias("d").join(total.alias("s"), scans._same(keys)).select("d.*", "s.__total")
-    gap = F.coalesce("__q", "__total") - F.coalesce("__p", F.lit(-1)) - 1
-    return j.withColumn(out, F.when(F.col(value).isNull(), gap).otherwise(0)).drop("__n", "__p", "__q", "__total")
+    """Length of the run of nulls that a row lies in, 0 where there is a value."""
+    n = scans.neighbours(scans.numbered(df, keys, ts, total="__total"), keys, {"__at": lambda: _known_at(value)})
+    return n.withColumn(out, _gap(value, "__at")).drop("__n", "__total", "__at_before", "__at_after")
 
 
 def decaying_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, half_life: float, out: str) -> DataFrame:
@@ -129,37 +136,50 @@ def decaying_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, half_
 
 
 def impute(df: DataFrame, keys: Sequence[str], ts: str, column: str, small: int = 6, day: int = 24, days_back: int = 3, monthly: dict[int, float] | None = None) -> DataFrame:
-    """Fills nulls of an hourly series, in order: in gaps longer than ``small`` the value a day (two, three) before, values
-    filled earlier included; then the month's default; short gaps by interpolation over rows; edges by the nearest value.
+    """``impute_columns`` for one column."""
+    return impute_columns(df, keys, ts, {column: monthly}, small, day, days_back)
+
+
+def impute_columns(df: DataFrame, keys: Sequence[str], ts: str, columns: Mapping[str, Mapping[int, float] | None], small: int = 6, day: int = 24, days_back: int = 3) -> DataFrame:
+    """Fills nulls of hourly series, in order: in gaps longer than ``small`` the value a day (two, three) before, values
+    filled earlier included; then the month's default, if the column has defaults; short gaps by interpolation over rows; edges
+    by the nearest value. A column without any value gets its defaults, or stays null.
 
     The day-before rule reads what it has filled itself, but needs no walk: rows a whole number of days apart form a chain,
     and what a row takes over is the last value or default of its chain, unless the last ``days_back`` links are all short
-    gaps (not filled yet at that point), where the month's default starts anew. So all steps are windows.
+    gaps (not filled yet at that point), where the month's default starts anew. Those links are a bounded look back, the rest
+    is handed on by one row a bucket, so a series of any length is in no task whole.
     """
-    w, v = Window.partitionBy(*keys).orderBy(ts), F.col(column)
-    none = v.isNull()
-    df = df.withColumn("__n", F.row_number().over(w) - 1).withColumn("__none", none)
-    df = df.withColumn("__run", F.col("__n") - F.row_number().over(Window.partitionBy(*keys, "__none").orderBy(ts)))
-    df = df.withColumn("__gap", F.when(none, F.count("*").over(Window.partitionBy(*keys, "__none", "__run"))).otherwise(0))
-    large, link = F.col("__gap") > small, F.col("__n") % day
-    default = F.element_at(F.create_map(*(F.lit(x) for kv in monthly.items() for x in (kv[0], float(kv[1])))), F.month(ts)) if monthly else F.lit(None).cast("double")
-    chain = Window.partitionBy(*keys, "__link").orderBy("__n")
-    df = df.withColumns({"__link": link, "__large": large})
-    filled_at = F.when(~F.col("__none") | F.col("__large"), F.col("__n"))
-    before = F.last(filled_at, ignorenulls=True).over(chain.rowsBetween(Window.unboundedPreceding, -1))
-    anew = F.col("__large") & (before.isNull() | (F.col("__n") - before > day * days_back))
-    # a struct, so that a default that is null is carried too
-    source = F.when(~F.col("__none"), F.struct(v.cast("double").alias("v"))).when(anew, F.struct(default.alias("v")))
-    carried = F.last(source, ignorenulls=True).over(chain.rowsBetween(Window.unboundedPreceding, 0))
-    df = df.withColumn("__v", F.when(F.col("__none") & ~F.col("__large"), None).otherwise(carried["v"]))
-    at = F.when(F.col("__v").isNotNull(), F.struct("__n", "__v"))
-    df = df.withColumn("__p", F.last(at, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    df = df.withColumn("__q", F.first(at, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
-    p, q = F.col("__p"), F.col("__q")
-    steps = F.least(F.col("__n") - p["__n"], F.lit(small))
-    between = p["__v"] + (q["__v"] - p["__v"]) * steps / (q["__n"] - p["__n"])
-    value = F.coalesce(F.col("__v"), F.when(q["__n"] > p["__n"], between), p["__v"], q["__v"])
-    return df.withColumn(column, value).drop("__n", "__none", "__run", "__gap", "__link", "__large", "__v", "__p", "__q")
+    names = {c: f"__c{k}" for k, c in enumerate(columns)}
+    of = lambda c, part: f"{names[c]}_{part}"
+    each = lambda part, make: {of(c, part): make(c) for c in columns}
+    df = scans.numbered(df, keys, ts, total="__total")
+    df = scans.neighbours(df, keys, each("at", lambda c: lambda: _known_at(c)))
+    df = df.withColumns(each("large", lambda c: _gap(c, of(c, "at")) > small)).drop("__total", *(of(c, f"at_{s}") for c in columns for s in ("before", "after")))
+
+    # where a chain starts anew, by the links a day to days_back days before
+    near = Window.partitionBy(*keys, "__bucket").orderBy("__n")
+    taken = lambda c: F.col(c).isNotNull() | F.col(of(c, "large"))
+    linked = lambda c: reduce(lambda a, b: a | b, (F.coalesce(F.lag(taken(c), day * k).over(near), F.lit(False)) for k in range(1, days_back + 1)))
+    df = scans.own_rows_numbered(scans.dealt(df, day * days_back).withColumns(each("new", lambda c: F.col(of(c, "large")) & ~linked(c))))
+
+    def source(c: str) -> Column:
+        """A struct, so that a default that is null is handed on too."""
+        monthly = columns[c]
+        default = F.try_element_at(F.create_map(*(F.lit(x) for m, v in monthly.items() for x in (m, float(v)))), F.month(ts)) if monthly else F.lit(None).cast("double")
+        return F.when(F.col(c).isNotNull(), F.struct(F.col(c).cast("double").alias("v"))).when(F.col(of(c, "new")), F.struct(default.alias("v")))
+
+    df = scans.last_known(df.withColumn("__link", F.col("__n") % day), [*keys, "__link"], each("from", lambda c: lambda: source(c)), size=scans.SIZE * day)
+    df = df.withColumns(each("v", lambda c: F.when(taken(c), F.col(of(c, "from"))["v"])))
+    df = scans.neighbours(df.drop("__link", *(of(c, p) for c in columns for p in ("large", "new", "from"))), keys, each("k", lambda c: lambda: F.when(F.col(of(c, "v")).isNotNull(), F.struct(F.col("__n").alias("n"), F.col(of(c, "v")).alias("v")))))
+
+    def value(c: str) -> Column:
+        p, q = F.col(of(c, "k_before")), F.col(of(c, "k_after"))
+        steps = F.least(F.col("__n") - p["n"], F.lit(small))
+        between = p["v"] + (q["v"] - p["v"]) * steps / (q["n"] - p["n"])
+        return F.coalesce(F.col(of(c, "v")), F.when(q["n"] > p["n"], between), p["v"], q["v"])
+
+    return df.withColumns({c: value(c) for c in columns}).drop("__n", *(of(c, p) for c in columns for p in ("v", "k_before", "k_after")))
 
 
 def hours(df: DataFrame, start: str, end: str, step: str = "1 HOUR", out: str = "ts") -> DataFrame:

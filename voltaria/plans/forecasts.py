@@ -202,9 +202,7 @@ MONTHLY = {
 
 def imputed(h: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
     """Hourly weather without gaps in the given columns."""
-    for c in columns:
-        h = timeseries.impute(h, keys, "datetime", c, monthly={m: float(v) for m, v in enumerate(MONTHLY[c], 1)} if c in MONTHLY else None)
-    return h
+    return timeseries.impute_columns(h, keys, "datetime", {c: dict(enumerate(MONTHLY[c], 1)) if c in MONTHLY else None for c in columns})
 
 
 def _series(ctx: Context, h: DataFrame) -> tuple[DataFrame, list[str]]:
