@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voltaria.context import Context
+from voltaria.materialize import Table
 from voltaria.plans import flexibility as fx
 from voltaria.registry import MODELS
 
@@ -228,3 +229,26 @@ def test_models_run_through_the_registry(ctx):
         assert out["meters_data_15m"].count() == 16 and out["rec_flexibility_windows"].count() == 1
         assert out["rec_settlement_15m"].filter("window_start IS NOT NULL").count() == 8 and out["rec_settlement_points"].count() == 16
         assert out["rec_co2_savings"].first().consumption_kwh == 0.0
+
+
+def test_auto_commitments_take_the_place_of_former_ones(ctx):
+    meters = df(ctx, "device_id string", ("a",), ("a",), ("b",))
+    day = DAY.date()
+    other = lambda k: day + dt.timedelta(days=k)
+    w = df(ctx, WINDOW, ("a", day, at(9), at(11), 1.0, 1.0, 1), ("b", day, at(9), at(11), 1.0, 1.0, 1), ("a", other(1), at(33), at(36), 1.0, 1.0, 1), ("a", other(-1), at(-15), at(-13), 1.0, 1.0, 1), ("a", other(2), at(57), at(59), 1.0, 1.0, 1))
+    rows = fx.auto_commitments(ctx, meters, w, "c1")
+    got = {r.id: r for r in rows.collect()}
+    assert sorted(got) == ["auto-a-202605280900-1100", "auto-a-202605290900-1200", "auto-b-202605280900-1100", "auto-b-202605290900-1200"]
+    r = got["auto-b-202605290900-1200"]
+    assert (r.user_id, r.suggestion_id, r.community_id, r.period_start, r.period_end, r.status, r.reward_points_estimated) == ("auto-user-b", "auto-sug-202605290900-1200", "c1", at(33), at(36), "committed", 10)
+    assert r.settled_at is None and r.reward_points_actual is None and r.committed_at == r.last_updated == at(12)
+    mirror = Table(ctx.spark, ctx.path("raw", "flexibility_commitments_mirror"))
+    own = rows.filter("device_id = 'a'").limit(1).withColumn("id", F.lit("real-1"))
+    mirror.append(own.unionByName(rows.limit(1).withColumn("id", F.lit("auto-old"))))
+    assert not fx.auto_commit(ctx, mirror, meters, w) and mirror.read().count() == 2
+    ctx.vars["auto_commit"] = True
+    assert not fx.auto_commit(ctx, mirror, meters, w.limit(0)) and mirror.read().count() == 2
+    for _ in range(2):
+        assert fx.auto_commit(ctx, mirror, meters, w)
+        assert {r.id for r in mirror.read().collect()} == {"real-1", *got} and mirror.read().count() == 5
+    assert fx.silver_flexibility_commitments(ctx, mirror.read()).filter("window_duration_hours = 3").count() == 2

@@ -1,5 +1,6 @@
 """The forecast service's source against a server of this machine, and its retries."""
 
+import datetime as dt
 import io
 import json
 import threading
@@ -10,7 +11,7 @@ from http.server import BaseHTTPRequestHandler, HTTPServer
 import pytest
 from pyspark import cloudpickle
 
-from voltaria.sources import service
+from voltaria.sources import payloads, service
 
 
 @pytest.fixture
@@ -23,7 +24,12 @@ def url():
             if failures:
                 self.send_error(failures.pop())
                 return
-            out = [{"latitude": float(a), "longitude": float(o), "hourly": {"time": ["t0", "t1"], "temp": [float(a), None]}} for a, o in zip(ask["latitude"][0].split(","), ask["longitude"][0].split(","), strict=True)]
+            if "daily" in ask:
+                assert ask["past_days"] == ["2"] and ask["timezone"] == ["Europe/Rome"]
+                high = lambda a: {} if a == "3" else {"elevation": 100 * float(a)}
+                out = [{"latitude": float(a), "longitude": float(o), **high(a), "daily": {"time": ["2026-05-27", "2026-05-29", "2026-05-30"], "temperature_2m_max": [float(a), None, 30]}} for a, o in zip(ask["latitude"][0].split(","), ask["longitude"][0].split(","), strict=True)]
+            else:
+                out = [{"latitude": float(a), "longitude": float(o), "hourly": {"time": ["t0", "t1"], "temp": [float(a), None]}} for a, o in zip(ask["latitude"][0].split(","), ask["longitude"][0].split(","), strict=True)]
             body = json.dumps(out).encode()
             self.send_response(200)
             self.end_headers()
@@ -48,6 +54,19 @@ def test_points_in_batches(spark, url):
         cloudpickle.unregister_pickle_by_value(service)
 
 
+def test_daily_rows_carry_elevation_and_model(spark, url):
+    cloudpickle.register_pickle_by_value(service)
+    try:
+        spark.dataSource.register(service.GridService)
+        read = spark.read.format("grid-service").options(url=url, lats="1,3", lons="4,6", daily="temperature_2m_max", params="past_days=2&timezone=Europe%2FRome", batch="1", base_delay="0.01")
+        got = sorted((tuple(r) for r in payloads.heat_days(read.load(), dt.date(2026, 5, 28)).collect()), key=lambda r: (r[1], r[0]))
+    finally:
+        cloudpickle.unregister_pickle_by_value(service)
+    day = lambda d: dt.date(2026, 5, d)
+    near, far = "icon_d2", "best_match_extended"
+    assert got == [(day(d), lat, lon, t if d != 29 else None, high, far if d == 30 else near) for lat, lon, high in ((1.0, 4.0, 100.0), (3.0, 6.0, None)) for d, t in ((27, lat), (29, None), (30, 30.0))]
+
+
 def failing(*codes, text="busy"):
     left = list(codes)
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..context import Context
 from ..functions import keys, tiers, time as T
-from ..operators import allocation, dedup, timeseries
+from ..operators import allocation, dedup, joins, timeseries
 from ..registry import Since, model
 from ..sources import payloads
 
@@ -155,4 +155,5 @@ def rec_measurements_per_device_15m(ctx: Context, slots: DataFrame) -> DataFrame
 def balance(slots: DataFrame) -> DataFrame:
     """Read query: totals and the share of each community's self-consumption."""
     g = slots.groupBy("rec_id").agg(F.sum("total_production_kwh").alias("production_kwh"), F.sum("self_consumption_kwh").alias("self_consumption_kwh"))
-    return g.withColumn("share", F.col("self_consumption_kwh") / F.sum("self_consumption_kwh").over(Window.partitionBy()))
+    whole = joins.with_scalars(g, g.agg(F.sum("self_consumption_kwh").alias("__all")))
+    return whole.withColumn("share", F.col("self_consumption_kwh") / F.col("__all")).drop("__all")

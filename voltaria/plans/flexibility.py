@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..context import Context
 from ..functions import keys, tiers, time as T
+from ..materialize import Table
 from ..operators import allocation, baselines, dedup, joins, streaks, timeseries
 from ..registry import Days, Hook, model
 
@@ -98,12 +99,35 @@ def weekly_streaks(ctx: Context, previous: DataFrame, bonus: DataFrame, fleet: D
     return state.withColumn("multiplier", tiers.streak_multiplier(F.col("level"))).withColumn("computed_at", ctx.now())
 
 
-def auto_commitments(ctx: Context, devices: DataFrame, windows: DataFrame) -> DataFrame:
-    """A synthetic commitment of every device to every distinct window."""
-    w = windows.select("window_start", "window_end").distinct()
-    both = devices.crossJoin(F.broadcast(w))  # windows: a few per day
-    ids = F.concat(F.lit("auto-"), F.col("device_id"), F.lit("-"), F.date_format("window_start", "yyyyMMddHHmm"))
-    return both.select(ids.alias("id"), "device_id", F.col("window_start").alias("period_start"), F.col("window_end").alias("period_end"), F.lit("committed").alias("status"))
+def auto_commitments(ctx: Context, meters: DataFrame, windows: DataFrame, community: str) -> DataFrame:
+    """A synthetic commitment of every device with meter rows to every distinct window of today and tomorrow.
+
+    The windows of two days (at most a dozen a day, as none is shorter than LEAST_HOURS) ride along as one array.
+    """
+    w = windows.filter((F.col("ts_date") >= ctx.today()) & (F.col("ts_date") <= ctx.today(-1))).select("window_start", "window_end").distinct()
+    both = joins.with_scalars(meters.select("device_id").distinct(), w.agg(F.collect_list(F.struct("window_start", "window_end")).alias("w"))).select("device_id", F.explode("w").alias("w")).select("device_id", "w.*")
+    named = lambda *parts: F.concat(F.lit("auto-"), *parts)
+    span = F.concat(F.date_format("window_start", "yyyyMMddHHmm"), F.lit("-"), F.date_format("window_end", "HHmm"))
+    never = lambda name, kind: F.lit(None).cast(kind).alias(name)
+    return both.select(
+        named("device_id", F.lit("-"), span).alias("id"), named(F.lit("user-"), "device_id").alias("user_id"), named(F.lit("sug-"), span).alias("suggestion_id"), F.lit("solar_overproduction").alias("suggestion_type"), F.lit(community).alias("community_id"),
+        "device_id", F.col("window_start").alias("period_start"), F.col("window_end").alias("period_end"), ctx.now().alias("committed_at"), never("settled_at", "timestamp_ntz"), never("reminded_at", "timestamp_ntz"),
+        F.lit("committed").alias("status"), F.lit(10).alias("reward_points_estimated"), never("reward_points_actual", "int"), ctx.now().alias("last_updated"),
+    )
+
+
+def auto_commit(ctx: Context, mirror: Table, meters: DataFrame, windows: DataFrame) -> bool:
+    """Takes the synthetic commitments of former runs out of the mirror and puts today's and tomorrow's in, in one commit.
+
+    Only where the variable ``auto_commit`` is set; without devices or windows the mirror stays as it is. Whether it was written.
+    """
+    if not ctx.var("auto_commit", False):
+        return False
+    batch = auto_commitments(ctx, meters, windows, ctx.var("community", "community"))
+    if batch.isEmpty():
+        return False
+    mirror.replace_range(batch, F.col("id").startswith("auto-"))
+    return True
 
 
 def surplus_windows(forecast: DataFrame) -> DataFrame:
@@ -264,8 +288,9 @@ def rec_commitment_settlement(ctx: Context, commits: DataFrame, hours: DataFrame
     budget = _budgets(windows).select(F.col("window_start").alias("period_start"), F.col("window_end").alias("period_end"), "budget")
     c = commits.join(used, "commitment_id", "left").join(layer1, "commitment_id", "left").join(layer2, ["device_id", "period_start", "period_end"], "left").join(budget, ["period_start", "period_end"], "left")
     c = c.withColumn("actual_kwh", F.coalesce("actual_kwh", F.lit(0.0))).withColumn("live", F.col("status").isin(*LIVE))
-    total = F.sum(F.when(F.col("live"), F.col("actual_kwh"))).over(Window.partitionBy("suggestion_id"))
-    c = c.withColumn("total", total)
+    # a suggestion may go to the whole fleet: its total comes from partial sums
+    claims = commits.filter(F.col("status").isin(*LIVE)).join(used, "commitment_id", "left").groupBy(F.col("suggestion_id").alias("__s")).agg(F.sum(F.coalesce("actual_kwh", F.lit(0.0))).alias("total"))
+    c = c.join(claims, F.col("suggestion_id").eqNullSafe(F.col("__s")), "left").drop("__s")
     fits = F.col("budget").isNull() | F.col("total").isNull() | (F.col("total") <= F.col("budget"))
     part = F.when(~F.col("live"), 0.0).when(fits, F.col("actual_kwh")).otherwise(F.round(F.col("actual_kwh") / F.nullif("total", F.lit(0.0)) * F.col("budget"), 4))
     gained = F.round(F.coalesce("layer1", F.lit(0.0)) + F.coalesce("layer2", F.lit(0))).cast("int")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import json
 from collections.abc import Iterator
 
@@ -81,6 +82,17 @@ def grid_answers(answers: DataFrame, arrays: list[str]) -> DataFrame:
     return zip_arrays(answers, arrays)
 
 
+#: What forecasts of today and tomorrow, and those of later days, come from (fixed values).
+NEAR_MODEL, FAR_MODEL = "icon_d2", "best_match_extended"
+
+
+def heat_days(answers: DataFrame, today: datetime.date) -> DataFrame:
+    """A service's daily rows as raw heat rows, each with the forecast model by its distance from the day of the extraction."""
+    date = F.to_date("time")
+    model = F.when(F.date_diff(date, F.lit(today)) <= 1, NEAR_MODEL).otherwise(FAR_MODEL)
+    return answers.select(date.alias("date"), "lat", "lon", "temperature_2m_max", "elevation", model.alias("model"))
+
+
 BUNDLE = "struct<community:struct<id:string,areas:map<string,struct<topology:array<string>>>>,members:map<string,struct<status:string,user_id:string,area:string,role:string,type:string,delivery_points:array<struct<id:string>>,assets:struct<meter:map<string,struct<sensor_id:string>>>>>>"
 
 
