@@ -50,6 +50,21 @@ def test_reading_stops_early_and_large_numbers_stay_exact():
     assert (score.tolist(), ids.tolist()) == ([2**62 + 1, 2**62], [1, 2])
 
 
+@pytest.mark.parametrize("size", [3, 40, 2**27, 2**40])
+def test_bounds_hold_for_sums_of_any_size(size):
+    """Doubles, 64-bit and Python's integers give what brute force gives, ties included; near neighbours end the reading early."""
+    r = np.random.default_rng(size % 97)
+    x = r.integers(-size, size + 1, (700, 16))
+    q, ids = r.integers(-size, size + 1, (5, 16)), r.permutation(700)
+    x[:60] = np.repeat(q, 12, axis=0)
+    asked = np.array([0, 1, 2, 3, 9999])
+    lists = topk.Lists(ids, x)
+    for j, (score, got) in enumerate(lists.best(asked, q, 10, np.full(5, topk.NONE))):
+        full = sorted((-sum(int(a) * int(b) for a, b in zip(q[j], v, strict=True)), int(i)) for i, v in zip(ids, x, strict=True) if i != asked[j])[:10]
+        assert [(-int(s), int(i)) for s, i in zip(score, got, strict=True)] == full
+    assert lists.entries < 0.9 * x.size * len(q) or size == 3
+
+
 def test_top_k_of_odd_rows(spark):
     """Repeated ids and rows, null ids, unequal lengths, clashing columns, several cells; the share read is told."""
     r = np.random.default_rng(4)

@@ -2,13 +2,15 @@
 
 Queries and vectors are dealt over a bounded number of cells: a cell holds a share of the queries in memory and reads a
 share of the vectors as a stream, block by block. A block keeps one list per dimension, sorted by value; for a query the
-list is read from the end that adds most, in chunks whose depth doubles. Only entries newly read are added: every vector
-has a lower bound (what was seen, and for the rest the least that its lists hold), and no vector can gain more than what
-the values at the depth read leave. Reading stops when no outsider can reach the bar, the k-th best score of the query,
-and the scores of the candidates left are resolved. The bar goes on from block to block, so later blocks are read less.
+list is read from the end that adds most, an eighth at a time. Every vector has a lower bound (what was seen, and for the
+lists that it wasn't met in the least that they hold) and an upper bound (what was seen, and for those lists the value at
+the depth read). Reading stops when no outsider can reach the bar, the k-th best score of the query, but for a few
+candidates, and the scores of the candidates left are resolved. The bar goes on from block to block; a cell's first block is small,
+so that there is a bar early.
 A cell's k best per query go on to the last ranking.
 
-Sums are integers: 64-bit where the block's numbers can't exceed that, else Python's own, by the same steps.
+Sums are whole numbers: bounds are doubles where all sums stay below 2**53, else 64-bit integers, else Python's own, by the same
+steps; scores are integers.
 
 Edge cases: a vector that is null, empty or holds null or non-finite components takes no part, nor does one with a null
 id; vectors of another length than the query score the dimensions that they share; ties go to the smaller id; rows that
@@ -28,8 +30,8 @@ from pyspark.sql import functions as F
 
 from .common import importable, partitions, table
 
-#: The scale of components; vectors in a block; queries that read together; queries that a cell holds at most.
-SCALE, VECTORS, AT_ONCE, QUERIES = 1024, 8192, 64, 200_000
+#: The scale of components; vectors in a block, and in a cell's first; queries that read together; queries that a cell holds at most; parts that lists are read in.
+SCALE, VECTORS, SEED, AT_ONCE, QUERIES, STEPS = 1024, 8192, 512, 256, 200_000, 8
 NONE = np.iinfo(np.int64).min
 
 
@@ -50,6 +52,8 @@ class Lists:
         self.ids, self.x = ids[order], x[order]
         self.at = np.argsort(self.x, axis=0, kind="stable")
         self.up = np.take_along_axis(self.x, self.at, axis=0)
+        self.place = np.empty_like(self.at)  # of each vector in each list, from the bottom
+        np.put_along_axis(self.place, self.at, np.arange(len(ids))[:, None], axis=0)
         self.entries = 0  # read so far, by all queries
 
     def best(self, asked: np.ndarray, q: np.ndarray, k: int, bars: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -57,42 +61,42 @@ class Lists:
         reach its bar (a score that k vectors have already), ties to the smaller id."""
         n, d = self.x.shape
         q, x, up = q[:, :d], self.x, self.up
-        if int(max(-up.min(), up.max(), 1)) * int(np.abs(q).sum(axis=1).max()) * 4 >= 2**63:
-            q, x, up = q.astype(object), x.astype(object), up.astype(object)
+        most = int(max(-up.min(), up.max(), 1)) * int(np.abs(q).sum(axis=1).max()) * 4
+        # whole numbers that a double holds are multiplied as doubles, larger ones as what holds them
+        kind = np.float64 if most < 2**53 else np.int64 if most < 2**63 else object
+        if kind is object:
+            q, x = q.astype(object), x.astype(object)
         own = {j: np.flatnonzero(self.ids == i) for j, i in enumerate(asked)}
-        plus, minus = np.maximum(q, 0), np.minimum(q, 0)
+        plus, minus = np.maximum(q, 0).astype(kind), np.minimum(q, 0).astype(kind)
+        values, least, top = x.astype(kind), up[0].astype(kind), up[-1].astype(kind)
         out: list = [None] * len(q)
-        left, before, depth = np.arange(len(q)), 0, max(1, n // 16)
-        low = np.repeat((plus @ up[0] + minus @ up[-1])[None, :], n, axis=0)  # as if all lists gave their least
-        while len(left):
-            p, m = plus[left], minus[left]
-            for j in range(d):  # entries between the two depths, from the top for positive weights, else from the bottom
-                if p[:, j].any():
-                    rows = self.at[n - depth : n - before, j]
-                    low[rows] += np.outer(x[rows, j] - up[0, j], p[:, j])
-                if m[:, j].any():
-                    rows = self.at[before:depth, j]
-                    low[rows] += np.outer(x[rows, j] - up[-1, j], m[:, j])
+        left, before = np.arange(len(q)), 0
+        for step in range(1, STEPS + 1):
+            depth = -(-n * step // STEPS)
+            p, m = plus[left].T, minus[left].T
+            # lists are read from the top for positive weights and from the bottom for negative ones
+            high, deep = self.place >= n - depth, self.place < depth
+            # what a vector has at most in the lists that it wasn't met in yet
+            over, under = (up[n - 1 - depth].astype(kind), up[depth].astype(kind)) if depth < n else (least, top)
+            bound = np.where(high, values - over, 0) @ p + np.where(deep, values - under, 0) @ m + (over @ p + under @ m)
+            low = np.where(high, values - least, 0) @ p + np.where(deep, values - top, 0) @ m + (least @ p + top @ m)
             self.entries += d * (depth - before) * len(left)
-            # what a vector can still gain from entries that weren't read
-            gain = p @ (up[n - 1 - depth] - up[0]) + m @ (up[depth] - up[-1]) if depth < n else np.zeros(len(left), q.dtype)
             done = np.zeros(len(left), bool)
             for c, j in enumerate(left):
-                have = low[:, c]
-                if len(own[j]):
-                    have = have.copy()
-                    have[own[j]] = have.min() - 1 - gain[c]
                 bar = bars[j]
                 if n >= k:
-                    bar = max(bar, np.partition(have, n - k)[n - k])
-                may = np.flatnonzero(have + gain[c] >= bar)
+                    have = low[:, c].copy()
+                    have[own[j]] = have.min() - 1
+                    bar = max(bar, int(np.partition(have, n - k)[n - k]))
+                may = np.flatnonzero(bound[:, c] >= bar)
                 may = may[self.ids[may] != asked[j]]
                 if depth >= n or len(may) <= max(4 * k, n // 64):
-                    score = have[may] if depth >= n else x[may] @ q[j]
+                    score = x[may] @ q[j]
                     first = np.lexsort((self.ids[may], -score))[:k]
                     out[j], done[c] = (score[first], self.ids[may][first]), True
-            left, low = left[~done], low[:, ~done]
-            before, depth = depth, min(n, 2 * depth)
+            left, before = left[~done], depth
+            if not len(left):
+                break
         return out
 
 
@@ -179,7 +183,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, per_block: int =
                         yield cell.batch()
                     at, cell = here, _Cell(k)
                 (cell.block if kinds[t] else cell.rows).append((ids[t], flat[offsets[t] : offsets[t + 1]]))
-                if len(cell.block) >= per_block:
+                if len(cell.block) >= (per_block if cell.ready else min(per_block, SEED)):
                     cell.settle()
         if at is not None:
             yield cell.batch()
