@@ -182,3 +182,20 @@ def test_further_cards_phones_ipv6_and_ibans(spark):
     assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1 and iban.startswith("DE")
     for k, x in enumerate(clean, len(found)):
         assert got[k].n_entities == 0 and got[k].text == f"see {x} here", (x, got[k].text)
+
+
+def test_ordinary_words_need_a_second_signal(spark):
+    rows = [
+        (1, "Mr. Will May spoke. Will you come in May? Will it rain? - May I ask", "x"),
+        (2, "Dr. Anna Fox met Ms Rose Hall. I told Rose and thanked Rose; Fox left. A fox ran by the Fox river.", "x"),
+        (3, "Mr. Tom Baker came. A baker asked Baker why. Baker left, Tom stayed.", "x"),
+        (4, "Mrs. Hope came. Hope is a word, they say.", "x"),
+    ]
+    got = {r.doc_id: r.text for r in run(spark, rows)}
+    w = "([A-Z][a-z]+)"
+    assert re.fullmatch(rf"Mr\. {w} {w} spoke\. Will you come in May\? Will it rain\? - May I ask", got[1]) and "Will May" not in got[1]
+    m = re.fullmatch(rf"Dr\. {w} {w} met Ms {w} {w}\. I told {w} and thanked {w}; Fox left\. A fox ran by the Fox river\.", got[2])
+    assert m and m[3] == m[5] == m[6] != "Rose" and m[2] != "Fox"
+    m = re.fullmatch(rf"Mr\. {w} {w} came\. A baker asked {w} why\. Baker left, {w} stayed\.", got[3])
+    assert m and m[2] == m[3] != "Baker" and m[1] == m[4] != "Tom"
+    assert re.fullmatch(rf"Mrs\. (?!Hope){w} came\. Hope is a word, they say\.", got[4])

@@ -4,7 +4,9 @@ Detected: e-mail addresses, phone numbers, payment card numbers, IPv4 and IPv6 a
 numbers (IBAN), secret tokens (long hexadecimal or
 mixed strings, also after a key name and an equals sign) and persons named after a title. A person is known by the name
 without title; a shorter name is that of the fullest name in the document that holds all its words, if no title speaks
-against it, and names found by a title, whole or their first or last word, are also found without one in that document.
+against it, and names found by a title, whole or their first or last word, are also found without one in that document;
+one that is also an ordinary word (Will, May, or any that the text has in small letters) only within a sentence, after a word in
+small letters that isn't an article or a word of time or place.
 An entity is known in all its forms: numbers without their separators, mail addresses without capitals; each mention keeps
 its own separators and capitals. A surrogate is derived from a keyed hash of the entity, so one entity has one surrogate
 in all documents, without a table of them; the key is an argument. It keeps the type and the format: digits stay digits
@@ -90,6 +92,15 @@ NAMES = {
     "cyrillic": (["Анна", "Елена", "Мария", "Ольга"], ["Борис", "Виктор", "Иван", "Павел"], ["Белых", "Дубко", "Живаго", "Коваль", "Черных"]),
     "greek": (["Άννα", "Ελένη", "Μαρία", "Σοφία"], ["Γιώργος", "Νίκος", "Πέτρος", "Τάσος"], ["Βλάχου", "Μακρή", "Ράλλη", "Σταύρου"]),
 }
+#: Names that are also ordinary words, months, days or places (fixed values).
+ORDINARY = (
+    "amber april art august autumn bill bishop black bond brook brown carol chance chase china christian church cook crystal dale dawn day dean drew england faith field flora forest frank "
+    "france friday gene georgia gold grace grant gray green guy hall harmony heath hill holiday hope hunter iris ivy jack jade jasmine jean jersey jordan joy june king knight lane little long "
+    "major march marine mark mason may mercy miles monday moon noble north olive paris park pat peace pearl penny pope price prince ray reed rich rob rock rose royal ruby rush sandy savannah "
+    "sky smart south spring stone storm strong sue summer sunday troy victoria victory violet virginia wade ward west white will winter wood woods young"
+).split()
+#: Words after which an ordinary word is taken as such: of time and place, articles (fixed values).
+_AFTER = "in|of|since|until|till|by|during|last|next|this|every|each|early|late|mid|from|to|on|before|after|between|and|or|a|an|the|der|die|das|dem|den|ein|eine|einem|einen"
 _LOWER, _UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _CYR = "абвгдежзиклмнопрстуфхцчшэюя"
 _GRE = "αβγδεζηθικλμνξοπρστυφχψω"
@@ -307,14 +318,27 @@ def linked(names: Column) -> Column:
     return _let(_let(split, each), told)
 
 
-def any_of(names: Column) -> Column:
-    """The pattern of all entities of a document: ``ANY``, and its persons' names and their first and last words without a title."""
+def any_of(names: Column, text: Column) -> Column:
+    """The pattern of all entities of a document: ``ANY``, and its persons' names and their first and last words without a title.
+
+    A word alone that is also an ordinary word (one of ``ORDINARY``, or one that the text has without its capital) needs a
+    second signal: it stands within a sentence, after a word in small letters that isn't one of ``_AFTER``.
+    """
     ends = lambda p: F.array(p["name"], F.element_at(_words(p["name"]), 1), F.element_at(_words(p["name"]), -1))
     forms = F.filter(F.array_distinct(F.flatten(F.transform(names, ends))), lambda w: (F.length(w) > 1) & ~w.rlike(rf"^(?:\p{{Lu}}\.|{_PARTICLE})$"))
+    small = F.split(text, r"[^\p{L}\p{M}'’-]+")
+    common = lambda fs: F.array_intersect(F.transform(fs, F.lower), F.concat(F.array(*map(F.lit, ORDINARY)), small))
     # the longest first
-    order = F.transform(F.array_sort(F.transform(forms, lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w")))), lambda x: F.concat(F.lit(r"\Q"), x["w"], F.lit(r"\E")))
-    before, after = r"|(?<![\p{L}\p{M}\p{N}_])(?<!\p{L}['’-])(?:", r")(?![\p{L}\p{M}\p{N}_]|-\p{L}|['’]\p{Lu})"
-    return _let(order, lambda o: F.when(F.size(o) > 0, F.concat(F.lit(ANY + before), F.array_join(o, "|"), F.lit(after))).otherwise(F.lit(ANY)))
+    quoted = lambda ws: F.array_join(F.transform(F.array_sort(F.transform(ws, lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w")))), lambda x: F.concat(F.lit(r"\Q"), x["w"], F.lit(r"\E"))), "|")
+    begin, after = r"|(?<![\p{L}\p{M}\p{N}_])(?<!\p{L}['’-])", r")(?![\p{L}\p{M}\p{N}_]|-\p{L}|['’]\p{Lu})"
+    within = rf"(?<=\p{{Ll}} )(?<!(?<![\p{{L}}])(?:{_AFTER}) )"
+    part = lambda ws, signal: F.when(F.size(ws) > 0, F.concat(F.lit(f"{begin}{signal}(?:"), quoted(ws), F.lit(after))).otherwise("")
+
+    def pattern(x: Column) -> Column:
+        doubtful = lambda w: F.array_contains(x["common"], F.lower(w))
+        return F.concat(F.lit(ANY), part(F.filter(x["forms"], lambda w: ~doubtful(w)), ""), part(F.filter(x["forms"], doubtful), within))
+
+    return _let(_let(forms, lambda fs: F.struct(fs.alias("forms"), common(fs).alias("common"))), pattern)
 
 
 def mentions(text: Column, people: Column, pattern: Column) -> Column:
@@ -355,7 +379,7 @@ def mentions(text: Column, people: Column, pattern: Column) -> Column:
 def _found(docs: DataFrame) -> DataFrame:
     """The documents with their pattern (``__any``) and mentions (``__m``)."""
     text = F.col("text")
-    people = docs.withColumn("__names", persons(text)).withColumn("__any", F.when(F.col("__names").isNotNull(), any_of(F.col("__names"))).otherwise(F.lit(ANY)))
+    people = docs.withColumn("__names", persons(text)).withColumn("__any", F.when(F.col("__names").isNotNull(), any_of(F.col("__names"), text)).otherwise(F.lit(ANY)))
     return people.withColumn("__who", linked(F.col("__names"))).withColumn("__m", mentions(text, F.col("__who"), F.col("__any")))
 
 
