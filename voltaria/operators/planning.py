@@ -7,13 +7,14 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.numbers import rounded
 from .joins import range_lookup, ranked, with_scalars
 
 
 def rank_with_percentile(df: DataFrame, *order: Column) -> DataFrame:
     """Adds rank (1 is best), total_buildings and cumulative_pct, the rank's share of all rows in per cent, two decimals."""
     total = df.agg(F.count("*").alias("total_buildings"))
-    return with_scalars(ranked(df, *order), total).withColumn("cumulative_pct", F.round(F.col("rank") * 100.0 / F.col("total_buildings"), 2))
+    return with_scalars(ranked(df, *order), total).withColumn("cumulative_pct", rounded(F.col("rank") * 100.0 / F.col("total_buildings"), 2))
 
 
 def roll_out(ranking: DataFrame, params: DataFrame) -> DataFrame:
@@ -26,11 +27,11 @@ def roll_out(ranking: DataFrame, params: DataFrame) -> DataFrame:
 def _totals(per_mwh: float = 1000.0) -> list[Column]:
     """What the summaries of installations share: buildings, capacity, energy in MWh, money and means."""
     made, own = F.col("annual_production_kwh"), F.col("tasso_autoconsumo")
-    mwh = lambda x: F.round(F.sum(x) / per_mwh, 1)
+    mwh = lambda x: rounded(F.sum(x) / per_mwh, 1)
     return [
-        F.count("*").alias("buildings"), F.round(F.sum("kwp"), 1).alias("kwp"), mwh(made).alias("production_mwh"), mwh("annual_consumption_kwh").alias("consumption_mwh"),
-        mwh(made * own).alias("self_consumed_mwh"), mwh(made * (1 - own)).alias("grid_export_mwh"), F.round(F.sum("capex"), 0).alias("investment_eur"), F.round(F.sum("npv"), 0).alias("npv_eur"),
-        F.round(F.sum(F.col("kwp") * F.col("irr")) / F.nullif(F.sum("kwp"), F.lit(0.0)), 4).alias("weighted_avg_irr"), F.round(F.avg("payback_simple"), 1).alias("avg_payback_years"),
+        F.count("*").alias("buildings"), rounded(F.sum("kwp"), 1).alias("kwp"), mwh(made).alias("production_mwh"), mwh("annual_consumption_kwh").alias("consumption_mwh"),
+        mwh(made * own).alias("self_consumed_mwh"), mwh(made * (1 - own)).alias("grid_export_mwh"), rounded(F.sum("capex"), 0).alias("investment_eur"), rounded(F.sum("npv"), 0).alias("npv_eur"),
+        rounded(F.sum(F.col("kwp") * F.col("irr")) / F.nullif(F.sum("kwp"), F.lit(0.0)), 4).alias("weighted_avg_irr"), rounded(F.avg("payback_simple"), 1).alias("avg_payback_years"),
     ]
 
 
@@ -43,8 +44,8 @@ def yearly_summary(plan: DataFrame, total: DataFrame) -> DataFrame:
     w = Window.orderBy("install_year")
     run = lambda c: F.sum(c).over(w)
     lost = F.col("new_production_mwh") * F.col("degradation_rate") * (F.col("install_year") - 1)
-    y = y.withColumns({"cum_buildings": run("new_buildings"), "cum_kwp": F.round(run("new_kwp"), 1), "cum_investment_eur": F.round(run("new_investment_eur"), 0), "cum_npv_eur": F.round(run("new_npv_eur"), 0), "cum_annual_production_mwh": F.round(run("new_production_mwh") - F.sum(lost).over(w), 1)})
-    y = y.withColumns({"coverage_pct": F.round(F.col("cum_buildings") * 100.0 / F.col("total_eligible"), 1), "cum_mwp": F.round(F.col("cum_kwp") / 1000, 2), "cum_investment_meur": F.round(F.col("cum_investment_eur") / 1e6, 2)})
+    y = y.withColumns({"cum_buildings": run("new_buildings"), "cum_kwp": rounded(run("new_kwp"), 1), "cum_investment_eur": rounded(run("new_investment_eur"), 0), "cum_npv_eur": rounded(run("new_npv_eur"), 0), "cum_annual_production_mwh": rounded(run("new_production_mwh") - F.sum(lost).over(w), 1)})
+    y = y.withColumns({"coverage_pct": rounded(F.col("cum_buildings") * 100.0 / F.col("total_eligible"), 1), "cum_mwp": rounded(F.col("cum_kwp") / 1000, 2), "cum_investment_meur": rounded(F.col("cum_investment_eur") / 1e6, 2)})
     return y.select(
         "install_year", "new_buildings", "cum_buildings", "coverage_pct", "new_kwp", "cum_kwp", "cum_mwp", "new_production_mwh", "new_consumption_mwh", "new_self_consumed_mwh", "new_grid_export_mwh",
         "cum_annual_production_mwh", "new_investment_eur", "cum_investment_eur", "cum_investment_meur", "new_npv_eur", "cum_npv_eur", "weighted_avg_irr", "avg_payback_years", "total_eligible",
@@ -54,7 +55,7 @@ def yearly_summary(plan: DataFrame, total: DataFrame) -> DataFrame:
 def area_summary(df: DataFrame, keys: list[str]) -> DataFrame:
     """What the roofs of each area hold."""
     kind = lambda u: F.count_if(F.col("user_type") == u).alias(f"{u}_buildings")
-    t = df.groupBy(*keys).agg(*_totals(), F.round(F.sum("kwp") / 1000, 2).alias("total_mwp"), F.round(F.sum("capex") / 1e6, 2).alias("total_investment_meur"), F.round(F.avg("tasso_autoconsumo"), 4).alias("avg_autoconsumo"), *map(kind, ("residential", "commercial", "industrial")))
+    t = df.groupBy(*keys).agg(*_totals(), rounded(F.sum("kwp") / 1000, 2).alias("total_mwp"), rounded(F.sum("capex") / 1e6, 2).alias("total_investment_meur"), rounded(F.avg("tasso_autoconsumo"), 4).alias("avg_autoconsumo"), *map(kind, ("residential", "commercial", "industrial")))
     return t.withColumnsRenamed({c: f"total_{c}" for c in ("kwp", "production_mwh", "consumption_mwh", "self_consumed_mwh", "grid_export_mwh", "investment_eur", "npv_eur")})
 
 
@@ -62,7 +63,7 @@ def area_plan(df: DataFrame, keys: list[str]) -> DataFrame:
     """What is installed in each area and year, with running totals by area (from sums before rounding)."""
     g = df.groupBy(*keys, "install_year").agg(*_totals(), F.sum("kwp").alias("__kwp"), F.sum("capex").alias("__capex"))
     w = Window.partitionBy(keys[0]).orderBy("install_year")
-    g = g.withColumns({"cum_buildings": F.sum("buildings").over(w), "cum_kwp": F.round(F.sum("__kwp").over(w), 1), "cum_investment_eur": F.round(F.sum("__capex").over(w), 0)})
+    g = g.withColumns({"cum_buildings": F.sum("buildings").over(w), "cum_kwp": rounded(F.sum("__kwp").over(w), 1), "cum_investment_eur": rounded(F.sum("__capex").over(w), 0)})
     g = g.withColumnsRenamed({c: f"new_{c}" for c in ("buildings", "kwp", "production_mwh", "self_consumed_mwh", "grid_export_mwh", "investment_eur", "npv_eur")})
     return g.select(
         *keys, "install_year", "new_buildings", "cum_buildings", "new_kwp", "cum_kwp", "new_production_mwh", "new_self_consumed_mwh", "new_grid_export_mwh", "new_investment_eur", "cum_investment_eur",

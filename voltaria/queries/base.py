@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import time as T
+from ..functions.numbers import rounded
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,9 +51,10 @@ M = "m AS (SELECT c_custkey AS user_id, CAST(c_nationkey AS BIGINT) AS nation, C
 
 
 def r4(c, n: int = 4):
-    return F.round(c, n)
+    """Rounded as the SQL rounds doubles."""
+    return rounded(c, n)
 
 
 def r4_up(c, n: int = 4):
     """Rounded where ties are common: they are lifted first, as engines differ in which way they round them."""
-    return F.round(c + 1e-9, n)
+    return rounded(c + 1e-9, n)
