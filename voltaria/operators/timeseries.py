@@ -98,6 +98,17 @@ def trailing(df: DataFrame, keys: Sequence[str], day: str, value: str, days: int
     return df.withColumn(out, F.when(n > 0, median))
 
 
+def sums_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, total: str, rows: str) -> DataFrame:
+    """(keys, total, rows): a sum of doubles added up in the order given, and how many rows there are.
+
+    Partial sums depend on how rows are dealt to tasks in their last digits, which decides where totals are compared with a
+    bound or rounded at a tie. Here a group's total is the last value of a running sum, so no task holds a group as a whole.
+    """
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    run = df.select(*keys, F.sum(value).over(w).alias("__sum"), F.count("*").over(w).alias("__n"))
+    return run.groupBy(*keys).agg(F.max_by("__sum", "__n").alias(total), F.max("__n").alias(rows))
+
+
 def fill(df: DataFrame, keys: Sequence[str], ts: str, columns: Sequence[str], forward: bool = True, backward: bool = False) -> DataFrame:
     """Last known value carried forward, then the next one backward; however long a series is, no task holds it."""
     out = scans.numbered(df, keys, ts)

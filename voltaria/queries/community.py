@@ -204,22 +204,23 @@ SQL_upward_spread = f"""WITH {E}, s AS (SELECT user_id, day, sum(prod) AS p, avg
 SELECT user_id, round(greatest(0.0, quantile_cont(v, 0.75) - quantile_cont(v, 0.5)), 4) AS spread FROM k WHERE n <= 5 GROUP BY 1"""
 
 
+def _user_days(spark: SparkSession, d: str) -> DataFrame:
+    """(user_id, day, kwh, slots), summed in the order of events: bounds and roundings are met by totals that end there."""
+    return timeseries.sums_in_order(readings(spark, d), ["user_id", "day"], ["event_id", "value"], "value", "kwh", "slots")
+
+
 def q_effort_points(spark: SparkSession, d: str) -> DataFrame:
-    e = readings(spark, d).groupBy("user_id", "day").agg(F.sum("value").alias("kwh"), F.count("*").alias("slots"))
+    e = _user_days(spark, d)
     tier = tiers.ladder(F.col("kwh") / F.col("slots"), [(60.0, "high"), (45.0, "mid"), (30.0, "low")], "none")
     p = e.withColumn("tier", tier).withColumn("points", tiers.effort_points(F.col("kwh"), F.col("slots")))
     p = allocation.with_totals(p, ["day"], F.sum("points").alias("pool"))
-    return p.select("user_id", "day", "tier", r4(F.col("points")).alias("points"), F.round(F.col("points") / F.col("pool"), 6).alias("pool_share"))
+    return p.select("user_id", "day", "tier", r4(F.col("points")).alias("points"), r4(F.col("points") / F.col("pool"), 6).alias("pool_share"))
 
 
 SQL_effort_points = f"""WITH {E}, s AS (SELECT user_id, day, sum(value) AS kwh, count(*) AS slots FROM e GROUP BY 1, 2), p AS (SELECT *, slots * ln(1 + kwh / slots) * 10 AS points FROM s)
 SELECT user_id, day, CASE WHEN kwh / slots >= 60 THEN 'high' WHEN kwh / slots >= 45 THEN 'mid' WHEN kwh / slots >= 30 THEN 'low' ELSE 'none' END AS tier, round(points, 4) AS points, round(points / sum(points) OVER (PARTITION BY day), 6) AS pool_share FROM p"""
 
 
-def _user_days(spark: SparkSession, d: str) -> DataFrame:
-    return readings(spark, d).groupBy("user_id", "day").agg(F.sum("value").alias("kwh"))
-
-
 _UD = f"{E}, u AS (SELECT user_id, day, sum(value) AS kwh FROM e GROUP BY 1, 2)"
 
 
@@ -266,9 +267,9 @@ count(*) OVER (PARTITION BY season_start) AS total_members, coalesce(alltime_bas
 
 
 def q_percent_rank(spark: SparkSession, d: str) -> DataFrame:
-    s = checkpointed(readings(spark, d).groupBy("day", "user_id").agg(F.round(F.sum("value")).cast("long").alias("points")))
+    s = checkpointed(_user_days(spark, d).select("day", "user_id", F.round("kwh").cast("long").alias("points")))
     pct = F.coalesce(F.col("below") / F.nullif(F.col("members") - 1, F.lit(0)), F.lit(0.0))
-    return allocation.with_places(s, ["day"], "points").select("day", "user_id", "points", F.round(pct, 6).alias("pct"), "rank")
+    return allocation.with_places(s, ["day"], "points").select("day", "user_id", "points", r4(pct, 6).alias("pct"), "rank")
 
 
 SQL_percent_rank = f"WITH {E}, s AS (SELECT day, user_id, CAST(round(sum(value)) AS BIGINT) AS points FROM e GROUP BY 1, 2) SELECT day, user_id, points, round(percent_rank() OVER (PARTITION BY day ORDER BY points), 6) AS pct, rank() OVER (PARTITION BY day ORDER BY points DESC) AS rank FROM s"
