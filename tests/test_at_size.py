@@ -2,7 +2,9 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from voltaria.operators import joins, spatial
 from voltaria.queries import ORACLE_SQL, QUERIES
 
 
@@ -35,3 +37,31 @@ def test_sums_of_user_days_are_added_in_order(spark, tmp_path, name):
     for file, part in (("a", "hour(ts) < 2"), ("b", "hour(ts) >= 2")):
         duckdb.sql(f"COPY (SELECT * FROM ({rows}) WHERE {part} ORDER BY event_id) TO '{tmp_path}/events.parquet/{file}.parquet'")
     assert differences(spark, tmp_path, name) == (set(), set())
+
+
+def shuffled_after(df):
+    """Rows that go through an exchange above the last join: pairs, where they are grouped or made distinct."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return plan.split("Join")[0].count("Aggregate")
+
+
+def test_a_cell_of_many_rows_is_cut_into_blocks(spark):
+    """One cell holds everything: no group of the join holds more than a block of either side, and every pair is there once."""
+    a, b = (spark.range(n).select(F.col("id").alias(k), F.lit(0).alias("c")) for k, n in (("a", 300), ("b", 500)))
+    got = joins.block_join(a, b, ["c"], F.col("a") <= F.col("b"), block=50)
+    assert got.columns == ["c", "a", "b"]
+    assert got.count() == got.distinct().count() == sum(500 - k for k in range(300))
+
+
+def test_overlay_of_small_polygons_groups_no_pairs(spark):
+    """Rectangles, one in the other's hole, an L and a large area of many edges, against the cell by cell way."""
+    ring = lambda *at: [(float(x), float(y)) for x, y in at]
+    box = lambda x, y, w, h: ring((x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y))
+    schema = "{} string, {} array<array<struct<x: double, y: double>>>"
+    left = spark.createDataFrame([("in hole", [box(2, 2, 1, 1)]), ("over rim", [box(2, 2, 8, 1)]), ("touch", [box(-2, 0, 2, 1)]), ("in notch", [box(22, 2, 1, 1)]), ("far", [box(90, 90, 1, 1)]), ("none", None)], schema.format("a", "ra"))
+    right = spark.createDataFrame([("frame", [box(0, 0, 6, 6), box(1, 1, 4, 4)]), ("ell", [ring((20, 0), (26, 0), (26, 1), (21, 1), (21, 6), (20, 6), (20, 0))]), ("wide", [box(-9, -9, 400, 400)])], schema.format("b", "rb"))
+    args = (left, right, ["a"], ["b"], "ra", "rb", 3.0)
+    got = sorted(tuple(r) for r in spatial.overlay(*args).collect())
+    assert got == sorted([("over rim", "frame"), ("touch", "frame")] + [(n, "wide") for n in ("in hole", "over rim", "touch", "in notch", "far")])
+    assert got == sorted(tuple(r) for r in spatial._meetings(*args).collect())
+    assert shuffled_after(spatial.overlay(left, right.filter("b <> 'wide'"), *args[2:])) == 0
