@@ -81,3 +81,43 @@ def test_nearest_looks_at_few_pairs(spark, tmp_path, monkeypatch, name):
     monkeypatch.setattr(joins, "near_join", counted)
     assert differences(spark, tmp_path, name) == (set(), set())
     assert sum(met) < 60 * 2060
+
+
+def test_blocks_grow_with_the_pairs(spark, monkeypatch):
+    """A cell four times as full: copies grow no faster than its rows, where narrow rows let blocks grow."""
+    moved, frame = [], type(spark.range(1))
+    repartition = frame.repartition
+    monkeypatch.setattr(frame, "repartition", lambda self, *at: moved.append(self.count()) or repartition(self, *at))
+
+    def copies(n):
+        moved.clear()
+        a, b = (spark.range(n).select(F.col("id").alias(k), F.lit(0).alias("c")) for k in "ab")
+        got = joins.block_join(a, b, ["c"], F.col("a") <= F.col("b"), block=10, most=100_000)
+        assert got.count() == n * (n + 1) // 2
+        return sum(moved)
+
+    assert copies(2000) < 5 * copies(500)
+
+
+def test_overlay_carries_rings_only_where_holes_may_hold(spark, monkeypatch):
+    """Rectangles of both sides, some of them in each other's holes, an L on either side; then bars that no hole can hold."""
+    ring = lambda *at: [(float(x), float(y)) for x, y in at]
+    box = lambda x, y, w, h: ring((x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y))
+    ell = lambda x, y: [ring((x, y), (x + 6, y), (x + 6, y + 1), (x + 1, y + 1), (x + 1, y + 6), (x, y + 6), (x, y))]
+    frame = lambda x, y, s: [box(x, y, s, s), box(x + 1, y + 1, s - 2, s - 2)]
+    left = [frame(0, 0, 9), frame(1.5, 1.5, 4), [box(2, 2, 1, 1)], [box(4, 4, 9, 1)], [box(22, 2, 1, 1)], ell(40, 0), None]
+    right = [frame(0.5, 0.5, 9), frame(1.5, 1.5, 3), [box(3, 3, 0.5, 0.5)], [box(5, -9, 1, 30)], ell(20, 0), [box(42, 2, 1, 1)], [box(40, -1, 9, 2)]]
+    schema = "{} int, {} array<array<struct<x: double, y: double>>>"
+    a, b = spark.createDataFrame(list(enumerate(left)), schema.format("a", "ra")), spark.createDataFrame(list(enumerate(right)), schema.format("b", "rb"))
+    asked, block_join = [], spatial.block_join
+    monkeypatch.setattr(spatial, "block_join", lambda x, y, *more, **kw: asked.append([c for c in x.columns + y.columns if c.endswith(("rings", "inner"))]) or block_join(x, y, *more, **kw))
+
+    def compared(x, y):
+        asked.clear()
+        got = sorted(tuple(r) for r in spatial.overlay(x, y, ["a"], ["b"], "ra", "rb", 3.0).collect())
+        assert got == sorted(tuple(r) for r in spatial._meetings(x, y, ["a"], ["b"], "ra", "rb", 3.0).collect())
+        assert got
+        return asked
+
+    assert len(compared(a, b)) == 5
+    assert compared(a.filter("a = 3"), b.filter("b in (0, 1, 3)")) == [[]]
