@@ -121,3 +121,38 @@ def test_overlay_carries_rings_only_where_holes_may_hold(spark, monkeypatch):
 
     assert len(compared(a, b)) == 5
     assert compared(a.filter("a = 3"), b.filter("b in (0, 1, 3)")) == [[]]
+
+
+def test_near_lines_tests_cheaply_and_gives_the_least_distance(spark):
+    """Lines of one, two and more segments, of several rows and without length, points of two places and of none, on the border of the
+    reach too, against all pairs; the join's condition takes no root."""
+    import math
+    import random
+
+    r = random.Random(5)
+    at = lambda: (r.randrange(0, 120) / 2, r.randrange(0, 120) / 2)
+    path = lambda n: (lambda v: [(p, q) for p, q in zip(v, v[1:])])([at() for _ in range(n + 1)])
+    lines = [(k, path(1 + k % 4)) for k in range(24)] + [(3, path(2)), (4, path(1)), (90, [((7.0, 7.0), (7.0, 7.0))]), (91, []), (92, None), (93, [((0.0, 0.0), (30.0, 0.0))])]
+    points = [(k, *at()) for k in range(60)] + [(5, *at()), (6, *at()), (80, 10.0, 5.0), (81, -3.0, -4.0), (82, None, 1.0)]
+
+    def far(seg, x, y):
+        (px, py), (qx, qy) = seg
+        dx, dy = qx - px, qy - py
+        t = min(max(((x - px) * dx + (y - py) * dy) / (dx * dx + dy * dy or 1.0), 0.0), 1.0)
+        return math.sqrt((x - px - t * dx) ** 2 + (y - py - t * dy) ** 2)
+
+    want = {}
+    for line, segs in lines:
+        for point, x, y in points:
+            for d in [far(s, x, y) for s in segs or [] if x is not None]:
+                if d <= 5:
+                    want[line, point] = min(d, want.get((line, point), d))
+    rows = [(n, s and [{"p": {"x": p[0], "y": p[1]}, "q": {"x": q[0], "y": q[1]}} for p, q in s]) for n, s in lines]
+    a = spark.createDataFrame(rows, "line int, seg array<struct<p: struct<x: double, y: double>, q: struct<x: double, y: double>>>")
+    b = spark.createDataFrame(points, "point int, x double, y double")
+    near = spatial.near_lines(a, b, "seg", ("x", "y"), 5.0, 8.0, ["line", "point"])
+    got = {(v.line, v.point): v.distance for v in near.collect()}
+    assert got == pytest.approx(want, abs=1e-12) and got.keys() == want.keys() and (93, 80) in got and (93, 81) in got
+    short = spatial.near_lines(a.filter("line >= 90"), b, "seg", ("x", "y"), 5.0, 8.0, ["line", "point"])
+    joins_of = [v for v in short._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join Inner" in v]
+    assert joins_of and not any("SQRT" in v for v in joins_of)
